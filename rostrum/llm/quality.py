@@ -19,7 +19,7 @@ RULES: list[tuple[str, str]] = [
     ("few_words", "n_words < 50"),
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     ("symbols", "10 * n_symbols > n_words"),
-    ("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("repeated_lines", "2 * n_dup_lines > n_lines"),
     ("short_words", "2 * word_chars < 5 * n_words"),
     ("long_words", "word_chars > 15 * n_words"),
     ("upper_case", "2 * n_upper > word_chars"),
