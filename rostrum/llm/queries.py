@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import lines, matroska, mixing, quality, sharding, token_counts
+from . import lines, matroska, mixing, pieces, quality, sharding, token_counts
 
-MODULES = [mixing, matroska, lines, sharding, token_counts, quality]
+MODULES = [mixing, matroska, lines, pieces, sharding, token_counts, quality]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
