@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import lines, matroska, mixing, pieces, quality, sharding, token_counts, toxicity
+from . import jaccard_join, lines, matroska, mixing, pieces, quality, sharding, token_counts, toxicity
 
-MODULES = [mixing, matroska, lines, toxicity, pieces, sharding, token_counts, quality]
+MODULES = [mixing, jaccard_join, matroska, lines, toxicity, pieces, sharding, token_counts, quality]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
