@@ -162,6 +162,23 @@ def mix_sources(docs: DataFrame, weights: list[float] | None = None, most: float
     return out.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
+def mix_documents(docs: DataFrame, weights: list[float] | None = None, most: float = 3.0, seed: int = 1, block: int = 1024, scratch: Scratch | None = None) -> DataFrame:
+    """docs as the mix takes them: each row as many times as it has copies, with all its columns.
+
+    Rows of one source that share an id (also a null one) are one document here, taken together.
+    """
+    joined = docs.groupBy("doc_id", "source").agg(F.concat_ws("\n", F.collect_list("text")).alias("text")) if _repeats(docs) else docs
+    mixed = mix_sources(joined, weights, most, seed, block, scratch).select("doc_id", "source", "copies").where("copies > 0")
+    taken = docs.alias("d").join(mixed.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")))
+    taken = taken.select("d.*", F.explode(F.array_repeat(F.lit(0), F.col("m.copies").cast("int"))).alias("_copy"))
+    return taken.select([F.col(f"`{c}`") for c in docs.columns])
+
+
+def _repeats(docs: DataFrame) -> bool:
+    """Whether an id occurs on several rows of a source."""
+    return docs.groupBy("doc_id", "source").count().where("count > 1").limit(1).count() > 0
+
+
 def op1_mix_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
