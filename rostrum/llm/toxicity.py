@@ -1,8 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are the words of a text (letters only, A-Z folded) and their beginnings of 3 to 6 bytes,
-hashed to 64 bits. Counts of terms by label are aggregated over all labelled training rows;
-the terms with the largest label association make the machine's inputs. Its score is
+hashed to 64 bits. Counts of terms by label are aggregated over the training rows, a bounded
+sample of the labelled ones; the terms with the largest label association make the machine's
+inputs. Every text is scored. Its score is
 sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j): pairs such as an insult and whom it
 is said of are learned as pairs, which additive weights miss.
 """
@@ -17,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, documents, fold_table, mix, separators, signed, text_slices, word_hashes
+from .common import Scratch, arrow_map, documents, fold_table, mix, separators, signed, text_slices, word_hashes
 
-#: Inputs of the machine, its rank, and the most labelled rows it is fitted on (a hash of the
-#: id chooses them); documented bounds, the same at every input size.
+#: Inputs of the machine, its rank, and about how many labelled rows it is fitted on (a hash of
+#: the id chooses them); documented bounds, the same at every input size.
 TERMS, RANK, FIT_ROWS = 4096, 4, 20_000
 #: Terms whose log odds differ from nothing by fewer standard errors are no inputs.
 MIN_STRENGTH = 3.0
@@ -121,30 +122,37 @@ def fit_machine(terms: np.ndarray, term: np.ndarray, owner: np.ndarray, label: n
     return Machine(terms, float(params[0][0]), params[1], params[2])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, wanted: Column) -> DataFrame:
-    """(doc_id, text, toxic) of the rows with a label for which `wanted` holds."""
-    known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).where(wanted).join(known, "doc_id")
+def labelled(docs: DataFrame, labels: DataFrame, wanted: Column, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """(doc_id, text, toxic) of about fit_rows rows with a label for which `wanted` holds, or of all if there are fewer.
 
+    A hash of the id chooses them among the labels, so what is broadcast has a bound that does
+    not grow with the input and texts are not shuffled.
+    """
+    known = labels.where(F.col("toxic").isNotNull()).where(wanted).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    share = fit_rows / max(1, known.count())
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit("fit"), "doc_id"), 11) / F.lit(float(1 << 53))
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known.where(chance < share)), "doc_id")
 
-def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TERMS, fit_rows: int = FIT_ROWS) -> Machine:
-    """Counts terms by label over all wanted labelled rows, picks the inputs, fits the machine.
+
+def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TERMS, fit_rows: int = FIT_ROWS, scratch: Scratch | None = None) -> Machine:
+    """Counts terms by label, picks the inputs and fits the machine, all on the same labelled rows.
 
     Term counts are summed in each task before they are shuffled; what the driver gets is
-    n_terms hashes and the known terms of at most fit_rows rows.
+    n_terms hashes and the known terms of about fit_rows rows.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
-            for begin, _, data, offsets in text_slices(batch.column(0), 1 << 22):
+            for begin, _, data, offsets in text_slices(batch.column(0), 1 << 23):
                 hashes, owner = distinct_terms(data, offsets)
                 toxic = label[begin:][owner].astype(np.int64)
                 found, inverse = np.unique(hashes, return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(np.bincount(inverse, 1 - toxic, len(found)).astype(np.int64)), pa.array(np.bincount(inverse, toxic, len(found)).astype(np.int64))], ["term", "clean", "toxic"])
 
-    rows = labelled(docs, labels, wanted)
-    totals = {r.toxic: r["count"] for r in rows.select("toxic").groupBy("toxic").count().collect()}
+    scratch = scratch or Scratch(docs.sparkSession)
+    rows = scratch.save(labelled(docs, labels, wanted, fit_rows), "fitted")
+    totals = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     counts = rows.select("text", "toxic").mapInArrow(count, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # The log odds of a term's toxic documents against the overall share, in standard errors.
@@ -160,10 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TER
             lists += np.split(term.astype(np.int32), np.searchsorted(owner, np.arange(1, end - begin)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "toxic", "terms"])
 
-    share = fit_rows / max(1, n0 + n1)
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit("fit"), "doc_id"), 11) / F.lit(float(1 << 53))
-    rows = rows.where(chance < share).limit(2 * fit_rows) if share < 1 else rows
     got = arrow_map(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic"), known, "doc_id long, toxic int, terms array<int>").toPandas()
+    scratch.drop("fitted")
     got = got.sort_values("doc_id", kind="stable")
     term = np.concatenate([np.zeros(0, np.int64), *(np.asarray(t, np.int64) for t in got["terms"])])
     owner = np.repeat(np.arange(len(got)), [len(t) for t in got["terms"]]) if len(got) else np.zeros(0, np.int64)
