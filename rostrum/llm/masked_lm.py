@@ -88,7 +88,7 @@ def build_vocabulary(docs: DataFrame) -> Vocabulary:
     cls = np.empty(len(counts), np.int64)
     middle = np.cumsum(counts[order]) - counts[order] / 2
     cls[order] = np.minimum(CLASSES - 1, (middle / counts.sum() * CLASSES).astype(np.int64))
-    share = np.log(counts) - np.log(np.bincount(cls, counts, CLASSES))[cls]
+    share = np.log(counts / np.bincount(cls, counts, CLASSES)[cls])
     by = np.argsort(hashes)
     return Vocabulary(hashes[by], SPARE + by, cls, share)
 

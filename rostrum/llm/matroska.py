@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from struct import error as StructError
 from struct import pack, unpack
 from typing import NamedTuple
 
@@ -201,6 +202,8 @@ def read_matroska(data: bytes) -> tuple[dict[int, dict], list[Packet]]:
                     for _, _, c, d in (e for e in elements(data, a, b) if e[0] == CUE_TRACK_POSITIONS):
                         spot = children(c, d)
                         cued.add((uint(*spot[CUE_TRACK]), segment + uint(*spot[CUE_CLUSTER_POSITION])))
+    if not segment:
+        raise ValueError("no segment")
     packets = []
     for at, first, stop in clusters:
         base = 0
@@ -251,7 +254,7 @@ def packet_table(files: DataFrame) -> DataFrame:
         for doc_id, media in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             try:
                 packets = read_matroska(media)[1] if media else []
-            except (ValueError, IndexError, KeyError):
+            except (ValueError, IndexError, KeyError, StructError):
                 packets = []
             rows = [{"doc_id": doc_id, "packet": k, **p._asdict(), "crc32": zlib.crc32(media[p.offset : p.offset + p.size])} for k, p in enumerate(packets)]
             yield pa.RecordBatch.from_pylist(rows, schema)
@@ -271,7 +274,7 @@ def media_digest(files: DataFrame) -> DataFrame:
         row = {"doc_id": doc_id, "n_bytes": n_bytes, "media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest()}
         try:
             tracks, packets = read_matroska(media)
-        except (ValueError, IndexError, KeyError) as error:
+        except (ValueError, IndexError, KeyError, StructError) as error:
             return row | {"error": str(error)}
         payload = b"".join(media[p.offset : p.offset + p.size] for p in packets)
         laces = [sum(p.lacing == kind and p.lace == 0 for p in packets) for kind in range(4)]
