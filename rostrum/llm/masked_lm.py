@@ -28,7 +28,7 @@ VOCABULARY, SPARE = 32_768, 4_096
 #: Classes of the softmax, neighbours on each side, embedding and hidden widths.
 CLASSES, SIDE, WIDTH, HIDDEN = 64, 2, 8, 24
 #: Share of positions masked in training, rounds of averaging, tokens a step, step size.
-MASKED, ROUNDS, STEP, RATE = 0.15, 2, 2048, 0.02
+MASKED, ROUNDS, STEP, RATE = 0.15, 2, 512, 0.1
 _APART, _FOLD = separators(), fold_table()
 
 
@@ -187,7 +187,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, seed: i
         def learn(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             vocabulary, begun = sent.value
             own = [p.copy() for p in begun]
-            squares = [np.full_like(p, 1e-2) for p in own]
+            squares = [np.full_like(p, 1e-5) for p in own]
             seen, waiting = 0, []
             for batch in batches:
                 for _, _, data, offsets in text_slices(batch.column(0)):

@@ -256,7 +256,7 @@ def test_gradient_of_a_step():
 def test_order_of_words_is_worse_shuffled(spark):
     rng = random.Random(3)
     text = lambda: " ".join(" ".join(rng.choice(["the cat sat on a mat", "we read the red book", "rain falls in spring now"]) for _ in range(30)).split())
-    rows = [(k, text()) for k in range(300)]
+    rows = [(k, text()) for k in range(600)]
     train = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     vocabulary = masked_lm.build_vocabulary(train)
     net = masked_lm.train(train, vocabulary)
