@@ -6,27 +6,35 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.sources.tables import cut
+from rostrum.sources.tables import Scratch
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None, name: str = "components") -> DataFrame:
     """(node, component) over edges (a, b): the smallest node that is reachable.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014); each round is written,
-    so lineage stays short, and hubs are reduced to their least neighbour before the shuffle.
+    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the edges
+    no longer change. Each node's minimum comes from a map-side combined aggregation, so a
+    hub does not gather its edges in one task; each round is cut by a written table.
     """
-    now, seen = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), None
+    scratch = scratch or Scratch(edges.sparkSession)
+    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
+    seen, k = None, 0
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        now = cut(small.where("u <> v").distinct())
+        joined = large.join(least, "u")
+        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        k += 1
+        after = scratch.save(small, f"{name}-{k}")
+        scratch.drop(f"{name}-{k - 1}")
+        now = after
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
         if state == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            break
         seen = state
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 def cluster_people(speakers: DataFrame, decisions: DataFrame) -> DataFrame:

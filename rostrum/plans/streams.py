@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.plans.registry import query
-from rostrum.sources.tables import shared_folder
+from rostrum.sources.tables import Scratch
 from rostrum.streaming import landing as L
 
 def _drain(stream: DataFrame, spark: SparkSession) -> DataFrame:
     """Runs a stream over what has landed and returns what it wrote."""
-    out = shared_folder(spark)
+    out = Scratch(spark).root
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", f"{out}/checkpoint")
     writer.trigger(availableNow=True).format("parquet").start(f"{out}/rows").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
