@@ -1,9 +1,7 @@
-"""What the corpus operators share: scratch tables, word hashing over Arrow buffers, components."""
+"""What the corpus operators share: scratch tables, text rules, word hashing over Arrow buffers."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rostrum.sources.tables import Scratch  # noqa: F401
+
 #: ASCII white space: the separators of every word rule in this subpackage.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,36 +21,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-class Scratch:
-    """Tables that cut lineage, written to the shared folder the cluster names in spark.checkpoint.dir.
-
-    The setting is read from the session; only where it is unset (tests, one machine) a
-    temporary folder is named instead. Tables are Parquet, so later reads prune columns.
-    """
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = f"file://{tempfile.gettempdir()}/rostrum-scratch"
-            spark.conf.set("spark.checkpoint.dir", base)
-        self.root = f"{base.rstrip('/')}/rostrum-{uuid.uuid4().hex}"
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.root}/{name}")
-        return self.load(name, df)
-
-    def load(self, name: str, like: DataFrame) -> DataFrame:
-        return self.spark.read.schema(like.schema).parquet(f"{self.root}/{name}")
-
-    def drop(self, *names: str) -> None:
-        """Frees tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def text_of(column: str = "text") -> Column:
     """A text without null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -153,35 +123,20 @@ def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
-def signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
-
-# Components -------------------------------------------------------------------------------------
-
-
-def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(node, component): the smallest node reachable over edges (a, b).
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of counts with the highest n, at most `most` of them, cut between sixteenths of an octave.
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the edges
-    no longer change. Each node's minimum comes from a map-side combined aggregation, so a
-    hub does not gather its edges in one task; each round is cut by a written table.
+    Unlike a sorted limit, which takes so many rows from every partition to the driver, only
+    the number of rows of each step goes there: some hundred numbers at any input size.
     """
-    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
-    seen, k = None, 0
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        k += 1
-        after = scratch.save(small, f"{name}-{k}")
-        scratch.drop(f"{name}-{k - 1}")
-        now = after
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        if state == seen:
+    step = F.floor(F.log2(F.col(n)) * 16)
+    left, least = most, None
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r.step):
+        if r.rows > left:
             break
-        seen = state
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        left, least = left - r.rows, r.step
+    return counts.where(step >= least) if least is not None else counts.limit(0)
+
+
+def signed(x: np.ndarray) -> np.ndarray:
+    return x.view(np.int64)

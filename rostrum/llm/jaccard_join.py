@@ -15,14 +15,15 @@ many documents gets a tree of several leaves by size band and hash, and only pai
 whose corners allow the overlap are opened.
 
 Equal sets are joined as classes first, whatever their number; links are found between class
-representatives. A leaf pair's candidates leave it as a star for each of its components, and
-the verification of a cluster skips pairs that are connected already, so a group of near
-copies costs rows in proportion to its documents.
+representatives. A leaf's candidates leave it as a star for each of its components, those of
+two leaves as a link for each two components, and the verification of a cluster skips pairs
+that are connected already, so a group of near copies costs rows in proportion to its
+documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -30,11 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, components, documents, fold_table, mix, separators, signed, text_slices, word_hashes
+from rostrum.operators.graph import connected_components
 
-GROUPS = 32
+from .common import Scratch, arrow_map, documents, fold_table, mix, most_frequent, separators, signed, text_slices, word_hashes
+
+#: Shingles a group on the average, and the bounds of the number of groups, as powers of two.
+#: Counts of unrelated sets then differ by more in sum than similar sets may.
+GROUP_SHINGLES, LEAST_BITS, MOST_BITS = 16, 5, 13
 #: Documents in a leaf; documents and shingles in a tile of a cluster.
-LEAF, TILE_DOCS, TILE_SHINGLES = 128, 512, 1 << 20
+LEAF, TILE_DOCS, TILE_SHINGLES = 128, 4096, 1 << 22
 #: Shingles that are put last in the order: the most frequent ones, at most so many.
 FREQUENT, LAST = 64, 1 << 16
 _APART, _FOLD = separators(), fold_table()
@@ -64,6 +69,22 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
                 yield words[:0]
 
 
+def count_vector(own: np.ndarray) -> np.ndarray:
+    """How many hashes of a set fall into each group; longer sets have more groups, by halving those of shorter ones."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (len(own) // GROUP_SHINGLES).bit_length()))
+    return np.bincount((own >> np.uint64(64 - bits)).astype(np.intp), minlength=1 << bits).astype(np.int32)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """One byte a count where they fit, else four; the first byte says which."""
+    small = counts.max(initial=0) < 256
+    return (b"\1" + counts.astype("u1").tobytes()) if small else b"\4" + counts.astype("<u4").tobytes()
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "u1" if data[0] == 1 else "<u4", offset=1).astype(np.int32)
+
+
 def prefix_length(n: int, percent: int) -> int:
     """n - ceil(n * percent / 100) + 1."""
     return n - -(-n * percent // 100) + 1
@@ -72,7 +93,7 @@ def prefix_length(n: int, percent: int) -> int:
 def points(docs: DataFrame, k: int, percent: int, last: np.ndarray | None) -> DataFrame:
     """(doc_id, n, sig1, sig2, prefix, point); without `last` only the prefixes, in hash order.
 
-    last: hashes, sorted; they come after all others in the order, the more frequent the later.
+    last: hashes, sorted; they come after all others in the order.
     """
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -84,7 +105,7 @@ def points(docs: DataFrame, k: int, percent: int, last: np.ndarray | None) -> Da
                 prefix.append(signed(own[:p]))
                 continue
             sig.append(np.frombuffer(blake2b(own.tobytes(), digest_size=16).digest(), np.int64))
-            point.append(np.bincount((own >> np.uint64(59)).astype(np.intp), minlength=GROUPS).astype("<u4").tobytes())
+            point.append(pack_counts(count_vector(own)))
             if len(last):
                 # Of the frequent ones only as many are needed as others are lacking.
                 at = np.minimum(np.searchsorted(last, own), len(last) - 1)
@@ -106,14 +127,15 @@ def points(docs: DataFrame, k: int, percent: int, last: np.ndarray | None) -> Da
     return arrow_map(docs, each, schema)
 
 
-def frequent_shingles(docs: DataFrame, k: int, percent: int) -> np.ndarray:
-    """The hashes to put last: found in over FREQUENT prefixes, the LAST most frequent of them.
+def frequent_shingles(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> np.ndarray:
+    """The hashes to put last: found in over FREQUENT prefixes, the LAST most frequent of them at most.
 
     All documents are counted. The result is at most LAST * 8 bytes at any input size; it only
     sets the order, every order gives the same links.
     """
     counts = points(docs, k, percent, None).select(F.explode("prefix").alias("t")).groupBy("t").count().where(F.col("count") > FREQUENT)
-    top = counts.orderBy(F.col("count").desc(), "t").limit(LAST).select("t").collect()
+    top = most_frequent(scratch.save(counts, "frequent"), "count", LAST).select("t").collect()
+    scratch.drop("frequent")
     return np.sort(np.array([r.t for r in top], np.int64).view(np.uint64))
 
 
@@ -153,42 +175,71 @@ def _below(nodes: np.ndarray, fanout: int, end: int) -> np.ndarray:
     return below[below < end]
 
 
-def _stars(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
-    """Links (first of the component, other) from near(i, labels): the j to join i with."""
-    labels = np.arange(n)
-    for i in range(n):
-        found = near(i, labels)
-        if len(found):
-            own = np.append(labels[found], labels[i])
-            labels[np.isin(labels, own)] = own.min()
-    return [(int(labels[i]), i) for i in np.flatnonzero(labels != np.arange(n))]
+def near_places(vectors: list[np.ndarray], n: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, places j > i that may have this similarity with i), for sets ordered by their sizes n.
+
+    Vectors of each number of groups make a tree together with those of twice as many, folded;
+    sets whose vectors differ by more differ too much in size.
+    """
+    groups = np.array([len(v) for v in vectors])
+    for d in np.unique(groups):
+        own = np.flatnonzero((groups == d) | (groups == 2 * d))
+        matrix = np.stack([vectors[i] if groups[i] == d else vectors[i].reshape(d, 2).sum(1) for i in own])
+        tree = CountTree(matrix, n[own])
+        for at, i in enumerate(own):
+            if groups[i] == d:
+                found = own[tree.search(matrix[at], int(n[i]), percent)]
+                yield int(i), found[found > i]
+
+
+class _Labels:
+    """Components of a tile's places, each named by its least place."""
+
+    def __init__(self, n: int) -> None:
+        self.of = np.arange(n)
+
+    def join(self, places: np.ndarray, i: int) -> None:
+        own = np.append(self.of[places], self.of[i])
+        self.of[np.isin(self.of, own)] = own.min()
+
+    def stars(self, ids: list[int]) -> list[tuple[int, int]]:
+        """(least id of the component, other id)."""
+        least: dict[int, int] = {}
+        for label, i in zip(self.of.tolist(), ids, strict=True):
+            least[label] = min(i, least.get(label, i))
+        return [(least[label], i) for label, i in zip(self.of.tolist(), ids, strict=True) if least[label] != i]
 
 
 def _open(left: list, right: list | None, percent: int) -> list[tuple[int, int]]:
-    """Candidate stars in one leaf, or between two, of (doc_id, n, point) entries."""
+    """Candidate links in one leaf, or between two, of (doc_id, n, point) entries.
+
+    One leaf gives a star for each of its components, two leaves give a link for each pair of
+    their components that it takes to join them.
+    """
     rows = left + (right or [])
     n = np.array([r["n"] for r in rows], np.int64)
-    side = np.arange(len(rows)) < len(left)
     order = np.argsort(n, kind="stable")
-    n, side = n[order], side[order]
-    vectors = np.frombuffer(b"".join(rows[i]["point"] for i in order), "<u4").reshape(len(rows), GROUPS).astype(np.int64)
-    if len(rows) == 2:
-        bound = int(np.minimum(vectors[0], vectors[1]).sum())
-        links = [(0, 1)] if (100 + percent) * bound >= percent * int(n.sum()) else []
-    else:
-        tree = CountTree(vectors, n)
-
-        def near(i: int, labels: np.ndarray) -> np.ndarray:
-            found = tree.search(vectors[i], int(n[i]), percent)
-            return found[(found > i) & (labels[found] != labels[i]) & ((side[found] != side[i]) if right else True)]
-
-        links = _stars(len(rows), near)
+    side, n = (np.arange(len(rows)) < len(left))[order], n[order]
     ids = [rows[i]["doc_id"] for i in order]
-    return [(ids[a], ids[b]) for a, b in links]
+    labels, across = _Labels(len(rows)), []
+    for i, found in near_places([unpack_counts(rows[i]["point"]) for i in order], n, percent):
+        own = found[(side[found] == side[i]) & (labels.of[found] != labels.of[i])]
+        if len(own):
+            labels.join(own, i)
+        if right:
+            across.append((i, found[side[found] != side[i]]))
+    if not right:
+        return labels.stars(ids)
+    links = []
+    for i, found in across:
+        while len(found := found[labels.of[found] != labels.of[i]]):
+            links.append((ids[i], ids[found[0]]))
+            labels.join(found[:1], i)
+    return links
 
 
 def candidates(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """(a, b): stars of the components of all pairs that the trees can't refute."""
+    """(a, b): links that connect all pairs which the trees can't refute."""
     entries = reps.select(F.explode("prefix").alias("t"), "doc_id")
     shared = entries.groupBy("t").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "doc_id")).alias("y"))
     # Shingles with the same documents would make the same tree; one of them is kept.
@@ -227,7 +278,7 @@ def candidates(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
     found = arrow_map(small, each, "a long, b long").unionByName(arrow_map(opened, each, "a long, b long"))
-    found = scratch.save(found.distinct(), "candidates")
+    found = scratch.save(found, "candidates")
     scratch.drop("members", "leaves")
     return found
 
@@ -236,29 +287,23 @@ def candidates(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 
 
 def verify(rows: list[tuple[int, int, np.ndarray]], cross: bool, percent: int) -> list[tuple[int, int]]:
-    """Stars of the true links among (doc_id, side, set); with cross only links between the sides."""
+    """Stars of the true links among (doc_id, side, set); with cross only links between the sides.
+
+    Places that are connected already are not compared again.
+    """
     rows = sorted(rows, key=lambda r: (len(r[2]), r[0]))
     n = np.array([len(r[2]) for r in rows], np.int64)
     side = np.array([r[1] for r in rows])
     sets = [r[2] for r in rows]
-    vectors = np.stack([np.bincount((s >> np.uint64(59)).astype(np.intp), minlength=GROUPS) for s in sets])
-    tree = CountTree(vectors, n)
-
-    def near(i: int, labels: np.ndarray) -> np.ndarray:
-        found = tree.search(vectors[i], int(n[i]), percent)
-        found = found[(found > i) & (labels[found] != labels[i]) & ((side[found] != side[i]) if cross else True)]
-        joined: list[int] = []
-        known: set[int] = set()
+    labels = _Labels(len(rows))
+    for i, found in near_places([count_vector(s) for s in sets], n, percent):
+        found = found[side[found] != side[i]] if cross else found
         for j in found.tolist():
-            if int(labels[j]) in known:
-                continue
-            both = int(np.count_nonzero(np.isin(sets[i], sets[j], assume_unique=True, kind="sort"))) if n[i] < 64 else _overlap(sets[i], sets[j])
-            if 100 * both >= percent * (int(n[i]) + int(n[j]) - both):
-                joined.append(j)
-                known.add(int(labels[j]))
-        return np.array(joined, np.intp)
-
-    return [(rows[a][0], rows[b][0]) for a, b in _stars(len(rows), near)]
+            if labels.of[j] != labels.of[i]:
+                both = _overlap(sets[i], sets[j])
+                if 100 * both >= percent * (int(n[i]) + int(n[j]) - both):
+                    labels.join(np.array([j]), i)
+    return labels.stars([r[0] for r in rows])
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -267,18 +312,21 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def links(docs: DataFrame, reps: DataFrame, found: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
-    """(a, b): stars of the true links, verified on the whole texts of each cluster of candidates."""
-    spark = docs.sparkSession
-    of = components(spark, found, scratch, "clusters")
+def linked(docs: DataFrame, reps: DataFrame, found: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(node, component) by the true links, verified on the whole texts of each cluster of candidates.
+
+    A cluster of up to TILE_DOCS documents and TILE_SHINGLES shingles is verified by one task,
+    which gives its components. A larger one is dealt to parts, and each pair of parts to a
+    task; their stars are joined afterwards.
+    """
+    of = connected_components(found, scratch, "clusters")
     of = scratch.save(of.unionByName(of.select(F.col("component").alias("node"), "component").distinct()), "cluster-of")
     sized = of.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
     sizes = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / F.lit(float(TILE_DOCS))), F.ceil(F.sum("n") / F.lit(float(TILE_SHINGLES)))).cast("int").alias("parts"))
     dealt = of.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
-    # A tile holds one part of a cluster, or two between which links are sought.
     tile = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, "part").alias("low"), F.greatest(j, "part").alias("high")))
-    dealt = dealt.select(F.col("node").alias("doc_id"), "component", "part", F.explode(tile).alias("tile")).select("doc_id", "component", "part", "tile.low", "tile.high")
-    rows = docs.join(dealt, "doc_id").select("component", "low", "high", "part", "doc_id", "text")
+    dealt = dealt.select(F.col("node").alias("doc_id"), "component", "part", (F.col("parts") == 1).alias("whole"), F.explode(tile).alias("tile")).select("doc_id", "component", "part", "whole", "tile.low", "tile.high")
+    rows = docs.join(dealt, "doc_id").select("component", "low", "high", "whole", "part", "doc_id", "text")
     rows = rows.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,12 +334,12 @@ def links(docs: DataFrame, reps: DataFrame, found: DataFrame, k: int, percent: i
 
         def close() -> pa.RecordBatch:
             stars = verify(tile, key[1] != key[2], percent) if len(tile) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in stars], pa.int64()), pa.array([b for _, b in stars], pa.int64())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in stars], pa.int64()), pa.array([b for _, b in stars], pa.int64()), pa.array([key[3]] * len(stars), pa.bool_())], ["a", "b", "whole"])
 
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)
-            parts, ids = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for own, part, doc_id, shingles in zip(keys, parts, ids, shingle_sets(batch.column(5), k), strict=True):
+            keys = zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)
+            parts, ids = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+            for own, part, doc_id, shingles in zip(keys, parts, ids, shingle_sets(batch.column(6), k), strict=True):
                 if own != key:
                     if key is not None:
                         yield close()
@@ -300,7 +348,10 @@ def links(docs: DataFrame, reps: DataFrame, found: DataFrame, k: int, percent: i
         if key is not None:
             yield close()
 
-    return scratch.save(rows.mapInArrow(run, "a long, b long"), "links")
+    stars = scratch.save(rows.mapInArrow(run, "a long, b long, whole boolean"), "links")
+    done = stars.where("whole").select(F.col("b").alias("node"), F.col("a").alias("component")).distinct()
+    parted = stars.where("not whole").select("a", "b")
+    return done.unionByName(connected_components(parted, scratch, "parted")) if parted.limit(1).count() else done
 
 
 # The join ---------------------------------------------------------------------------------------
@@ -311,7 +362,7 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch:
 
     Two texts link when 100 * |intersection| >= percent * |union| of their sets of k-word
     shingles (words `[^\\x20\\x09-\\x0D]+`, A-Z folded; fewer than k words are one shingle).
-    class_id is the smallest doc_id with the same set, component_id the smallest reachable by
+    percent is 50 or more. class_id is the smallest doc_id with the same set, component_id the smallest reachable by
     links, itself included. Null texts and texts without words have empty sets and link with
     nothing. doc_id must not repeat with different texts; repeated rows give repeated results.
     A null doc_id is taken as no document: its row has component_id null. Other columns are
@@ -320,15 +371,14 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch:
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    last = frequent_shingles(docs, k, percent)
+    last = frequent_shingles(docs, k, percent, scratch)
     table = scratch.save(points(docs, k, percent, last), "points")
     same = ["n", "sig1", "sig2"]
     classes = scratch.save(table.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     reps = table.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = scratch.save(reps.select("doc_id", "n", "prefix", "point"), "reps")
     found = candidates(reps, percent, scratch)
-    true = links(docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]) if _repeats(table) else docs, reps, found, k, percent, scratch)
-    joined = scratch.save(components(spark, true, scratch, "joined"), "component-of")
+    joined = linked(docs, reps, found, k, percent, scratch)
     classes = classes.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
     classes = scratch.save(classes.select(*same, "class_id", F.coalesce("component", "class_id").alias("component_id")), "labels")
     scratch.drop("reps", "classes", "trees", "candidates")
@@ -340,11 +390,6 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch:
     )
 
 
-def _repeats(table: DataFrame) -> bool:
-    """Whether an id occurs on several rows."""
-    return table.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-
-
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """docs with one document of each component, the one with the smallest id; all columns stay."""
     found = similar_components(docs, k, percent, scratch)

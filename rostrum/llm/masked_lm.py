@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, documents, fold_table, separators, signed, text_slices, word_hashes
+from .common import Scratch, arrow_map, documents, fold_table, most_frequent, separators, signed, text_slices, word_hashes
 
-#: Tokens with an id of their own, most frequent first; other words share SPARE ids by hash.
+#: Tokens with an id of their own at most, most frequent first; other words share SPARE ids by hash.
 VOCABULARY, SPARE = 32_768, 4_096
 #: Classes of the softmax, neighbours on each side, embedding and hidden widths.
 CLASSES, SIDE, WIDTH, HIDDEN = 64, 2, 8, 24
@@ -74,12 +74,15 @@ def build_vocabulary(docs: DataFrame) -> Vocabulary:
             yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], ["word", "n"])
 
     totals = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = totals.orderBy(F.col("n").desc(), "word").limit(VOCABULARY).collect()
+    scratch = Scratch(docs.sparkSession)
+    totals = scratch.save(totals, "words")
+    top = sorted(most_frequent(totals, "n", VOCABULARY).collect(), key=lambda r: (-r.n, r.word))
     hashes = np.array([r.word for r in top], np.int64).view(np.uint64)
     counts = np.zeros(SPARE + len(top))
     counts[SPARE:] = [r.n for r in top]
     # The rest by hash: the sums of all ids less those of the words that have their own.
     spare = totals.groupBy(F.expr(f"word & {SPARE - 1}").alias("spare")).agg(F.sum("n").alias("n")).collect()
+    scratch.drop("words")
     for r in spare:
         counts[r.spare] = r.n
     np.subtract.at(counts, (hashes % np.uint64(SPARE)).astype(np.int64), counts[SPARE:])

@@ -9,31 +9,31 @@ from pyspark.sql import functions as F
 from rostrum.sources.tables import Scratch
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of edges (u, v) has one target at most, and no target has one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.where("out > 1 or (out = 1 and into = 1)").limit(1).count() == 0
+
+
 def connected_components(edges: DataFrame, scratch: Scratch | None = None, name: str = "components") -> DataFrame:
     """(node, component) over edges (a, b): the smallest node that is reachable.
 
-    Alternates the large-star and small-star steps of Kiveris et al. (2014) until the edges
-    no longer change. Each node's minimum comes from a map-side combined aggregation, so a
-    hub does not gather its edges in one task; each round is cut by a written table.
+    Alternates the large-star and small-star steps of Kiveris et al. (2014) until all that is
+    left are stars. Each node's minimum comes from a map-side combined aggregation, so a hub
+    does not gather its edges in one task; each round is cut by a written table.
     """
     scratch = scratch or Scratch(edges.sparkSession)
-    now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
-    seen, k = None, 0
-    while True:
+    now, k = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0"), 0
+    while not _are_stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         k += 1
-        after = scratch.save(small, f"{name}-{k}")
+        now = scratch.save(small.where("u <> v").distinct(), f"{name}-{k}")
         scratch.drop(f"{name}-{k - 1}")
-        now = after
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        if state == seen:
-            break
-        seen = state
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
