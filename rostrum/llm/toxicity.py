@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TER
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
-            for begin, _, data, offsets in text_slices(batch.column(0), 1 << 23):
+            for begin, _, data, offsets in text_slices(batch.column(0), 1 << 20):
                 hashes, owner = distinct_terms(data, offsets)
                 toxic = label[begin:][owner].astype(np.int64)
                 found, inverse = np.unique(hashes, return_inverse=True)
