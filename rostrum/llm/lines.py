@@ -4,7 +4,10 @@ A run is a table of (h1, h2, docs, newest): a 128-bit hash of a line's key, the
 documents that hold the line and the largest id among them, sorted by hash. Each batch of
 documents becomes a run of level 0; when a level holds `fanout` runs they are merged into one
 run of the next level, so a hash is rewritten once a level. Lines are dropped by merge joins of
-line hashes with the runs. Only DataFrame functions are used.
+line hashes with the compacted run. Only DataFrame functions are used.
+
+A line is common from some number of documents on, so a run must count hashes that older runs
+hold too: batches are not anti-joined with the runs on their way in.
 """
 
 from __future__ import annotations
@@ -28,10 +31,13 @@ def _hashes(key: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame, min_chars: int = 40) -> DataFrame:
-    """(doc_id, h1, h2): the distinct keys of at least min_chars code points of each row of docs."""
+    """(doc_id, h1, h2), each once: the keys of at least min_chars code points of each document with an id.
+
+    Rows that share an id are one document, so hashes are made distinct in the row and then over rows.
+    """
     keys = F.transform(F.split(ascii_lower(text_of()), "\n", -1), line_key)
     hashes = F.array_distinct(F.transform(F.filter(keys, lambda k: F.length(k) >= min_chars), _hashes))
-    return docs.select("doc_id", F.explode(hashes).alias("h")).select("doc_id", "h.h1", "h.h2")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(hashes).alias("h")).select("doc_id", "h.h1", "h.h2").distinct()
 
 
 class LineRuns:

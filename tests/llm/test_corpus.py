@@ -287,6 +287,14 @@ def test_lines_by_hand(spark):
         assert got == brute_lines(rows)
 
 
+def test_lines_count_documents_not_rows(spark):
+    """Ids on several rows and rows without an id don't make a line common."""
+    repeated, unnamed, common = (f"a line that {x} holds, of more than forty characters" for x in ("a repeated id", "a row without an id", "each document"))
+    rows = [(1, repeated)] * 4 + [(2, repeated)] + [(3, unnamed)] + [(None, unnamed)] * 5 + [(k, common) for k in (4, 4, 5, 6, 7, 8)]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.kept_text) for r in got) == sorted((i or 0, "" if i in (4, 5, 6, 7) else t) for i, t in rows)
+
+
 def test_runs_are_levelled(spark):
     index = lines.LineRuns(Scratch(spark), fanout=2)
     batches = [spark.createDataFrame([(10 * b + k, k, k) for k in range(b, b + 3)], "doc_id long, h1 long, h2 long") for b in range(5)]
