@@ -6,9 +6,9 @@ its class is its share of the class in the corpus. So P(token | both sides) is a
 distribution over the vocabulary at the cost of a small softmax. A document's score is the sum
 of the conditional log-probabilities of all its tokens.
 
-Token counts come from all documents. Training runs in every partition over all documents, on
-a share of masked positions; the partitions' networks are averaged after each round (local
-gradient steps with parameter averaging), by a sum over parameters that Spark aggregates.
+Token counts come from all documents. Training runs in every partition over all documents, with
+each position masked once as a target; the partitions' networks are averaged after each round
+(local gradient steps with parameter averaging), by a sum over parameters that Spark aggregates.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from .common import Scratch, arrow_map, documents, fold_table, most_frequent, se
 VOCABULARY, SPARE = 32_768, 4_096
 #: Classes of the softmax, neighbours on each side, embedding and hidden widths.
 CLASSES, SIDE, WIDTH, HIDDEN = 64, 2, 8, 24
-#: Share of positions masked in training, rounds of averaging, tokens a step, step size.
-MASKED, ROUNDS, STEP, RATE = 0.15, 2, 512, 0.1
+#: Rounds of averaging, tokens a step, step size.
+ROUNDS, STEP, RATE = 2, 512, 0.1
 _APART, _FOLD = separators(), fold_table()
 
 
@@ -178,8 +178,8 @@ def _shaped(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, seed: int = 1, chunk: int = 4096) -> list[np.ndarray]:
     """The averaged network. Every document is trained on in one of the rounds, in its own partition.
 
-    The positions masked in a document follow from its text. Each task gives one network, weighted by
-    its number of masked tokens, in chunks of parameters that Spark sums; the driver gets the averages only.
+    All positions are targets, in an order that follows from the texts and mixes those of a slice, so
+    that a step isn't one passage. Each task gives one network, weighted by its number of tokens, in chunks of parameters that Spark sums; the driver gets the averages only.
     """
     spark = docs.sparkSession
     net = start(vocabulary.edge + 1, seed)
@@ -196,9 +196,9 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, seed: i
                 for _, _, data, offsets in text_slices(batch.column(0)):
                     words, at, _, _ = word_hashes(data, offsets, _APART, _FOLD)
                     tokens = vocabulary.look_up(words)
-                    chosen = np.flatnonzero((words + np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11) < np.uint64(int(MASKED * (1 << 53))))
-                    if len(chosen):
-                        waiting.append((windows(tokens, at, vocabulary.edge)[chosen], vocabulary.cls[tokens[chosen]]))
+                    dealt = np.argsort(words + np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                    if len(dealt):
+                        waiting.append((windows(tokens, at, vocabulary.edge)[dealt], vocabulary.cls[tokens[dealt]]))
                     if sum(len(c) for _, c in waiting) >= STEP:
                         context, cls = (np.concatenate(x) for x in zip(*waiting, strict=True))
                         for a in range(0, len(cls), STEP):

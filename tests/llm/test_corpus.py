@@ -259,6 +259,15 @@ def test_order_of_words_is_worse_shuffled(spark):
     assert plain > mean(shuffled) + 0.5
 
 
+def test_every_position_is_a_target(spark):
+    """A text of one word is trained on, whatever the word."""
+    vocabulary = masked_lm.build_vocabulary(spark.createDataFrame([(1, "alpha beta gamma delta")], "doc_id long, text string"))
+    begun = masked_lm.start(vocabulary.edge + 1)
+    for word in ("alpha", "beta", "gamma", "delta"):
+        net = masked_lm.train(spark.createDataFrame([(1, word)], "doc_id long, text string").coalesce(1), vocabulary, rounds=1)
+        assert not np.array_equal(net[4], begun[4]), word
+
+
 # 5 ------------------------------------------------------------------------------------------------
 
 
