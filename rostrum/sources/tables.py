@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,31 +19,53 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 class Scratch:
     """Tables that cut lineage, written to the shared folder the cluster names in spark.checkpoint.dir.
 
-    The setting is read from the session; only where it is unset (tests, one machine) a
-    temporary folder is named instead. Tables are Parquet, so later reads prune columns.
+    The setting is read from the session. Only where it is unset and the master is local (tests,
+    one machine) a temporary folder takes its place; on a cluster that is an error, as executors
+    don't share such folders. Tables are Parquet, so later reads prune columns. What nobody
+    dropped is removed when the driver's JVM ends.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = f"file://{tempfile.gettempdir()}/rostrum-scratch"
-            spark.conf.set("spark.checkpoint.dir", base)
-        self.root = f"{base.rstrip('/')}/rostrum-{uuid.uuid4().hex}"
+        self.id = uuid.uuid4().hex
+        self.root = f"{base.rstrip('/')}/rostrum-{self.id}"
+        fs, path = self._path("")
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+
+    def _path(self, name: str):  # noqa: ANN202
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.root}/{name}")
         return self.load(name, df)
 
+    def save_sorted(self, df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+        """A table in buckets of the keys' hash, each sorted by the keys: merges and joins by them need no shuffle."""
+        table = f"rostrum_{self.id}_{re.sub('[^a-z0-9]', '_', name)}"
+        df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{self.root}/{name}").saveAsTable(table)
+        return self.spark.table(table)
+
     def load(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
         """Frees tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self.spark.sql(f"DROP TABLE IF EXISTS rostrum_{self.id}_{re.sub('[^a-z0-9]', '_', name)}")
+            fs, path = self._path(name)
+            fs.delete(path, True)
+
+    def clear(self) -> None:
+        fs, path = self._path("")
+        fs.delete(path, True)
 
 
 def read_reference_list(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
