@@ -1,19 +1,22 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 A run is a table of (h1, h2, docs, newest): a 128-bit hash of a line's key, the number of
-documents that hold the line and the largest id among them, sorted by hash. Each batch of
-documents becomes a run of level 0; when a level holds `fanout` runs they are merged into one
-run of the next level, so a hash is rewritten once a level. Lines are dropped by merge joins of
-line hashes with the compacted run. Only DataFrame functions are used.
-
-A line is common from some number of documents on, so a run must count hashes that older runs
-hold too: batches are not anti-joined with the runs on their way in.
+documents that hold the line and the largest id among them, bucketed and sorted by hash. The
+documents come in batches, largest ids first. Each batch is merge-anti-joined with the runs,
+which drops the hashes that they have settled (found in enough documents, newest known), and
+the rest becomes a run of level 0. Two runs of a level are merged into one run of the next, so
+a hash is rewritten once a level. Runs have the same buckets, so neither anti-joins nor merges
+(full outer merge joins) shuffle them or sort them again. Only DataFrame functions are used.
+
+A line is dropped only from `enough` documents on, so a hash that the runs hold but have not
+settled is counted on: its entries are summed when runs merge.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from functools import reduce
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,94 +43,149 @@ def line_hashes(docs: DataFrame, min_chars: int = 40) -> DataFrame:
     return docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(hashes).alias("h")).select("doc_id", "h.h1", "h.h2").distinct()
 
 
+@contextmanager
+def _sorted_scans(spark: SparkSession) -> Iterator[None]:
+    """While this holds, plans take the order of a bucket's one file as given, so merges of runs don't sort again."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class LineRuns:
-    """The levelled index. Runs are tables in the shared folder; the driver holds their names only."""
+    """The levelled index. Runs are bucketed, sorted tables in the shared folder; the driver holds their names only.
+
+    Batches must come in descending order of doc_id. An entry's newest is then final once it is
+    in, and a hash is settled as soon as some run alone counts `enough` documents for it.
+    """
 
-    def __init__(self, scratch: Scratch, fanout: int = 4) -> None:
-        self.scratch, self.fanout = scratch, fanout
+    def __init__(self, scratch: Scratch, enough: int = 5) -> None:
+        self.scratch, self.enough = scratch, enough
         self.levels: dict[int, list[tuple[str, DataFrame]]] = defaultdict(list)
         self.made = 0
+        self.buckets = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _runs(self) -> list[DataFrame]:
+        return [run for level in self.levels.values() for _, run in level]
 
     def _write(self, run: DataFrame, level: int) -> None:
-        """Aggregated rows are already dealt by hash, so a sort in each partition gives sorted runs."""
         self.made += 1
         name = f"run-{level}-{self.made}"
-        self.levels[level].append((name, self.scratch.save(run.sortWithinPartitions("h1", "h2"), name)))
+        with _sorted_scans(self.scratch.spark):
+            self.levels[level].append((name, self.scratch.save_sorted(run, name, ["h1", "h2"], self.buckets)))
+
+    def unsettled(self, batch: DataFrame) -> DataFrame:
+        """The rows of a batch whose hash no run has settled: one merge anti-join a run, by its order and buckets."""
+        for run in self._runs():
+            batch = batch.join(run.where(F.col("docs") >= self.enough).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+        return batch
 
     def add(self, hashes: DataFrame) -> None:
-        """Adds a batch (doc_id, h1, h2), a row once for each document; ids of batches don't overlap."""
-        self._write(hashes.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.max("doc_id").alias("newest")), 0)
+        """Adds a batch (doc_id, h1, h2), a row once for each document, whose ids are below those of earlier batches."""
+        batch = hashes.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.max("doc_id").alias("newest"))
+        self._write(self.unsettled(batch), 0)
         level = 0
-        while len(self.levels[level]) >= self.fanout:
-            self._merge(level, level + 1)
+        while len(self.levels[level]) > 1:
+            self._merge(self.levels.pop(level), level + 1)
             level += 1
 
-    def _merge(self, level: int, to: int) -> None:
-        old = self.levels.pop(level)
-        self._write(_merged([run for _, run in old]), to)
-        self.scratch.drop(*(name for name, _ in old))
+    def _merge(self, pair: list[tuple[str, DataFrame]], to: int) -> None:
+        self._write(merged(*(run for _, run in pair)), to)
+        self.scratch.drop(*(name for name, _ in pair))
 
-    def compact(self) -> None:
-        """One run."""
-        runs = [pair for level in sorted(self.levels) for pair in self.levels[level]]
-        if len(runs) > 1:
-            top = max(self.levels) + 1
-            self.levels = defaultdict(list)
-            self._write(_merged([run for _, run in runs]), top)
-            self.scratch.drop(*(name for name, _ in runs))
+    def common(self) -> DataFrame:
+        """(h1, h2, newest) of the hashes that are found in enough documents. Compacts the runs to one."""
+        while sum(map(len, self.levels.values())) > 1:
+            low = sorted(level for level, runs in self.levels.items() if runs)[:2]
+            self._merge([pair for level in low for pair in self.levels.pop(level)], low[-1] + 1)
+        return self._runs()[0].where(F.col("docs") >= self.enough).select("h1", "h2", "newest")
 
-    def entries(self) -> DataFrame:
-        """All hashes with their totals over the runs."""
-        runs = [run for level in self.levels.values() for _, run in level]
-        return runs[0] if len(runs) == 1 else _merged(runs)
 
-    def unseen(self, hashes: DataFrame) -> DataFrame:
-        """The rows of a batch whose hash no run holds, by one merge anti-join a run."""
-        return reduce(lambda left, run: left.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti"), (run for level in self.levels.values() for _, run in level), hashes)
+def merged(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two runs as one."""
+    docs = F.coalesce(a["docs"], F.lit(0)) + F.coalesce(b["docs"], F.lit(0))
+    return a.join(b.hint("merge"), ["h1", "h2"], "full_outer").select("h1", "h2", docs.alias("docs"), F.greatest(a["newest"], b["newest"]).alias("newest"))
 
 
-def _merged(runs: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, runs).groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("newest").alias("newest"))
+def batch_bounds(docs: DataFrame, batches: int | None = None) -> list[int]:
+    """Ids that cut the documents into batches of about equal number; from 4 million documents on there are more of them, up to 64."""
+    marks = [k / 64 for k in range(1, 64)]
+    n, found = docs.agg(F.count("doc_id"), F.percentile_approx("doc_id", marks)).first()
+    batches = batches or max(4, min(64, n >> 20))
+    return sorted({found[round(64 * k / batches) - 1] for k in range(1, batches)}) if found else []
 
 
-def line_drops(docs: DataFrame, scratch: Scratch, min_chars: int, min_docs: int, batches: int, fanout: int) -> DataFrame:
+def line_drops(docs: DataFrame, scratch: Scratch, min_chars: int, min_docs: int, batches: int | None) -> DataFrame:
     """(doc_id, drop): for documents that lose lines, the hashes (h1, h2) of these lines."""
-    hashes = line_hashes(docs, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
+    bounds = batch_bounds(docs, batches)
+    batch = sum((F.when(F.col("doc_id") > bound, 1).otherwise(0) for bound in bounds), F.lit(0))
+    hashes = line_hashes(docs, min_chars).withColumn("batch", batch)
     hashes.write.partitionBy("batch").parquet(f"{scratch.root}/hashes")
     hashes = scratch.load("hashes", hashes)
-    index = LineRuns(scratch, fanout)
-    for batch in range(batches):  # a stored batch is a folder, so each is read once
-        index.add(hashes.where(F.col("batch") == batch).select("doc_id", "h1", "h2"))
-    index.compact()
-    common = scratch.save(index.entries().where(F.col("docs") >= min_docs).select("h1", "h2", "newest"), "common")
+    index = LineRuns(scratch, min_docs)
+    for k in range(len(bounds), -1, -1):  # a stored batch is a folder, so each is read once
+        index.add(hashes.where(F.col("batch") == k).select("doc_id", "h1", "h2"))
+    common = scratch.save(index.common(), "common")
+    scratch.drop(*(name for level in index.levels.values() for name, _ in level))
     found = hashes.select("doc_id", "h1", "h2").join(common.hint("merge"), ["h1", "h2"]).where("doc_id <> newest")
-    return found.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drop"))
+    return scratch.save(found.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drop")), "drops")
+
+
+#: Places of the bitmap that tells which documents may lose lines: 2 MB at any input size.
+MARKS = 1 << 24
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 4, scratch: Scratch | None = None) -> DataFrame:
-    """docs with kept_text, n_lines and n_dropped.
+def _place() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+
+
+def marks_of(ids: DataFrame) -> DataFrame:
+    """(word, marks): a bitmap with the places of all ids set, 64 places a row."""
+    return ids.select(_place().alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("marks"))
+
+
+def split_by_marks(docs: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be marked, rows that certainly are not); the bitmap's size is fixed, so it is broadcast."""
+    joined = docs.withColumn("_p", _place()).join(F.broadcast(marks.withColumnRenamed("word", "_word")), F.shiftright("_p", 6) == F.col("_word"), "left")
+    hit = F.col("doc_id").isNotNull() & F.coalesce(F.expr("shiftright(marks, cast(_p & 63 AS int)) & 1 = 1"), F.lit(False))
+    return joined.where(hit).select(docs.columns), joined.where(~hit).select(docs.columns)
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """docs with kept_text, n_lines and n_dropped, one row for each row of docs.
 
     A line's key is the line stripped of ASCII white space, A-Z in lower case. Keys of at least
     min_chars code points found in at least min_docs documents lose their lines everywhere but
-    in the largest doc_id that holds them; the other lines stay, joined by newlines. A null text
-    counts as one empty line and is kept as an empty text. Rows without an id keep all lines.
-    Rows that share an id count as one document: all their lines belong to it. Columns of docs
-    named kept_text, n_lines or n_dropped are replaced.
+    in the largest doc_id that holds them; the other lines stay, joined by newlines.
+
+    A null text counts as one empty line and is kept as an empty text. Rows without an id keep
+    all lines and count for none. Rows that share an id count as one document: all their lines
+    belong to it, and of a repeated row each copy gets the same result. A document may hold a
+    line many times; all of them go or stay. Long texts are taken whole (a row's lines are one
+    array). An empty table gives no rows. Columns of docs named kept_text, n_lines or n_dropped
+    are replaced, all others stay. Only texts that may lose a line are shuffled.
     """
     scratch = scratch or Scratch(docs.sparkSession)
     docs = docs.drop("kept_text", "n_lines", "n_dropped")
-    drops = line_drops(docs, scratch, min_chars, min_docs, batches, fanout).withColumnRenamed("drop", "_drop").withColumnRenamed("doc_id", "_doc_id")
-    joined = docs.join(drops, docs["doc_id"] == drops["_doc_id"], "left").drop("_doc_id")
+    drops = line_drops(docs, scratch, min_chars, min_docs, batches)
+    marks = scratch.save(marks_of(drops.select("doc_id")), "marks")
+    some, untouched = split_by_marks(docs, marks)
+    drops = drops.withColumnRenamed("drop", "_drop").withColumnRenamed("doc_id", "_doc_id")
+    joined = some.join(drops, some["doc_id"] == drops["_doc_id"], "left").drop("_doc_id")
     lines = F.split(text_of(), "\n", -1)
+    n = F.size(lines).cast("long")
     keep = F.filter(lines, lambda line: ~F.array_contains(F.col("_drop"), _hashes(line_key(ascii_lower(line)))))
     joined = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), keep))
-    n = F.size(lines).cast("long")
-    return joined.select(
+    changed = joined.select(
         *docs.columns,
         F.when(F.col("_drop").isNull(), text_of()).otherwise(F.concat_ws("\n", "_lines")).alias("kept_text"),
         n.alias("n_lines"),
         F.when(F.col("_drop").isNull(), F.lit(0)).otherwise(n - F.size("_lines")).cast("long").alias("n_dropped"),
     )
+    return changed.unionByName(untouched.select(*docs.columns, text_of().alias("kept_text"), n.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")))
 
 
 def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,8 +291,8 @@ def test_lines_by_hand(spark):
     pool = [f"  A common Line number {n} with É and enough characters in it\t" for n in range(12)] + ["short", "", "x" * 39, "Y" * 40]
     rows = [(k, "\n".join(rng.choices(pool, k=rng.randint(0, 9)))) for k in range(60)] + [(60, None), (61, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for batches, fanout in ((1, 2), (6, 2), (5, 4)):
-        got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in lines.dedup_lines(docs, batches=batches, fanout=fanout).collect()}
+    for batches in (1, 5, 6):
+        got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in lines.dedup_lines(docs, batches=batches).collect()}
         assert got == brute_lines(rows)
 
 
@@ -305,14 +305,51 @@ def test_lines_count_documents_not_rows(spark):
 
 
 def test_runs_are_levelled(spark):
-    index = lines.LineRuns(Scratch(spark), fanout=2)
-    batches = [spark.createDataFrame([(10 * b + k, k, k) for k in range(b, b + 3)], "doc_id long, h1 long, h2 long") for b in range(5)]
+    """Batches from the largest ids down; hash 0 is in all of them and settled after the second."""
+    index = lines.LineRuns(Scratch(spark), enough=2)
+    batches = [spark.createDataFrame([(100 - 10 * b - k, k, k) for k in (0, b + 1, b + 2)], "doc_id long, h1 long, h2 long") for b in range(5)]
     for n, batch in enumerate(batches):
-        assert index.unseen(batch).count() == (3 if n == 0 else 1)
+        assert {r.h1 for r in index.unsettled(batch.select("h1", "h2")).collect()} == ({0, n + 1, n + 2} if n < 2 else {n + 1, n + 2})
         index.add(batch)
     assert {level: len(runs) for level, runs in index.levels.items() if runs} == {0: 1, 2: 1}
-    index.compact()
-    assert {r.h1: (r.docs, r.newest) for r in index.entries().collect()} == {k: (len(b := [b for b in range(5) if b <= k < b + 3]), max(10 * x + k for x in b)) for k in range(7)}
+    assert {(r.h1, r.newest) for r in index.common().collect()} == {(0, 100)} | {(k, 100 - 10 * (k - 2) - k) for k in range(2, 6)}
+
+
+def test_runs_are_merged_in_place(spark):
+    """Neither merges nor anti-joins shuffle or sort the runs."""
+    index = lines.LineRuns(Scratch(spark))
+    for b in range(3):
+        index.add(spark.range(50).selectExpr(f"{100 * (9 - b)} + id AS doc_id", "xxhash64(id) AS h1", "xxhash64(1, id) AS h2"))
+    with lines._sorted_scans(spark):
+        merged = lines.merged(*index._runs())._jdf.queryExecution().executedPlan().toString()
+        fresh = index.unsettled(index._runs()[0])._jdf.queryExecution().executedPlan().toString()
+    for plan, kind in ((merged, "FullOuter"), (fresh, "LeftAnti")):
+        assert "Exchange" not in plan and "Sort " not in plan and "SortMergeJoin" in plan and kind in plan
+
+
+def test_only_marked_documents_are_shuffled(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(500)] + [(None, "x")] * 3, "doc_id long, text string")
+    some, untouched = lines.split_by_marks(docs, lines.marks_of(spark.createDataFrame([(7,), (499,)], "doc_id long")))
+    assert sorted(r.doc_id for r in some.collect()) == [7, 499] and untouched.count() == 501
+
+
+def test_lines_with_repeated_and_null_ids(spark):
+    """Brute force over ids that repeat and are missing; a null or repeated id is no further document."""
+    rng = random.Random(9)
+    pool = [f"line number {n} of a pool, long enough to be counted" for n in range(8)]
+    rows = [(rng.choice([None, *range(9)]), "\n".join(rng.choices(pool, k=rng.randint(0, 4)))) for _ in range(60)]
+    rows += [(6, pool[0])] * 4 + [(5, pool[0])]
+    holders = collections.defaultdict(set)
+    for i, text in rows:
+        for x in text.split("\n"):
+            if len(x) >= 40 and i is not None:
+                holders[x].add(i)
+    gone = lambda i, x: i is not None and len(holders[x]) >= 5 and max(holders[x]) != i
+    want = [(i, sum(gone(i, x) for x in t.split("\n")), "\n".join(x for x in t.split("\n") if not gone(i, x))) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for batches in (None, 1, 3):
+        got = [(r.doc_id, r.n_dropped, r.kept_text) for r in lines.dedup_lines(docs, batches=batches).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
 # 6 ------------------------------------------------------------------------------------------------
