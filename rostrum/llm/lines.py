@@ -173,7 +173,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     drops = line_drops(docs, scratch, min_chars, min_docs, batches)
     marks = scratch.save(marks_of(drops.select("doc_id")), "marks")
     some, untouched = split_by_marks(docs, marks)
-    drops = drops.withColumnRenamed("drop", "_drop").withColumnRenamed("doc_id", "_doc_id")
+    drops = drops.withColumnRenamed("drop", "_drop").withColumnRenamed("doc_id", "_doc_id").hint("merge")  # one way at every size
     joined = some.join(drops, some["doc_id"] == drops["_doc_id"], "left").drop("_doc_id")
     lines = F.split(text_of(), "\n", -1)
     n = F.size(lines).cast("long")
