@@ -138,5 +138,18 @@ def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     return counts.where(step >= least) if least is not None else counts.limit(0)
 
 
+def numbered(rows: DataFrame, scratch: Scratch, name: str, run: int = 1 << 16) -> DataFrame:
+    """rows with nth: 0, 1, ... among the rows that are equal in all columns, however they are dealt.
+
+    Equal rows are counted before the shuffle and dealt out again by `run`, so a row that makes
+    up a third of the table is spread like all others.
+    """
+    counted = scratch.save(rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")), name)
+    few = counted.where(F.col("_n") <= run).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    runs = counted.where(F.col("_n") > run).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(run).cast("long"))))
+    many = runs.repartition("_from", *rows.columns).withColumn("nth", F.explode(F.sequence("_from", F.least(F.col("_from") + run, F.col("_n")) - 1)))
+    return few.select(*rows.columns, "nth").unionByName(many.select(*rows.columns, "nth"))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

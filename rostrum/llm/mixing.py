@@ -11,13 +11,15 @@ the last two or so by the word constraint alone, then by a draw.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Scratch, documents, word_count
+from .common import Scratch, documents, numbered, word_count
 
 _EPS = 1e-9
 
@@ -104,7 +106,7 @@ def land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarra
 
 def _blocks(seed: int, last: bool):  # noqa: ANN202
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["draw", "doc_id", "size"], kind="stable", ignore_index=True)
+        rows = rows.sort_values(["draw", "doc_id", "size", "nth"], kind="stable", ignore_index=True)
         rng = np.random.default_rng([seed, int(key[0]) & 0xFFFFFFFF, int(key[1]) & 0xFFFFFFFF])
         size = rows["size"].to_numpy(np.float64)
         p, _ = flight(rows["p"].to_numpy(np.float64), np.stack([size, np.ones(len(size))]), rng)
@@ -115,14 +117,14 @@ def _blocks(seed: int, last: bool):  # noqa: ANN202
 
 
 def balanced_sample(rows: DataFrame, seed: int = 1, block: int = 1024, scratch: Scratch | None = None) -> list[DataFrame]:
-    """rows (doc_id, stratum long, size, p, ...) with p at 0 or 1, as disjoint tables.
+    """rows (doc_id, size, nth, stratum long, p, ...) with p at 0 or 1, as disjoint tables.
 
     In each stratum the sums of p * size and of p are kept up to the landing of a few units.
     """
     spark = rows.sparkSession
     scratch = scratch or Scratch(spark)
     done, k = [], 0
-    rows = rows.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id"))
+    rows = rows.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "size", "nth"))
     now = scratch.save(rows, "cube-0")
     while True:
         fractional = now.where((F.col("p") > _EPS) & (F.col("p") < 1 - _EPS))
@@ -137,48 +139,52 @@ def balanced_sample(rows: DataFrame, seed: int = 1, block: int = 1024, scratch:
         now = scratch.save(moved, f"cube-{k}")
 
 
-def mix_sources(docs: DataFrame, weights: list[float] | None = None, most: float = 3.0, seed: int = 1, block: int = 1024, scratch: Scratch | None = None) -> DataFrame:
-    """(doc_id, size, source, source_size, target, copies, taken), one row for each row of docs.
-
-    size is the text's number of words, taken the words that the mix takes: copies * size.
-    Documents without words are taken as the others are and add nothing. A null source is a
-    source of its own, the last. Rows with equal ids and texts share their fate's draw but are
-    decided one by one. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    scratch = scratch or Scratch(spark)
-    sized = scratch.save(docs.select("doc_id", word_count(F.col("text")).alias("size"), F.col("source").cast("string").alias("source")), "sized")
+def mix_sized(sized: DataFrame, weights: list[float] | None, most: float, seed: int, block: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, size, source, nth, source_size, target, copies) of distinct rows (doc_id, size, source, nth)."""
+    sized = scratch.save(sized, "sized")
     targets = scratch.save(source_targets(sized, weights, most), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     by = sized.alias("s").join(targets.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")))
-    by = by.select("doc_id", "size", "s.source", "source_size", "target", rate.alias("rate"))
+    by = by.select("doc_id", "size", "s.source", "nth", "source_size", "target", rate.alias("rate"))
     whole = F.floor(F.col("rate") + _EPS)
     rows = by.withColumns({"whole": whole, "p": F.greatest(F.lit(0.0), F.col("rate") - whole), "stratum": F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull())}).drop("rate")
-    parts = balanced_sample(rows, seed, block, scratch)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    copies = F.col("whole") + F.round("p").cast("long")
-    return out.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    out = reduce(DataFrame.unionByName, balanced_sample(rows, seed, block, scratch))
+    return out.select("doc_id", "size", "source", "nth", "source_size", "target", (F.col("whole") + F.round("p").cast("long")).alias("copies"))
+
+
+def mix_sources(docs: DataFrame, weights: list[float] | None = None, most: float = 3.0, seed: int = 1, block: int = 1024, scratch: Scratch | None = None) -> DataFrame:
+    """(doc_id, size, source, source_size, target, copies, taken), one row for each row of docs.
+
+    size is the text's number of words, taken the words that the mix takes: copies * size. A
+    text of any length is one document; those without words (null, empty) are taken as the
+    others are and add nothing. A null source is a source of its own, the last. Each row is
+    decided by itself, also with a null or repeated id: equal rows are numbered, so each has a
+    draw of its own, and the result is the same however the rows are dealt. Other columns are
+    ignored. An empty table gives no rows.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    sized = docs.select("doc_id", word_count(F.col("text")).alias("size"), F.col("source").cast("string").alias("source"))
+    mixed = mix_sized(numbered(sized, scratch, "counted"), weights, most, seed, block, scratch)
+    return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, weights: list[float] | None = None, most: float = 3.0, seed: int = 1, block: int = 1024, scratch: Scratch | None = None) -> DataFrame:
     """docs as the mix takes them: each row as many times as it has copies, with all its columns.
 
-    Rows of one source that share an id (also a null one) are one document here, taken together.
+    Rows of one source that share an id are one document here, of their summed sizes, and taken
+    together; rows without an id are one document for each different text. Else as `mix_sources`.
     """
-    joined = docs.groupBy("doc_id", "source").agg(F.concat_ws("\n", F.collect_list("text")).alias("text")) if _repeats(docs) else docs
-    mixed = mix_sources(joined, weights, most, seed, block, scratch).select("doc_id", "source", "copies").where("copies > 0")
-    taken = docs.alias("d").join(mixed.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")))
+    scratch = scratch or Scratch(docs.sparkSession)
+    unnamed = F.when(F.col("doc_id").isNull(), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(F.lit(0).cast("long"))
+    rows = docs.select("doc_id", word_count(F.col("text")).alias("size"), F.col("source").cast("string").alias("source"), unnamed.alias("nth"))
+    units = rows.groupBy("doc_id", "source", "nth").agg(F.sum("size").alias("size"))
+    mixed = mix_sized(units, weights, most, seed, block, scratch).select("doc_id", "source", "nth", "copies").where("copies > 0")
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source")) & (F.col("d._nth") == F.col("m.nth"))
+    taken = docs.withColumn("_nth", unnamed).alias("d").join(mixed.alias("m"), same)
     taken = taken.select("d.*", F.explode(F.array_repeat(F.lit(0), F.col("m.copies").cast("int"))).alias("_copy"))
     return taken.select([F.col(f"`{c}`") for c in docs.columns])
 
 
-def _repeats(docs: DataFrame) -> bool:
-    """Whether an id occurs on several rows of a source."""
-    return docs.groupBy("doc_id", "source").count().where("count > 1").limit(1).count() > 0
-
-
 def op1_mix_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Scratch, documents, text_of
+from .common import Scratch, documents, numbered, text_of
 
 
 def draw_splitters(rows: DataFrame, total: int, ranges: int, per_range: int) -> list[int]:
@@ -27,7 +27,7 @@ def draw_splitters(rows: DataFrame, total: int, ranges: int, per_range: int) ->
     """
     draws = ranges * per_range
     share = F.col("size") * F.lit(draws / total)
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit("draw"), "doc_id"), 11) / F.lit(float(1 << 53))
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit("draw"), "doc_id", "nth"), 11) / F.lit(float(1 << 53))
     drawn = sorted((r.place, max(1.0, r.share)) for r in rows.where(chance < share).select("place", share.alias("share")).collect())
     if not drawn:
         return []
@@ -54,14 +54,15 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, ranges: int = 512, per_rang
 
     size is the text's UTF-8 bytes plus 1 (null: 1). Shards differ by no more than about one
     record's size from an equal share; slots run from 0 without gaps in each. Equal texts stay
-    together except where a boundary or an overfull range parts them. Rows with the same id
-    and text are kept apart as rows; other columns of docs are ignored. An empty table gives
-    no rows.
+    together except where a boundary or an overfull range parts them. Each row of docs is a
+    record, also with a null or repeated id: equal rows are numbered, so many of them are
+    subdivided like other rows, and reruns agree however the rows are dealt. Texts of any length
+    are one record. Other columns of docs are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     text = text_of()
-    rows = scratch.save(docs.select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("place")), "rows")
+    rows = numbered(docs.select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("place")), scratch, "records")
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
     total = total or 1
     bounds = draw_splitters(rows, total, ranges, per_range)
@@ -70,8 +71,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, ranges: int = 512, per_rang
     # Overfull ranges: over twice the mean, or more rows than one task should sort.
     parts = F.greatest(F.ceil(F.sum("size") * ranges / F.lit(2.0 * total)), F.ceil(F.count("*") / F.lit(cell_rows))).cast("int")
     per = F.broadcast(rows.groupBy("range").agg(parts.alias("parts")))  # a row for each range at most
-    rows = rows.join(per, "range").withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("parts").cast("long")).cast("int"))
-    rows = rows.select("doc_id", "size", "text_crc32", "place", "range", "cell")
+    rows = rows.join(per, "range").withColumn("cell", F.pmod(F.xxhash64("doc_id", "nth"), F.col("parts").cast("long")).cast("int"))
+    rows = rows.select("doc_id", "size", "text_crc32", "place", "nth", "range", "cell")
 
     cells = rows.groupBy("range", "cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     of_range = cells.groupBy("range").agg(F.sum("bytes").alias("range_bytes"), F.sum("n").alias("range_n"))
@@ -80,7 +81,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, ranges: int = 512, per_rang
     inside = W.partitionBy("range").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.join(F.broadcast(of_range), "range").select("range", "cell", *((F.col(f"range_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"{c}_before") for c in ("bytes", "n")))
 
-    order = W.partitionBy("range", "cell").orderBy("place", F.xxhash64("doc_id"), "doc_id", "size", "text_crc32")
+    order = W.partitionBy("range", "cell").orderBy("place", F.xxhash64("doc_id"), "doc_id", "size", "text_crc32", "nth")
     end = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))
     placed = rows.select("*", end.alias("end"), F.row_number().over(order).cast("long").alias("rank")).join(cells, ["range", "cell"])
     shard = F.least(F.lit(shards - 1), F.expr(f"(2 * (bytes_before + end) - size) * {shards} div {2 * total}").cast("int"))
