@@ -25,7 +25,9 @@ TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_TYPE, CODEC_ID = 0x1654AE6B, 0xAE, 0xD7
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
 CLUSTER, CLUSTER_TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
 CUES, CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
-MASTERS = {SEGMENT, INFO, TRACKS, TRACK_ENTRY, AUDIO, CLUSTER, BLOCK_GROUP, CUES, CUE_POINT, CUE_TRACK_POSITIONS, EBML}
+SEEK_HEAD, ATTACHMENTS, CHAPTERS, TAGS = 0x114D9B74, 0x1941A469, 0x1043A770, 0x1254C367
+TOP = {EBML, SEGMENT}
+IN_SEGMENT = {INFO, TRACKS, CLUSTER, CUES, SEEK_HEAD, ATTACHMENTS, CHAPTERS, TAGS}
 NO_LACING, XIPH, FIXED, EBML_LACING = range(4)
 
 #: The writer's choices: samples a second, samples a frame, frames a block, blocks a cluster.
@@ -127,13 +129,32 @@ def elements(data: bytes, begin: int, end: int) -> Iterator[tuple[int, int, int,
         ident = int.from_bytes(data[at : at + width], "big")
         size, more = read_size(data, at + width)
         body = at + width + more
-        stop = end if size < 0 else body + size
+        stop = body + size if size >= 0 else open_end(data, ident, body, end)
         if stop > end:
             raise ValueError(f"element {ident:x} at byte {at} runs past its parent")
         yield ident, at, body, stop
         at = stop
 
 
+def open_end(data: bytes, ident: int, body: int, end: int) -> int:
+    """Where an element of unknown size ends: before the next element that can't be its child. Only segments and clusters may be so."""
+    if ident not in (SEGMENT, CLUSTER):
+        raise ValueError(f"element {ident:x} before byte {body} has no size")
+    beyond = TOP if ident == SEGMENT else TOP | IN_SEGMENT
+    at = body
+    while at < end:
+        if not data[at]:
+            raise ValueError(f"no element id at byte {at}")
+        width = 9 - data[at].bit_length()
+        child = int.from_bytes(data[at : at + width], "big")
+        if child in beyond:
+            return at
+        size, more = read_size(data, at + width)
+        at += width + more
+        at = at + size if size >= 0 else open_end(data, child, at, end)
+    return at
+
+
 def read_laces(data: bytes, at: int, end: int, kind: int) -> list[tuple[int, int]]:
     """(offset, size) of the frames of a block's body."""
     if kind == NO_LACING:
@@ -141,6 +162,8 @@ def read_laces(data: bytes, at: int, end: int, kind: int) -> list[tuple[int, int
     count, at = data[at] + 1, at + 1
     sizes: list[int] = []
     if kind == FIXED:
+        if (end - at) % count:
+            raise ValueError(f"{end - at} bytes at byte {at} are no {count} equal laces")
         sizes = [(end - at) // count] * count
     elif kind == XIPH:
         for _ in range(count - 1):
@@ -229,7 +252,11 @@ def payload_of(text: str | None) -> bytes:
 
 
 def encode_media(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, media): each whole text (null: empty), zero-padded to a positive multiple of 64 bytes, as a file."""
+    """(doc_id, n_bytes, media): each whole text (null: empty), zero-padded to a positive multiple of 64 bytes, as a file.
+
+    One row for each row of docs: repeated rows give equal files, null ids stay null, an empty
+    table gives none. A text of any length is one file. Other columns of docs are ignored.
+    """
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0)
@@ -247,7 +274,9 @@ def _columns(docs: DataFrame) -> DataFrame:
 def packet_table(files: DataFrame) -> DataFrame:
     """A row for each packet of files (doc_id, media): doc_id, packet, the fields of Packet, crc32.
 
-    A null or unreadable file has no packets; see `media_digest` for its error.
+    A null or unreadable file has no packets; see `media_digest` for its error. Files of any
+    number of packets leave in batches of some thousand rows; repeated files give their packets
+    again. Other columns of files are ignored, an empty table gives no rows.
     """
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -256,8 +285,9 @@ def packet_table(files: DataFrame) -> DataFrame:
                 packets = read_matroska(media)[1] if media else []
             except (ValueError, IndexError, KeyError, StructError):
                 packets = []
-            rows = [{"doc_id": doc_id, "packet": k, **p._asdict(), "crc32": zlib.crc32(media[p.offset : p.offset + p.size])} for k, p in enumerate(packets)]
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            for begin in range(0, len(packets), 4096):
+                rows = [{"doc_id": doc_id, "packet": begin + k, **p._asdict(), "crc32": zlib.crc32(media[p.offset : p.offset + p.size])} for k, p in enumerate(packets[begin : begin + 4096])]
+                yield pa.RecordBatch.from_pylist(rows, schema)
 
     schema = pa.schema([("doc_id", pa.int64()), ("packet", pa.int64()), *((n, pa.bool_() if n == "cued" else pa.int64()) for n in Packet._fields), ("crc32", pa.int64())])
     return arrow_map(files.select("doc_id", "media"), each, "doc_id long, packet long, track long, timestamp_ms long, offset long, size long, lacing long, lace long, cluster_offset long, cued boolean, crc32 long")
@@ -266,8 +296,10 @@ def packet_table(files: DataFrame) -> DataFrame:
 def media_digest(files: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, n_packets, last_ms, error).
 
-    The payload is put together from the packets' byte ranges of the stored file. A file that
-    cannot be read has an error and nulls in place of what it would hold.
+    One row for each file that is not null. The payload is put together from the packets' byte
+    ranges of the stored file. A file that cannot be read whole has an error and nulls in place
+    of what it would hold: a reader that loses bytes fails rather than give a shorter payload.
+    Repeated files give equal rows, other columns of files are ignored, an empty table gives no rows.
     """
 
     def one(doc_id: int, n_bytes: int, media: bytes) -> dict:
