@@ -8,10 +8,12 @@ without rule r) are counts over the distinct bitmasks. Only DataFrame functions
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, UPPER, WORD, documents, text_of, word_count
+from .common import SPACES, UPPER, WORD, Scratch, documents, text_of, word_count
 
 SYMBOLS = "#*$%&|<>"
 #: Rule name -> condition of failing, over the measurements. The place in the list is the bit.
@@ -40,16 +42,15 @@ def mask_of(rules: list[str]) -> int:
 def repeat_words(text: Column) -> Column:
     """How many words lie in a 3-word window that occurs twice or more in the text.
 
-    Windows are hashed to 64 bits; the hash's upper bits and the position are packed into one
-    long, so sorting longs brings equal windows together. Neighbours that agree in the packed
-    bits are confirmed by the full hash.
+    Windows are hashed to 64 bits; sorting (hash, position) brings equal windows together, in
+    texts of any length.
     """
     words = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
 
     def of_words(w: Column) -> Column:
         n = F.size(w) - 2
         hashes = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-        return F.when(n < 2, F.lit(0)).otherwise(_let(hashes, lambda h: _let(_packed(h), lambda p: _covered(h, p))))
+        return F.when(n < 2, F.lit(0)).otherwise(_let(_sorted_windows(hashes), _covered))
 
     return _let(words, of_words).cast("long")
 
@@ -59,31 +60,27 @@ def _let(value: Column, body) -> Column:  # noqa: ANN001
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-#: Bits for a position: texts of up to 2**24 words; the rest of the long is the hash.
-_PLACE = 24
-
-
-def _packed(h: Column) -> Column:
-    low = F.lit((1 << _PLACE) - 1).cast("long")
-    return F.sort_array(F.transform(h, lambda x, i: F.bitwise_not(low).bitwiseAND(x).bitwiseOR(i.cast("long"))))
+def _sorted_windows(hashes: Column) -> Column:
+    return F.sort_array(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
 
-def _covered(h: Column, p: Column) -> Column:
-    low = F.lit((1 << _PLACE) - 1).cast("long")
+def _covered(p: Column) -> Column:
+    """The number of words in windows whose hash a neighbour in the sorted array has too."""
 
-    def same(a: Column, b: Column) -> Column:
-        near = F.shiftright(a, _PLACE) == F.shiftright(b, _PLACE)
-        return F.coalesce(near & (F.get(h, a.bitwiseAND(low).cast("int")) == F.get(h, b.bitwiseAND(low).cast("int"))), F.lit(False))
+    def same(x: Column, y: Column) -> Column:
+        return F.coalesce(x["h"] == y["h"], F.lit(False))
 
     found = F.filter(p, lambda x, i: same(x, F.get(p, i + 1)) | (F.when(i > 0, same(x, F.get(p, i - 1))).otherwise(F.lit(False))))
-    places = F.sort_array(F.transform(found, lambda x: x.bitwiseAND(low).cast("int")))
+    places = F.sort_array(F.transform(found, lambda x: x["i"]))
     return _let(places, lambda q: F.aggregate(q, F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")), lambda acc, x: F.struct(x.alias("last"), (acc["n"] + F.least(F.lit(3), x - acc["last"])).alias("n")), lambda acc: acc["n"]))
 
 
 def ledger(docs: DataFrame) -> DataFrame:
     """(doc_id, measurements, fail_bits), one row for each row of docs.
 
-    A null text has no words and one line. Other columns of docs are ignored.
+    A null or empty text has no words and one line. Rows are judged one by one: repeated rows
+    and null ids get rows of their own, an empty table none. Texts are measured whole, whatever
+    their length (one row's words are an array in memory). Other columns of docs are ignored.
     """
     text = text_of()
     has_word = lambda line: F.length(F.btrim(line, F.lit(SPACES))) > 0
@@ -132,9 +129,21 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits", "policy")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy costs, from the ledger's bits alone."""
+    return ablations(ledger(documents(spark, sf_dir)))
+
+
+def quality_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, policy, kept) of every version, applied to one ledger."""
+    rows = Scratch(spark).save(ledger(documents(spark, sf_dir)).select("doc_id", "fail_bits"), "ledger")
+    verdicts = [apply_policy(rows, version).select("doc_id", "policy", "kept") for version in POLICIES]
+    return reduce(DataFrame.unionByName, verdicts)
+
+
 _BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, (_, rule) in enumerate(RULES))
-_SQL = rf"""
-WITH base AS (
+_LEDGER = rf"""
+base AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), win AS (
   SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c
@@ -152,8 +161,24 @@ WITH base AS (
 ), e AS (
   SELECT *, (len(f) - len(list_distinct(f)))::BIGINT AS n_dup_lines FROM d
 ), l AS (SELECT *, ({_BITS})::INTEGER AS fail_bits FROM e)
+"""
+_SQL = f"""
+WITH {_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & {mask_of(POLICIES["base"])}) <> 0 AS base_failed,
   (fail_bits & {mask_of(POLICIES["v2"]) | mask_of(POLICIES["base"])}) = 0 AS kept, fail_bits, 'v2' AS policy
 FROM l
 """
-QUERIES, ORACLE = {"op10_quality_ledger": op10_quality_ledger}, {"op10_quality_ledger": _SQL}
+_POLICY_ROWS = ", ".join(f"('{v}', '{r}', {mask_of(rules)}, {1 << BIT[r]})" for v, rules in POLICIES.items() for r in rules)
+_ABLATIONS_SQL = f"""
+WITH {_LEDGER}
+SELECT policy, rule, count(*) FILTER (fail_bits & mask = 0) AS kept, count(*) FILTER (fail_bits & mask & ~bit = 0) AS kept_without,
+  count(*) FILTER (fail_bits & mask = bit) AS dropped_only_by
+FROM l, (VALUES {_POLICY_ROWS}) AS p(policy, rule, mask, bit) GROUP BY policy, rule
+"""
+_POLICIES_SQL = f"""
+WITH {_LEDGER}
+SELECT doc_id, policy, (fail_bits & mask) = 0 AS kept
+FROM l, (VALUES {", ".join(f"('{v}', {mask_of(rules) | mask_of(POLICIES['base'])})" for v, rules in POLICIES.items())}) AS p(policy, mask)
+"""
+QUERIES = {"op10_quality_ledger": op10_quality_ledger, "quality_ablations": quality_ablations, "quality_policies": quality_policies}
+ORACLE = {"op10_quality_ledger": _SQL, "quality_ablations": _ABLATIONS_SQL, "quality_policies": _POLICIES_SQL}
