@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import arrow_map, documents
+from .common import Scratch, arrow_map, documents
 
 #: A tokenizer file: a path, or a name that the installed package of public tokenizers resolves.
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -28,7 +28,12 @@ def _encoding(name: str):  # noqa: ANN202
 
 
 def encoded_lengths(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, n_tokens) of every whole text; null has none."""
+    """(doc_id, n_tokens) of every whole text, one row for each row of docs.
+
+    A null or empty text has no tokens. Repeated rows and null ids keep rows of their own; texts
+    of any length are encoded whole, one at a time; other columns are ignored; an empty table
+    gives no rows.
+    """
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         encode = _encoding(tokenizer).encode_ordinary
@@ -38,15 +43,19 @@ def encoded_lengths(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), each, "doc_id long, n_tokens long")
 
 
-def length_histogram(lengths: DataFrame, block: int = 1024) -> DataFrame:
+def length_histogram(lengths: DataFrame, block: int = 64, scratch: Scratch | None = None) -> DataFrame:
     """One row for each length that occurs, with the answers for a context limit of that length.
 
     n_tokens, docs (of just that length), tokens (in them); docs_from and tokens_from (suffix
     sums over lengths at least this); truncated_total (tokens left when every document is cut
     to n_tokens); quantile (share of documents of at most this length). The documents are
-    aggregated to lengths first; suffix sums run in blocks of lengths, then over the blocks.
+    aggregated to lengths first, once, into a written table; suffix sums run in blocks of
+    lengths, then over the blocks. Every row counts, also repeated ones and those with a null
+    id; rows with a null n_tokens don't. An empty table gives no rows.
     """
-    hist = lengths.groupBy("n_tokens").agg(F.count("*").alias("docs")).select("n_tokens", "docs", (F.col("n_tokens") * F.col("docs")).alias("tokens"), F.expr(f"n_tokens div {block}").alias("block"))
+    scratch = scratch or Scratch(lengths.sparkSession)
+    hist = scratch.save(lengths.where("n_tokens is not null").groupBy("n_tokens").agg(F.count("*").alias("docs")), "lengths")
+    hist = hist.select("n_tokens", "docs", (F.col("n_tokens") * F.col("docs")).alias("tokens"), F.expr(f"n_tokens div {block}").alias("block"))
     later = W.orderBy(F.col("block").desc()).rowsBetween(W.unboundedPreceding, -1)  # a row for each block of lengths
     blocks = hist.groupBy("block").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
     blocks = blocks.select("block", *(F.coalesce(F.sum(c).over(later), F.lit(0)).alias(f"{c}_later") for c in "dt"), F.sum("d").over(W.partitionBy(F.lit(0))).alias("all_docs"), F.sum("t").over(W.partitionBy(F.lit(0))).alias("all_tokens"))
