@@ -138,7 +138,11 @@ def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TER
     """Counts terms by label, picks the inputs and fits the machine, all on the same labelled rows.
 
     Term counts are summed in each task before they are shuffled; what the driver gets is
-    n_terms hashes and the known terms of about fit_rows rows.
+    n_terms hashes and the known terms of about fit_rows rows. Labels with a null id or a null
+    toxic are left out; of several labels of an id the largest holds, and each row of docs with
+    that id is learned from. Terms of equal strength are taken in the order of their hashes.
+    Without labels or documents the machine has no terms and scores every text alike. Other
+    columns of docs and labels are ignored.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +181,12 @@ def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TER
 
 
 def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
-    """(doc_id, score) of every whole text; a null or empty text has the score of no terms."""
+    """(doc_id, score) of every whole text, one row for each row of docs.
+
+    A null or empty text has the score of no terms. The score depends on the text alone, so
+    repeated rows and rows without an id are scored like all others; long texts are scored
+    whole. Other columns are ignored, an empty table gives no rows.
+    """
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(machine.scores(batch.column(1)), pa.float64())], ["doc_id", "score"])
@@ -186,7 +195,10 @@ def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs whose text scores below the threshold, with all their columns."""
+    """The rows of docs whose text scores below the threshold, with all their columns.
+
+    Null and empty texts, repeated rows and null ids are treated as by `score_toxicity`.
+    """
     where = docs.columns.index("text")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -196,7 +208,8 @@ def drop_toxic(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD)
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """Whether crc32 of the id as text leaves 2 modulo 4; a null id has no label to hold out: false."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
