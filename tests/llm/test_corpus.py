@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostrum.llm import jaccard_join, lines, masked_lm, matroska, mixing, pieces, quality, sharding, token_counts, toxicity
-from rostrum.llm.common import Scratch
+from rostrum.llm.common import Scratch, numbered
 from rostrum.llm.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -101,6 +101,18 @@ def test_mix_on_documents(spark):
     assert abs(by.taken.sum() / got["size"].sum() - 1) < 0.05
 
 
+def test_mix_of_repeated_and_null_ids(spark):
+    """Equal rows are decided one by one in mix_sources, by summed sizes in mix_documents."""
+    rows = [(None, "one two three", "a")] * 90 + [(5, "one two", "a")] * 90 + [(k, "w " * (k % 7), "b") for k in range(10, 100)] + [(None, "other", "b"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got, again = (sorted(map(str, mixing.mix_sources(d, block=16).collect())) for d in (docs, docs.repartition(5)))
+    assert got == again and len(got) == len(rows)
+    by = mixing.mix_sources(docs, block=16).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("most")).where("source is not null")
+    assert all(abs(r.taken - r.target) <= r.most for r in by.collect())
+    copies = collections.Counter((r.doc_id, r.text, r.source) for r in mixing.mix_documents(docs).collect())
+    assert all(n % 90 == 0 for (i, t, _), n in copies.items() if i == 5 or t == "one two three")
+
+
 def test_flight_keeps_both_totals():
     rng = np.random.default_rng(3)
     size, p = rng.integers(1, 500, 400).astype(float), rng.random(400)
@@ -197,6 +209,61 @@ def test_laces(kind):
         assert [n for _, n in matroska.read_laces(data, 0, len(data), kind)] == sizes
 
 
+def _frames(data, at, end):
+    """Packets by a plain recursive walk over written files of known sizes."""
+    out = []
+    while at < end:
+        width = 9 - data[at].bit_length()
+        ident = data[at : at + width]
+        more = 9 - data[at + width].bit_length()
+        size = int.from_bytes(data[at + width : at + width + more], "big") - (1 << 7 * more)
+        at += width + more
+        if ident in (b"\x18\x53\x80\x67", b"\x1f\x43\xb6\x75"):
+            out += _frames(data, at, at + size)
+        elif ident == b"\xa3":
+            out.append(data[at : at + size])
+        at += size
+    return out
+
+
+@pytest.mark.parametrize("open_segment", [False, True])
+def test_clusters_of_unknown_size(open_segment):
+    """Live files leave the sizes of clusters, and of the segment, open; all bytes are read."""
+    payload = random.Random(3).randbytes(102_400)
+    media = bytearray(matroska.write_matroska(payload))
+    for name in (b"\x1f\x43\xb6\x75", *([b"\x18\x53\x80\x67"] if open_segment else [])):
+        at = media.find(name)
+        while at >= 0:
+            width = 9 - media[at + 4].bit_length()
+            media[at + 4 : at + 4 + width] = ((1 << 7 * width) - 1 | 1 << 7 * width).to_bytes(width, "big")
+            at = media.find(name, at + 4)
+    tracks, packets = matroska.read_matroska(bytes(media))
+    assert b"".join(media[p.offset : p.offset + p.size] for p in packets) == payload
+    assert len({p.cluster_offset for p in packets}) == 2 and all(p.cued for p in packets) and tracks[1]["bits"] == 8
+
+
+def test_no_bytes_are_lost_in_silence():
+    with pytest.raises(ValueError, match="equal laces"):
+        matroska.read_laces(b"\1" + bytes(11), 0, 12, matroska.FIXED)
+    block = matroska._element(matroska.BLOCK_GROUP, b"").replace(b"\x80", b"\xff")
+    with pytest.raises(ValueError, match="no size"):
+        list(matroska.elements(block, 0, len(block)))
+
+
+def test_packet_table_row_by_row(spark):
+    files = {k: matroska.write_matroska(random.Random(k).randbytes(n)) for k, n in enumerate((64, 3264, 51_264, 60_032))}
+    got = matroska.packet_table(spark.createDataFrame([(k, bytearray(m)) for k, m in files.items()] + [(9, None)], "doc_id long, media binary")).collect()
+    for k, media in files.items():
+        own = sorted((r for r in got if r.doc_id == k), key=lambda r: r.packet)
+        blocks = _frames(media, 0, len(media))
+        assert [r.packet for r in own] == list(range(len(own))) and sum(r.lace == 0 for r in own) == len(blocks)
+        for r in own:
+            assert r.crc32 == zlib.crc32(media[r.offset : r.offset + r.size]) and r.track == 1 and r.cued
+            assert media[r.cluster_offset : r.cluster_offset + 4] == b"\x1f\x43\xb6\x75" and r.timestamp_ms == r.packet // matroska.LACED * matroska.LACED * matroska.FRAME * 1000 // matroska.RATE
+        assert b"".join(media[r.offset : r.offset + r.size] for r in own) == random.Random(k).randbytes((64, 3264, 51_264, 60_032)[k])
+    assert {r.doc_id for r in got} == set(files)
+
+
 def test_damaged_media(spark):
     media = matroska.write_matroska(bytes(range(64)) * 20)
     files = spark.createDataFrame([(1, 5, bytearray(media)), (2, 5, bytearray(media[:-3])), (3, 5, bytearray(b"\x00\x01")), (4, 5, None), (5, 5, bytearray(b""))], "doc_id long, n_bytes long, media binary")
@@ -366,6 +433,32 @@ def test_pairs_are_learned():
     assert ((score > 0.5) == (label == 1)).mean() > 0.95
 
 
+def test_score_is_the_sum_over_pairs():
+    rng = np.random.default_rng(5)
+    m = toxicity.Machine(np.arange(12, dtype=np.uint64), 0.3, rng.normal(size=12), rng.normal(size=(12, 4)))
+    x = rng.random((20, 12)) < 0.4
+    owner, term = np.nonzero(x)
+    want = [m.w0 + m.w[t].sum() + sum(m.v[a] @ m.v[b] for n, a in enumerate(t) for b in t[:n]) for t in map(np.flatnonzero, x)]
+    assert toxicity._raw(m, term, owner, 20) == pytest.approx(want)
+
+
+def test_scores_from_texts(spark, odd):
+    """Each row's score is that of its distinct terms; a null id is not held out."""
+    texts = ["ab abc abcd", "zz Zz zz", "", None, "abcd abcd zz 😀 zz" + " x" * 50_000, "éa"]
+    at, owner = toxicity.distinct_terms(*(np.frombuffer("abcd zz".encode(), np.uint8), np.array([0, 7])))
+    terms = np.unique(at)
+    rng = np.random.default_rng(6)
+    m = toxicity.Machine(terms, -0.2, rng.normal(size=len(terms)), rng.normal(size=(len(terms), 2)))
+    place = {int(t): k for k, t in enumerate(terms)}
+    own = lambda word: toxicity.distinct_terms(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word)]))[0]
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), m).collect()}
+    for k, text in enumerate(texts):
+        hit = sorted({place[int(h)] for w in re.findall("[a-z]+", (text or "").lower()) for h in own(w) if int(h) in place})
+        raw = m.w0 + sum(m.w[t] for t in hit) + sum(m.v[a] @ m.v[b] for n, a in enumerate(hit) for b in hit[:n])
+        assert got[k] == pytest.approx(1 / (1 + np.exp(-raw)))
+    assert not odd.select(toxicity.held_out(F.col("doc_id")).alias("h")).where("h is null").count()
+
+
 def test_held_out_toxicity(spark):
     folder = "/root/testdata/sf0.1"
     got = QUERIES["op6_toxicity_fm"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").toPandas()
@@ -439,6 +532,26 @@ def test_shards(spark):
     check_shards(rows, sharding.shard_by_bytes(docs, 5, ranges=64, cell_rows=50).collect(), 5)
 
 
+def test_many_equal_records(spark):
+    """Repeated and null ids, a third of all rows: dealt to several cells, whole, the same on a rerun."""
+    rows = [(None, "hot")] * 150 + [(7, "other")] * 150 + [(k, f"text {k} " * (k % 9)) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_by_bytes(docs, 4, ranges=8, cell_rows=20).collect()
+    again = sharding.shard_by_bytes(docs.repartition(7), 4, ranges=8, cell_rows=20).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again)) and len(got) == len(rows)
+    for shard in range(4):
+        own = [r for r in got if r.shard == shard]
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        assert abs(sum(r.size for r in own) - sum(r.size for r in got) / 4) <= max(r.size for r in got)
+
+
+@pytest.mark.parametrize("run", [3, 1000])
+def test_equal_rows_are_numbered(spark, run):
+    rows = [(1, "a")] * 7 + [(None, "a")] * 4 + [(2, None)]
+    got = numbered(spark.createDataFrame(rows, "doc_id long, source string"), Scratch(spark), "n", run).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr((i, s, k)) for (i, s), n in collections.Counter(rows).items() for k in range(n))
+
+
 def test_range_search(spark):
     bounds = [-5, 0, 3, 9]
     rows = spark.createDataFrame([(x,) for x in range(-8, 13)], "place long")
@@ -503,6 +616,14 @@ def test_clean_documents_stay(spark):
     assert good.where("not base_failed and not kept").count() == 0
 
 
+def test_repeats_in_long_texts(spark):
+    """Repeated windows far apart, beyond 2**16 words, and few repeats among very many windows."""
+    middle = [f"w{n}" for n in range(120_000)]
+    texts = [" ".join(["a", "b", "c", *middle, "a", "b", "c"]), " ".join(middle), " ".join(["x"] * 70_000)]
+    got = {r.doc_id: r.n_repeat_words for r in quality.ledger(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: 6, 1: 0, 2: 70_000}
+
+
 # Pipeline -----------------------------------------------------------------------------------------
 
 
