@@ -15,10 +15,14 @@ many documents gets a tree of several leaves by size band and hash, and only pai
 whose corners allow the overlap are opened.
 
 Equal sets are joined as classes first, whatever their number; links are found between class
-representatives. A leaf's candidates leave it as a star for each of its components, those of
-two leaves as a link for each two components, and the verification of a cluster skips pairs
-that are connected already, so a group of near copies costs rows in proportion to its
-documents.
+representatives. In large trees each document is first verified against one centre, the least
+id of its tree and size band. Those that link to it are connected and need not meet each
+other, so of a large group of near copies only the leftovers are compared with the rest: the
+cost of a group grows with its documents and its leftovers, not with its pairs. A leaf's
+candidates leave it as a star for each of its components, those of two leaves as a link for
+each two components, and the verification of a cluster skips pairs that are connected already.
+
+The operator returns components. It does not list links, nor count those of a document.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from .common import Scratch, arrow_map, documents, fold_table, mix, most_frequen
 #: Counts of unrelated sets then differ by more in sum than similar sets may.
 GROUP_SHINGLES, LEAST_BITS, MOST_BITS = 16, 5, 13
 #: Documents in a leaf; documents and shingles in a tile of a cluster.
-LEAF, TILE_DOCS, TILE_SHINGLES = 128, 4096, 1 << 22
+LEAF, TILE_DOCS, TILE_SHINGLES = 128, 512, 1 << 20
 #: Shingles that are put last in the order: the most frequent ones, at most so many.
 FREQUENT, LAST = 64, 1 << 16
 _APART, _FOLD = separators(), fold_table()
@@ -193,10 +197,11 @@ def near_places(vectors: list[np.ndarray], n: np.ndarray, percent: int) -> Itera
 
 
 class _Labels:
-    """Components of a tile's places, each named by its least place."""
+    """Components of a tile's places, each named by its least place. Places of one label are connected from the start."""
 
-    def __init__(self, n: int) -> None:
-        self.of = np.arange(n)
+    def __init__(self, labels: list[int]) -> None:
+        self.of = np.unique(np.array(labels, np.int64), return_index=True, return_inverse=True)
+        self.of = self.of[1][self.of[2].ravel()] if labels else np.zeros(0, np.int64)
 
     def join(self, places: np.ndarray, i: int) -> None:
         own = np.append(self.of[places], self.of[i])
@@ -211,7 +216,7 @@ class _Labels:
 
 
 def _open(left: list, right: list | None, percent: int) -> list[tuple[int, int]]:
-    """Candidate links in one leaf, or between two, of (doc_id, n, point) entries.
+    """Candidate links in one leaf, or between two, of (doc_id, n, point, label) entries of different labels.
 
     One leaf gives a star for each of its components, two leaves give a link for each pair of
     their components that it takes to join them.
@@ -221,7 +226,7 @@ def _open(left: list, right: list | None, percent: int) -> list[tuple[int, int]]
     order = np.argsort(n, kind="stable")
     side, n = (np.arange(len(rows)) < len(left))[order], n[order]
     ids = [rows[i]["doc_id"] for i in order]
-    labels, across = _Labels(len(rows)), []
+    labels, across = _Labels([rows[i]["label"] for i in order]), []
     for i, found in near_places([unpack_counts(rows[i]["point"]) for i in order], n, percent):
         own = found[(side[found] == side[i]) & (labels.of[found] != labels.of[i])]
         if len(own):
@@ -238,38 +243,90 @@ def _open(left: list, right: list | None, percent: int) -> list[tuple[int, int]]
     return links
 
 
-def candidates(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """(a, b): links that connect all pairs which the trees can't refute."""
-    entries = reps.select(F.explode("prefix").alias("t"), "doc_id")
+def _trees(reps: DataFrame, scratch: Scratch) -> DataFrame:
+    """(t, doc_id, n, c, band): the documents of each tree, a shingle that c > 1 prefixes hold."""
+    entries = reps.select(F.explode("prefix").alias("t"), "doc_id", "n")
     shared = entries.groupBy("t").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "doc_id")).alias("y"))
     # Shingles with the same documents would make the same tree; one of them is kept.
     trees = scratch.save(shared.where("c > 1").groupBy("c", "x", "y").agg(F.min("t").alias("t")).select("t", "c"), "trees")
-    members = entries.join(trees, "t").join(reps.select("doc_id", "n", "point"), "doc_id")
+    return entries.join(trees, "t")
 
-    # A leaf is a whole tree, or in a large one a size band's part by hash.
+
+def centre_links(docs: DataFrame, large: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): true links of documents in large trees (t, band, doc_id) to a centre, one for each document.
+
+    The centre is the least id of a tree's size band, for a document in several trees the one it
+    meets most often. Documents of a centre are dealt to parts, each with the centre's text.
+    """
+    least = large.groupBy("t", "band").agg(F.min("doc_id").alias("centre"))
+    met = large.join(least, ["t", "band"]).where("doc_id <> centre").groupBy("doc_id", "centre").count()
+    pairs = scratch.save(met.groupBy("doc_id").agg(F.max_by("centre", F.struct("count", -F.col("centre"))).alias("centre")), "centred")
+    parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / F.lit(float(TILE_DOCS))).cast("int").alias("parts"))
+    dealt = pairs.join(parts, "centre").select("centre", F.pmod(F.xxhash64("doc_id"), F.col("parts").cast("long")).cast("int").alias("part"), "doc_id")
+    copies = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("centre").alias("doc_id"))
+    rows = docs.join(dealt.unionByName(copies), "doc_id").select("centre", "part", (F.col("doc_id") != F.col("centre")).alias("other"), "doc_id", "text")
+    rows = rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "other")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = np.zeros(0, np.uint64)
+        for batch in batches:
+            links = []
+            ids = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            for (a, other, b), own in zip(ids, shingle_sets(batch.column(4), k), strict=True):
+                if not other:
+                    centre = own
+                elif similar(centre, own, percent):
+                    links.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+
+    return scratch.save(rows.mapInArrow(run, "a long, b long"), "centre-links")
+
+
+def candidates(trees: DataFrame, reps: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): links that connect all pairs of different labels which the trees can't refute.
+
+    trees: (t, doc_id, n, c, band); labels: (doc_id, label) of those known to be connected.
+    """
+    members = trees.join(reps.select("doc_id", "point"), "doc_id").join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    members = scratch.save(members.select("t", "c", "doc_id", "n", "point", "band", "label"), "members")
+    # Trees whose documents are all connected have nothing to find.
+    mixed = members.groupBy("t").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("t")
+    members = members.join(mixed, "t", "left_semi")
     large = F.col("c") > LEAF
-    band = F.when(large, F.floor(F.log("n") / F.lit(np.log(100 / percent)))).otherwise(0).cast("int")
-    members = scratch.save(members.select("t", "c", "doc_id", "n", "point", band.alias("band")), "members")
-    bands = members.where(large).groupBy("t", "band").agg(F.ceil(F.count("*") / F.lit(float(LEAF))).cast("int").alias("leaves"))
+    entry = F.collect_list(F.struct("doc_id", "n", "point", "label"))
+    small = members.where(~large).groupBy("t").agg(entry.alias("left"))
+    small = small.select("left", F.lit(None).cast(small.schema["left"].dataType).alias("right"))
+
+    # In a band of a large tree the documents of the most common label are the core. They have
+    # leaves of their own, before those of the others.
+    sizes = members.where(large).groupBy("t", "band", "label").count()
+    cores = sizes.groupBy("t", "band").agg(F.max_by("label", F.struct("count", "label")).alias("core"), F.max("count").alias("n_core"), F.sum("count").alias("n_all"))
+    leaves_of = lambda n: F.ceil(n / F.lit(float(LEAF))).cast("int")
+    bands = cores.select("t", "band", "core", leaves_of(F.col("n_core")).alias("core_leaves"), leaves_of(F.col("n_all") - F.col("n_core")).alias("other_leaves"))
     bands = scratch.save(bands, "bands")
-    entry = F.collect_list(F.struct("doc_id", "n", "point"))
-    small = members.where(~large).groupBy("t").agg(entry.alias("left")).select("left", F.lit(None).cast("array<struct<doc_id:bigint,n:bigint,point:binary>>").alias("right"))
-    dealt = members.where(large).join(bands, ["t", "band"]).withColumn("leaf", F.pmod(F.xxhash64("doc_id"), F.col("leaves").cast("long")).cast("int"))
-    leaves = scratch.save(dealt.groupBy("t", "band", "leaf").agg(entry.alias("rows"), F.max("leaves").alias("leaves")), "leaves")
-
-    # Leaf pairs: with itself, and with later leaves of its band and of the next.
-    nxt = bands.select("t", (F.col("band") - 1).alias("band"), F.col("leaves").alias("more"))
-    own = leaves.join(nxt, ["t", "band"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
-    later = F.filter(F.sequence(F.lit(0), F.col("leaves") - 1), lambda j: j > F.col("leaf"))
-    ahead = F.filter(F.sequence(F.lit(0), F.col("more")), lambda j: j < F.col("more"))
+    dealt = members.where(large).join(bands, ["t", "band"])
+    is_core = F.col("label") == F.col("core")
+    hashed = F.xxhash64("doc_id")
+    leaf = F.when(is_core, F.pmod(hashed, F.col("core_leaves").cast("long"))).otherwise(F.col("core_leaves") + F.pmod(hashed, F.greatest(F.col("other_leaves"), F.lit(1)).cast("long")))
+    leaves = scratch.save(dealt.withColumn("leaf", leaf.cast("int")).groupBy("t", "band", "leaf").agg(entry.alias("rows")), "leaves")
+
+    # Leaf pairs: others with themselves, with later others and with the core of their band, and
+    # with the next band's leaves; cores meet only where their labels differ.
+    nxt = bands.select("t", (F.col("band") - 1).alias("band"), F.col("core").alias("core2"), F.col("core_leaves").alias("core2_leaves"), (F.col("core_leaves") + F.col("other_leaves")).alias("all2"))
+    own = leaves.select("t", "band", "leaf").join(bands, ["t", "band"]).join(nxt, ["t", "band"], "left")
+    in_core = F.col("leaf") < F.col("core_leaves")
+    end = F.col("core_leaves") + F.col("other_leaves")
+    upto = lambda a, b: F.filter(F.sequence(a, F.greatest(a, b)), lambda j: j < b)
+    same = upto(F.when(in_core, F.col("core_leaves")).otherwise(F.col("leaf") + 1), end)
+    ahead = upto(F.when(in_core & (F.col("core") == F.col("core2")), F.col("core2_leaves")).otherwise(0), F.coalesce("all2", F.lit(0)))
     partner = F.concat(
-        F.array(F.struct(F.col("band").alias("band2"), F.lit(-1).alias("leaf2"))),
-        F.transform(later, lambda j: F.struct(F.col("band").alias("band2"), j.alias("leaf2"))),
+        F.when(in_core, F.array().cast("array<struct<band2:int,leaf2:int>>")).otherwise(F.array(F.struct(F.col("band").alias("band2"), F.lit(-1).alias("leaf2")))),
+        F.transform(same, lambda j: F.struct(F.col("band").alias("band2"), j.alias("leaf2"))),
         F.transform(ahead, lambda j: F.struct((F.col("band") + 1).alias("band2"), j.alias("leaf2"))),
     )
-    pairs = own.select("t", F.col("rows").alias("left"), F.explode(partner).alias("p")).select("t", "left", "p.band2", "p.leaf2")
+    pairs = own.select("t", "band", "leaf", F.explode(partner).alias("p")).select("t", "band", "leaf", "p.band2", "p.leaf2")
     other = leaves.select("t", F.col("band").alias("band2"), F.col("leaf").alias("leaf2"), F.col("rows").alias("right"))
-    opened = pairs.join(other, ["t", "band2", "leaf2"], "left").select("left", "right")
+    opened = pairs.join(leaves.withColumnRenamed("rows", "left"), ["t", "band", "leaf"]).join(other, ["t", "band2", "leaf2"], "left").select("left", "right")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for begin in range(0, len(batch), 256):
@@ -286,23 +343,29 @@ def candidates(reps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 # Verification -----------------------------------------------------------------------------------
 
 
-def verify(rows: list[tuple[int, int, np.ndarray]], cross: bool, percent: int) -> list[tuple[int, int]]:
-    """Stars of the true links among (doc_id, side, set); with cross only links between the sides.
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets link."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = _overlap(a, b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
-    Places that are connected already are not compared again.
+
+def verify(rows: list[tuple[int, int, int, np.ndarray]], cross: bool, percent: int) -> list[tuple[int, int]]:
+    """Stars of the true links among (doc_id, side, label, set); with cross only links between the sides.
+
+    Places that are connected already, as those of one label, are not compared again.
     """
-    rows = sorted(rows, key=lambda r: (len(r[2]), r[0]))
-    n = np.array([len(r[2]) for r in rows], np.int64)
+    rows = sorted(rows, key=lambda r: (len(r[3]), r[0]))
+    n = np.array([len(r[3]) for r in rows], np.int64)
     side = np.array([r[1] for r in rows])
-    sets = [r[2] for r in rows]
-    labels = _Labels(len(rows))
+    sets = [r[3] for r in rows]
+    labels = _Labels([r[2] for r in rows])
     for i, found in near_places([count_vector(s) for s in sets], n, percent):
         found = found[side[found] != side[i]] if cross else found
         for j in found.tolist():
-            if labels.of[j] != labels.of[i]:
-                both = _overlap(sets[i], sets[j])
-                if 100 * both >= percent * (int(n[i]) + int(n[j]) - both):
-                    labels.join(np.array([j]), i)
+            if labels.of[j] != labels.of[i] and similar(sets[i], sets[j], percent):
+                labels.join(np.array([j]), i)
     return labels.stars([r[0] for r in rows])
 
 
@@ -312,21 +375,43 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def linked(docs: DataFrame, reps: DataFrame, found: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+def linked(docs: DataFrame, reps: DataFrame, found: DataFrame, labels: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """(node, component) by the true links, verified on the whole texts of each cluster of candidates.
 
-    A cluster of up to TILE_DOCS documents and TILE_SHINGLES shingles is verified by one task,
-    which gives its components. A larger one is dealt to parts, and each pair of parts to a
-    task; their stars are joined afterwards.
+    labels: (doc_id, label) of documents that are connected already; clusters of one label need
+    no texts. A cluster of up to TILE_DOCS documents and TILE_SHINGLES shingles is verified by
+    one task, which gives its components. A larger one is dealt to parts, the core (documents of
+    the most common label) to parts of its own; pairs of parts are tiles, but for pairs of core
+    parts. Texts are sent, not sets of hashes: a set takes more bytes than its text.
     """
-    of = connected_components(found, scratch, "clusters")
+    known = labels.select(F.col("label").alias("a"), F.col("doc_id").alias("b"))
+    of = connected_components(found.unionByName(known), scratch, "clusters")
     of = scratch.save(of.unionByName(of.select(F.col("component").alias("node"), "component").distinct()), "cluster-of")
-    sized = of.join(reps.select(F.col("doc_id").alias("node"), "n"), "node")
-    sizes = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / F.lit(float(TILE_DOCS))), F.ceil(F.sum("n") / F.lit(float(TILE_SHINGLES)))).cast("int").alias("parts"))
-    dealt = of.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
-    tile = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, "part").alias("low"), F.greatest(j, "part").alias("high")))
-    dealt = dealt.select(F.col("node").alias("doc_id"), "component", "part", (F.col("parts") == 1).alias("whole"), F.explode(tile).alias("tile")).select("doc_id", "component", "part", "whole", "tile.low", "tile.high")
-    rows = docs.join(dealt, "doc_id").select("component", "low", "high", "whole", "part", "doc_id", "text")
+    labelled = of.join(labels.withColumnRenamed("doc_id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = scratch.save(labelled.join(reps.select(F.col("doc_id").alias("node"), "n"), "node"), "labelled")
+    by_label = labelled.groupBy("component", "label").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    parts_of = lambda docs, n: F.greatest(F.ceil(docs / F.lit(float(TILE_DOCS))), F.ceil(n / F.lit(float(TILE_SHINGLES)))).cast("int")
+    sizes = by_label.groupBy("component").agg(F.max_by(F.struct("label", "docs", "n"), F.struct("docs", "label")).alias("core"), F.sum("docs").alias("docs"), F.sum("n").alias("n"), F.count("*").alias("labels"))
+    sizes = sizes.select(
+        "component",
+        (F.col("labels") == 1).alias("one"),
+        (parts_of(F.col("docs"), F.col("n")) == 1).alias("whole"),
+        F.col("core.label").alias("core"),
+        parts_of(F.col("core.docs"), F.col("core.n")).alias("core_parts"),
+        parts_of(F.col("docs") - F.col("core.docs"), F.col("n") - F.col("core.n")).alias("other_parts"),
+    )
+    sized = scratch.save(labelled.join(sizes, "component"), "sized")
+    open_ = sized.where("not one")
+    is_core, hashed = F.col("label") == F.col("core"), F.xxhash64("node")
+    part = F.when(F.col("whole"), 0).when(is_core, F.pmod(hashed, F.col("core_parts").cast("long"))).otherwise(F.col("core_parts") + F.pmod(hashed, F.greatest(F.col("other_parts"), F.lit(1)).cast("long")))
+    dealt = open_.withColumn("part", part.cast("int"))
+    others = F.sequence(F.col("core_parts"), F.col("core_parts") + F.col("other_parts") - 1)
+    everyone = F.sequence(F.lit(0), F.col("core_parts") + F.col("other_parts") - 1)
+    tile = F.when(F.col("whole"), F.array(F.struct(F.lit(0).alias("low"), F.lit(0).alias("high")))).otherwise(
+        F.transform(F.when(F.col("part") < F.col("core_parts"), others).otherwise(everyone), lambda j: F.struct(F.least(j, "part").alias("low"), F.greatest(j, "part").alias("high")))
+    )
+    dealt = dealt.select(F.col("node").alias("doc_id"), "component", "part", "whole", "label", F.explode(tile).alias("tile")).select("doc_id", "component", "part", "whole", "label", "tile.low", "tile.high")
+    rows = docs.join(dealt, "doc_id").select("component", "low", "high", "whole", "part", "doc_id", "label", "text")
     rows = rows.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,20 +423,21 @@ def linked(docs: DataFrame, reps: DataFrame, found: DataFrame, k: int, percent:
 
         for batch in batches:
             keys = zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)
-            parts, ids = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-            for own, part, doc_id, shingles in zip(keys, parts, ids, shingle_sets(batch.column(6), k), strict=True):
+            parts, ids, labels = (batch.column(c).to_pylist() for c in (4, 5, 6))
+            for own, part, doc_id, label, shingles in zip(keys, parts, ids, labels, shingle_sets(batch.column(7), k), strict=True):
                 if own != key:
                     if key is not None:
                         yield close()
                     key, tile = own, []
-                tile.append((doc_id, part, shingles))
+                tile.append((doc_id, part, label, shingles))
         if key is not None:
             yield close()
 
     stars = scratch.save(rows.mapInArrow(run, "a long, b long, whole boolean"), "links")
     done = stars.where("whole").select(F.col("b").alias("node"), F.col("a").alias("component")).distinct()
-    parted = stars.where("not whole").select("a", "b")
-    return done.unionByName(connected_components(parted, scratch, "parted")) if parted.limit(1).count() else done
+    sure = sized.where("one").select("node", F.col("label").alias("component")).where("node <> component")
+    parted = stars.where("not whole").select("a", "b").unionByName(sized.where("not one and not whole").select(F.col("label").alias("a"), F.col("node").alias("b")))
+    return done.unionByName(sure).unionByName(connected_components(parted, scratch, "parted"))
 
 
 # The join ---------------------------------------------------------------------------------------
@@ -365,8 +451,9 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch:
     percent is 50 or more. class_id is the smallest doc_id with the same set, component_id the smallest reachable by
     links, itself included. Null texts and texts without words have empty sets and link with
     nothing. doc_id must not repeat with different texts; repeated rows give repeated results.
-    A null doc_id is taken as no document: its row has component_id null. Other columns are
-    ignored.
+    A null doc_id is taken as no document: its row has component_id null. Texts of any length
+    are compared whole; of equal sets, or links of equal overlap, none is preferred: the least
+    id names the class and the component. Other columns are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
@@ -377,11 +464,16 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch:
     classes = scratch.save(table.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     reps = table.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     reps = scratch.save(reps.select("doc_id", "n", "prefix", "point"), "reps")
-    found = candidates(reps, percent, scratch)
-    joined = linked(docs, reps, found, k, percent, scratch)
+    # A size band spans the sizes that sets of this similarity may differ by.
+    band = F.when(F.col("c") > LEAF, F.floor(F.log("n") / F.lit(np.log(100 / percent)))).otherwise(0).cast("int")
+    trees = scratch.save(_trees(reps, scratch).withColumn("band", band), "placed")
+    stars = centre_links(docs, trees.where(F.col("c") > LEAF), k, percent, scratch)
+    labels = scratch.save(connected_components(stars, scratch, "centres").toDF("doc_id", "label"), "centre-labels")
+    found = candidates(trees, reps, labels, percent, scratch)
+    joined = linked(docs, reps, found, labels, k, percent, scratch)
     classes = classes.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
     classes = scratch.save(classes.select(*same, "class_id", F.coalesce("component", "class_id").alias("component_id")), "labels")
-    scratch.drop("reps", "classes", "trees", "candidates")
+    scratch.drop("reps", "classes", "trees", "candidates", "placed", "centred", "centre-links", "bands", "cluster-of", "labelled", "sized", "links")
     return table.join(classes, same, "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

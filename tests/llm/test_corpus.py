@@ -157,6 +157,40 @@ def test_joined_components(spark, k, percent, tile, monkeypatch):
     assert got == brute_components(rows, k, percent)
 
 
+def test_hot_group_is_linked_by_its_centre(spark, monkeypatch):
+    """Near copies of one text in a large tree: linked to a centre, so no texts are left to compare but the leftovers'."""
+    monkeypatch.setattr(jaccard_join, "LEAF", 8)
+    monkeypatch.setattr(jaccard_join, "TILE_DOCS", 16)
+    rng = random.Random(8)
+    base = [f"w{n}" for n in range(200)]
+    rows = [(n, " ".join([*base[:k], f"x{n}", *base[k + 1 :]])) for n in range(100) for k in [rng.randrange(200)]]
+    rows += [(100 + n, " ".join([*base[:150], *(f"y{n}_{k}" for k in range(50))])) for n in range(20)]  # too far from all
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    shipped = []
+    plain = jaccard_join.linked
+    monkeypatch.setattr(jaccard_join, "linked", lambda docs, reps, found, labels, *rest: shipped.append((found.count(), labels.count())) or plain(docs, reps, found, labels, *rest))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_components(docs, 3, 90).collect()}
+    assert got == brute_components(rows, 3, 90)
+    assert shipped[0][1] >= 95 and shipped[0][0] <= 40
+
+
+def test_many_leftovers(spark, monkeypatch):
+    """Several families share all their frequent shingles; parts of cores and of others meet as they must."""
+    monkeypatch.setattr(jaccard_join, "LEAF", 4)
+    monkeypatch.setattr(jaccard_join, "TILE_DOCS", 6)
+    rng = random.Random(12)
+    common = [f"c{n}" for n in range(60)]
+    rows = []
+    for n in range(150):
+        own = [f"f{n % 5}_{k}" for k in range(12)] + common
+        for _ in range(rng.randint(0, 2)):
+            own[rng.randrange(len(own))] = f"e{rng.randrange(40)}"
+        rows.append((n, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_components(docs, 3, 85).collect()}
+    assert got == brute_components(rows, 3, 85)
+
+
 def test_join_on_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op2_count_tree_join"](spark, FOLDER).collect()}
