@@ -12,10 +12,6 @@ def parse_printed(text: Column) -> Column:
     return F.try_to_date(text, "d-M-yyyy")
 
 
-def printed_key(day: Column) -> Column:
-    return F.date_format(day, "d-M-yyyy")
-
-
 def decade_label(day: Column) -> Column:
     return F.concat((F.floor(F.year(day) / 10) * 10).cast("string"), F.lit("s"))
 
@@ -61,6 +57,26 @@ def nearest_year(rows: DataFrame, by: list[str], day: str, printed_day: str, pri
     return found.select(*rows.columns, F.when(F.col("_n") == 1, F.col("_d")).alias("nearest"))
 
 
+# From a year on, the most days between a first reading and the publication; before all of them, EARLIEST_DAYS.
+PUBLICATION_ERAS, EARLIEST_DAYS = [(2011, 4), (1990, 9), (1967, 18)], 35
+# Month and day of the next year up to which a number's year may still be published.
+PUBLICATION_GRACE = (1, 31)
+
+
+def publication_days(published: Column, eras: list[tuple[int, int]] = PUBLICATION_ERAS, earliest: int = EARLIEST_DAYS) -> Column:
+    """The most days between a bill's first reading and its publication, by the era of the publication."""
+    out = F.lit(earliest)
+    for year, days in sorted(eras):
+        out = F.when(F.year(published) >= year, days).otherwise(out)
+    return out
+
+
+def is_misprinted(number: Column, published: Column, grace: tuple[int, int] = PUBLICATION_GRACE) -> Column:
+    """Whether a publication date can't be that of a bill numbered n/yyyy: before its year, or after the next year's grace."""
+    year = F.element_at(F.split(number, "/"), -1).try_cast("int")
+    return (F.year(published) < year) | (published > F.make_date(year + 1, F.lit(grace[0]), F.lit(grace[1])))
+
+
 def coalesce_map(value: Column, key: Column, mapping: dict) -> Column:
     """value, or what the mapping has for key."""
     pairs = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])

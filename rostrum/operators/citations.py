@@ -24,11 +24,16 @@ def link_citations(cited: DataFrame, reports: DataFrame, corrected: DataFrame |
         cited = cited.withColumn("corrected_title", F.lit(None).cast("string"))
     sittings = reports.select("day").distinct().withColumn("_sits", F.lit(True))
     tried = cited.withColumn("_key", title_key(F.col("title"))).join(sittings, "day", "left")
-    same_day = tried.alias("c").join(keyed.alias("r"), (F.col("c.day") == F.col("r.day")) & ((F.col("c._key") == F.col("r._key")) | (F.col("c.corrected_title") == F.col("r.title"))) & (F.col("c.source") != F.col("r.report_id")), "left")
-    exact, key, mended = (F.col("c.title") == F.col("r.title")), (F.col("c._key") == F.col("r._key")), (F.col("c.corrected_title") == F.col("r.title"))
-    hits = same_day.groupBy("c.source", "c.title", "c.day", "c._sits").agg(
-        *(x for name, rule in (("exact", exact), ("key", key), ("mended", mended)) for x in (F.count_distinct(F.when(rule, F.col("r.report_id"))).alias(f"n_{name}"), F.min(F.when(rule, F.col("r.report_id"))).alias(f"t_{name}")))
-    )
+    # Two equi-joins: by day and key (which exact titles share), and by day and corrected title.
+    by_key = tried.join(keyed.select("day", "_key", "report_id", F.col("title").alias("_title")), ["day", "_key"])
+    by_key = by_key.select("source", "title", "day", "report_id", F.when(F.col("title") == F.col("_title"), "exact").otherwise("key").alias("_by"))
+    mended = tried.where("corrected_title is not null").join(keyed.select("day", F.col("title").alias("corrected_title"), "report_id"), ["day", "corrected_title"])
+    found = by_key.unionByName(mended.select("source", "title", "day", "report_id", F.lit("mended").alias("_by"))).where(F.col("source") != F.col("report_id"))
+    rules = (("exact", F.col("_by") == "exact"), ("key", F.col("_by").isin("exact", "key")), ("mended", F.col("_by") == "mended"))
+    tops = found.groupBy("source", "title", "day").agg(*(x for name, rule in rules for x in (F.count_distinct(F.when(rule, F.col("report_id"))).alias(f"n_{name}"), F.min(F.when(rule, F.col("report_id"))).alias(f"t_{name}"))))
+    asked = tried.select("source", "title", "day", "_sits").distinct()
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("source", "title", "day")]
+    hits = asked.alias("c").join(tops.alias("t"), same, "left").select("c.*", *(F.coalesce(f"t.n_{n}", F.lit(0)).alias(f"n_{n}") for n, _ in rules), *(f"t.t_{n}" for n, _ in rules))
     rule = F.when(F.col("n_exact") > 0, "EXACT").when(F.col("n_key") > 0, "KEY").when(F.col("n_mended") > 0, "CORRECTED")
     n = F.when(F.col("n_exact") > 0, F.col("n_exact")).when(F.col("n_key") > 0, F.col("n_key")).otherwise(F.col("n_mended"))
     target = F.when(F.col("n_exact") > 0, F.col("t_exact")).when(F.col("n_key") > 0, F.col("t_key")).otherwise(F.col("t_mended"))

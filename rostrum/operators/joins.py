@@ -44,17 +44,29 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], at: str, start:
     return seen.select("_row.*", F.col("_m.start").alias(f"{start}_found" if start in left.columns else start), *(F.col(f"_m.{v}") for v in values))
 
 
+#: Spans of more buckets are dealt to wide ones.
+MOST_BUCKETS = 64
+
+
 def spans_on_day(rows: DataFrame, spans: DataFrame, day: str, first: str, last: str, by: list[str] | None = None) -> DataFrame:
     """rows joined with the spans that hold their day.
 
     Spans are dealt to the buckets of days they touch, so the join is an equi-join with a
-    filter, not a loop over all pairs. A span without an end must be given one.
+    filter, not a loop over all pairs. A span without an end goes on for ever; it and spans of
+    many buckets are dealt to buckets MOST_BUCKETS times as wide, up to the rows' last one.
     """
     by = by or []
-    bucket = lambda c: F.floor(F.unix_date(c) / BUCKET_DAYS).cast("long")
-    dealt = spans.withColumn("_bucket", F.explode(F.sequence(bucket(F.col(first)), bucket(F.col(last)))))
-    keyed = rows.withColumn("_bucket", bucket(F.col(day)))
-    return keyed.join(dealt, [*by, "_bucket"]).where(F.col(day).between(F.col(first), F.col(last))).drop("_bucket")
+    width = {False: BUCKET_DAYS, True: BUCKET_DAYS * MOST_BUCKETS}
+    bucket = lambda c, wide: F.floor(F.unix_date(c) / width[wide]).cast("long")
+    is_wide = F.col(last).isNull() | (bucket(F.col(last), False) - bucket(F.col(first), False) >= MOST_BUCKETS)
+    holds = (F.col(day) >= F.col(first)) & (F.col(last).isNull() | (F.col(day) <= F.col(last)))
+    narrow = spans.where(~is_wide).withColumn("_bucket", F.explode(F.sequence(bucket(F.col(first), False), bucket(F.col(last), False))))
+    end = F.broadcast(rows.agg(F.max(bucket(F.col(day), True)).alias("_end")))  # one row
+    wide = spans.where(is_wide).join(end).where(F.col("_end") >= bucket(F.col(first), True))
+    wide = wide.withColumn("_bucket", F.explode(F.sequence(bucket(F.col(first), True), F.least("_end", F.coalesce(bucket(F.col(last), True), "_end"))))).drop("_end")
+    near = rows.withColumn("_bucket", bucket(F.col(day), False)).join(narrow, [*by, "_bucket"])
+    far = rows.withColumn("_bucket", bucket(F.col(day), True)).join(wide, [*by, "_bucket"])
+    return near.unionByName(far).where(holds).drop("_bucket")
 
 
 def holder_on_day(rows: DataFrame, spans: DataFrame, key: list[str], day: str, first: str, last: str, name: str, by: list[str] | None = None) -> DataFrame:
@@ -114,15 +126,17 @@ def unique_prefixes(names: DataFrame, by: list[str], name: str, value: str, leas
 
 
 def unique_shingle_places(parts: DataFrame, group: str, part: str, text: str, words: int = 12) -> DataFrame:
-    """(group, part, place, shingle_crc): for each part the first run of so many words that no other part of the table has.
+    """(group, part, place): for each part the first run of so many words that no other part of the table has.
 
-    Runs are compared by a 128-bit hash; counts are combined before the shuffle.
+    Runs are compared by 128 bits, two hashes of their words' hashes; counts are combined before the shuffle.
     """
     split = F.filter(F.split(F.col(text), r"[ \t\n\r\f\x0b]+"), lambda w: w != "")
-    runs = parts.select(group, part, split.alias("_w")).where(F.size("_w") >= words)
-    hashes = F.transform(F.sequence(F.lit(1), F.size("_w") - words + 1), lambda i: F.md5(F.concat_ws(" ", F.slice("_w", i, words)).cast("binary")))
-    runs = runs.select(group, part, F.posexplode(hashes).alias("place", "run"))
-    once = runs.groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct(group, part, "place")).alias("at")).where("n = 1")
+    hashed = F.transform(split, lambda w: F.struct(F.xxhash64(w).alias("x"), F.xxhash64(F.lit(1), w).alias("y")))
+    runs = parts.select(group, part, hashed.alias("_w")).where(F.size("_w") >= words)
+    run = lambda i, c: F.xxhash64(F.transform(F.slice("_w", i, words), lambda w: w[c]))
+    hashes = F.transform(F.sequence(F.lit(1), F.size("_w") - words + 1), lambda i: F.struct(run(i, "x").alias("a"), run(i, "y").alias("b")))
+    runs = runs.select(group, part, F.posexplode(hashes).alias("place", "run")).select(group, part, "place", "run.a", "run.b")
+    once = runs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct(group, part, "place")).alias("at")).where("n = 1")
     return once.groupBy(F.col(f"at.{group}").alias(group), F.col(f"at.{part}").alias(part)).agg(F.min("at.place").alias("place"))
 
 
@@ -160,17 +174,17 @@ def division_pairing(proceedings: DataFrame, minutes: DataFrame) -> DataFrame:
 
 
 def party_on_day(rows: DataFrame, spans: DataFrame, key: list[str], who: str, day: str, ballot: str) -> DataFrame:
-    """rows with party and is_uncertain.
+    """rows with party and is_uncertain; each row stays, equal ones too.
 
     spans (who, started_on, precision DAY or MONTH, is_upper_bound, party). No span: the ballot
     party, certain. None started by the day: the ballot party, uncertain. Else the latest
     started span's; uncertain if a MONTH span starts in the day's month, or if the next later
     start is only an upper bound. A person has a few spans, so they are joined and folded.
     """
-    joined = rows.join(spans, who, "left")
+    asked = rows.select(*dict.fromkeys([*key, who, day])).distinct()
+    joined = asked.join(spans, who, "left")
     started = F.col("started_on") <= F.col(day)
-    by = [c for c in rows.columns]
-    found = joined.groupBy(*by).agg(
+    found = joined.groupBy(*asked.columns).agg(
         F.count("started_on").alias("_n"),
         F.max(F.when(started, F.struct("started_on", "party"))).alias("_now"),
         F.min(F.when(~started, F.struct("started_on", "is_upper_bound"))).alias("_next"),
@@ -178,4 +192,7 @@ def party_on_day(rows: DataFrame, spans: DataFrame, key: list[str], who: str, da
     )
     none = F.col("_now").isNull()
     uncertain = F.when(F.col("_n") == 0, False).when(none, True).otherwise(F.col("_month") | F.coalesce(F.col("_next.is_upper_bound"), F.lit(False)))
-    return found.select(*by, F.when(none, F.col(ballot)).otherwise(F.col("_now.party")).alias("party"), uncertain.alias("is_uncertain"))
+    verdict = found.select(*asked.columns, none.alias("_none"), F.col("_now.party").alias("_party"), uncertain.alias("is_uncertain"))
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"v.{c}")) for c in asked.columns]
+    joined = rows.alias("r").join(verdict.alias("v"), same, "left")
+    return joined.select("r.*", F.when(F.col("v._none"), F.col(f"r.{ballot}")).otherwise(F.col("v._party")).alias("party"), "v.is_uncertain")

@@ -102,9 +102,19 @@ def put_to_phrase(text: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(found, r"[,\s]+$", "")), F.lit(""))
 
 
-#: Forms of a leave entry, the first that fits: (name, pattern, group of the first date, of the last).
 _DAY = r"(\d{1,2}\s+[A-Z][a-z]{2,8}(?:\s+\d{4})?)"
-LEAVE_FORMS = [("RANGE", rf"(?:from\s+)?{_DAY}\s*(?:to|[-–—])\s*{_DAY}", 1, 2), ("DURATION", rf"(\d+)\s+(day|week|month|year)s?\s+from\s+{_DAY}", 3, 0), ("SINGLE", rf"(?:on\s+)?{_DAY}", 1, 1)]
+_DASH = r"\s*(?:to|[-–—])\s*"
+#: Forms of a printed leave entry, the first that fits: (name, pattern, group of the first date, of the last).
+LEAVE_FORMS = [
+    ("TABLE_ROW", rf"^\s*\|[^|]+\|\s*{_DAY}\s*\|\s*{_DAY}\s*\|?\s*$", 1, 2),
+    ("PROSE_MIXED", rf"{_DAY}{_DASH}{_DAY}\s*(?:,|and|;)\s*(?:on\s+)?\d{{1,2}}\s", 1, 2),
+    ("STRUCTURED_LIST", rf"^\s*(?:[-•]|\(?[a-z0-9]{{1,3}}[).])\s.*?{_DAY}{_DASH}{_DAY}", 1, 2),
+    ("PROSE_RANGE", rf"{_DAY}{_DASH}{_DAY}", 1, 2),
+    ("PROSE_DURATION", rf"(\d+)\s+(day|week|month|year)s?\s+from\s+{_DAY}", 3, 0),
+    ("PROSE_DAY_LIST", rf"(?:on\s+)?(\d{{1,2}}(?:\s*,\s*\d{{1,2}})*\s+and\s+\d{{1,2}}\s+[A-Z][a-z]{{2,8}}(?:\s+\d{{4}})?)", 1, 1),
+    ("PROSE_SINGLE_DAY", rf"(?:on\s+)?{_DAY}", 1, 1),
+]
+_DURATION = LEAVE_FORMS[4][1]
 
 
 def parse_leave(text: Column) -> dict[str, Column]:
@@ -115,10 +125,9 @@ def parse_leave(text: Column) -> dict[str, Column]:
         form = F.when(hit, name).otherwise(form)
         first = F.when(hit, F.regexp_extract(text, pattern, a)).otherwise(first)
         last = F.when(hit, F.regexp_extract(text, pattern, b) if b else F.lit(None)).otherwise(last)
-    number = F.regexp_extract(text, LEAVE_FORMS[1][1], 1)
-    unit = F.regexp_extract(text, LEAVE_FORMS[1][1], 2)
-    is_duration = form == "DURATION"
-    return {"form": form, "first": first, "last": last, "number": F.when(is_duration, number.try_cast("int")), "unit": F.when(is_duration, unit)}
+    lasts = form == "PROSE_DURATION"
+    number, unit = (F.regexp_extract(text, _DURATION, g) for g in (1, 2))
+    return {"form": form, "first": first, "last": last, "number": F.when(lasts, number.try_cast("int")), "unit": F.when(lasts, unit)}
 
 
 def askers(rows: DataFrame, report: str, order: str, speaker_id: str, printed: str) -> DataFrame:
@@ -146,14 +155,79 @@ def participants(turns: DataFrame, report: str, roles: list[tuple[str, Column]])
     return first.select(report, F.row_number().over(order).alias("ordinal"), "speaker", "r.role", "first_ordinal")
 
 
-def footnote_lines(line_rows: DataFrame, key: str, marker: str = r"^(?:\*(?!\*)|\+{1,2}|#(?=\S)|†|\[\d{1,2}\])\s*\S", body: int = 120) -> DataFrame:
-    """line_rows with is_footnote: marker lines and those after them, until a long line of body text."""
+def question_roles(turns: DataFrame, report: str) -> DataFrame:
+    """(report, speaker, role, first_ordinal): who does what in a question's report.
+
+    turns: report, ordinal, speaker (null without a label), is_question, for_whom (whose question is
+    read), has_office, is_chair. ASKER: whose question it is; READER: who reads another's;
+    ABSENT_FILER: an asker who has no turn; CHAIR; ANSWERER: office holders after the first
+    question, askers aside; FOLLOW_UP: askers' further turns after the first answer;
+    SUPPLEMENTARY: other members' turns after it; UNLABELLED: turns without a speaker. Reports
+    without a question have no roles.
+    """
+    from pyspark.sql.window import Window as W
+
+    whole = W.partitionBy(report)
+    asks = F.col("is_question")
+    rows = turns.withColumns({"_asker": F.when(asks, F.coalesce("for_whom", "speaker")), "_first": F.min(F.when(asks, F.col("ordinal"))).over(whole)}).where("_first is not null")
+    askers = rows.where("_asker is not null").select(report, F.col("_asker").alias("speaker")).distinct().withColumn("_asks", F.lit(True))
+    readers = rows.where(asks & F.col("for_whom").isNotNull() & F.col("speaker").isNotNull()).select(report, "speaker").distinct().withColumn("_reads", F.lit(True))
+    rows = rows.join(askers, [report, "speaker"], "left").join(readers, [report, "speaker"], "left")
+    answers = F.col("has_office") & ~F.col("is_chair") & ~asks & (F.col("ordinal") > F.col("_first")) & F.col("speaker").isNotNull() & F.col("_asks").isNull()
+    rows = rows.withColumn("_answered", F.min(F.when(answers, F.col("ordinal"))).over(whole))
+    later = F.col("ordinal") > F.col("_answered")
+    plain = ~asks & ~F.col("is_chair") & F.col("speaker").isNotNull()
+    marks = [
+        ("ASKER", asks, F.col("_asker")),
+        ("READER", asks & F.col("for_whom").isNotNull(), F.col("speaker")),
+        ("CHAIR", F.col("is_chair"), F.col("speaker")),
+        ("ANSWERER", answers, F.col("speaker")),
+        ("FOLLOW_UP", plain & F.col("_asks").isNotNull() & later, F.col("speaker")),
+        ("SUPPLEMENTARY", plain & ~F.col("has_office") & F.col("_asks").isNull() & F.col("_reads").isNull() & later, F.col("speaker")),
+        ("UNLABELLED", F.col("speaker").isNull() & ~F.col("is_chair"), F.lit("")),
+    ]
+    found = F.filter(F.array(*(F.when(c & who.isNotNull(), F.struct(F.lit(name).alias("role"), who.alias("who"))) for name, c, who in marks)), lambda x: x.isNotNull())
+    held = rows.select(report, "ordinal", F.explode(found).alias("_m")).groupBy(report, F.col("_m.who").alias("speaker"), F.col("_m.role").alias("role")).agg(F.min("ordinal").alias("first_ordinal"))
+    spoken = turns.where("speaker is not null").select(report, "speaker").distinct()
+    absent = held.where("role = 'ASKER'").join(spoken, [report, "speaker"], "left_anti").withColumn("role", F.lit("ABSENT_FILER"))
+    return held.unionByName(absent)
+
+
+def question_states(reports: DataFrame, turns: DataFrame, roles: DataFrame, report: str, patterns: dict[str, str]) -> DataFrame:
+    """(report, state, ordinal): CORRECTION, URGENT, NOT_ASKED_ALOUD and NOT_A_QUESTION of reports (report, title).
+
+    patterns by name: correction and stood_over are of titles; urgent, absent and not_aloud of
+    turns (report, ordinal, transcript), whose first match is the state's ordinal. A question was
+    not asked aloud if it stood over, if the asker was absent, or if it has an asker, no answerer
+    and a turn that says so. A report without an asker is not a question.
+    """
+    first = lambda name: F.min(F.when(F.col("transcript").rlike(patterns[name]), F.col("ordinal"))).alias(f"_{name}")
+    seen = turns.groupBy(report).agg(*(first(n) for n in ("urgent", "absent", "not_aloud")))
+    held = roles.groupBy(report).agg(F.bool_or(F.col("role") == "ASKER").alias("_asked"), F.bool_or(F.col("role") == "ANSWERER").alias("_answered"))
+    rows = reports.join(seen, report, "left").join(held, report, "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("_asked", "_answered")})
+    stood = F.col("title").rlike(patterns["stood_over"])
+    silent = F.when(stood, F.lit(None).cast("int")).otherwise(F.coalesce("_absent", F.when(F.col("_asked") & ~F.col("_answered"), F.col("_not_aloud"))))
+    states = [
+        ("CORRECTION", F.col("title").rlike(patterns["correction"]), F.lit(None).cast("int")),
+        ("URGENT", F.col("_urgent").isNotNull(), F.col("_urgent")),
+        ("NOT_ASKED_ALOUD", stood | silent.isNotNull(), silent),
+        ("NOT_A_QUESTION", ~F.col("_asked"), F.lit(None).cast("int")),
+    ]
+    found = F.filter(F.array(*(F.when(c, F.struct(F.lit(name).alias("state"), at.cast("int").alias("ordinal"))) for name, c, at in states)), lambda x: x.isNotNull())
+    return rows.select(report, F.explode(found).alias("_s")).select(report, "_s.state", "_s.ordinal")
+
+
+def footnote_lines(line_rows: DataFrame, key: str, marker: str, body: int) -> DataFrame:
+    """line_rows with is_footnote: lines that match the marker and those after them, until a line of body text.
+
+    marker and body (its least length) are what the caller's print uses.
+    """
     from pyspark.sql.window import Window as W
 
     is_marker = F.col("line").rlike(marker)
-    is_body = ~is_marker & (F.length("line") >= body)
-    state = F.last(F.when(is_marker, True).when(is_body, False), ignorenulls=True).over(W.partitionBy(key).orderBy("place").rowsBetween(W.unboundedPreceding, 0))
-    return line_rows.withColumn("is_footnote", F.coalesce(state, F.lit(False)))
+    mark = F.when(is_marker, F.lit(True)).when(F.length("line") >= body, F.lit(False))
+    inside = F.last(mark, ignorenulls=True).over(W.partitionBy(key).orderBy("place").rowsBetween(W.unboundedPreceding, 0))
+    return line_rows.withColumn("is_footnote", F.coalesce(inside, F.lit(False)))
 
 
 def speech_columns(speeches: DataFrame, markers: DataFrame, by: str, most_step: int = 50) -> DataFrame:

@@ -21,7 +21,7 @@ def lookups(people: DataFrame, by: list[str], name: str = "name", value: str = "
     keys = {
         "direct": N.lookup_key(n),
         "bin_free": N.lookup_key(N.strip_bin(n)),
-        "inverted": N.lookup_key(N.invert_name(n)),
+        "inverted": N.lookup_key(F.coalesce(N.invert_name(n), n)),
         "word_set": word_set(N.lookup_key(n)),
         "spelling": N.lookup_key(N.spelling_normalize(n)),
         "surname": F.element_at(F.split(N.lookup_key(n), r"\s+"), -1),
@@ -39,7 +39,7 @@ def _asked(labels: DataFrame, by: list[str], label: str) -> DataFrame:
     """(by, label, tier, key) of distinct labels only."""
     c = F.col(label)
     base = N.lookup_key(c)
-    keys = {"direct": base, "bin_free": N.lookup_key(N.strip_bin(c)), "inverted": N.lookup_key(N.invert_name(c)), "word_set": word_set(base), "word_subset": word_set(base), "prefix": base, "spelling": N.lookup_key(N.spelling_normalize(c)), "surname": F.when(~base.contains(" "), base)}
+    keys = {"direct": base, "bin_free": N.lookup_key(N.strip_bin(c)), "inverted": N.lookup_key(F.coalesce(N.invert_name(c), c)), "word_set": word_set(base), "word_subset": word_set(base), "prefix": base, "spelling": N.lookup_key(N.spelling_normalize(c)), "surname": F.when(~base.contains(" "), base)}
     distinct = labels.select(*by, label).where(c.isNotNull()).distinct()
     return distinct.select(*by, label, F.explode(F.array(*(F.struct(F.lit(k).alias("rank"), F.lit(t).alias("tier"), keys[t].alias("key")) for k, t in enumerate(TIERS)))).alias("k")).select(*by, label, "k.*").where("key is not null")
 
@@ -57,6 +57,62 @@ def resolve_strict(labels: DataFrame, tables: DataFrame, by: list[str], label: s
     return found.where(F.col(value) == F.col("_max")).drop("_max")
 
 
+#: A bracket that holds a person, as 'Minister for X (Mr A B)': it begins with a title.
+_TITLED = r"\(((?:Mr|Mrs|Ms|Mdm|Miss|Dr|Prof|Assoc|Er|Encik|Inche|BG|RAdm)\b[^()]*)\)"
+
+
+def label_names(labels: DataFrame, terms: DataFrame, roles: DataFrame, non_speakers: list[str], by: str, label: str, day: str) -> DataFrame:
+    """(by, label, day, lookup_name, rule) of the distinct printed labels: whom to look up, by the first rule that fits.
+
+    NON_SPEAKER (listed, or it begins with a bracket or an asterisk); CHAIR_NAMED (an office
+    with terms that names its holder in brackets); HELD_ON_DAY (the one whose term of the office
+    (label, first_day, last_day, holder) holds the day; several or none give no name); ROLE (roles:
+    label, by, holder); BRACKET (the last bracket with a title, else what is before the first
+    one); NAME.
+    """
+    from rostrum.operators.joins import holder_on_day
+
+    asked = labels.select(by, label, day).where(F.col(label).isNotNull()).distinct()
+    text = N.clean_label(F.col(label))
+    inner = F.try_element_at(F.regexp_extract_all("_text", F.lit(_TITLED), F.lit(1)), F.lit(-1))
+    bare = F.trim(F.regexp_extract("_text", r"^([^(]*)", 1))
+    rows = asked.withColumn("_text", text).withColumn("_office", F.trim(F.regexp_replace("_text", r"\s*\([^()]*\)\s*$", "")))
+    offices = F.broadcast(terms.select(F.col("label").alias("_office")).distinct().withColumn("_dated", F.lit(True)))  # a hand-kept list
+    rows = rows.join(offices, "_office", "left")
+    held = holder_on_day(rows.where("_dated").select("_office", day).distinct(), terms.withColumnRenamed("label", "_office"), ["_office", day], day, "first_day", "last_day", "holder", ["_office"])
+    rows = rows.join(held.select("_office", day, F.col("holder").alias("_held")), ["_office", day], "left")
+    rows = rows.join(F.broadcast(roles.select(F.col("label").alias("_text"), by, F.col("holder").alias("_role"))), ["_text", by], "left")
+    silent = F.col(label).isin(non_speakers) | F.col(label).rlike(r"^[(*]")
+    named = F.regexp_extract("_text", r"\(([^()]+)\)\s*$", 1)
+    rule = F.when(silent, "NON_SPEAKER").when(F.col("_dated") & (named != ""), "CHAIR_NAMED").when(F.col("_dated"), "HELD_ON_DAY").when(F.col("_role").isNotNull(), "ROLE").when(F.col("_text").contains("("), "BRACKET").otherwise("NAME")
+    name = F.when(rule == "CHAIR_NAMED", named).when(rule == "HELD_ON_DAY", F.col("_held")).when(rule == "ROLE", F.col("_role")).when(rule == "BRACKET", F.coalesce(inner, bare)).when(rule == "NAME", F.col("_text"))
+    return rows.select(by, label, day, F.nullif(F.trim(name), F.lit("")).alias("lookup_name"), rule.alias("rule"))
+
+
+def resolve_labels(labels: DataFrame, tables: DataFrame, terms: DataFrame, roles: DataFrame, non_speakers: list[str], by: str, label: str, day: str, value: str = "person") -> DataFrame:
+    """(by, label, day, value, rule, tier): the label's name by rule, then the person by tiers."""
+    names = label_names(labels, terms, roles, non_speakers, by, label, day)
+    hits = resolve_tiered(names.select(by, "lookup_name"), tables, [by], "lookup_name", value)
+    return names.join(hits, [by, "lookup_name"], "left").select(by, label, day, value, "rule", "tier")
+
+
+def context_passes(rows: DataFrame, holders: list[tuple[str, DataFrame, list[str]]], value: str = "person") -> DataFrame:
+    """rows with value and linked_by: each pass (name, holders, keys) links rows that are still unlinked.
+
+    A pass's holders are keyed by what the pass knows of a row (a report's chairman by report, a
+    deputy by report or sitting, a credited range's person by row); keys with several are refused.
+    """
+    from rostrum.operators.joins import unique_match_join
+
+    by = F.when(F.col(value).isNotNull(), F.lit("label"))
+    out = rows.withColumn("linked_by", by)
+    for name, own, keys in holders:
+        joined = unique_match_join(out, own.withColumnRenamed(value, "_v"), keys, "_v")
+        hit = F.col(value).isNull() & F.col("_v").isNotNull()
+        out = joined.withColumns({"linked_by": F.when(hit, F.lit(name)).otherwise(F.col("linked_by")), value: F.coalesce(value, "_v")}).drop("_v")
+    return out
+
+
 def with_fallbacks(labels: DataFrame, group: str, fallbacks: dict[int, list[int]]) -> DataFrame:
     """labels with (asked, priority): the group itself, then those that stand in for it."""
     pairs = [(g, o, k + 1) for g, others in fallbacks.items() for k, o in enumerate(others)]

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 
 def anti_join_load(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,6 +55,17 @@ def plan_diff(stored: DataFrame, planned: DataFrame, keys: list[str], values: li
     return joined.select(*keys, action.alias("action"))
 
 
+def intersection(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """The distinct rows of these columns that both sides have, nulls equal."""
+    return left.select(*columns).intersect(right.select(*columns))
+
+
+def order_violations(rows: DataFrame, by: list[str], order: str, key: str) -> DataFrame:
+    """Rows whose key is not above that of the row before them in their group; none if keys strictly increase."""
+    w = W.partitionBy(*by).orderBy(order)
+    return rows.withColumn("previous", F.lag(key).over(w)).where(F.col("previous") >= F.col(key))
+
+
 def table_diff(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
     """(key, left, right, verdict): SAME, DIFFERENT, ONLY_LEFT or ONLY_RIGHT."""
     joined = left.select(key, F.col(value).alias("left_value")).join(right.select(key, F.col(value).alias("right_value")), key, "full_outer")

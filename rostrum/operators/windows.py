@@ -99,6 +99,49 @@ def bill_sessions(rows: DataFrame, most_days: int = 366) -> DataFrame:
     return rows.groupBy("key").applyInPandas(walk, schema)
 
 
+def place_reports(reports: DataFrame, stored: DataFrame, most_days: int = 366) -> DataFrame:
+    """(key, id, bill_id, new_bill, reason): reports of one load among the bills that are stored, in date order.
+
+    reports: key, id, day, has_bill_word, is_first_reading, is_passing; stored: key, bill_id,
+    first_id, first_day, last_day, is_passed. A key goes on with its stored bill of the latest
+    date, or begins new bills (new_bill 1, 2, ...) by the rule of `bill_sessions`. Left out, with
+    the reason: a title without the word, a key whose latest date two stored bills share, a day
+    before the open bill's last one, and a report on a stored bill's first day whose id sorts
+    below the one that the bill is known by. As the open bill depends on what was placed before,
+    a key's few rows are walked.
+    """
+
+    def walk(key: tuple, rows: pd.DataFrame, bills: pd.DataFrame) -> pd.DataFrame:
+        latest = bills[bills["last_day"] == bills["last_day"].max()] if len(bills) else bills
+        bill, number, first_id, first, last, passed = None, 0, None, None, None, False
+        if len(latest) == 1:
+            seed = latest.iloc[0]
+            bill, first_id, first, last, passed = int(seed["bill_id"]), int(seed["first_id"]), seed["first_day"], seed["last_day"], bool(seed["is_passed"])
+        out = []
+        for row in rows.sort_values(["day", "id"]).itertuples():
+            reason = None
+            is_new = last is None or ((passed or row.is_first_reading) and row.day > last) or (row.day - last).days > most_days
+            if not row.has_bill_word:
+                reason = "NO_BILL_WORD"
+            elif len(latest) > 1:
+                reason = "TWO_BILLS_SHARE_LATEST_DATE"
+            elif last is not None and row.day < last:
+                reason = "DATED_BEFORE_OPEN_BILL"
+            elif is_new:
+                bill, number, first_id, first, passed = None, number + 1, None, row.day, False
+            elif bill is not None and row.day == first and row.id < first_id:
+                reason = "SORTS_BELOW_STORED_KEY"
+            if reason is None:
+                last, passed = row.day, passed or bool(row.is_passing)
+            placed = reason is None
+            out.append((key[0], row.id, bill if placed else None, number if placed and bill is None else None, reason))
+        found = pd.DataFrame(out, columns=["key", "id", "bill_id", "new_bill", "reason"])
+        return found.astype({"bill_id": "Int64", "new_bill": "Int32"})
+
+    kind = reports.schema["key"].dataType.simpleString()
+    return reports.groupBy("key").cogroup(stored.groupBy("key")).applyInPandas(walk, f"key {kind}, id long, bill_id long, new_bill int, reason string")
+
+
 def forward_fill(rows: DataFrame, by: list[str], order: list[Column], column: str, name: str) -> DataFrame:
     """The last value so far."""
     return rows.withColumn(name, F.last(column, ignorenulls=True).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))

@@ -12,12 +12,12 @@ from rostrum.plans.registry import query, rows
 
 
 @query("""
-WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, o_custkey % 37 * 1000 + o_orderkey % 11 + 100000 AS b FROM orders WHERE o_orderkey % 40 = 1), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, o_custkey % 37 * 1000 + o_orderkey % 11 + 100000 AS b FROM orders), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r AS (SELECT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a)
 SELECT node, min(seen) AS component FROM r GROUP BY 1 HAVING min(seen) <> node
 """)
 def connected_components(spark: SparkSession, d: str) -> DataFrame:
-    edges = rows(spark, d, "orders", "o_custkey AS a", "o_custkey % 37 * 1000 + o_orderkey % 11 + 100000 AS b", where="o_orderkey % 40 = 1")
+    edges = rows(spark, d, "orders", "o_custkey AS a", "o_custkey % 37 * 1000 + o_orderkey % 11 + 100000 AS b")
     return G.connected_components(edges)
 
 
@@ -40,16 +40,15 @@ _TWO_WORDS = "concat(split(p_name, ' ')[1], ' ', p_type, ' ', split(p_name, ' ')
 
 
 @query("""
-WITH p AS (SELECT p_brand AS parliament, p_name || ' ' || p_type AS name, p_partkey AS person FROM part WHERE p_size < 8),
+WITH p AS (SELECT p_brand AS parliament, p_name || ' ' || p_type AS name, p_partkey AS person FROM part),
 u AS (SELECT parliament, array_to_string(list_sort(list_distinct(string_split(lower(name), ' '))), ' ') AS k, min(person) AS person FROM p GROUP BY 1, 2 HAVING min(person) = max(person)),
 l AS (SELECT DISTINCT p_brand AS parliament, concat(string_split(p_name, ' ')[2], ' ', p_type, ' ', string_split(p_name, ' ')[1]) AS label FROM part)
 SELECT l.parliament, l.label, u.person FROM l JOIN u ON l.parliament = u.parliament AND u.k = array_to_string(list_sort(list_distinct(string_split(lower(l.label), ' '))), ' ')
 """)
 def strict_resolution(spark: SparkSession, d: str) -> DataFrame:
-    people = rows(spark, d, "part", "p_brand AS parliament", "concat(p_name, ' ', p_type) AS name", "p_partkey AS person", where="p_size < 8")
+    people = rows(spark, d, "part", "p_brand AS parliament", "concat(p_name, ' ', p_type) AS name", "p_partkey AS person")
     labels = rows(spark, d, "part", "p_brand AS parliament", f"{_TWO_WORDS} AS label")
-    tables = R.lookups(people, ["parliament"]).where("tier IN ('direct', 'word_set')")
-    return R.resolve_strict(labels, tables, ["parliament"], "label").where("tier = 'word_set'").select("parliament", "label", "person")
+    return R.resolve_strict(labels, R.lookups(people, ["parliament"]), ["parliament"], "label").select("parliament", "label", "person")
 
 
 def person_clusters(spark: SparkSession, d: str) -> DataFrame:
@@ -85,3 +84,87 @@ def law_numbers(spark: SparkSession, d: str) -> DataFrame:
     part = rows(spark, d, "part", "p_partkey", "p_name AS title", "p_partkey % 100 AS s_suppkey", "p_size")
     pairs = part.join(rows(spark, d, "supplier", "s_suppkey", "s_nationkey + 1 AS p_size"), ["s_suppkey", "p_size"])
     return pairs.join(mutual_unique(pairs, "s_suppkey", "p_partkey"), ["s_suppkey", "p_partkey"]).select("s_suppkey", "title", "p_partkey")
+
+
+@query("""
+WITH a AS (SELECT p_partkey AS act_id, p_type AS key, d, d + 60 AS second, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE d + 90 END AS third FROM (SELECT *, DATE '1990-01-01' + (p_partkey % 900)::INT AS d FROM part)),
+b AS (SELECT p_partkey + 100000 AS bill_id, p_type AS key, DATE '1990-01-01' + ((p_partkey * 7) % 900)::INT AS day FROM part),
+n AS (SELECT act_id, bill_id, abs(day - near) AS gap, rule, k FROM (SELECT act_id, key, d AS near, 'FIRST' AS rule, 0 AS k FROM a UNION ALL SELECT act_id, key, third, 'THIRD', 1 FROM a WHERE third IS NOT NULL UNION ALL SELECT act_id, key, second, 'SECOND', 2 FROM a) x JOIN b ON x.key = b.key AND abs(day - near) <= 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY act_id ORDER BY k, gap, bill_id) AS r FROM n)
+SELECT act_id, bill_id, rule FROM r WHERE r = 1
+""")
+def act_linkage(spark: SparkSession, d: str) -> DataFrame:
+    """Acts find their bills by title key and the nearest of three readings."""
+    from rostrum.operators.citations import act_links
+
+    first = "date_add(DATE '1990-01-01', cast(p_partkey % 900 AS INT))"
+    acts = rows(spark, d, "part", "p_partkey AS act_id", "p_type AS key", f"{first} AS first_day", f"date_add({first}, 60) AS second_day", f"CASE WHEN p_partkey % 4 <> 0 THEN date_add({first}, 90) END AS third_day")
+    bills = rows(spark, d, "part", "p_partkey + 100000 AS bill_id", "p_type AS key", "date_add(DATE '1990-01-01', cast((p_partkey * 7) % 900 AS INT)) AS day")
+    return act_links(acts, bills)
+
+
+@query("""
+WITH h AS (SELECT o_orderkey AS source, o_custkey % 90 AS title, o_orderdate::DATE AS day, o_orderdate::DATE - (o_orderkey % 9 - 1)::INT AS cited_day FROM orders WHERE o_orderstatus = 'F'),
+r AS (SELECT o_orderkey AS report_id, o_custkey % 90 AS title, o_orderdate::DATE AS day, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 6 END AS part FROM orders),
+f AS (SELECT source, report_id, part, count(*) OVER w AS n, bool_or(part IS NULL) OVER w AS unknown, max(part) OVER w AS top FROM h JOIN r ON h.title = r.title AND h.cited_day = r.day WHERE h.cited_day < h.day WINDOW w AS (PARTITION BY source))
+SELECT source, min(report_id) AS target FROM f WHERE n = 1 OR (NOT unknown AND part = top) GROUP BY 1 HAVING min(report_id) = max(report_id)
+""")
+def continuation_links(spark: SparkSession, d: str) -> DataFrame:
+    from rostrum.operators.citations import continuations
+
+    headings = rows(spark, d, "orders", "o_orderkey AS source", "cast(o_custkey % 90 AS string) AS title", "to_date(o_orderdate) AS day", "date_sub(to_date(o_orderdate), cast(o_orderkey % 9 - 1 AS INT)) AS cited_day", where="o_orderstatus = 'F'")
+    reports = rows(spark, d, "orders", "o_orderkey AS report_id", "cast(o_custkey % 90 AS string) AS title", "to_date(o_orderdate) AS day", "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 6 END AS part")
+    return continuations(headings, reports)
+
+
+@query("""
+SELECT DISTINCT source, target, CASE WHEN (a = 'CLARIFICATION' AND x >= y) OR (b = 'CLARIFICATION' AND y >= x) THEN 'CORRECTION' WHEN a LIKE 'ANSWER%' THEN 'REPLY' END AS type
+FROM (SELECT l_orderkey AS source, l_suppkey AS target, CASE l_orderkey % 3 WHEN 0 THEN 'CLARIFICATION' WHEN 1 THEN 'ANSWER_ORAL' ELSE 'DEBATE' END AS a, CASE l_suppkey % 4 WHEN 0 THEN 'CLARIFICATION' ELSE 'ANSWER' END AS b, l_orderkey % 50 AS x, l_suppkey % 50 AS y FROM lineitem)
+""")
+def link_types(spark: SparkSession, d: str) -> DataFrame:
+    from rostrum.operators.citations import link_types as types
+
+    days = [f"date_add(DATE '1990-01-01', cast({c} % 50 AS INT)) AS {n}_day" for n, c in (("source", "l_orderkey"), ("target", "l_suppkey"))]
+    links = rows(spark, d, "lineitem", "l_orderkey AS source", "l_suppkey AS target", "CASE l_orderkey % 3 WHEN 0 THEN 'CLARIFICATION' WHEN 1 THEN 'ANSWER_ORAL' ELSE 'DEBATE' END AS source_type", "CASE l_suppkey % 4 WHEN 0 THEN 'CLARIFICATION' ELSE 'ANSWER' END AS target_type", *days)
+    return types(links).select("source", "target", "type")
+
+
+_PRINTED = "CASE o_orderkey % 7 WHEN 0 THEN 'Mr Speaker' WHEN 1 THEN 'The Clerk' WHEN 2 THEN concat('Mr Deputy Speaker (Mr ', c_name, ')') WHEN 3 THEN 'The Attorney' WHEN 4 THEN concat('The Minister for ', c_mktsegment, ' (Mr ', c_name, ')') WHEN 5 THEN concat('12. Dr ', c_name, ' (Place):') ELSE concat('*', c_name) END"
+
+
+def _printed_labels(spark: SparkSession, d: str) -> DataFrame:
+    orders = rows(spark, d, "orders", "o_orderkey", "o_custkey AS c_custkey", "to_date(o_orderdate) AS day")
+    return orders.join(rows(spark, d, "customer", "c_custkey", "c_name", "c_nationkey AS parliament", "c_mktsegment"), "c_custkey").selectExpr("parliament", f"{_PRINTED} AS label", "day")
+
+
+@query(f"""
+WITH p AS (SELECT c_nationkey AS parliament, c_name, c_custkey AS person FROM customer), c AS (SELECT parliament, min(person) AS person FROM p GROUP BY 1), n AS (SELECT parliament, max(person) AS person FROM p GROUP BY 1),
+l AS (SELECT DISTINCT c_nationkey AS parliament, {_PRINTED} AS label, o_orderdate::DATE AS day, o_orderkey % 7 AS k, CASE WHEN o_orderkey % 7 IN (2, 4, 5) THEN c_custkey END AS own FROM orders JOIN customer ON o_custkey = c_custkey),
+h AS (SELECT l.*, CASE WHEN day < DATE '1995-06-01' THEN 1 WHEN day >= DATE '1996-01-01' THEN 2 END AS held FROM l)
+SELECT parliament, label, day, CASE k WHEN 0 THEN CASE held WHEN 1 THEN (SELECT person FROM c WHERE c.parliament = h.parliament AND h.parliament = 3) WHEN 2 THEN (SELECT person FROM c WHERE c.parliament = h.parliament AND h.parliament = 4) END
+  WHEN 3 THEN (SELECT person FROM n WHERE n.parliament = h.parliament) ELSE own END AS person,
+  CASE k WHEN 0 THEN 'HELD_ON_DAY' WHEN 2 THEN 'CHAIR_NAMED' WHEN 3 THEN 'ROLE' WHEN 4 THEN 'BRACKET' WHEN 5 THEN 'BRACKET' ELSE 'NON_SPEAKER' END AS rule FROM h
+""")
+def label_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """Chairs by date and by name, roles, offices with a name in brackets, names with a place in brackets, and labels of no speaker."""
+    people = rows(spark, d, "customer", "c_nationkey AS parliament", "c_name AS name", "c_custkey AS person")
+    least = lambda n: people.where(f"parliament = {n}").agg(F.min_by("name", "person").alias("holder"))
+    held = least(3).selectExpr("'Mr Speaker' AS label", "DATE '1900-01-01' AS first_day", "DATE '1995-05-31' AS last_day", "holder")
+    held = held.unionByName(least(4).selectExpr("'Mr Speaker' AS label", "DATE '1996-01-01' AS first_day", "CAST(NULL AS DATE) AS last_day", "holder"))
+    held = held.unionByName(spark.range(1).selectExpr("'Mr Deputy Speaker' AS label", "DATE '2100-01-01' AS first_day", "CAST(NULL AS DATE) AS last_day", "'nobody yet' AS holder"))
+    roles = people.groupBy("parliament").agg(F.max_by("name", "person").alias("holder")).withColumn("label", F.lit("The Attorney"))
+    return R.resolve_labels(_printed_labels(spark, d), R.lookups(people, ["parliament"]), held, roles, ["The Clerk"], "parliament", "label", "day").drop("tier")
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN turn END AS person FROM conversations), c AS (SELECT conv_id, min(turn) + 1000 AS p FROM t WHERE turn % 5 = 1 GROUP BY 1 HAVING count(*) = 1),
+d AS (SELECT conv_id % 10 AS g, min(2000 + conv_id) AS p FROM t WHERE turn = 4 GROUP BY 1 HAVING count(DISTINCT conv_id) = 1)
+SELECT t.conv_id, turn, coalesce(person, c.p, d.p) AS person, CASE WHEN person IS NOT NULL THEN 'label' WHEN c.p IS NOT NULL THEN 'chairman' WHEN d.p IS NOT NULL THEN 'sitting' END AS linked_by
+FROM t LEFT JOIN c ON t.conv_id = c.conv_id LEFT JOIN d ON t.conv_id % 10 = d.g
+""")
+def context_passes(spark: SparkSession, d: str) -> DataFrame:
+    """A report's chairman, then a sitting's deputy, each for what is still unlinked; two candidates give none."""
+    turns = rows(spark, d, "conversations", "conv_id", "turn", "conv_id % 10 AS g", "CASE WHEN turn % 3 = 0 THEN turn END AS person")
+    chairman = turns.where("turn % 5 = 1").selectExpr("conv_id", "turn + 1000 AS person")
+    sitting = turns.where("turn = 4").selectExpr("g", "2000 + conv_id AS person")
+    return R.context_passes(turns, [("chairman", chairman, ["conv_id"]), ("sitting", sitting, ["g"])]).select("conv_id", "turn", "person", "linked_by")

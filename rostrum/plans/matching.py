@@ -39,33 +39,28 @@ def sequence_diff(spark: SparkSession, d: str) -> DataFrame:
     return M.sequence_diff(old, new, "conv_id", "turn", "text")
 
 
-@query("SELECT doc_id, text FROM documents WHERE doc_id % 3 = 0")
-def mojibake(spark: SparkSession, d: str) -> DataFrame:
-    """Texts already in order stay as they are."""
-    return M.repair_mojibake(rows(spark, d, "documents", "doc_id", "text", where="doc_id % 3 = 0"), "text")
+_BROKEN = "concat(text, ' CafÃ© â€“ naÃ¯ve é')"
 
 
-_SECTION = "conv_id, turn AS place, concat(role, turn % 3) AS title, CASE WHEN turn % 2 = 0 THEN 'even' ELSE 'odd' END AS subtitle, text AS content"
+@query("SELECT doc_id, text || ' Café – naïve é' AS text FROM documents")
+def mojibake(spark: SparkSession, d: str) -> DataFrame:
+    """Every text gets letters and a dash whose UTF-8 was read as cp1252, and one letter that is in order."""
+    return M.repair_mojibake(rows(spark, d, "documents", "doc_id", f"{_BROKEN} AS text"), "text")
 
 
-@query("SELECT conv_id * 100 + turn AS report_id, turn AS place, 'CONTENT' AS rule FROM conversations")
-def printed_place(spark: SparkSession, d: str) -> DataFrame:
-    sections = rows(spark, d, "conversations", *_columns(_SECTION))
-    reports = sections.withColumn("content", F.concat("content", F.col("place").cast("string"))).selectExpr("conv_id", "conv_id * 100 + place AS report_id", "title", "subtitle", "content")
-    return M.printed_places(reports, sections.withColumn("content", F.concat("content", F.col("place").cast("string"))), "conv_id")
+_KIND = "CASE turn % 4 WHEN 0 THEN concat('c', turn) WHEN 1 THEN concat('t', turn) WHEN 2 THEN 'same' ELSE concat('{}', turn) END"
 
 
-def _columns(text: str) -> list[str]:
-    """Splits a list of expressions at its outer commas."""
-    out, depth, now = [], 0, ""
-    for c in text:
-        depth += (c == "(") - (c == ")")
-        if c == "," and not depth:
-            out.append(now.strip())
-            now = ""
-        else:
-            now += c
-    return [*out, now.strip()]
+@query("""
+SELECT conv_id * 100 + turn AS report_id, CASE WHEN turn % 4 < 3 THEN turn END AS place,
+  CASE turn % 4 WHEN 0 THEN 'CONTENT' WHEN 1 THEN 'TITLE' WHEN 2 THEN CASE WHEN count(*) FILTER (turn % 4 = 2) OVER (PARTITION BY conv_id) = 1 THEN 'TITLE' ELSE 'SUBTITLE' END ELSE 'NOT_PLACED' END AS rule
+FROM conversations
+""")
+def printed_place(spark: SparkSession, d: str) -> DataFrame:
+    """Contents that only one section has, titles that do, titles that need their subtitle, and none of these."""
+    sections = rows(spark, d, "conversations", "conv_id", "turn AS place", f"{_KIND.format('section')} AS title", "concat('s', turn) AS subtitle", "concat(text, turn) AS content")
+    reports = rows(spark, d, "conversations", "conv_id", "conv_id * 100 + turn AS report_id", f"{_KIND.format('report')} AS title", "concat('s', turn) AS subtitle", "concat(text, turn, CASE WHEN turn % 4 = 0 THEN '' ELSE 'x' END) AS content")
+    return M.printed_places(reports, sections, "conv_id")
 
 
 @query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'Minister for ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) WHEN 1 THEN 'Prime Minister' END AS office FROM orders JOIN customer ON o_custkey = c_custkey")
@@ -76,12 +71,14 @@ def put_to_phrase(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE k WHEN 0 THEN 'RANGE' WHEN 1 THEN 'DURATION' WHEN 2 THEN 'SINGLE' ELSE 'UNREAD' END AS form, CASE WHEN k < 3 THEN p END AS first, CASE k WHEN 0 THEN '9 May 1999' WHEN 2 THEN p END AS last, CASE WHEN k = 1 THEN 3 END AS number, CASE WHEN k = 1 THEN 'week' END AS unit
-FROM (SELECT o_orderkey, o_orderkey % 4 AS k, (1 + o_orderkey % 28) || ' March ' || (1970 + o_custkey % 40) AS p FROM orders)
+SELECT o_orderkey, CASE k WHEN 0 THEN 'PROSE_RANGE' WHEN 1 THEN 'PROSE_DURATION' WHEN 2 THEN 'PROSE_SINGLE_DAY' WHEN 3 THEN 'UNREAD' WHEN 4 THEN 'TABLE_ROW' WHEN 5 THEN 'STRUCTURED_LIST' WHEN 6 THEN 'PROSE_DAY_LIST' ELSE 'PROSE_MIXED' END AS form,
+  CASE WHEN k = 6 THEN '1, 2 and ' || p WHEN k <> 3 THEN p END AS first, CASE WHEN k IN (0, 4, 5, 7) THEN '9 May 1999' WHEN k = 2 THEN p WHEN k = 6 THEN '1, 2 and ' || p END AS last, CASE WHEN k = 1 THEN 3 END AS number, CASE WHEN k = 1 THEN 'week' END AS unit
+FROM (SELECT o_orderkey, o_orderkey % 8 AS k, (1 + o_orderkey % 28) || ' March ' || (1970 + o_custkey % 40) AS p FROM orders)
 """)
 def leave_entries(spark: SparkSession, d: str) -> DataFrame:
-    printed = "concat(1 + o_orderkey % 28, ' March ', 1970 + o_custkey % 40)"
-    text = f"CASE o_orderkey % 4 WHEN 0 THEN concat('Mr Tan, from ', {printed}, ' to 9 May 1999') WHEN 1 THEN concat('3 weeks from ', {printed}) WHEN 2 THEN concat('on ', {printed}, '.') ELSE 'until further notice' END AS t"
+    p = "concat(1 + o_orderkey % 28, ' March ', 1970 + o_custkey % 40)"
+    forms = [f"concat('Mr Tan, from ', {p}, ' to 9 May 1999')", f"concat('3 weeks from ', {p})", f"concat('on ', {p}, '.')", "'until further notice'", f"concat('| Mr Tan | ', {p}, ' | 9 May 1999 |')", f"concat('(a) Mr Tan: ', {p}, ' - 9 May 1999')", f"concat('on 1, 2 and ', {p})", f"concat('Mr Tan, ', {p}, ' to 9 May 1999 and on 12 June 1999')"]
+    text = "CASE o_orderkey % 8 " + " ".join(f"WHEN {k} THEN {form}" for k, form in enumerate(forms)) + " END AS t"
     r = rows(spark, d, "orders", "o_orderkey", text)
     return r.select("o_orderkey", *(c.alias(n) for n, c in M.parse_leave(F.col("t")).items()))
 
@@ -111,7 +108,7 @@ WITH l AS (SELECT conv_id, turn AS place, CASE WHEN turn % 3 = 1 THEN '* A note'
 SELECT conv_id, place, m IS NOT NULL AND (b IS NULL OR b < m) AS is_footnote FROM s
 """)
 def footnotes(spark: SparkSession, d: str) -> DataFrame:
-    return M.footnote_lines(rows(spark, d, "conversations", "conv_id", "turn AS place", "CASE WHEN turn % 3 = 1 THEN '* A note' ELSE text END AS line"), "conv_id").select("conv_id", "place", "is_footnote")
+    return M.footnote_lines(rows(spark, d, "conversations", "conv_id", "turn AS place", "CASE WHEN turn % 3 = 1 THEN '* A note' ELSE text END AS line"), "conv_id", r"^[*†‡]\s+\S", 120).select("conv_id", "place", "is_footnote")
 
 
 @query("""
@@ -138,3 +135,46 @@ def parliament_fallback(spark: SparkSession, d: str) -> DataFrame:
     asked = R.with_fallbacks(labels, "parliament", {0: [1, 2, 3]})
     hits = R.resolve_tiered(asked, R.lookups(people, ["asked"]), ["asked"], "label")
     return asked.join(hits, ["asked", "label"]).groupBy("parliament", "label").agg(F.min_by("person", "priority").alias("person"))
+
+
+_ROLE_TURNS = "conv_id", "turn AS ordinal", "CASE WHEN turn % 5 <> 3 THEN concat(role, turn % 3) END AS speaker", "turn % 4 = 0 AND conv_id % 7 <> 0 AS is_question", "CASE WHEN turn % 8 = 4 THEN concat('filer', conv_id % 5) WHEN turn % 8 = 0 AND conv_id % 3 = 0 THEN 'assistant1' END AS for_whom", "role = 'assistant' AS has_office", "turn % 7 = 6 AS is_chair"
+_ROLES_SQL = f"""
+t AS (SELECT {", ".join(_ROLE_TURNS)} FROM conversations),
+f AS (SELECT *, CASE WHEN is_question THEN coalesce(for_whom, speaker) END AS asker, min(ordinal) FILTER (is_question) OVER (PARTITION BY conv_id) AS q FROM t),
+k AS (SELECT DISTINCT conv_id, asker AS speaker FROM f WHERE asker IS NOT NULL), rd AS (SELECT DISTINCT conv_id, speaker FROM f WHERE is_question AND for_whom IS NOT NULL AND speaker IS NOT NULL),
+g AS (SELECT f.*, k.speaker IS NOT NULL AS asks, rd.speaker IS NOT NULL AS reads FROM f LEFT JOIN k ON f.conv_id = k.conv_id AND f.speaker = k.speaker LEFT JOIN rd ON f.conv_id = rd.conv_id AND f.speaker = rd.speaker WHERE q IS NOT NULL),
+h AS (SELECT *, has_office AND NOT is_chair AND NOT is_question AND ordinal > q AND speaker IS NOT NULL AND NOT asks AS answers FROM g), i AS (SELECT *, min(ordinal) FILTER (answers) OVER (PARTITION BY conv_id) AS a FROM h),
+m AS (
+  SELECT conv_id, asker AS speaker, 'ASKER' AS role, ordinal FROM i WHERE is_question AND asker IS NOT NULL UNION ALL SELECT conv_id, speaker, 'READER', ordinal FROM i WHERE is_question AND for_whom IS NOT NULL AND speaker IS NOT NULL
+  UNION ALL SELECT conv_id, speaker, 'CHAIR', ordinal FROM i WHERE is_chair AND speaker IS NOT NULL UNION ALL SELECT conv_id, speaker, 'ANSWERER', ordinal FROM i WHERE answers
+  UNION ALL SELECT conv_id, speaker, 'FOLLOW_UP', ordinal FROM i WHERE NOT is_question AND NOT is_chair AND speaker IS NOT NULL AND asks AND ordinal > a
+  UNION ALL SELECT conv_id, speaker, 'SUPPLEMENTARY', ordinal FROM i WHERE NOT is_question AND NOT is_chair AND speaker IS NOT NULL AND NOT has_office AND NOT asks AND NOT reads AND ordinal > a
+  UNION ALL SELECT conv_id, '', 'UNLABELLED', ordinal FROM i WHERE speaker IS NULL AND NOT is_chair
+), r AS (SELECT conv_id, speaker, role, min(ordinal) AS first_ordinal FROM m GROUP BY 1, 2, 3),
+roles AS (SELECT * FROM r UNION ALL SELECT conv_id, speaker, 'ABSENT_FILER', first_ordinal FROM r WHERE role = 'ASKER' AND NOT EXISTS (SELECT 1 FROM t WHERE t.conv_id = r.conv_id AND t.speaker = r.speaker))
+"""
+
+
+@query(f"WITH {_ROLES_SQL} SELECT * FROM roles")
+def question_roles(spark: SparkSession, d: str) -> DataFrame:
+    """All eight roles, some of them of one speaker."""
+    return M.question_roles(rows(spark, d, "conversations", *_ROLE_TURNS), "conv_id")
+
+
+_STATE_TEXT = "CASE WHEN turn = 1 AND conv_id % 4 = 1 THEN 'By private notice, the Member asked' WHEN turn = 2 AND conv_id % 5 = 2 THEN 'The Member was absent when called' WHEN turn = 3 THEN 'The answer is in writing' ELSE text END"
+
+
+@query(f"""
+WITH {_ROLES_SQL}, s AS (SELECT conv_id, turn, {_STATE_TEXT} AS transcript FROM conversations),
+p AS (SELECT conv_id, min(turn) FILTER (transcript LIKE '%private notice%') AS u, min(turn) FILTER (transcript LIKE '%absent when called%') AS ab, min(turn) FILTER (transcript LIKE '%in writing%') AS w FROM s GROUP BY 1),
+v AS (SELECT p.*, coalesce(bool_or(role = 'ASKER'), false) AS asked, coalesce(bool_or(role = 'ANSWERER'), false) AS answered FROM p LEFT JOIN roles ON p.conv_id = roles.conv_id GROUP BY ALL),
+x AS (SELECT *, CASE WHEN conv_id % 6 <> 1 THEN coalesce(ab, CASE WHEN asked AND NOT answered THEN w END) END AS silent FROM v)
+SELECT conv_id, 'CORRECTION' AS state, NULL::INT AS ordinal FROM x WHERE conv_id % 6 = 0 UNION ALL SELECT conv_id, 'URGENT', u::INT FROM x WHERE u IS NOT NULL
+UNION ALL SELECT conv_id, 'NOT_ASKED_ALOUD', silent::INT FROM x WHERE conv_id % 6 = 1 OR silent IS NOT NULL UNION ALL SELECT conv_id, 'NOT_A_QUESTION', NULL FROM x WHERE NOT asked
+""")
+def question_states(spark: SparkSession, d: str) -> DataFrame:
+    turns = rows(spark, d, "conversations", *_ROLE_TURNS)
+    titles = rows(spark, d, "conversations", "conv_id", "CASE conv_id % 6 WHEN 0 THEN 'CORRECTION BY WRITTEN STATEMENT' WHEN 1 THEN 'QUESTIONS STOOD OVER' ELSE 'Housing' END AS title").distinct()
+    patterns = {"correction": "(?i)^correction", "stood_over": "(?i)stood over", "urgent": "private notice", "absent": "absent when called", "not_aloud": "in writing"}
+    texts = rows(spark, d, "conversations", "conv_id", "turn AS ordinal", f"{_STATE_TEXT} AS transcript")
+    return M.question_states(titles, texts, M.question_roles(turns, "conv_id"), "conv_id", patterns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import dates as D
 from rostrum.operators import joins as J
+from rostrum.operators import sets as S
 from rostrum.operators import windows as W
 from rostrum.plans.registry import query, rows
 
@@ -171,13 +172,13 @@ def holder_on_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH m AS (SELECT l_orderkey, l_partkey, l_shipdate::DATE AS shipped, l_suppkey FROM lineitem WHERE l_linenumber = 1),
+WITH m AS (SELECT l_orderkey, l_partkey, l_shipdate::DATE AS shipped, l_suppkey FROM lineitem),
 n AS (SELECT o_orderkey, o_orderdate::DATE AS day, l_orderkey, l_partkey, shipped, abs(shipped - o_orderdate::DATE) AS gap FROM orders JOIN m ON o_custkey % 100 = l_suppkey WHERE abs(shipped - o_orderdate::DATE) <= 1)
 SELECT o_orderkey, day, l_orderkey, l_partkey, shipped, gap FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY gap, l_orderkey, l_partkey, shipped) AS r FROM n) WHERE r = 1
 """)
 def nearest_date_join(spark: SparkSession, d: str) -> DataFrame:
     orders = rows(spark, d, "orders", "o_orderkey", "o_custkey % 100 AS k", "to_date(o_orderdate) AS day")
-    lines = rows(spark, d, "lineitem", "l_suppkey AS k", "l_orderkey", "l_partkey", "to_date(l_shipdate) AS shipped", where="l_linenumber = 1")
+    lines = rows(spark, d, "lineitem", "l_suppkey AS k", "l_orderkey", "l_partkey", "to_date(l_shipdate) AS shipped")
     return J.nearest_join(orders, lines, ["k"], ["o_orderkey"], "day", "shipped", 1, ["l_orderkey", "l_partkey", "shipped"]).drop("k")
 
 
@@ -211,9 +212,9 @@ def unique_match_join(spark: SparkSession, d: str) -> DataFrame:
     return J.unique_match_join(part.drop("brand"), part, ["p_name", "p_size"], "brand").drop("p_size")
 
 
-@query("WITH p AS (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem WHERE l_quantity = 1) SELECT l_partkey, l_orderkey FROM p WHERE l_partkey IN (SELECT l_partkey FROM p GROUP BY 1 HAVING count(*) = 1) AND l_orderkey IN (SELECT l_orderkey FROM p GROUP BY 1 HAVING count(*) = 1)")
+@query("WITH p AS (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) SELECT l_partkey, l_orderkey FROM p WHERE l_partkey IN (SELECT l_partkey FROM p GROUP BY 1 HAVING count(*) = 1) AND l_orderkey IN (SELECT l_orderkey FROM p GROUP BY 1 HAVING count(*) = 1)")
 def mutual_unique_assignment(spark: SparkSession, d: str) -> DataFrame:
-    return J.mutual_unique(rows(spark, d, "lineitem", "l_partkey", "l_orderkey", where="l_quantity = 1"), "l_partkey", "l_orderkey")
+    return J.mutual_unique(rows(spark, d, "lineitem", "l_partkey", "l_orderkey"), "l_partkey", "l_orderkey")
 
 
 _PROCEEDINGS = ["l_shipdate::DATE AS day", "l_linenumber AS ayes", "CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_suppkey % 3 END AS noes", "CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_partkey % 2 END AS abstentions", "l_orderkey AS report_id", "l_suppkey AS place", "l_linenumber AS speech_number", "l_orderkey * 100000 + l_partkey AS ordinal"]
@@ -246,24 +247,21 @@ def nth_occurrence_join(spark: SparkSession, d: str) -> DataFrame:
     return J.nth_occurrence_join(left, right, ["o_custkey"], [F.col("o_orderdate"), F.col("filled")], [F.col("opened_on"), F.col("opened")]).select("o_custkey", "filled", "opened")
 
 
-@query("SELECT a.p_partkey, b.c_custkey FROM part a JOIN (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Ring small' WHEN 1 THEN 'bolt  blue' ELSE 'widget red widget' END AS name FROM customer WHERE c_custkey < 40) b ON array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(p_name), '\\s+'), lambda x: x <> ''))), ' ') = array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(name), '\\s+'), lambda x: x <> ''))), ' ')")
+@query("SELECT a.p_partkey, count(*) AS names FROM part a JOIN (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Ring small' WHEN 1 THEN 'bolt  blue' ELSE 'widget red widget' END AS name FROM customer) b ON array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(p_name), '\\s+'), lambda x: x <> ''))), ' ') = array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(name), '\\s+'), lambda x: x <> ''))), ' ') GROUP BY 1")
 def wordset_join(spark: SparkSession, d: str) -> DataFrame:
-    names = rows(spark, d, "customer", "c_custkey", "CASE c_custkey % 3 WHEN 0 THEN 'Ring small' WHEN 1 THEN 'bolt  blue' ELSE 'widget red widget' END AS name", where="c_custkey < 40")
+    names = rows(spark, d, "customer", "c_custkey", "CASE c_custkey % 3 WHEN 0 THEN 'Ring small' WHEN 1 THEN 'bolt  blue' ELSE 'widget red widget' END AS name")
     part = rows(spark, d, "part", "p_partkey", "p_name").withColumn("k", J.word_set(F.col("p_name")))
-    return part.join(names.withColumn("k", J.word_set(F.col("name"))), "k").select("p_partkey", "c_custkey")
-
-
-_NAME = "array_join(slice(split(substring(text, 1, 400), '[ \\\\n]+'), 1, 4), ' ')"
+    return part.join(names.withColumn("k", J.word_set(F.col("name"))), "k").groupBy("p_partkey").agg(F.count("*").alias("names"))
 
 
 @query(r"""
-WITH n AS (SELECT lang, doc_id, string_split_regex(lower(array_to_string(string_split_regex(substr(text, 1, 400), '[ \n]+')[1:4], ' ')), '\s+') AS w FROM documents),
-p AS (SELECT lang, doc_id, array_to_string(w[1:k], ' ') AS prefix FROM (SELECT lang, doc_id, w, unnest(range(2, len(w) + 1)) AS k FROM n WHERE len(w) >= 2))
-SELECT lang, prefix, min(doc_id) AS doc_id FROM p GROUP BY 1, 2 HAVING min(doc_id) = max(doc_id)
+WITH n AS (SELECT p_brand, p_partkey, string_split_regex(lower(p_name || ' ' || p_type || ' ' || p_size), '\s+') AS w FROM part),
+p AS (SELECT p_brand, p_partkey, array_to_string(w[1:k], ' ') AS prefix FROM (SELECT p_brand, p_partkey, w, unnest(range(2, len(w) + 1)) AS k FROM n WHERE len(w) >= 2))
+SELECT p_brand, prefix, min(p_partkey) AS p_partkey FROM p GROUP BY 1, 2 HAVING min(p_partkey) = max(p_partkey)
 """)
 def unique_prefix_join(spark: SparkSession, d: str) -> DataFrame:
-    names = rows(spark, d, "documents", "lang", "doc_id", f"{_NAME} AS name")
-    return J.unique_prefixes(names, ["lang"], "name", "doc_id")
+    names = rows(spark, d, "part", "p_brand", "p_partkey", "concat(p_name, ' ', p_type, ' ', p_size) AS name")
+    return J.unique_prefixes(names, ["p_brand"], "name", "p_partkey")
 
 
 @query(r"""
@@ -311,10 +309,57 @@ def last_n_all(spark: SparkSession, d: str) -> DataFrame:
     return last.groupBy("user_id").agg(F.bool_and(F.col("event_type") != "error").alias("all_succeeded"), F.count("*").alias("n"))
 
 
-@query("SELECT day::DATE AS day, coalesce(n, 0) AS n FROM (SELECT unnest(range((SELECT min(ts)::DATE FROM events)::TIMESTAMP, ((SELECT max(ts)::DATE FROM events) + 3)::TIMESTAMP, INTERVAL 1 DAY)) AS day) s LEFT JOIN (SELECT ts::DATE AS d, count(*) AS n FROM events WHERE event_type = 'error' AND user_id % 20 = 3 GROUP BY 1) e ON s.day::DATE = d")
+@query("SELECT day::DATE AS day, coalesce(n, 0) AS n FROM (SELECT unnest(range((SELECT min(ts)::DATE FROM events)::TIMESTAMP, ((SELECT max(ts)::DATE FROM events) + 3)::TIMESTAMP, INTERVAL 1 DAY)) AS day) s LEFT JOIN (SELECT ts::DATE AS d, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1) e ON s.day::DATE = d")
 def date_spine(spark: SparkSession, d: str) -> DataFrame:
     e = rows(spark, d, "events", "to_date(ts) AS day", "event_type", "user_id")
     ends = e.agg(F.min("day").alias("a"), F.max("day").alias("b"))
     spine = ends.select(F.explode(F.sequence("a", F.date_add("b", 2))).alias("day"))
-    counts = e.where("event_type = 'error' AND user_id % 20 = 3").groupBy("day").agg(F.count("*").alias("n"))
+    counts = e.where("event_type = 'error'").groupBy("day").agg(F.count("*").alias("n"))
     return spine.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+_PLACED = "CASE WHEN o_orderkey % 3 = 0 THEN 'stored' ELSE 'load' END"
+
+
+@query(f"""
+WITH RECURSIVE o AS (SELECT o_custkey % 400 AS key, o_orderkey AS id, o_orderdate::DATE AS day, o_orderkey % 17 <> 5 AS word, o_orderpriority = '1-URGENT' AS first, o_orderstatus = 'F' AS passing, {_PLACED} AS side FROM orders),
+b AS (SELECT key, o_bill AS bill_id, min(id) AS first_id, min(day) AS first_day, max(day) AS last_day, bool_or(passing) AS passed FROM (SELECT *, key * 10 + id % 2 AS o_bill FROM o WHERE side = 'stored' AND day < DATE '1997-01-01') GROUP BY 1, 2),
+l AS (SELECT * FROM b WHERE last_day = (SELECT max(last_day) FROM b c WHERE c.key = b.key)), s AS (SELECT key, count(*) AS n, min(bill_id) AS bill_id, min(first_id) AS first_id, min(first_day) AS first_day, min(last_day) AS last_day, bool_or(passed) AS passed FROM l GROUP BY 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY day, id) AS r FROM o WHERE side = 'load' AND word AND key NOT IN (SELECT key FROM s WHERE n > 1)),
+w AS (
+  SELECT DISTINCT r.key, NULL::BIGINT AS id, 0::BIGINT AS r, s.bill_id AS bill, 0 AS number, s.first_id, s.first_day, s.last_day, coalesce(s.passed, false) AS passed, NULL::VARCHAR AS reason FROM r LEFT JOIN s ON r.key = s.key
+  UNION ALL
+  SELECT key, rid, rr, CASE WHEN reason IS NOT NULL OR NOT new THEN bill END, CASE WHEN reason IS NULL AND new THEN number + 1 ELSE number END, first_id, CASE WHEN reason IS NULL AND new THEN day ELSE first_day END, CASE WHEN reason IS NULL THEN day ELSE last_day END, CASE WHEN reason IS NOT NULL THEN passed WHEN new THEN passing ELSE passed OR passing END, reason
+  FROM (SELECT *, CASE WHEN last_day IS NOT NULL AND day < last_day THEN 'DATED_BEFORE_OPEN_BILL' WHEN NOT new AND bill IS NOT NULL AND day = first_day AND rid < first_id THEN 'SORTS_BELOW_STORED_KEY' END AS reason
+    FROM (SELECT w.key, w.bill, w.number, w.first_id, w.first_day, w.last_day, w.passed, r.id AS rid, r.r AS rr, r.day, r.passing, w.last_day IS NULL OR ((w.passed OR r.first) AND r.day > w.last_day) OR r.day - w.last_day > 366 AS new FROM w JOIN r ON r.key = w.key AND r.r = w.r + 1))
+)
+SELECT key, id, CASE WHEN reason IS NULL THEN bill END AS bill_id, CASE WHEN reason IS NULL AND bill IS NULL THEN number END AS new_bill, reason FROM w WHERE id IS NOT NULL
+UNION ALL SELECT key, id, NULL, NULL, CASE WHEN word THEN 'TWO_BILLS_SHARE_LATEST_DATE' ELSE 'NO_BILL_WORD' END FROM o WHERE side = 'load' AND (NOT word OR key IN (SELECT key FROM s WHERE n > 1))
+""")
+def bill_placement(spark: SparkSession, d: str) -> DataFrame:
+    """A load of reports against the bills that earlier ones made."""
+    bills = rows(spark, d, "orders", "o_custkey % 400 AS key", "o_orderkey AS id", "to_date(o_orderdate) AS day", "o_orderkey % 17 <> 5 AS has_bill_word", "o_orderpriority = '1-URGENT' AS is_first_reading", "o_orderstatus = 'F' AS is_passing", f"{_PLACED} AS side")
+    old = bills.where("side = 'stored' AND day < DATE '1997-01-01'").groupBy("key", (F.col("key") * 10 + F.col("id") % 2).alias("bill_id"))
+    stored = old.agg(F.min("id").alias("first_id"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.bool_or("is_passing").alias("is_passed"))
+    return W.place_reports(bills.where("side = 'load'").drop("side"), stored)
+
+
+@query("SELECT l_suppkey, l_orderkey, l_linenumber, previous FROM (SELECT l_suppkey, l_orderkey, l_linenumber, lag(l_partkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS previous, l_partkey FROM lineitem) WHERE previous >= l_partkey")
+def order_violations(spark: SparkSession, d: str) -> DataFrame:
+    lines = rows(spark, d, "lineitem", "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "struct(l_orderkey, l_linenumber, l_partkey) AS place")
+    return S.order_violations(lines, ["l_suppkey"], "place", "l_partkey").select("l_suppkey", "l_orderkey", "l_linenumber", "previous")
+
+
+@query("SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'O'")
+def set_intersection(spark: SparkSession, d: str) -> DataFrame:
+    o = rows(spark, d, "orders", "o_custkey", "o_orderpriority", "o_orderstatus")
+    return S.intersection(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'O'"), ["o_custkey", "o_orderpriority"])
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN year(day) >= 2011 THEN 4 WHEN year(day) >= 1990 THEN 9 WHEN year(day) >= 1967 THEN 18 ELSE 35 END AS most_days, day < make_date(y, 1, 1) OR day > make_date(y + 1, 1, 31) AS misprinted
+FROM (SELECT o_orderkey, (o_orderdate::DATE + ((o_custkey % 70 - 40) * 365)::INT) AS day, (year(o_orderdate) + o_custkey % 70 - 40 - o_orderkey % 3)::INT AS y FROM orders)
+""")
+def publication_windows(spark: SparkSession, d: str) -> DataFrame:
+    r = rows(spark, d, "orders", "o_orderkey", "date_add(to_date(o_orderdate), cast((o_custkey % 70 - 40) * 365 AS INT)) AS day", "concat(o_orderkey % 40 + 1, '/', year(o_orderdate) + o_custkey % 70 - 40 - o_orderkey % 3) AS number")
+    return r.select("o_orderkey", D.publication_days(F.col("day")).alias("most_days"), D.is_misprinted(F.col("number"), F.col("day")).alias("misprinted"))

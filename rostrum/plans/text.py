@@ -14,7 +14,7 @@ from rostrum.plans.registry import query, rows
 _ROMAN = "concat(chr(65 + CAST(c_custkey % 26 AS INT)), '. ', chr(65 + CAST(c_custkey % 7 AS INT)), '. ', chr(66 + CAST(c_custkey % 5 AS INT)), '. Mohd. ', c_name)"
 
 
-@query(rf"SELECT c_custkey, regexp_replace(regexp_replace(regexp_replace({_ROMAN}, '([A-Z]\.) ([A-Z]\.)', '\1\2', 'g'), '([A-Z]\.) ([A-Z]\.)', '\1\2', 'g'), '\bMohd\.', 'Mohd', 'g') AS name FROM customer")
+@query("SELECT c_custkey, chr((65 + c_custkey % 26)::INT) || '.' || chr((65 + c_custkey % 7)::INT) || '.' || chr((66 + c_custkey % 5)::INT) || '. Mohd ' || c_name AS name FROM customer")
 def normalize_name(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d, "customer", "c_custkey", f"{_ROMAN} AS raw").select("c_custkey", N.normalize_name(F.col("raw")).alias("name"))
 
@@ -22,7 +22,7 @@ def normalize_name(spark: SparkSession, d: str) -> DataFrame:
 _DOTTED = "concat(chr(65 + CAST(c_custkey % 26 AS INT)), '.', chr(65 + CAST(c_custkey % 7 AS INT)), '.  ', c_name, ' ', c_mktsegment)"
 
 
-@query(rf"SELECT c_custkey, lower(trim(regexp_replace(regexp_replace(regexp_replace({_DOTTED}, '([A-Z])\.([A-Z])', '\1 \2', 'g'), '([A-Z])\.', '\1', 'g'), '\s+', ' ', 'g'))) AS name FROM customer")
+@query("SELECT c_custkey, lower(chr((65 + c_custkey % 26)::INT) || ' ' || chr((65 + c_custkey % 7)::INT) || ' ' || c_name || ' ' || c_mktsegment) AS name FROM customer")
 def period_normalize(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d, "customer", "c_custkey", f"{_DOTTED} AS raw").select("c_custkey", N.period_normalize(F.col("raw")).alias("name"))
 
@@ -30,17 +30,20 @@ def period_normalize(spark: SparkSession, d: str) -> DataFrame:
 _MALAY = "CASE c_custkey % 4 WHEN 0 THEN concat('Ahmad Bin ', c_name) WHEN 1 THEN concat('Siti binte ', c_name, ' bin Ali') WHEN 2 THEN concat('Abdul Haji ', c_name) ELSE concat('Mohamad-Tuan Hj. ', c_name) END"
 
 
-@query(rf"SELECT c_custkey, trim(regexp_replace(n, '(?i)\s+bin(?:te)?\s+', ' ', 'g')) AS bin_free, trim(regexp_replace(n, '\s+(?:[Tt]uan\s+)?(?:[Hh]aji|[Hh]j\.?)\s+', ' ', 'g')) AS haji_free, trim(regexp_replace(replace(regexp_replace(n, '\b(?:Mohamad|Mohammed|Mohammad)\b', 'Mohamed', 'g'), '-', ' '), '\s+', ' ', 'g')) AS spelling FROM (SELECT c_custkey, {_MALAY} AS n FROM customer)")
+@query("""
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Ahmad ' || c_name WHEN 1 THEN 'Siti ' || c_name || ' Ali' WHEN 2 THEN 'Abdul Haji ' || c_name ELSE 'Mohamad-Tuan Hj. ' || c_name END AS bin_free,
+  CASE c_custkey % 4 WHEN 0 THEN 'Ahmad Bin ' || c_name WHEN 1 THEN 'Siti binte ' || c_name || ' bin Ali' WHEN 2 THEN 'Abdul ' || c_name ELSE 'Mohamad-Tuan ' || c_name END AS haji_free,
+  CASE c_custkey % 4 WHEN 0 THEN 'Ahmad Bin ' || c_name WHEN 1 THEN 'Siti binte ' || c_name || ' bin Ali' WHEN 2 THEN 'Abdul Haji ' || c_name ELSE 'Mohamed Tuan Hj. ' || c_name END AS spelling FROM customer
+""")
 def name_particles(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("n")
     return rows(spark, d, "customer", "c_custkey", f"{_MALAY} AS n").select("c_custkey", N.strip_bin(n).alias("bin_free"), N.strip_middle_haji(n).alias("haji_free"), N.spelling_normalize(n).alias("spelling"))
 
 
 _TITLED = "concat(CASE c_custkey % 6 WHEN 0 THEN 'Mr ' WHEN 1 THEN 'Assoc. Prof. Dr ' WHEN 2 THEN 'The Hon. BG (NS) ' WHEN 3 THEN 'Tun Dato Haji ' WHEN 4 THEN 'Mister ' ELSE '' END, c_name)"
-_SQL_TITLES = "|".join(p.replace(".", r"\.").replace("(", r"\(").replace(")", r"\)").replace("[", r"\[").replace("]", r"\]") for p in N.TITLE_PREFIXES)
 
 
-@query(f"SELECT c_custkey, regexp_replace({_TITLED}, '^(?:{_SQL_TITLES})+', '') AS name FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 6 = 4 THEN 'Mister ' ELSE '' END || c_name AS name FROM customer")
 def strip_title(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d, "customer", "c_custkey", f"{_TITLED} AS raw").select("c_custkey", N.strip_title(F.col("raw")).alias("name"))
 
@@ -64,10 +67,9 @@ def clean_label(spark: SparkSession, d: str) -> DataFrame:
 _TITLE = "concat(CASE p_partkey % 2 WHEN 0 THEN 'The ' ELSE '' END, p_name, ' (Amendment No. 2)', CASE p_partkey % 3 WHEN 0 THEN ' Act 1999' WHEN 1 THEN ' Bill' ELSE ' Ordinance (Chapter 12A)' END)"
 
 
-@query(rf"""
-WITH t AS (SELECT p_partkey, {_TITLE} AS t FROM part), k AS (SELECT p_partkey, regexp_replace(lower(t), '[\W_]+', '', 'g') AS title_key,
-  regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '^The\s+', ''), '\s*\(Chapter\s+[A-Za-z0-9]+\)\s*$', ''), '[,\s]*\d{{4}}\s*$', ''), '(?i)\s*\b(?:Act|Ordinance|Bill)\s*$', '') || ' Bill'), '[\W_]+', '', 'g') AS bill_key FROM t)
-SELECT *, regexp_replace(bill_key, 'amendment(?:no\d+)?|no\d+', '', 'g') AS loose_key FROM k
+@query("""
+WITH k AS (SELECT p_partkey, lower(replace(p_name, ' ', '')) || 'amendmentno2' AS k, CASE p_partkey % 2 WHEN 0 THEN 'the' ELSE '' END AS a, CASE p_partkey % 3 WHEN 0 THEN 'act1999' WHEN 1 THEN 'bill' ELSE 'ordinancechapter12a' END AS z FROM part)
+SELECT p_partkey, a || k || z AS title_key, k || 'bill' AS bill_key, replace(k, 'amendmentno2', '') || 'bill' AS loose_key FROM k
 """)
 def title_key(spark: SparkSession, d: str) -> DataFrame:
     t = rows(spark, d, "part", "p_partkey", f"{_TITLE} AS t")
@@ -111,10 +113,13 @@ def closed_vocab(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d, "part", "p_partkey", "p_name").select("p_partkey", found.alias("found"), rest.alias("rest"))
 
 
-@query(r"SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z]\d')) AS letter_digit, len(regexp_extract_all(text, '!!')) AS bangs, len(regexp_extract_all(text, '&[a-z]+;')) AS entities, CASE WHEN length(text) - length(replace(text, '(', '')) <> length(text) - length(replace(text, ')', '')) THEN 'unbalanced parentheses' ELSE '' END AS pairs FROM documents WHERE NOT contains(text, '“') AND NOT contains(text, '”')")
+_UNEVEN = "length(text) - length(replace(text, '{}', '')) <> length(text) - length(replace(text, '{}', ''))"
+
+
+@query(rf"SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z]\d')) AS letter_digit, len(regexp_extract_all(text, '!!')) AS bangs, len(regexp_extract_all(text, '&[a-z]+;')) AS entities, concat_ws(';', CASE WHEN {_UNEVEN.format('“', '”')} THEN 'unbalanced double quotes' END, CASE WHEN {_UNEVEN.format('(', ')')} THEN 'unbalanced parentheses' END) AS pairs FROM documents")
 def char_audit(spark: SparkSession, d: str) -> DataFrame:
     counts = N.fault_counts(F.col("text"), {"letter_digit": r"[A-Za-z]\d", "bangs": "!!", "entities": "&[a-z]+;"})
-    docs = rows(spark, d, "documents", "doc_id", "text", where="NOT contains(text, '“') AND NOT contains(text, '”')")
+    docs = rows(spark, d, "documents", "doc_id", "text")
     return docs.select("doc_id", *(c.cast("long").alias(n) for n, c in counts.items()), N.unbalanced_pairs(F.col("text")).alias("pairs"))
 
 
@@ -179,9 +184,9 @@ def json_list(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.from_json("props", "k int")["k"].alias("k"), F.size(F.json_object_keys("props")).cast("long").alias("n"))
 
 
-@query("SELECT conv_id, turn, unnest(list_filter(list_transform(string_split(text, ','), lambda x: trim(x)), lambda x: x <> '')) AS name FROM conversations WHERE NOT contains(text, chr(10))")
+@query("SELECT conv_id, turn, unnest(list_filter(list_transform(string_split(text, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '')) AS name FROM conversations")
 def split_names(spark: SparkSession, d: str) -> DataFrame:
-    c = rows(spark, d, "conversations", "conv_id", "turn", "text", where="NOT contains(text, chr(10))")
+    c = rows(spark, d, "conversations", "conv_id", "turn", "text")
     return c.select("conv_id", "turn", F.explode(N.split_names(F.col("text"), ",")).alias("name"))
 
 
@@ -240,9 +245,9 @@ def split_events(spark: SparkSession, d: str) -> DataFrame:
     return X.split_events(rows(spark, d, "conversations", "conv_id", "turn", f"{_EVENTFUL} AS t"), ["conv_id", "turn"], "t")
 
 
-@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'Mandarin' END AS language, text AS transcript FROM conversations WHERE NOT regexp_matches(text, '^[_*(]')")
+@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'Mandarin' END AS language, CASE WHEN turn % 2 = 0 THEN ltrim(text) ELSE text END AS transcript FROM conversations")
 def language_note(spark: SparkSession, d: str) -> DataFrame:
-    c = rows(spark, d, "conversations", "conv_id", "turn", "CASE WHEN turn % 2 = 0 THEN concat('_(In MANDARIN)_: ', text) ELSE text END AS t", where="NOT rlike(text, '^[_*(]')")
+    c = rows(spark, d, "conversations", "conv_id", "turn", "CASE WHEN turn % 2 = 0 THEN concat('_(In MANDARIN)_: ', text) ELSE text END AS t")
     language, rest = X.language_note(F.col("t"))
     return c.select("conv_id", "turn", language.alias("language"), rest.alias("transcript"))
 
@@ -337,17 +342,97 @@ def listing_rows(spark: SparkSession, d: str) -> DataFrame:
     return X.listing_rows(rows(spark, d, "pages", "page_id", f"{_LISTING} AS html"), "page_id", "html").select("page_id", "row", F.concat_ws("|", "cells").alias("cells"))
 
 
-@query(f"SELECT conv_id, count(*) AS paragraphs FROM ({_LINES.format(source=_RECORD_SQL)}) WHERE trim(line) <> '' GROUP BY 1")
+@query(f"SELECT conv_id, place * 3 AS place, 'Word x y ' || line AS line FROM (SELECT conv_id, place, regexp_replace(line, '^ +| +$', '', 'g') AS line FROM ({_LINES.format(source=_RECORD_SQL)}) WHERE trim(line) <> '')")
 def join_cut_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    cut = X.lines(_records(spark, d), "conv_id", "text")
-    # Each line is cut after its first word by a column marker, and joined again.
-    parts = F.array(F.concat(F.lit("Word "), F.lit("x")), F.lit("Column: 12"), F.concat(F.lit("y "), F.col("line")))
-    broken = cut.where(F.trim("line") != "").select("conv_id", "place", F.posexplode(parts).alias("k", "line")).select("conv_id", (F.col("place") * 3 + F.col("k")).alias("place"), "line")
-    return X.join_cut_paragraphs(broken, "conv_id").groupBy("conv_id").agg(F.count("*").alias("paragraphs"))
+    """Each line is cut after its first words by a column marker, and joined again."""
+    cut = X.lines(_records(spark, d), "conv_id", "text").where(F.trim("line") != "")
+    parts = F.array(F.lit("Word x"), F.lit("Column: 12"), F.concat(F.lit("y "), F.trim("line")))
+    broken = cut.select("conv_id", "place", F.posexplode(parts).alias("k", "line")).select("conv_id", (F.col("place") * 3 + F.col("k")).alias("place"), "line")
+    return X.join_cut_paragraphs(broken, "conv_id")
 
 
-@query("SELECT conv_id, turn + 1 AS number, (turn + 1) || '. Act ' || turn || chr(10) || 'Date: ' || role AS text FROM conversations")
+@query("SELECT conv_id, turn + 1 AS number, (turn + 1) || '. Act ' || turn || chr(10) || 'Date: ' || role || chr(10) || CASE WHEN turn > 0 THEN '1. a line of its own' ELSE '7. a line of its own' END AS text FROM conversations")
 def history_entries(spark: SparkSession, d: str) -> DataFrame:
-    turns = rows(spark, d, "conversations", "conv_id", "turn", "concat(turn + 1, '. Act ', turn, chr(10), 'Date: ', role) AS t")
+    """Blocks with numbered lines of their own inside."""
+    inner = "CASE WHEN turn > 0 THEN '1. a line of its own' ELSE '7. a line of its own' END"
+    turns = rows(spark, d, "conversations", "conv_id", "turn", f"concat(turn + 1, '. Act ', turn, chr(10), 'Date: ', role, chr(10), {inner}) AS t")
     text = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "t"))).alias("a")).select("conv_id", F.concat_ws("\n", F.transform("a", lambda x: x["t"])).alias("text"))
     return X.history_entries(X.lines(text, "conv_id", "text"), "conv_id")
+
+
+_NULS = "concat('{\"a\": \"', split_part(url, '/', 3), chr(92), 'u0000x', chr(92), chr(92), 'u0000\"}')"
+
+
+@query("SELECT page_id, concat('{\"a\": \"', split_part(url, '/', 3), 'x', chr(92), chr(92), 'u0000\"}') AS body FROM pages")
+def nul_strip(spark: SparkSession, d: str) -> DataFrame:
+    """An escaped NUL goes; an escaped backslash before u0000 stays."""
+    return rows(spark, d, "pages", "page_id", f"{_NULS} AS body").select("page_id", N.strip_nul(F.col("body")).alias("body"))
+
+
+_MARKED = "concat('<p class=\"a\">**', split_part(url, '/', 3), '**<br/>_and_  &lt;b&gt; &amp;amp; ', page_id, '</p>')"
+
+
+@query("SELECT page_id, concat(split_part(url, '/', 3), ' and <b> &amp; ', page_id) AS text FROM pages")
+def diff_text(spark: SparkSession, d: str) -> DataFrame:
+    return rows(spark, d, "pages", "page_id", f"{_MARKED} AS t").select("page_id", N.diff_text(F.col("t")).alias("text"))
+
+
+_GAZETTE = "concat('REPUBLIC\n', upper(url), '\n BILL\nBill No. ', page_id + 1, '/', 1990 + page_id % 30, '.\nRead the first time on the ', 1 + page_id % 28, 'th March, ', 1990 + page_id % 30, '.\n', CASE WHEN page_id % 2 = 0 THEN concat('Passed by Parliament on ', 1 + page_id % 28, ' May ', 1990 + page_id % 30, '. Act ', page_id + 2, ' of ', 1990 + page_id % 30) ELSE '' END)"
+
+
+@query("""
+SELECT page_id, CASE WHEN page_id % 9 <> 4 THEN 'REPUBLIC ' || upper(url) || ' BILL' END AS title, CASE WHEN page_id % 9 <> 4 THEN (page_id + 1) || '/' || y END AS bill_number, CASE WHEN page_id % 9 <> 4 THEN make_date(y, 3, d) END AS first_reading,
+  CASE WHEN page_id % 9 <> 4 AND page_id % 2 = 0 THEN make_date(y, 5, d) END AS passing, CASE WHEN page_id % 9 <> 4 AND page_id % 2 = 0 THEN (page_id + 2) || '/' || y END AS act_number
+FROM (SELECT *, (1990 + page_id % 30)::INT AS y, (1 + page_id % 28)::INT AS d FROM pages)
+""")
+def gazette_fields(spark: SparkSession, d: str) -> DataFrame:
+    r = rows(spark, d, "pages", "page_id", f"CASE WHEN page_id % 9 <> 4 THEN {_GAZETTE} ELSE 'No number here.' END AS t")
+    return r.select("page_id", *(c.alias(n) for n, c in X.gazette_fields(F.col("t")).items()))
+
+
+_INDEX = "CASE WHEN page_id % 2 = 0 THEN concat('{\"data\": [{\"description\": \"Minutes ', page_id, '\", \"date\": \"', 1 + page_id % 28, '-5-2019\", \"file\": \"m', page_id, '.pdf\"}, {\"description\": \"none\"}]}') ELSE concat('<div class=\"indv-votes\"><h5>Votes ', page_id, '</h5><p>Sitting on Monday, ', 1 + page_id % 28, ' May 2001</p><a href=\"v', page_id, '.doc\">x</a></div><div class=\"indv-votes\"><a href=\"w.pdf?a=1\"><span>Last</span></a></div>') END"
+
+
+@query("""
+SELECT page_id, 0 AS n, 'Minutes ' || page_id AS label, make_date(2019, 5, (1 + page_id % 28)::INT) AS day, 'm' || page_id || '.pdf' AS href, 'PDF' AS format FROM pages WHERE page_id % 2 = 0
+UNION ALL SELECT page_id, 0, 'Votes ' || page_id, make_date(2001, 5, (1 + page_id % 28)::INT), 'v' || page_id || '.doc', 'DOC' FROM pages WHERE page_id % 2 = 1
+UNION ALL SELECT page_id, 1, 'Last', NULL, 'w.pdf?a=1', 'PDF' FROM pages WHERE page_id % 2 = 1
+""")
+def index_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Both layouts."""
+    return X.index_rows(rows(spark, d, "pages", "page_id", f"{_INDEX} AS html"), "page_id", "html")
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, (sum(17 + length(turn::VARCHAR) + length(conv_id::VARCHAR)) OVER (PARTITION BY conv_id ORDER BY turn) - (17 + length(turn::VARCHAR) + length(conv_id::VARCHAR)))::INT AS begins FROM conversations)
+SELECT conv_id, turn, CASE WHEN turn % 5 <> 4 THEN begins END AS position FROM t
+""")
+def text_alignment(spark: SparkSession, d: str) -> DataFrame:
+    """Turns are found one after the other in their conversation's text; those that are not in it are skipped."""
+    turns = rows(spark, d, "conversations", "conv_id", "turn", "concat('*Turn*  number ', turn, ' of ', conv_id) AS t")
+    text = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "t"))).alias("a")).select("conv_id", F.concat_ws("\n", F.transform("a", lambda x: x["t"])).alias("text"))
+    sought = turns.withColumn("t", F.when(F.col("turn") % 5 == 4, F.concat(F.lit("other "), "t")).otherwise(F.col("t")))
+    return X.align_rows(sought, text, "conv_id", "turn", "t", "text")
+
+
+@query(f"""
+WITH l AS (SELECT conv_id, place, regexp_replace(line, '^ +| +$', '', 'g') AS line FROM ({_LINES.format(source=_RECORD_SQL)})), p AS (SELECT *, sum((line = '')::INT) OVER (PARTITION BY conv_id ORDER BY place) AS p FROM l),
+m AS (SELECT *, max(length(line)) OVER (PARTITION BY conv_id, p) AS longest, lag(length(line)) OVER (PARTITION BY conv_id, p ORDER BY place) AS before FROM p WHERE line <> ''),
+r AS (SELECT *, sum((NOT coalesce(before >= 20 AND before >= longest * 0.6, false))::INT) OVER (PARTITION BY conv_id, p ORDER BY place) AS r FROM m)
+SELECT conv_id, min(place) AS place, regexp_replace(string_agg(line, ' ' ORDER BY place), '([a-zà-ÿß])- ([a-zà-ÿ])', '\\1\\2', 'g') AS line FROM r GROUP BY conv_id, p, r
+""")
+def wrapped_lines(spark: SparkSession, d: str) -> DataFrame:
+    return X.join_wrapped_lines(X.lines(_records(spark, d), "conv_id", "text"), "conv_id")
+
+
+_ONE_TURNS = "conv_id", "turn AS ordinal", "CASE WHEN turn % 4 = 3 THEN NULL WHEN conv_id % 2 = 0 THEN 'only' ELSE role END AS speaker", "CASE WHEN turn % 4 = 3 THEN 'PROCEDURAL' ELSE 'SPEECH' END AS kind", "text AS transcript"
+
+
+@query(f"""
+WITH t AS (SELECT {", ".join(_ONE_TURNS)} FROM conversations), w AS (SELECT conv_id, min(speaker) = max(speaker) AS one, min(speaker) AS who FROM t WHERE kind = 'SPEECH' GROUP BY 1),
+j AS (SELECT t.*, one, who, NOT coalesce(one AND kind = 'SPEECH' AND lag(kind) OVER (PARTITION BY t.conv_id ORDER BY ordinal) = 'SPEECH', false) AS new FROM t LEFT JOIN w ON t.conv_id = w.conv_id),
+r AS (SELECT *, sum(new::INT) OVER (PARTITION BY conv_id ORDER BY ordinal) AS r FROM j)
+SELECT conv_id, r::INT AS ordinal, CASE WHEN min(kind) = 'SPEECH' THEN coalesce(CASE WHEN bool_or(one) THEN min(who) END, min(speaker)) END AS speaker, min(kind) AS kind, string_agg(transcript, chr(10) ORDER BY ordinal) AS transcript FROM r GROUP BY conv_id, r
+""")
+def single_speaker(spark: SparkSession, d: str) -> DataFrame:
+    return X.collapse_single(rows(spark, d, "conversations", *_ONE_TURNS), "conv_id")

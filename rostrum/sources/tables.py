@@ -129,6 +129,27 @@ def publish(df: DataFrame, path: str) -> None:
     fs.delete(gone, True)
 
 
+def write_lines(df: DataFrame, path: str, form: str = "jsonl", rows_a_file: int = 0) -> None:
+    """Rows as JSON lines (form jsonl) or tab-separated values with a header (tsv); rows_a_file cuts them into packets."""
+    writer = df.write.mode("overwrite")
+    if rows_a_file:
+        writer = writer.option("maxRecordsPerFile", rows_a_file)
+    if form == "jsonl":
+        writer.option("ignoreNullFields", False).json(path)
+    else:
+        writer.option("sep", "\t").option("header", True).csv(path)
+
+
+def write_plan(df: DataFrame, path: str) -> None:
+    """A plan file: the rows that a later write must find as they were planned."""
+    df.write.mode("overwrite").json(path)
+
+
+def read_plan(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The rows of a plan file in the schema of `like`; compare with sets.check_equal before writing."""
+    return spark.read.schema(like.schema).option("mode", "FAILFAST").json(path)
+
+
 def append_new(new: DataFrame, stored_path: str, keys: list[str]) -> None:
     """Appends the rows whose keys are not stored yet."""
     spark = new.sparkSession

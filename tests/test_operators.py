@@ -1,7 +1,9 @@
 """Operators on small rows, and cases their SQL doesn't reach."""
 
 import datetime
+import difflib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +15,9 @@ from rostrum.operators import citations as C
 from rostrum.operators import documents as X
 from rostrum.operators import graph as G
 from rostrum.operators import joins as J
+from rostrum.operators import matching as M
 from rostrum.operators import resolve as R
+from rostrum.operators import sampling as P2
 from rostrum.operators import sets as S
 from rostrum.operators import windows as W
 from rostrum.plans import refresh as P
@@ -181,3 +185,139 @@ def test_refresh_twice_and_halt(spark, tmp_path):
     assert spark.read.parquet(f"{store}/ledger").count() == 4
     assert not P.is_fresh(spark.read.parquet(f"{store}/ledger")).first()[0]
     assert P.probe_start(day("2020-01-20"), day("2020-01-21")) == day("2020-01-07")
+
+
+def test_every_tier_is_reached(spark):
+    people = spark.createDataFrame([(1, "Ahmad bin Mohammed Rashid", 10), (1, "Lee Wei Ling", 11), (1, "Tan Ah Kow", 12), (1, "Siti Noor binte Yusof", 13), (1, "Jeyaretnam", 14), (1, "Goh Keng Swee", 15), (1, "Toh Chin", 16)], "p int, name string, person int")
+    asked = {
+        "Mr Tan Ah Kow": (12, "direct"),
+        "Siti Noor Yusof": (13, "bin_free"),
+        "Chin, Toh": (16, "inverted"),
+        "Ling Lee Wei": (11, "word_set"),
+        "Goh Keng": (15, "word_subset"),
+        "Ahmad bin Mohamad Rashid": (10, "spelling"),
+        "Jeyaretnam": (14, "direct"),
+        "Mr Yusof": (13, "surname"),
+        "Kow, Tan Ah, Mr": (12, "inverted"),
+        "Siti Noor": (13, "prefix"),
+        "Nobody": (None, None),
+    }
+    labels = spark.createDataFrame([(1, label) for label in asked], "p int, label string")
+    got = {r.label: (r.person, r.tier) for r in R.resolve_tiered(labels, R.lookups(people, ["p"]), ["p"], "label").collect()}
+    assert {label: got.get(label, (None, None)) for label in asked} == asked
+
+
+def test_mojibake(spark):
+    broken = {"CafÃ© Ã¼ber": "Café über", "â€œQuotedâ€™s": "“Quoted’s", "plain": "plain", "é alone": "é alone", "Ã": "Ã", "ÃŸÃ¤": "ßä", "â€“â€”": "–—", "": ""}
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(broken)] + [(99, None)], "id int, text string")
+    got = {r.id: r.text for r in M.repair_mojibake(df, "text").collect()}
+    assert [got[k] for k in range(len(broken))] == list(broken.values()) and got[99] is None
+
+
+def test_sequence_diff_rebuilds_the_new_list(spark):
+    rng = random.Random(4)
+    lists = {k: ([rng.choice("abcd") for _ in range(rng.randint(0, 9))], [rng.choice("abcd") for _ in range(rng.randint(1, 9))]) for k in range(30)}
+    old, new = (spark.createDataFrame([(k, n, x) for k, pair in lists.items() for n, x in enumerate(pair[side])], "k int, n int, x string") for side in (0, 1))
+    ops = {}
+    for r in M.sequence_diff(old, new, "k", "n", "x").collect():
+        ops.setdefault(r.k, []).append(r)
+    for k, (a, b) in lists.items():
+        own = sorted(ops[k], key=lambda r: (r.old_from, r.new_from))
+        assert [x for r in own for x in (a[r.old_from : r.old_to] if r.op == "equal" else b[r.new_from : r.new_to])] == b
+        assert all(a[r.old_from : r.old_to] == b[r.new_from : r.new_to] for r in own if r.op == "equal")
+        assert [(r.old_from, r.old_to) for r in own][0][0] == 0 and own[-1].old_to == len(a)
+    simple = spark.createDataFrame([(1, n, x) for n, x in enumerate("abc")], "k int, n int, x string")
+    changed = spark.createDataFrame([(1, n, x) for n, x in enumerate("axcd")], "k int, n int, x string")
+    assert [(r.op, r.old_from, r.old_to, r.new_from, r.new_to) for r in sorted(M.sequence_diff(simple, changed, "k", "n", "x").collect(), key=lambda r: r.new_from)] == [("equal", 0, 1, 0, 1), ("replace", 1, 2, 1, 2), ("equal", 2, 3, 2, 3), ("insert", 3, 3, 3, 4)]
+
+
+def test_split_bills_by_brute_force(spark):
+    from rostrum.plans.matching import split_bill_merges
+
+    folder = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{folder}/orders.parquet").selectExpr("o_orderkey AS id", "o_custkey AS who", "concat('The Customer ', o_custkey, ' Amendment Bill ', o_orderkey % 3) AS title", "to_date(o_orderdate) AS day", "o_orderstatus AS state").collect()
+    pairs = [(a.id, b.id) for a in orders if a.state == "F" for b in orders if b.state == "O" and a.who == b.who and 0 < (b.day - a.day).days <= 800 and difflib.SequenceMatcher(None, a.title, b.title).ratio() >= 0.95]
+    once = [(a, b) for a, b in pairs if sum(x == a for x, _ in pairs) == 1 and sum(y == b for _, y in pairs) == 1]
+    assert sorted(map(tuple, split_bill_merges(spark, folder).collect())) == sorted(once)
+
+
+def test_people_by_brute_force(spark):
+    """Rows of a name merge in order of their ids unless they share a slot with the cluster so far."""
+    rng = random.Random(6)
+    rows = [(k, f"N{rng.randrange(6)}", f"s{rng.randrange(9)}") for k in range(60)]
+    people = spark.createDataFrame([(k, n, n.lower(), s) for k, n, s in rows], "speaker_id long, name string, name_key string, slot string")
+    got = {r.speaker_id: r.person for r in G.cluster_people(people, spark.createDataFrame([], "a long, b long, kind string")).collect()}
+    for name in {n for _, n, _ in rows}:
+        own = [(k, s) for k, n, s in rows if n == name]
+        first, slots = own[0][0], {own[0][1]}
+        for k, s in own[1:]:
+            want = first if s not in slots else k
+            slots |= {s}
+            assert got[k] == want
+        assert got[first] == first
+
+
+def test_rendered_pages(spark):
+    page = "<html><head><title>no</title></head><body><h2>A  title</h2><p>One <b>bold</b> and <i>thin</i> &amp; more<br>next</p><ul><li>x</li></ul><table><tr><td>1</td><td>2</td></tr></table><script>no()</script></body></html>"
+    got = X.html_lines(spark.createDataFrame([(1, page), (2, None), (3, "plain")], "id long, html string"), "id", "html")
+    assert values(got, "id", "place") == [(1, 0, "## A title"), (1, 1, "One **bold** and _thin_ & more"), (1, 2, "next"), (1, 3, "- x"), (1, 4, "| 1 | 2"), (3, 0, "plain")]
+
+
+def test_spans_without_end_and_very_long_ones(spark):
+    rows = spark.createDataFrame([(1, day("2020-05-01")), (2, day("1990-01-01")), (3, None)], "id int, day date")
+    spans = spark.createDataFrame([("a", day("1980-01-01"), None), ("b", day("2020-01-01"), day("9999-12-31")), ("c", day("1989-12-31"), day("1990-01-01")), ("d", day("2020-05-02"), day("2020-05-03"))], "who string, f date, l date")
+    got = J.spans_on_day(rows, spans, "day", "f", "l").select("id", "who")
+    assert values(got, "id", "who") == [(1, "a"), (1, "b"), (2, "a"), (2, "c")]
+
+
+def test_equal_rows_keep_their_party(spark):
+    rows = spark.createDataFrame([(1, 7, day("2020-05-01"), "X")] * 2 + [(2, None, day("2020-05-01"), "Y")], "id int, who int, day date, ballot string")
+    spans = spark.createDataFrame([(7, day("2020-01-01"), "DAY", False, "P")], "who int, started_on date, precision string, is_upper_bound boolean, party string")
+    assert values(J.party_on_day(rows, spans, ["id"], "who", "day", "ballot").select("id", "party"), "id") == [(1, "P"), (1, "P"), (2, "Y")]
+
+
+def test_procedural_grammar(spark):
+    lines = {"Question put, and agreed to.": "PROCEDURAL", "Original Question again proposed.": "PROCEDURAL", "Bill accordingly read a Second time": "PROCEDURAL", "The House divided": "PROCEDURAL", "Resolved, That it be so": "PROCEDURAL", "Order for Second Reading read.": "PROCEDURAL", "I put the question to him.": "SPEECH", "(Applause.)": "CHAMBER_EVENT", "To ask the Minister whether": "DOCUMENT_TEXT", "**Housing**": "HEADING"}
+    df = spark.createDataFrame([(t,) for t in lines], "t string")
+    assert {r.t: r.k for r in df.select("t", X.classify_kind(F.col("t")).alias("k")).collect()} == lines
+
+
+def test_labels_by_hand(spark):
+    x = F.col("x")
+    for raw, want in (("3. Mr Tan Ah Kow:", "Mr Tan Ah Kow"), ("Assoc Prof Lim (NS) :", "Assoc. Prof. Lim"), ("**Dr Goh** –", "Dr Goh"), ("(2) Mr X ( Y )", "Mr X (Y)"), ("Mr A (Minister for", "Mr A"), ("“Mr  B.", "Mr B"), ("Prof.Lee", "Prof. Lee")):
+        assert one(spark, raw, N.clean_label(x)) == want
+    assert one(spark, "a\x00b\\u0000c\\\\u0000", N.strip_nul(x)) == "abc\\\\u0000"
+    assert one(spark, "x5 from=12", S.extract_or_null(x, r"from=(\d+)")) == "12" and one(spark, "none", S.extract_or_null(x, r"from=(\d+)")) is None
+    assert one(spark, "The Tax (Amendment No. 2) Act, 1999 (Chapter 5A)", N.bill_title_key(x)) == "taxamendmentno2bill"
+    assert one(spark, "THE MINISTER’S *Prime  Minister*", N.office_class(x)) == "MINISTER" and one(spark, "The  Prime_Minister", N.office_class(x)) == "PRIME_MINISTER"
+
+
+def test_line_and_plan_files(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\tb"), (2, None), (3, "é")], "id long, text string")
+    T.write_lines(df, f"file://{tmp_path}/j", "jsonl", 1)
+    files = sorted((tmp_path / "j").glob("*.json"))
+    assert sorted(json.loads(x)["id"] for f in files for x in f.read_text().splitlines()) == [1, 2, 3] and len(files) >= 3
+    T.write_lines(df, f"file://{tmp_path}/t", "tsv")
+    assert spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/t").count() == 3
+    T.write_plan(df, f"file://{tmp_path}/plan")
+    S.check_equal(df, T.read_plan(spark, f"file://{tmp_path}/plan", df))
+    with pytest.raises(ValueError, match="not planned"):
+        S.check_equal(df.union(df.limit(1)), T.read_plan(spark, f"file://{tmp_path}/plan", df))
+
+
+def test_distinct_owner_picks(spark):
+    frame = spark.createDataFrame([(o, 10 * o + k) for o in range(4) for k in range(3)], "owner int, key int")
+    drawn = spark.createDataFrame([(0, 0), (0, 1), (1, 10)], "owner int, key int")
+    assert values(P2.distinct_owner_picks(drawn, frame, "owner", "key"), "key") == [(0, 0), (1, 10), (2, 20)]
+
+
+def test_bodies_and_scratch(spark, tmp_path):
+    (tmp_path / "b1").write_text(json.dumps({"htmlContent": "x"}))
+    (tmp_path / "b2").write_text("broken")
+    got = T.parse_bodies(T.read_bodies(spark, f"file://{tmp_path}"))
+    assert sorted((r.shape, r.content) for r in got.collect()) == [("OLDER", "x"), ("UNREADABLE", None)]
+    scratch = T.Scratch(spark)
+    kept = scratch.save_sorted(spark.range(10), "a-b", ["id"], 2)
+    assert kept.count() == 10
+    scratch.drop("a-b")
+    scratch.clear()
