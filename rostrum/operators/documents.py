@@ -84,14 +84,24 @@ def language_note(text: Column) -> tuple[Column, Column]:
 
 
 def start_line(line_rows: DataFrame, titles: DataFrame, key: str, title: str, prefix: int = 20) -> DataFrame:
-    """(key, place, rule): where the speech begins, after the line that equals the title, else begins with its first words, else is bold.
+    """(key, start, rule): where the speech begins, by the first rule that a line fits; the first such line, -1 if there is none.
 
-    -1 if there is none.
+    Letters and digits alone are compared: EQUAL to the title; BARE, to the title without its
+    brackets; PREFIX, begins with the title's first `prefix` characters; PART, a line of at
+    least so many that the title begins with; HOLDS the title; ENDS the title; else BOLD.
     """
     fold = lambda c: F.lower(F.regexp_replace(c, r"[^0-9A-Za-z]+", ""))
-    joined = line_rows.join(titles.select(key, fold(F.col(title)).alias("_t")), key)
-    f = fold(F.col("line"))
-    rules = [("EQUAL", (f == F.col("_t")) & (F.col("_t") != "")), ("PREFIX", (F.length("_t") >= prefix) & f.startswith(F.substring("_t", 1, prefix))), ("BOLD", F.col("line").rlike(r"^\*\*[^*]+\*\*"))]
+    joined = line_rows.join(titles.select(key, fold(F.col(title)).alias("_t"), fold(F.regexp_replace(F.col(title), r"\([^()]*\)", "")).alias("_b")), key)
+    f, t, long = fold(F.col("line")), F.col("_t"), F.length("_t") >= prefix
+    rules = [
+        ("EQUAL", (f == t) & (t != "")),
+        ("BARE", (f == F.col("_b")) & (F.col("_b") != "")),
+        ("PREFIX", long & f.startswith(F.substring("_t", 1, prefix))),
+        ("PART", (F.length(f) >= prefix) & t.startswith(f)),
+        ("HOLDS", long & f.contains(t)),
+        ("ENDS", (F.length(f) >= prefix) & t.endswith(f)),
+        ("BOLD", F.col("line").rlike(r"^\*\*[^*]+\*\*")),
+    ]
     found = joined.groupBy(key).agg(*(F.min(F.when(c, F.col("place"))).alias(n) for n, c in rules))
     rule = F.coalesce(*(F.when(F.col(n).isNotNull(), F.lit(n)) for n, _ in rules))
     return found.select(key, (F.coalesce(*(F.col(n) for n, _ in rules), F.lit(-1))).cast("int").alias("start"), rule.alias("rule"))
@@ -124,6 +134,58 @@ def parse_counts(text: Column) -> dict[str, Column]:
     return out
 
 
+def division_names(line_rows: DataFrame, key: str, header: str = r"(?i)^\s*(ayes|noes|abstentions|absent)\b[^A-Za-z0-9]*(\d+)?") -> DataFrame:
+    """(key, side, n, name) of lists printed in columns under the headers of their sides.
+
+    Names stand side by side, parted by two or more spaces, a bar or a semicolon; a line without
+    letters or of one side's header holds none.
+    """
+    w = W.partitionBy(key).orderBy("place").rowsBetween(W.unboundedPreceding, 0)
+    side = F.nullif(F.lower(F.regexp_extract("line", header, 1)), F.lit(""))
+    rows = line_rows.withColumns({"_head": side, "side": F.last(side, ignorenulls=True).over(w)}).where(F.col("side").isNotNull() & F.col("_head").isNull())
+    cells = F.filter(F.transform(F.split("line", r"\s{2,}|\s*[|;]\s*"), lambda c: F.trim(F.regexp_replace(c, r"[.,]+$", ""))), lambda c: c.rlike("[A-Za-z]"))
+    names = rows.select(key, "side", "place", F.posexplode(cells).alias("_c", "name"))
+    return names.select(key, "side", F.row_number().over(W.partitionBy(key, "side").orderBy("place", "_c")).alias("n"), "name")
+
+
+def division_verdicts(line_rows: DataFrame, key: str, header: str = r"(?i)^\s*(ayes|noes|abstentions|absent)\b[^A-Za-z0-9]*(\d+)?") -> DataFrame:
+    """(key, side, printed, names, verdict): ACCEPTED if a side's list has as many names as its header prints, COUNTS_DISAGREE, or UNPRINTED."""
+    side = F.lower(F.regexp_extract("line", header, 1))
+    heads = line_rows.where(side != "").groupBy(key, side.alias("side")).agg(F.max(F.regexp_extract("line", header, 2).try_cast("int")).alias("printed"))
+    counts = division_names(line_rows, key, header).groupBy(key, "side").agg(F.count("*").alias("names"))
+    rows = heads.join(counts, [key, "side"], "left").withColumn("names", F.coalesce("names", F.lit(0)))
+    return rows.withColumn("verdict", F.when(F.col("printed").isNull(), "UNPRINTED").when(F.col("printed") == F.col("names"), "ACCEPTED").otherwise("COUNTS_DISAGREE"))
+
+
+def resumed_day(heading: Column) -> Column:
+    """The day that a resumption heading cites, as '[Debate resumed from 3 May 2018]' or 'Order read for resumption of debate (2 March 1999)'."""
+    printed = F.regexp_extract(heading, r"(?i)\bresum(?:ed|ption)\b.*?\b(\d{1,2}(?:st|nd|rd|th)?\s+[A-Za-z]+,?\s+\d{4})", 1)
+    tidy = squeeze(F.regexp_replace(F.regexp_replace(printed, r"(?<=\d)(?:st|nd|rd|th)", ""), ",", " "))
+    return F.coalesce(F.try_to_date(tidy, "d MMMM yyyy"), F.try_to_date(tidy, "d MMM yyyy"))
+
+
+def history_fields(text: Column) -> dict[str, Column]:
+    """title, first_reading, third_reading, assent and commencement of one block of a statute's history."""
+
+    def day(label: str) -> Column:
+        return F.try_to_date(squeeze(F.regexp_extract(text, rf"(?im)^\s*{label}\s*:?\s*(\d{{1,2}}\s+[A-Za-z]+\s+\d{{4}})", 1)), "d MMMM yyyy")
+
+    return {
+        "title": F.nullif(squeeze(F.regexp_extract(text, r"^\s*\d+\.\s+([^\n]*)", 1)), F.lit("")),
+        "first_reading": day("(?:date of )?first reading"),
+        "third_reading": day("(?:date of )?(?:second and )?third reading"),
+        "assent": day("(?:date of )?assent"),
+        "commencement": day("(?:date of )?commencement"),
+    }
+
+
+def label_office(label: Column) -> Column:
+    """The office that a speaker's label prints: before the brackets of 'Minister for X (Mr A)', or inside those of 'Mr A (Minister for X)'."""
+    inner, before = F.regexp_extract(label, r"\(([^()]*)\)", 1), F.trim(F.regexp_extract(label, r"^([^(]*)", 1))
+    is_office = lambda c: c.rlike(r"(?i)\b(?:minister|secretary|speaker|whip|leader|attorney|chairman|president)\b")
+    return F.when(is_office(before), before).when(is_office(inner), inner)
+
+
 def citations(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, n, title, day) of notes '[Please refer to "Title", Official Report, 3 May 2018, Vol 94, ...]'."""
     notes = F.regexp_extract_all(F.col(text), F.lit(r"(?i)\[\s*Please\s+refer\s+to(.*?)\]"), F.lit(1))

@@ -44,7 +44,8 @@ def cluster_people(speakers: DataFrame, decisions: DataFrame) -> DataFrame:
     is refused when the two clusters share a slot (one Parliament and kind of membership) or a
     DISTINCT decision parts them; a refused automatic merge is noted as a conflict. As merges
     depend on their order, they are walked, but only inside a component of all possible merges,
-    which holds the rows of a few namesakes; components are found and spread by Spark.
+    which holds the rows of namesakes; components are found and spread by Spark. The walk takes
+    one step a row and keeps clusters by their members, so a common name costs its rows, not their square.
     """
     by_key = speakers.groupBy("name_key").agg(F.min("speaker_id").alias("a"))
     edges = speakers.join(by_key, "name_key").select("a", F.col("speaker_id").alias("b"))
@@ -57,23 +58,40 @@ def cluster_people(speakers: DataFrame, decisions: DataFrame) -> DataFrame:
     def walk(key: tuple, rows: pd.DataFrame, decided: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("speaker_id")
         cluster = {s: s for s in rows["speaker_id"]}
+        members = {s: [s] for s in cluster}
         slots = {s: {slot} for s, slot in zip(rows["speaker_id"], rows["slot"], strict=True)}
-        apart = {frozenset((a, b)) for a, b, kind in zip(decided["a"], decided["b"], decided["kind"], strict=True) if kind == "DISTINCT"}
+        apart: dict = {}
+        for a, b, kind in zip(decided["a"], decided["b"], decided["kind"], strict=True):
+            if kind == "DISTINCT":
+                apart.setdefault(a, set()).add(b)
+                apart.setdefault(b, set()).add(a)
         conflicts: set = set()
+        noted = dict.fromkeys(cluster, 0)  # how many members of a cluster are conflicts already
+
+        def note(c) -> None:  # noqa: ANN001
+            conflicts.update(members[c][noted[c] :])
+            noted[c] = len(members[c])
 
         def merge(a, b, is_decided: bool) -> None:  # noqa: ANN001
             a, b = sorted((cluster[a], cluster[b]))
             if a == b:
                 return
-            members = [{s for s, c in cluster.items() if c == x} for x in (a, b)]
-            if slots[a] & slots[b] or any(frozenset((x, y)) in apart for x in members[0] for y in members[1]):
+            few, many = sorted((a, b), key=lambda c: len(members[c]))
+            if not slots[a].isdisjoint(slots[b]) or (apart and any(cluster.get(y) == many for x in members[few] for y in apart.get(x, ()))):
                 if is_decided:
                     raise ValueError(f"the decision to merge {a} and {b} is refused")
-                conflicts.update(members[0] | members[1])
+                note(a)
+                note(b)
                 return
             slots[a] |= slots.pop(b)
-            for s in members[1]:
+            for s in members[b]:
                 cluster[s] = a
+            if noted[b] and not noted[a] == len(members[a]):
+                done, rest = members[a][: noted[a]], members[a][noted[a] :]
+                members[a], noted[a] = done + members[b][: noted[b]] + rest + members[b][noted[b] :], noted[a] + noted[b]
+            else:
+                noted[a] += noted[b]
+                members[a] += members[b]
 
         for a, b, kind in zip(decided["a"], decided["b"], decided["kind"], strict=True):
             if kind == "MERGE" and a in cluster and b in cluster:

@@ -130,6 +130,26 @@ def parse_leave(text: Column) -> dict[str, Column]:
     return {"form": form, "first": first, "last": last, "number": F.when(lasts, number.try_cast("int")), "unit": F.when(lasts, unit)}
 
 
+def asker_sources(sources: list[tuple[str, DataFrame]], report: str, order: str, speaker_id: str, printed: str) -> DataFrame:
+    """(report, ordinal, speaker_id, printed, source): the askers that several sources name, each once, by the first source that has them.
+
+    sources in their order of trust (such as the call of the question, its list entry, the
+    heading, the bracketed office, the reply), each (report, order, speaker_id, printed). A
+    printed name of a person whom another source identifies is theirs.
+    """
+    from functools import reduce
+
+    from pyspark.sql.window import Window as W
+
+    one = reduce(DataFrame.unionByName, (df.select(report, order, speaker_id, printed, F.lit(k).alias("_rank"), F.lit(name).alias("source")) for k, (name, df) in enumerate(sources)))
+    known = one.where(F.col(speaker_id).isNotNull() & F.col(printed).isNotNull()).groupBy(report, printed).agg(F.min(speaker_id).alias("_id"), F.max(speaker_id).alias("_other")).where("_id = _other").drop("_other")
+    one = one.join(known, [report, printed], "left").withColumn(speaker_id, F.coalesce(speaker_id, "_id"))
+    who = F.coalesce(F.concat(F.lit("#"), F.col(speaker_id).cast("string")), F.col(printed))
+    keyed = one.where(who.isNotNull()).withColumn("_who", who)
+    best = keyed.withColumn("_n", F.row_number().over(W.partitionBy(report, "_who").orderBy("_rank", order, F.col(printed).asc_nulls_last()))).where("_n = 1")
+    return best.select(report, F.row_number().over(W.partitionBy(report).orderBy(order, "_rank", "_who")).alias("ordinal"), speaker_id, printed, "source")
+
+
 def askers(rows: DataFrame, report: str, order: str, speaker_id: str, printed: str) -> DataFrame:
     """(report, ordinal, speaker_id, printed): the first row of each asker, who is a speaker if known, else a printed name."""
     from pyspark.sql.window import Window as W

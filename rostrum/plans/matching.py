@@ -178,3 +178,34 @@ def question_states(spark: SparkSession, d: str) -> DataFrame:
     patterns = {"correction": "(?i)^correction", "stood_over": "(?i)stood over", "urgent": "private notice", "absent": "absent when called", "not_aloud": "in writing"}
     texts = rows(spark, d, "conversations", "conv_id", "turn AS ordinal", f"{_STATE_TEXT} AS transcript")
     return M.question_states(titles, texts, M.question_roles(turns, "conv_id"), "conv_id", patterns)
+
+
+@query("""
+WITH s AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN turn % 4 END AS speaker_id, 'name' || turn % 4 AS printed, 0 AS k, 'call' AS source FROM conversations WHERE turn % 2 = 0
+  UNION ALL SELECT conv_id, turn, NULL, 'name' || turn % 6, 1, 'list' FROM conversations UNION ALL SELECT conv_id, turn, 7, NULL, 2, 'heading' FROM conversations WHERE turn = 1),
+k AS (SELECT conv_id, printed, min(speaker_id) AS id FROM s WHERE speaker_id IS NOT NULL AND printed IS NOT NULL GROUP BY 1, 2 HAVING min(speaker_id) = max(speaker_id)),
+j AS (SELECT s.conv_id, turn, coalesce(speaker_id, id) AS speaker_id, s.printed, k, source FROM s LEFT JOIN k ON s.conv_id = k.conv_id AND s.printed = k.printed),
+w AS (SELECT *, coalesce('#' || speaker_id, printed) AS who FROM j), r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, who ORDER BY k, turn, printed NULLS LAST) AS n FROM w)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, k, who) AS ordinal, speaker_id, printed, source FROM r WHERE n = 1
+""")
+def asker_sources(spark: SparkSession, d: str) -> DataFrame:
+    call = rows(spark, d, "conversations", "conv_id", "turn", "CASE WHEN turn % 3 = 0 THEN turn % 4 END AS speaker_id", "concat('name', turn % 4) AS printed", where="turn % 2 = 0")
+    listed = rows(spark, d, "conversations", "conv_id", "turn", "CAST(NULL AS BIGINT) AS speaker_id", "concat('name', turn % 6) AS printed")
+    heading = rows(spark, d, "conversations", "conv_id", "turn", "CAST(7 AS BIGINT) AS speaker_id", "CAST(NULL AS STRING) AS printed", where="turn = 1")
+    return M.asker_sources([("call", call), ("list", listed), ("heading", heading)], "conv_id", "turn", "speaker_id", "printed")
+
+
+@query("""
+WITH c AS (SELECT conv_id, turn, 'Turn ' || turn || ' of ' || conv_id || ' ' || role AS t, CASE WHEN turn % 2 = 0 THEN 'Column: ' || (100 + turn) || ' ' ELSE '' END AS m FROM conversations),
+n AS (SELECT conv_id, turn, 100 + max(CASE WHEN turn % 2 = 0 THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS number, max(turn) OVER (PARTITION BY conv_id) AS last FROM c)
+SELECT conv_id, turn AS id, CASE WHEN last - last % 2 = number - 100 THEN number END AS printed_column, CASE WHEN last - last % 2 = number - 100 THEN 'LAST' ELSE 'SKIPPED_COLUMN' END AS status FROM n
+""")
+def columns_by_search(spark: SparkSession, d: str) -> DataFrame:
+    """Speeches are sought in their document's text, and so are the printed columns before them."""
+    from rostrum.operators import documents as X
+
+    turns = rows(spark, d, "conversations", "conv_id", "turn", "concat('Turn ', turn, ' of ', conv_id, ' ', role) AS t", "concat('Column: ', 100 + turn) AS m", "CASE WHEN turn % 2 = 0 THEN concat('Column: ', 100 + turn, ' ') ELSE '' END AS before")
+    text = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.concat("before", "t").alias("t")))).alias("a")).select("conv_id", F.concat_ws(" ", F.transform("a", lambda x: x["t"])).alias("text"))
+    speeches = X.align_rows(turns, text, "conv_id", "turn", "t", "text").select("conv_id", F.col("turn").alias("id"), F.col("position").alias("offset"))
+    marks = X.align_rows(turns.where("before <> ''"), text, "conv_id", "turn", "m", "text").select("conv_id", F.col("position").alias("offset"), (F.col("turn") + 100).alias("number"))
+    return M.speech_columns(speeches, marks, "conv_id")

@@ -363,3 +363,14 @@ FROM (SELECT o_orderkey, (o_orderdate::DATE + ((o_custkey % 70 - 40) * 365)::INT
 def publication_windows(spark: SparkSession, d: str) -> DataFrame:
     r = rows(spark, d, "orders", "o_orderkey", "date_add(to_date(o_orderdate), cast((o_custkey % 70 - 40) * 365 AS INT)) AS day", "concat(o_orderkey % 40 + 1, '/', year(o_orderdate) + o_custkey % 70 - 40 - o_orderkey % 3) AS number")
     return r.select("o_orderkey", D.publication_days(F.col("day")).alias("most_days"), D.is_misprinted(F.col("number"), F.col("day")).alias("misprinted"))
+
+
+@query("SELECT o_orderkey AS report_id, (DATE '1998-01-20' - o_orderdate::DATE) BETWEEN 13 AND 14 AS is_alert_due FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 3 < 2")
+def held_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Reports whose text has not come yet, and whether that is due for an alert."""
+    import datetime
+
+    from rostrum.plans.refresh import held_rows
+
+    bodies = rows(spark, d, "orders", "o_orderkey AS report_id", "to_date(o_orderdate) AS sitting_day", "CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'text' END AS content", where="o_orderstatus = 'P'")
+    return held_rows(bodies, datetime.date(1998, 1, 20)).select("report_id", "is_alert_due")

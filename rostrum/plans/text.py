@@ -436,3 +436,44 @@ SELECT conv_id, r::INT AS ordinal, CASE WHEN min(kind) = 'SPEECH' THEN coalesce(
 """)
 def single_speaker(spark: SparkSession, d: str) -> DataFrame:
     return X.collapse_single(rows(spark, d, "conversations", *_ONE_TURNS), "conv_id")
+
+
+_LIST = "concat('AYES, ', 1 + c_custkey % 3 + c_custkey % 2, chr(10), 'Mr ', c_name, '   Dr Lim', CASE WHEN c_custkey % 3 > 0 THEN concat(chr(10), 'Ms Goh') ELSE '' END, CASE WHEN c_custkey % 3 > 1 THEN ' | Mdm Ho.' ELSE '' END, chr(10), 'Noes:', chr(10), 'Er Chua; ', c_mktsegment, chr(10), '-----', chr(10), 'Absent 0')"
+
+
+def _lists(spark: SparkSession, d: str) -> DataFrame:
+    return X.lines(rows(spark, d, "customer", "c_custkey", f"{_LIST} AS t"), "c_custkey", "t")
+
+
+@query("""
+SELECT c_custkey, 'ayes' AS side, 1 AS n, 'Mr ' || c_name AS name FROM customer UNION ALL SELECT c_custkey, 'ayes', 2, 'Dr Lim' FROM customer UNION ALL SELECT c_custkey, 'ayes', 3, 'Ms Goh' FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT c_custkey, 'ayes', 4, 'Mdm Ho' FROM customer WHERE c_custkey % 3 > 1
+UNION ALL SELECT c_custkey, 'noes', 1, 'Er Chua' FROM customer UNION ALL SELECT c_custkey, 'noes', 2, c_mktsegment FROM customer
+""")
+def division_names(spark: SparkSession, d: str) -> DataFrame:
+    return X.division_names(_lists(spark, d), "c_custkey")
+
+
+@query("""
+SELECT c_custkey, side, printed, names, CASE WHEN printed IS NULL THEN 'UNPRINTED' WHEN printed = names THEN 'ACCEPTED' ELSE 'COUNTS_DISAGREE' END AS verdict
+FROM (SELECT c_custkey, 'ayes' AS side, (1 + c_custkey % 3 + c_custkey % 2)::INT AS printed, 2 + c_custkey % 3 AS names FROM customer UNION ALL SELECT c_custkey, 'noes', NULL, 2 FROM customer UNION ALL SELECT c_custkey, 'absent', 0, 0 FROM customer)
+""")
+def division_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return X.division_verdicts(_lists(spark, d), "c_custkey")
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN make_date((1980 + o_custkey % 30)::INT, 5, (1 + o_orderkey % 28)::INT) WHEN 1 THEN make_date((1980 + o_custkey % 30)::INT, 3, (1 + o_orderkey % 28)::INT) END AS resumed FROM orders")
+def resumption_headings(spark: SparkSession, d: str) -> DataFrame:
+    heading = "CASE o_orderkey % 3 WHEN 0 THEN concat('[Debate resumed from ', 1 + o_orderkey % 28, 'th May, ', 1980 + o_custkey % 30, ']') WHEN 1 THEN concat('Order read for resumption of debate (', 1 + o_orderkey % 28, ' Mar ', 1980 + o_custkey % 30, ').') ELSE concat('Read on ', 1 + o_orderkey % 28, ' May 1999') END AS t"
+    return rows(spark, d, "orders", "o_orderkey", heading).select("o_orderkey", X.resumed_day(F.col("t")).alias("resumed"))
+
+
+@query("SELECT p_partkey, p_name || ' Act' AS title, make_date(1990, 3, (1 + p_partkey % 28)::INT) AS first_reading, CASE WHEN p_partkey % 2 = 0 THEN make_date(1990, 4, (1 + p_partkey % 28)::INT) END AS third_reading, CASE WHEN p_partkey % 3 = 0 THEN make_date(1990, 5, 1) END AS assent, make_date(1991, 1, 1) AS commencement FROM part")
+def history_fields(spark: SparkSession, d: str) -> DataFrame:
+    text = "concat(p_partkey, '. ', p_name, '  Act', chr(10), 'Date of First Reading: ', 1 + p_partkey % 28, ' March 1990', chr(10), CASE WHEN p_partkey % 2 = 0 THEN concat('Second and Third Reading : ', 1 + p_partkey % 28, ' April 1990', chr(10)) ELSE '' END, CASE WHEN p_partkey % 3 = 0 THEN concat('Date of Assent: 1 May 1990', chr(10)) ELSE '' END, 'Commencement  1 January 1991') AS t"
+    return rows(spark, d, "part", "p_partkey", text).select("p_partkey", *(c.alias(n) for n, c in X.history_fields(F.col("t")).items()))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'The Minister for ' || c_mktsegment WHEN 1 THEN 'Parliamentary Secretary' END AS office FROM customer")
+def label_offices(spark: SparkSession, d: str) -> DataFrame:
+    label = "CASE c_custkey % 4 WHEN 0 THEN concat('The Minister for ', c_mktsegment, ' (Mr ', c_name, ')') WHEN 1 THEN concat('Dr ', c_name, ' (Parliamentary Secretary)') WHEN 2 THEN concat('Ms ', c_name, ' (Place)') ELSE c_name END AS t"
+    return rows(spark, d, "customer", "c_custkey", label).select("c_custkey", X.label_office(F.col("t")).alias("office"))

@@ -33,3 +33,12 @@ def test_sessions(spark, tmp_path):
     stream = L.sessions(L.landed(spark, land, "user long, ts timestamp"), "ts", ["user"])
     stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(out).awaitTermination()
     assert sorted(r.n for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_first_per_key(spark, tmp_path):
+    land, out = str(tmp_path / "in"), str(tmp_path / "out")
+    at = datetime.datetime(2024, 1, 1)
+    spark.createDataFrame([(1, at), (1, at), (2, at)], "user long, ts timestamp").coalesce(1).write.parquet(land)
+    stream = L.first_per_key(L.landed(spark, land, "user long, ts timestamp"), "ts", ["user"])
+    stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(out).awaitTermination()
+    assert sorted(r.user for r in spark.read.parquet(out).collect()) == [1, 2]
