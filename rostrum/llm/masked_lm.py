@@ -34,13 +34,13 @@ VOCABULARY, SPARE = 32_768, 4_096
 #: Neighbours on each side, embedding and hidden widths.
 SIDE, WIDTH, HIDDEN = 2, 8, 16
 #: Nodes next to the root, which are worked on as a matrix, for all tokens at once.
-TOP = 96
+TOP = 32
 #: Rounds of averaging, tokens of a shard in a round, tokens that are mixed before they are cut to steps.
 ROUNDS, SHARD, POOL = 2, 1 << 21, 1 << 16
 #: Tokens that are scored at once.
 BLOCK = 2048
 #: Least and most tokens of a step (a shard's steps grow as it goes on) and step size.
-STEPS, RATE = (1024, 4096), 0.1
+STEPS, RATE = (1024, 8192), 0.25
 _APART, _FOLD = separators(), fold_table()
 _IDS = VOCABULARY + SPARE
 
@@ -59,12 +59,12 @@ class Tree(NamedTuple):
     length: np.ndarray
     bias: np.ndarray
 
-    def ways(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(nodes, sides) of ids, one way after the other."""
+    def ways(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(nodes, sides) of ids below the top, one way after the other, and their lengths."""
         length = self.length[ids]
         first = np.cumsum(length) - length
         at = np.arange(length.sum()) + np.repeat(self.begin[ids] - first, length)
-        return self.nodes[at], self.sides[at]
+        return np.take(self.nodes, at), np.take(self.sides, at), length
 
 
 def huffman(counts: np.ndarray) -> Tree:
@@ -96,7 +96,7 @@ def huffman(counts: np.ndarray) -> Tree:
             at = up[at]
         begin.append(len(nodes))
     begin = np.array(begin, np.int64)
-    return Tree(top, np.array(nodes, np.int32), np.array(sides, np.float32), begin[:-1], np.diff(begin), bias)
+    return Tree(top, np.array(nodes, np.int64), np.array(sides, np.float32), begin[:-1], np.diff(begin), bias)
 
 
 class Vocabulary(NamedTuple):
@@ -218,12 +218,22 @@ def _top(net: list[np.ndarray], tree: Tree, h: np.ndarray, ids: np.ndarray) -> t
 
 
 def _below(net: list[np.ndarray], tree: Tree, h: np.ndarray, ids: np.ndarray) -> tuple:
-    """(nodes, sides, row of each node, their weights, hidden values of their rows, exp of minus the logits) below the top."""
-    nodes, sides = tree.ways(ids)
-    row = np.repeat(np.arange(len(ids)), tree.length[ids])
-    w, values = net[3][nodes], h[row]
-    z = -sides * (np.einsum("ij,ij->i", w, values) + net[4][nodes])
-    return nodes, sides, row, w, values, np.exp(np.clip(z, -60, 60, out=z), out=z)
+    """(nodes, sides, nodes of each row, their weights, hidden values of their rows, exp of minus the logits) below the top."""
+    nodes, sides, length = tree.ways(ids)
+    w, values = np.take(net[3], nodes, 0), np.repeat(h, length, 0)
+    z = np.einsum("ij,ij->i", w, values)
+    z += np.take(net[4], nodes)
+    z *= -sides
+    return nodes, sides, length, w, values, np.exp(np.clip(z, -60, 60, out=z), out=z)
+
+
+def _by_row(values: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Sums of runs of so many rows of values, 0 for an empty run."""
+    out = np.zeros((len(length), *values.shape[1:]), values.dtype)
+    full = length > 0
+    if full.any():
+        out[full] = np.add.reduceat(values, (np.cumsum(length) - length)[full])
+    return out
 
 
 def _sums(at: np.ndarray, g: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -239,10 +249,10 @@ def log_probabilities(net: list[np.ndarray], tree: Tree, tokens: np.ndarray, off
         ids = tokens[a : a + BLOCK]
         h = _hidden(net, context[a : a + BLOCK])[1]
         sides, e = _top(net, tree, h, ids)
-        _, _, row, _, _, below = _below(net, tree, h, ids)
+        _, _, length, _, _, below = _below(net, tree, h, ids)
         logs = np.log(1 + e)
         logs *= sides * sides
-        out[a : a + BLOCK] = -logs.sum(1, dtype=np.float64) - np.bincount(row, np.log(1 + below), len(ids))
+        out[a : a + BLOCK] = -logs.sum(1, dtype=np.float64) - _by_row(np.log(1 + below), length)
     return out
 
 
@@ -270,10 +280,11 @@ def train_step(net: list[np.ndarray], squares: list[np.ndarray], tree: Tree, con
     d = -sides * e / (1 + e) / np.float32(n)
     dh = d @ net[3][:TOP]
     grads = [(np.s_[:TOP], d.T @ h, d.sum(0))]
-    nodes, sides, row, w, values, e = _below(net, tree, h, ids)
+    nodes, sides, length, w, values, e = _below(net, tree, h, ids)
     g = (-sides * e / (1 + e) / n).astype(np.float32)
     seen, inverse = _places(nodes)
-    dh += _sums(row, g, w, n)
+    w *= g[:, None]
+    dh += _by_row(w, length)
     grads.append((seen, _sums(inverse, g, values, len(seen)), np.bincount(inverse, g, len(seen)).astype(np.float32)))
     for at, dw, db in grads:
         _move(net[3], squares[3], at, dw, rate)
