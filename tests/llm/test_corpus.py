@@ -60,6 +60,48 @@ def test_odd_and_empty_tables(spark, odd, none):
     assert token_counts.length_histogram(token_counts.encoded_lengths(none)).count() == 0
 
 
+def test_values_on_the_odd_table(spark, odd):
+    """Every row's own values: nulls, empty and long texts, repeats and columns of the operators' own names."""
+    rows = texts_of(odd)
+    texts = dict(rows)
+    own = pieces.piece_model()
+    encode = token_counts._encoding(token_counts.TOKENIZER).encode_ordinary
+    by = lambda df, *columns: sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+    each = lambda make: sorted(((i, *make(t or "")) for i, t in rows), key=repr)
+    assert by(lines.dedup_lines(odd), "doc_id", "n_lines", "n_dropped", "kept_text") == each(lambda t: (t.count("\n") + 1, 0, t))
+    assert by(pieces.piece_digest(odd), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == each(own.digest)
+    assert by(token_counts.encoded_lengths(odd), "doc_id", "n_tokens") == each(lambda t: (len(encode(t)),))
+    assert by(mixing.mix_sources(odd), "doc_id", "size") == each(lambda t: (len(words_of(t)),))
+    check_shards(rows, sharding.shard_by_bytes(odd).collect(), 8)
+    payload = lambda t: t.encode() + bytes(-len(t.encode()) % 64 or (64 if not t else 0))
+    assert by(matroska.media_digest(matroska.encode_media(odd)), "doc_id", "n_bytes", "payload_sha256", "error") == each(lambda t: (len(t.encode()), hashlib.sha256(payload(t)).hexdigest(), None))
+    found = by(jaccard_join.similar_components(odd, 3, 90), "doc_id", "n_shingles", "component_id")
+    want = brute_components([(i, t) for i, t in texts.items() if i is not None], 3, 90)
+    assert [r for r in found if r[0] is None] == [(None, 2, None)] and {r[0]: r[1:] for r in found if r[0] is not None} == want and len(found) == len(rows)
+    scores = masked_lm.pseudo_likelihood(odd).collect()
+    assert sorted(((r.doc_id, r.n_tokens) for r in scores), key=repr) == each(lambda t: (len(words_of(t)),))
+    assert all((r.log_likelihood == 0 and r.mean_log_probability is None) if r.n_tokens == 0 else r.log_likelihood < 0 for r in scores)
+    assert len({r.log_likelihood for r in scores if r.doc_id in (5, 6)}) == 1
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, none, tmp_path):
+    import corpus_pipeline as pipeline
+
+    labels = spark.createDataFrame([(5, 1, 0), (8, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
+    odd.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/odd/labels.parquet")
+    got = pipeline.run(spark, f"file://{tmp_path}/odd").collect()
+    own, texts = pieces.piece_model(), dict(texts_of(odd))
+    assert {r.doc_id for r in got} <= set(texts) and got
+    copies = collections.Counter(r.doc_id for r in got)
+    assert 6 not in copies  # a copy of 5
+    for r in got:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == own.digest(texts[r.doc_id] or "")
+    none.write.parquet(f"{tmp_path}/none/documents.parquet")
+    labels.limit(0).write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert pipeline.run(spark, f"file://{tmp_path}/none").count() == 0
+
+
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE])
 def test_sql(spark, name):
     con = duckdb.connect()
@@ -638,7 +680,7 @@ def test_encode_and_decode_columns(spark, odd):
 
 
 def check_shards(rows, got, shards):
-    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == sorted((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=repr) == sorted(((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows), key=repr)
     by = collections.defaultdict(list)
     for r in got:
         by[r.shard].append(r)
