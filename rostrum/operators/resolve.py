@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.functions import names as N
 from rostrum.operators.joins import unique_candidates, unique_prefixes, word_set
 
 #: Tiers in the order in which they are tried.
-TIERS = ["direct", "bin_free", "inverted", "word_set", "word_subset", "prefix", "spelling", "surname"]
+TIERS = ["hand", "direct", "corrected", "bin_free", "inverted", "word_set", "word_subset", "prefix", "spelling", "initials", "surname"]
+
+
+def initials(key: Column) -> Column:
+    """The first letters of all words but the last, and the last: 'j b tan' of 'john bright tan'."""
+    words = F.split(key, r"\s+")
+    return F.concat_ws(" ", F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), lambda w: F.substring(w, 1, 1)), F.element_at(words, -1))
+
+
+def hand_list(readings: DataFrame, by: list[str], label: str, value: str = "person") -> DataFrame:
+    """Rows of the tier `hand` for lookups: printed labels that someone has read; a label with two readings is dropped."""
+    return unique_candidates(readings.select(*by, F.lit("hand").alias("tier"), N.lookup_key(F.col(label)).alias("key"), value), [*by, "tier", "key"], value)
 
 
 def lookups(people: DataFrame, by: list[str], name: str = "name", value: str = "person") -> DataFrame:
@@ -20,10 +31,12 @@ def lookups(people: DataFrame, by: list[str], name: str = "name", value: str = "
     words = F.array_distinct(F.split(N.lookup_key(n), r"\s+"))
     keys = {
         "direct": N.lookup_key(n),
+        "corrected": N.lookup_key(n),
         "bin_free": N.lookup_key(N.strip_bin(n)),
         "inverted": N.lookup_key(F.coalesce(N.invert_name(n), n)),
         "word_set": word_set(N.lookup_key(n)),
         "spelling": N.lookup_key(N.spelling_normalize(n)),
+        "initials": initials(N.lookup_key(n)),
         "surname": F.element_at(F.split(N.lookup_key(n), r"\s+"), -1),
     }
     rows = people.select(*by, value, F.explode(F.array(*(F.struct(F.lit(t).alias("tier"), k.alias("key")) for t, k in keys.items()))).alias("k")).select(*by, "k.tier", "k.key", value)
@@ -35,18 +48,23 @@ def lookups(people: DataFrame, by: list[str], name: str = "name", value: str = "
     return unique_candidates(tables.where("key is not null and key <> ''"), [*by, "tier", "key"], value)
 
 
-def _asked(labels: DataFrame, by: list[str], label: str) -> DataFrame:
-    """(by, label, tier, key) of distinct labels only."""
+def _asked(labels: DataFrame, by: list[str], label: str, corrections: DataFrame | None = None) -> DataFrame:
+    """(by, label, tier, key) of distinct labels only; corrections (printed, name) is a hand-kept list of misread names."""
     c = F.col(label)
     base = N.lookup_key(c)
     keys = {"direct": base, "bin_free": N.lookup_key(N.strip_bin(c)), "inverted": N.lookup_key(F.coalesce(N.invert_name(c), c)), "word_set": word_set(base), "word_subset": word_set(base), "prefix": base, "spelling": N.lookup_key(N.spelling_normalize(c)), "surname": F.when(~base.contains(" "), base)}
+    keys |= {"hand": base, "initials": F.when(base.rlike(r"(^|\s)\w(\s|$)"), initials(base)), "corrected": N.lookup_key(F.col("_name"))}
     distinct = labels.select(*by, label).where(c.isNotNull()).distinct()
+    if corrections is None:
+        distinct = distinct.withColumn("_name", F.lit(None).cast("string"))
+    else:
+        distinct = distinct.withColumn("_printed", base).join(F.broadcast(corrections.select(N.lookup_key(F.col("printed")).alias("_printed"), F.col("name").alias("_name"))), "_printed", "left")
     return distinct.select(*by, label, F.explode(F.array(*(F.struct(F.lit(k).alias("rank"), F.lit(t).alias("tier"), keys[t].alias("key")) for k, t in enumerate(TIERS)))).alias("k")).select(*by, label, "k.*").where("key is not null")
 
 
-def resolve_tiered(labels: DataFrame, tables: DataFrame, by: list[str], label: str, value: str = "person") -> DataFrame:
+def resolve_tiered(labels: DataFrame, tables: DataFrame, by: list[str], label: str, value: str = "person", corrections: DataFrame | None = None) -> DataFrame:
     """(by, label, value, tier): the hit of the first tier that has one. One join for all tiers."""
-    hits = _asked(labels, by, label).join(tables, [*by, "tier", "key"])
+    hits = _asked(labels, by, label, corrections).join(tables, [*by, "tier", "key"])
     return hits.groupBy(*by, label).agg(F.min_by(F.struct(value, "tier"), "rank").alias("_h")).select(*by, label, f"_h.{value}", "_h.tier")
 
 

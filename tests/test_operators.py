@@ -188,7 +188,7 @@ def test_refresh_twice_and_halt(spark, tmp_path):
 
 
 def test_every_tier_is_reached(spark):
-    people = spark.createDataFrame([(1, "Ahmad bin Mohammed Rashid", 10), (1, "Lee Wei Ling", 11), (1, "Tan Ah Kow", 12), (1, "Siti Noor binte Yusof", 13), (1, "Jeyaretnam", 14), (1, "Goh Keng Swee", 15), (1, "Toh Chin", 16)], "p int, name string, person int")
+    people = spark.createDataFrame([(1, "Ahmad bin Mohammed Rashid", 10), (1, "Lee Wei Ling", 11), (1, "Tan Ah Kow", 12), (1, "Siti Noor binte Yusof", 13), (1, "Jeyaretnam", 14), (1, "Goh Keng Swee", 15), (1, "Toh Chin", 16), (1, "John Bright Smith", 17)], "p int, name string, person int")
     asked = {
         "Mr Tan Ah Kow": (12, "direct"),
         "Siti Noor Yusof": (13, "bin_free"),
@@ -200,10 +200,16 @@ def test_every_tier_is_reached(spark):
         "Mr Yusof": (13, "surname"),
         "Kow, Tan Ah, Mr": (12, "inverted"),
         "Siti Noor": (13, "prefix"),
+        "J. B. Smith": (17, "initials"),
+        "Mr Tan Ah Kaw": (12, "corrected"),
+        "The Father of the House": (15, "hand"),
         "Nobody": (None, None),
     }
     labels = spark.createDataFrame([(1, label) for label in asked], "p int, label string")
-    got = {r.label: (r.person, r.tier) for r in R.resolve_tiered(labels, R.lookups(people, ["p"]), ["p"], "label").collect()}
+    corrections = spark.createDataFrame([("Tan Ah Kaw", "Tan Ah Kow")], "printed string, name string")
+    read = spark.createDataFrame([(1, "The Father of the House", 15)], "p int, label string, person int")
+    tables = R.lookups(people, ["p"]).unionByName(R.hand_list(read, ["p"], "label"))
+    got = {r.label: (r.person, r.tier) for r in R.resolve_tiered(labels, tables, ["p"], "label", corrections=corrections).collect()}
     assert {label: got.get(label, (None, None)) for label in asked} == asked
 
 
