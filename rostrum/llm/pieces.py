@@ -20,7 +20,6 @@ from functools import lru_cache
 from itertools import groupby
 from typing import NamedTuple
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,6 +81,8 @@ class PieceModel:
     """Encodes and decodes with one model's pieces."""
 
     def __init__(self, pieces: list[Piece]) -> None:
+        import ahocorasick
+
         self.pieces = pieces
         self.ids = {p.text: k for k, p in enumerate(pieces) if p.kind in (NORMAL, USER)}
         self.score = {p.text: p.score for p in pieces if p.kind in (NORMAL, USER)}
