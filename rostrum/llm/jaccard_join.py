@@ -289,17 +289,17 @@ def candidates(trees: DataFrame, reps: DataFrame, labels: DataFrame, percent: in
     """
     members = trees.join(reps.select("doc_id", "point"), "doc_id").join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     members = scratch.save(members.select("t", "c", "doc_id", "n", "point", "band", "label"), "members")
-    # Trees whose documents are all connected have nothing to find.
-    mixed = members.groupBy("t").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("t")
-    members = members.join(mixed, "t", "left_semi")
     large = F.col("c") > LEAF
     entry = F.collect_list(F.struct("doc_id", "n", "point", "label"))
-    small = members.where(~large).groupBy("t").agg(entry.alias("left"))
+    # Trees whose documents are all connected have nothing to find.
+    mixed = lambda rows: (F.min(rows).alias("_l"), F.max(rows).alias("_m"))
+    small = members.where(~large).groupBy("t").agg(entry.alias("left"), *mixed("label")).where("_l <> _m")
     small = small.select("left", F.lit(None).cast(small.schema["left"].dataType).alias("right"))
 
     # In a band of a large tree the documents of the most common label are the core. They have
     # leaves of their own, before those of the others.
     sizes = members.where(large).groupBy("t", "band", "label").count()
+    sizes = sizes.join(sizes.groupBy("t").agg(*mixed("label")).where("_l <> _m").select("t"), "t", "left_semi")
     cores = sizes.groupBy("t", "band").agg(F.max_by("label", F.struct("count", "label")).alias("core"), F.max("count").alias("n_core"), F.sum("count").alias("n_all"))
     leaves_of = lambda n: F.ceil(n / F.lit(float(LEAF))).cast("int")
     bands = cores.select("t", "band", "core", leaves_of(F.col("n_core")).alias("core_leaves"), leaves_of(F.col("n_all") - F.col("n_core")).alias("other_leaves"))
