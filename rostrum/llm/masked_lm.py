@@ -354,21 +354,24 @@ def averaged(net: list[np.ndarray], sums: np.ndarray) -> list[np.ndarray]:
 
 
 def tree_sum(parts: DataFrame, shards: int, name: str, scratch: Scratch, fan: int = 16, chunk: int = 1 << 16) -> np.ndarray:
-    """The sum of the arrays of rows (shard, chunk, data), fan shards at a time, in the order of their numbers."""
+    """The sum of the arrays of rows (shard, chunk, data), fan shards at a time, in the order of their numbers.
 
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("shard")
-        total = np.zeros(len(rows["data"].iloc[0]) // 8)
-        for data in rows["data"]:
-            total += np.frombuffer(data, np.float64)
-        return pd.DataFrame({"shard": [key[0]], "chunk": [key[1]], "data": [total.tobytes()]})
-
-    level = 0
+    Shards give single precision, sums are in double.
+    """
+    level, kind = 0, np.float32
     while shards > 1:
+
+        def add(key: tuple, rows: pd.DataFrame, kind=kind) -> pd.DataFrame:  # noqa: ANN001
+            arrays = [np.frombuffer(data, kind) for data in rows.sort_values("shard")["data"]]
+            total = np.zeros(len(arrays[0]))
+            for own in arrays:
+                total += own
+            return pd.DataFrame({"shard": [key[0]], "chunk": [key[1]], "data": [total.tobytes()]})
+
         parts = scratch.save(parts.groupBy(F.expr(f"shard div {fan}").cast("int").alias("shard"), "chunk").applyInPandas(add, "shard int, chunk int, data binary"), f"{name}-{level}")
-        shards, level = -(-shards // fan), level + 1
+        shards, level, kind = -(-shards // fan), level + 1, np.float64
     rows = sorted(parts.select("chunk", "data").collect())  # one array of parameters, whatever the input
-    return np.concatenate([np.frombuffer(r.data, np.float64) for r in rows]) if rows else np.zeros(0)
+    return np.concatenate([np.frombuffer(r.data, kind) for r in rows]).astype(np.float64) if rows else np.zeros(0)
 
 
 def train(tokens: DataFrame, total: int, vocabulary: Vocabulary, scratch: Scratch, rounds: int = ROUNDS, seed: int = 1, chunk: int = 1 << 16) -> list[np.ndarray]:
@@ -387,7 +390,7 @@ def train(tokens: DataFrame, total: int, vocabulary: Vocabulary, scratch: Scratc
             own = None
 
             def give() -> Iterator[pa.RecordBatch]:
-                flat = own.moved().astype(np.float64)
+                flat = own.moved()
                 for k, a in enumerate(range(0, len(flat), chunk)):
                     yield pa.RecordBatch.from_arrays([pa.array([own.number], pa.int32()), pa.array([k], pa.int32()), pa.array([flat[a : a + chunk].tobytes()], pa.binary())], ["shard", "chunk", "data"])
 

@@ -450,10 +450,11 @@ def test_averages_are_of_the_shards_that_saw():
 
 def test_sums_in_a_tree(spark):
     rng = np.random.default_rng(3)
-    data = rng.normal(size=(7, 10))
+    data = rng.normal(size=(7, 10)).astype(np.float32)
     rows = [(s, k, bytearray(data[s, 4 * k : 4 * k + 4].tobytes())) for s in range(7) for k in range(3)]
     parts = spark.createDataFrame(rows, "shard int, chunk int, data binary").repartition(5)
-    assert masked_lm.tree_sum(parts, 7, "t", Scratch(spark), fan=2) == pytest.approx(data.sum(0))
+    assert masked_lm.tree_sum(parts, 7, "t", Scratch(spark), fan=2) == pytest.approx(data.astype(float).sum(0))
+    assert masked_lm.tree_sum(parts.where("shard = 3"), 1, "one", Scratch(spark)) == pytest.approx(data[3])
 
 
 def test_rare_words_have_their_own_chance(spark):
