@@ -353,6 +353,17 @@ def averaged(net: list[np.ndarray], sums: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _adder(kind: type):  # noqa: ANN202
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        arrays = [np.frombuffer(data, kind) for data in rows.sort_values("shard")["data"]]
+        total = np.zeros(len(arrays[0]))
+        for own in arrays:
+            total += own
+        return pd.DataFrame({"shard": [key[0]], "chunk": [key[1]], "data": [total.tobytes()]})
+
+    return add
+
+
 def tree_sum(parts: DataFrame, shards: int, name: str, scratch: Scratch, fan: int = 16, chunk: int = 1 << 16) -> np.ndarray:
     """The sum of the arrays of rows (shard, chunk, data), fan shards at a time, in the order of their numbers.
 
@@ -360,15 +371,7 @@ def tree_sum(parts: DataFrame, shards: int, name: str, scratch: Scratch, fan: in
     """
     level, kind = 0, np.float32
     while shards > 1:
-
-        def add(key: tuple, rows: pd.DataFrame, kind=kind) -> pd.DataFrame:  # noqa: ANN001
-            arrays = [np.frombuffer(data, kind) for data in rows.sort_values("shard")["data"]]
-            total = np.zeros(len(arrays[0]))
-            for own in arrays:
-                total += own
-            return pd.DataFrame({"shard": [key[0]], "chunk": [key[1]], "data": [total.tobytes()]})
-
-        parts = scratch.save(parts.groupBy(F.expr(f"shard div {fan}").cast("int").alias("shard"), "chunk").applyInPandas(add, "shard int, chunk int, data binary"), f"{name}-{level}")
+        parts = scratch.save(parts.groupBy(F.expr(f"shard div {fan}").cast("int").alias("shard"), "chunk").applyInPandas(_adder(kind), "shard int, chunk int, data binary"), f"{name}-{level}")
         shards, level, kind = -(-shards // fan), level + 1, np.float64
     rows = sorted(parts.select("chunk", "data").collect())  # one array of parameters, whatever the input
     return np.concatenate([np.frombuffer(r.data, kind) for r in rows]).astype(np.float64) if rows else np.zeros(0)
