@@ -29,9 +29,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -215,19 +217,47 @@ class _Labels:
         return [(least[label], i) for label, i in zip(self.of.tolist(), ids, strict=True) if least[label] != i]
 
 
-def _open(left: list, right: list | None, percent: int) -> list[tuple[int, int]]:
-    """Candidate links in one leaf, or between two, of (doc_id, n, point, label) entries of different labels.
+class _Leaf(NamedTuple):
+    """The documents of a leaf, or of several one after the other, as arrays."""
+
+    ids: np.ndarray
+    n: np.ndarray
+    labels: np.ndarray
+    points: list[np.ndarray]
+
+    def __add__(self, other: _Leaf) -> _Leaf:
+        return _Leaf(*(np.concatenate([x, y]) for x, y in zip(self[:3], other[:3], strict=True)), self.points + other.points)
+
+
+def _leaves(column: pa.Array) -> Iterator[_Leaf | None]:
+    """The leaves of a list column of (doc_id, n, point, label); a null list is None. Points are views of the column's bytes."""
+    flat = column.flatten()
+    ids, n, labels = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3))
+    points = flat.field(2)
+    _, at, data = points.buffers()
+    at = np.frombuffer(at, np.int32)[points.offset : points.offset + len(points) + 1] if len(points) else np.zeros(1, np.int32)
+    data = memoryview(data) if data is not None else memoryview(b"")
+    a = 0
+    for size in pc.list_value_length(column).to_pylist():
+        if size is None:
+            yield None
+        else:
+            yield _Leaf(ids[a : a + size], n[a : a + size], labels[a : a + size], [unpack_counts(data[at[k] : at[k + 1]]) for k in range(a, a + size)])
+            a += size
+
+
+def _open(left: _Leaf, right: _Leaf | None, percent: int) -> list[tuple[int, int]]:
+    """Candidate links in one leaf, or between two, of documents of different labels.
 
     One leaf gives a star for each of its components, two leaves give a link for each pair of
     their components that it takes to join them.
     """
-    rows = left + (right or [])
-    n = np.array([r["n"] for r in rows], np.int64)
-    order = np.argsort(n, kind="stable")
-    side, n = (np.arange(len(rows)) < len(left))[order], n[order]
-    ids = [rows[i]["doc_id"] for i in order]
-    labels, across = _Labels([rows[i]["label"] for i in order]), []
-    for i, found in near_places([unpack_counts(rows[i]["point"]) for i in order], n, percent):
+    both = left + right if right else left
+    order = np.argsort(both.n, kind="stable")
+    side, n = (np.arange(len(both.n)) < len(left.n))[order], both.n[order]
+    ids = both.ids[order].tolist()
+    labels, across = _Labels(both.labels[order].tolist()), []
+    for i, found in near_places([both.points[i] for i in order], n, percent):
         own = found[(side[found] == side[i]) & (labels.of[found] != labels.of[i])]
         if len(own):
             labels.join(own, i)
@@ -329,9 +359,9 @@ def candidates(trees: DataFrame, reps: DataFrame, labels: DataFrame, percent: in
     opened = pairs.join(leaves.withColumnRenamed("rows", "left"), ["t", "band", "leaf"]).join(other, ["t", "band2", "leaf2"], "left").select("left", "right")
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for begin in range(0, len(batch), 256):
-            part = batch.slice(begin, 256)
-            links = [link for left, right in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for link in _open(left, right, percent)]
+        for begin in range(0, len(batch), 64):
+            part = batch.slice(begin, 64)
+            links = [link for left, right in zip(_leaves(part.column(0)), _leaves(part.column(1)), strict=True) for link in _open(left, right, percent)]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
     found = arrow_map(small, each, "a long, b long").unionByName(arrow_map(opened, each, "a long, b long"))
