@@ -111,10 +111,10 @@ def merged(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def batch_bounds(docs: DataFrame, batches: int | None = None) -> list[int]:
-    """Ids that cut the documents into batches of about equal number; from 4 million documents on there are more of them, up to 64."""
+    """Ids that cut the documents into batches of about equal number; two, and from 1.5 million documents on more of them, up to 64."""
     marks = [k / 64 for k in range(1, 64)]
     n, found = docs.agg(F.count("doc_id"), F.percentile_approx("doc_id", marks)).first()
-    batches = batches or max(4, min(64, n >> 20))
+    batches = batches or max(2, min(64, n >> 19))
     return sorted({found[round(64 * k / batches) - 1] for k in range(1, batches)}) if found else []
 
 
