@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rostrum.sources.tables import Scratch  # noqa: F401
 
@@ -113,12 +115,21 @@ def text_slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int,
         row = end
 
 
-def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def release_memory() -> None:
+    """Gives freed memory back to the system: Python workers live on from stage to stage and keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim is not None:
+        trim(0)
+
+
+def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """each over every Arrow batch of a partition; a batch may give several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from each(batch)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 

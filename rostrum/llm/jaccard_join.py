@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from rostrum.operators.graph import connected_components
 
-from .common import Scratch, arrow_map, documents, fold_table, mix, most_frequent, separators, signed, text_slices, word_hashes
+from .common import Scratch, arrow_map, documents, fold_table, mix, most_frequent, release_memory, separators, signed, text_slices, word_hashes
 
 #: Shingles a group on the average, and the bounds of the number of groups, as powers of two.
 #: Counts of unrelated sets then differ by more in sum than similar sets may.
@@ -308,6 +308,7 @@ def centre_links(docs: DataFrame, large: DataFrame, k: int, percent: int, scratc
                 elif similar(centre, own, percent):
                     links.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+        release_memory()
 
     return scratch.save(rows.mapInArrow(run, "a long, b long"), "centre-links")
 
@@ -462,6 +463,7 @@ def linked(docs: DataFrame, reps: DataFrame, found: DataFrame, labels: DataFrame
                 tile.append((doc_id, part, label, shingles))
         if key is not None:
             yield close()
+        release_memory()
 
     stars = scratch.save(rows.mapInArrow(run, "a long, b long, whole boolean"), "links")
     done = stars.where("whole").select(F.col("b").alias("node"), F.col("a").alias("component")).distinct()

@@ -204,7 +204,7 @@ def drop_toxic(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD)
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(machine.scores(batch.column(where)) < threshold))
 
-    return docs.mapInArrow(lambda batches: (out for batch in batches for out in each(batch)), docs.schema)
+    return arrow_map(docs, each, docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:
