@@ -87,7 +87,7 @@ def test_values_on_the_odd_table(spark, odd):
 def test_pipeline_on_odd_and_empty_tables(spark, odd, none, tmp_path):
     import corpus_pipeline as pipeline
 
-    labels = spark.createDataFrame([(5, 1, 0), (8, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(k, 1, 0) for k in (3, 5, 7, 8)] + [(2, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     odd.write.parquet(f"{tmp_path}/odd/documents.parquet")
     labels.write.parquet(f"{tmp_path}/odd/labels.parquet")
     got = pipeline.run(spark, f"file://{tmp_path}/odd").collect()
