@@ -134,6 +134,19 @@ def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
+def finite_vector(column: str) -> Column:
+    """Whether a vector is there and holds neither null nor NaN nor an infinity."""
+    entry = lambda c: F.coalesce(F.abs(c.cast("double")) < F.lit(float("inf")), F.lit(False))
+    return F.col(column).isNotNull() & F.coalesce(F.forall(column, entry), F.lit(False))
+
+
+def usual_length(vectors: DataFrame, column: str) -> tuple[int, int]:
+    """(number of vectors of the most frequent length, that length); of two as frequent, the longer; (0, 0) without any."""
+    sizes = vectors.groupBy(F.size(column).alias("entries")).agg(F.count("*").alias("rows"))
+    top = sizes.where("entries > 0").agg(F.max(F.struct("rows", "entries")).alias("top")).first().top
+    return (int(top.rows), int(top.entries)) if top else (0, 0)
+
+
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     """The rows of counts with the highest n, at most `most` of them, cut between sixteenths of an octave.
 
