@@ -29,4 +29,4 @@ def rows(spark: SparkSession, folder: str, name: str, *columns: str, where: str
     return df.selectExpr(*columns) if columns else df
 
 
-from rostrum.plans import audit, linkage, matching, ordered, relational, streams, text  # noqa: E402, F401
+from rostrum.plans import audit, linkage, matching, ordered, proceedings, relational, streams, text  # noqa: E402, F401
