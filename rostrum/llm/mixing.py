@@ -5,8 +5,9 @@ more with probability rate - floor(rate). The flight phase moves these fractiona
 probabilities along the null space of two constraints, the words and the number of documents,
 until at most two documents of a block stay fractional. Blocks are fixed-size parts of a
 source, so a large source is spread over many tasks; what stays fractional goes to the next
-round, hundreds of times smaller, until one block a source is left. There the landing decides
-the last two or so by the word constraint alone, then by a draw.
+round, hundreds of times smaller, until one block a source is left. There the longest units fly
+first, against all others, so that short ones are left; the landing decides the last two or so
+by the word constraint alone, and the very last one as comes nearer to the target.
 """
 
 from __future__ import annotations
@@ -96,11 +97,42 @@ def _null_vector(a: np.ndarray) -> np.ndarray:
     return u / np.abs(u).max()
 
 
+def long_first(p: np.ndarray, balance: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """As `flight`, the longest unit first: it moves alone, all shorter ones make up for it a little each.
+
+    So long units reach 0 or 1 while there are many to balance them, and the last ones left
+    are short. balance's first row is the size.
+    """
+    p = p.copy()
+    open_ = [int(i) for i in np.argsort(-balance[0], kind="stable") if _EPS < p[i] < 1 - _EPS]
+    while len(open_) > len(balance):
+        first, rest = open_[0], np.array(open_[1:])
+        others = balance[:, rest] / np.maximum(np.abs(balance[:, rest]).max(1, keepdims=True), 1e-300)
+        scaled = balance[:, first] / np.maximum(np.abs(balance[:, rest]).max(1), 1e-300)
+        u = np.concatenate([[1.0], -np.linalg.lstsq(others, scaled, rcond=None)[0]])
+        if np.abs(others @ u[1:] + scaled).max() > 1e-9 * max(1.0, np.abs(scaled).max()):
+            return flight(p, balance, rng)[0]
+        at = np.array(open_)
+        now = p[at]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            up = np.where(u > 1e-15, (1 - now) / u, np.where(u < -1e-15, -now / u, np.inf)).min()
+            down = np.where(u > 1e-15, now / u, np.where(u < -1e-15, (now - 1) / u, np.inf)).min()
+        step = up if rng.random() * (up + down) < down else -down
+        moved = np.clip(now + step * u, 0, 1)
+        moved[moved < _EPS] = 0
+        moved[moved > 1 - _EPS] = 1
+        p[at] = moved
+        left = [i for i, x in zip(open_, moved, strict=True) if 0 < x < 1]
+        if len(left) == len(open_):
+            return flight(p, balance, rng)[0]
+        open_ = left
+    return p
+
+
 def land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Decides the units that the flight left: by words alone, then the last one by a draw."""
+    """Decides the units that the flight left: by words alone, then the last one as is nearer to the words wanted."""
     p, left = flight(p, size[None, :], rng)
-    for i in left:
-        p[i] = float(rng.random() < p[i])
+    p[left] = p[left] >= 0.5
     return p
 
 
@@ -109,8 +141,8 @@ def _blocks(seed: int, last: bool):  # noqa: ANN202
         rows = rows.sort_values(["draw", "doc_id", "size", "nth"], kind="stable", ignore_index=True)
         rng = np.random.default_rng([seed, int(key[0]) & 0xFFFFFFFF, int(key[1]) & 0xFFFFFFFF])
         size = rows["size"].to_numpy(np.float64)
-        p, _ = flight(rows["p"].to_numpy(np.float64), np.stack([size, np.ones(len(size))]), rng)
-        rows["p"] = land(p, size, rng) if last else p
+        start, balance = rows["p"].to_numpy(np.float64), np.stack([size, np.ones(len(size))])
+        rows["p"] = land(long_first(start, balance, rng), size, rng) if last else flight(start, balance, rng)[0]
         return rows
 
     return run
@@ -119,7 +151,11 @@ def _blocks(seed: int, last: bool):  # noqa: ANN202
 def balanced_sample(rows: DataFrame, seed: int = 1, block: int = 1024, scratch: Scratch | None = None) -> list[DataFrame]:
     """rows (doc_id, size, nth, stratum long, p, ...) with p at 0 or 1, as disjoint tables.
 
-    In each stratum the sums of p * size and of p are kept up to the landing of a few units.
+    In each stratum the sums of p * size and of p are kept up to the landing of a few short units.
+    A hash of doc_id, size and nth orders the rows, null ids too, so rows of equal size differ in
+    their hashes only; rows equal in all three must be told apart by nth, or they share their
+    draw and are decided in any order. Sizes of any length and 0 are units like all others, other
+    columns pass through, an empty table gives one empty table.
     """
     spark = rows.sparkSession
     scratch = scratch or Scratch(spark)
