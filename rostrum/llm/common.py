@@ -148,18 +148,24 @@ def usual_length(vectors: DataFrame, column: str) -> tuple[int, int]:
 
 
 def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
-    """The rows of counts with the highest n, at most `most` of them, cut between sixteenths of an octave.
+    """Rows of counts with the highest n, about `most` of them (all, if there are fewer).
 
-    Unlike a sorted limit, which takes so many rows from every partition to the driver, only
-    the number of rows of each step goes there: some hundred numbers at any input size.
+    Rows are counted by steps of n, sixteenths of an octave; unlike a sorted limit, which takes
+    so many rows from every partition to the driver, only some hundred numbers go there. The
+    step that would pass `most` is cut by a hash of the whole row, so it gives its share however
+    many rows are in it, the same ones under any partitioning.
     """
     step = F.floor(F.log2(F.col(n)) * 16)
-    left, least = most, None
+    left, least, share = most, None, 1.0
     for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r.step):
-        if r.rows > left:
+        least, share = r.step, min(1.0, left / r.rows)
+        left -= r.rows
+        if left <= 0:
             break
-        left, least = left - r.rows, r.step
-    return counts.where(step >= least) if least is not None else counts.limit(0)
+    if least is None:
+        return counts.limit(0)
+    chance = F.shiftrightunsigned(F.xxhash64(*counts.columns), 11) / F.lit(float(1 << 53))
+    return counts.where((step > least) | ((step == least) & (chance < share)))
 
 
 def numbered(rows: DataFrame, scratch: Scratch, name: str, run: int = 1 << 16) -> DataFrame:

@@ -475,21 +475,8 @@ def linked(docs: DataFrame, reps: DataFrame, found: DataFrame, labels: DataFrame
 # The join ---------------------------------------------------------------------------------------
 
 
-def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id), one row for each row of docs.
-
-    Two texts link when 100 * |intersection| >= percent * |union| of their sets of k-word
-    shingles (words `[^\\x20\\x09-\\x0D]+`, A-Z folded; fewer than k words are one shingle).
-    percent is 50 or more. class_id is the smallest doc_id with the same set, component_id the smallest reachable by
-    links, itself included. Null texts and texts without words have empty sets and link with
-    nothing. doc_id must not repeat with different texts; repeated rows give repeated results.
-    A null doc_id is taken as no document: its row has component_id null. Texts of any length
-    are compared whole; of equal sets, or links of equal overlap, none is preferred: the least
-    id names the class and the component. Other columns are ignored. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    scratch = scratch or Scratch(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _joined(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """`similar_components` of docs (doc_id, text) in which no id has two texts."""
     last = frequent_shingles(docs, k, percent, scratch)
     table = scratch.save(points(docs, k, percent, last), "points")
     same = ["n", "sig1", "sig2"]
@@ -514,8 +501,66 @@ def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch:
     )
 
 
+
+def other_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, h1, h2, node): the texts of repeated ids besides the first, each with a negative number that is no document's id."""
+    own = keyed(docs).where("doc_id is not null").select("doc_id", "h1", "h2").distinct()
+    first = own.groupBy("doc_id").agg(F.min(F.struct("h1", "h2")).alias("first"), F.count("*").alias("texts")).where("texts > 1").select("doc_id", "first")
+    more = scratch.save(own.join(first, "doc_id").where(F.struct("h1", "h2") != F.col("first")).select("doc_id", "h1", "h2"), "other-texts")
+    if more.isEmpty():
+        return more.withColumn("node", F.lit(None).cast("long"))
+    salt = 0
+    while True:
+        numbers = more.withColumn("node", -1 - F.shiftrightunsigned(F.xxhash64(F.lit(salt), "doc_id", "h1", "h2"), 1))
+        numbers = scratch.save(numbers, f"numbers-{salt}")
+        taken = numbers.join(docs.select(F.col("doc_id").alias("node")), "node", "left_semi")
+        if taken.isEmpty() and numbers.groupBy("node").count().where("count > 1").isEmpty():
+            return numbers
+        salt += 1
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit("second"), text)})
+
+
+def similar_components(docs: DataFrame, k: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id), one row for each row of docs.
+
+    Two texts link when 100 * |intersection| >= percent * |union| of their sets of k-word
+    shingles (words `[^\\x20\\x09-\\x0D]+`, A-Z folded; fewer than k words are one shingle).
+    percent is 50 or more. class_id is the smallest doc_id with the same set, component_id the smallest reachable by
+    links, itself included. Null texts and texts without words have empty sets and link with
+    nothing. Rows that share an id are one document: each has its own set and class, and all that
+    any of them links with is one component. Repeated rows give repeated results.
+    A null doc_id is taken as no document: its row has component_id null. Texts of any length
+    are compared whole; of equal sets, or links of equal overlap, none is preferred: the least
+    id names the class and the component. Other columns are ignored. An empty table gives no rows.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    more = other_texts(docs, scratch)
+    if more.isEmpty():
+        return _joined(docs, k, percent, scratch)
+    # Other texts of an id are documents of their own numbers, and join the id's component afterwards.
+    apart = keyed(docs).join(more, ["doc_id", "h1", "h2"], "left").select(F.coalesce("node", "doc_id").alias("doc_id"), "text")
+    found = scratch.save(_joined(apart, k, percent, scratch), "of-texts")
+    of = found.select("doc_id", "component_id").where("doc_id is not null").distinct()
+    pairs = more.join(of, "doc_id").select("node", F.col("component_id").alias("a")).join(of.toDF("node", "b"), "node").select("a", "b")
+    merged = connected_components(scratch.save(pairs.where("a <> b").distinct(), "of-ids"), scratch, "ids").toDF("component_id", "whole")
+    named = found.join(merged, "component_id", "left").join(more.select(F.col("node").alias("doc_id"), F.col("doc_id").alias("own")), "doc_id", "left")
+    named = scratch.save(named.select(F.coalesce("own", "doc_id").alias("doc_id"), "n_shingles", "class_id", F.coalesce("whole", "component_id").alias("component_id")), "named")
+    # A class or component that holds such a number may be called by it: its least id takes its place.
+    least = lambda c: named.where(F.col(c) < 0).groupBy(c).agg(F.min("doc_id").alias(f"_{c}"))
+    out = named.join(least("class_id"), "class_id", "left").join(least("component_id"), "component_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("_class_id", "class_id").alias("class_id"), F.coalesce("_component_id", "component_id").alias("component_id"))
+
+
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
-    """docs with one document of each component, the one with the smallest id; all columns stay."""
+    """docs with one document of each component, the one with the smallest id; all columns stay.
+
+    All rows of that id stay, also where their texts differ; rows without an id and texts without words stay.
+    """
     found = similar_components(docs, k, percent, scratch)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -137,7 +137,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def build_vocabulary(words: DataFrame) -> Vocabulary:
     """Ids in order of frequency from all counts (word, n); the driver gets VOCABULARY + SPARE rows at most."""
-    top = sorted(most_frequent(words, "n", VOCABULARY).collect(), key=lambda r: (-r.n, r.word))
+    top = sorted(most_frequent(words, "n", VOCABULARY).collect(), key=lambda r: (-r.n, r.word))[:VOCABULARY]
     hashes = np.array([r.word for r in top], np.int64).view(np.uint64)
     counts = np.zeros(_IDS)
     counts[SPARE : SPARE + len(top)] = [r.n for r in top]
@@ -154,7 +154,7 @@ def build_vocabulary(words: DataFrame) -> Vocabulary:
 
 
 def tokenized(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, deal, ids, rare, times): ids of all words in order; rare words by hash, with how often; deal: a hash of the row."""
+    """(doc_id, deal, ids, rare, times, row): ids of all words in order; rare words by hash, with how often; deal: a hash of the row."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a size fixed by the constants above
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -176,7 +176,8 @@ def tokenized(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", text).alias("deal"), text.alias("text"))
-    return arrow_map(rows, each, "doc_id long, deal long, ids array<int>, rare array<long>, times array<long>")
+    # Numbers of rows hold once they are written: read a saved table.
+    return arrow_map(rows, each, "doc_id long, deal long, ids array<int>, rare array<long>, times array<long>").withColumn("row", F.monotonically_increasing_id())
 
 
 # The network ------------------------------------------------------------------------------------
@@ -442,13 +443,14 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, seed: int = 1, scratch: Scratch |
 
 
 def score(tokens: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood, mean_log_probability) of a written table of rows as `tokenized` by the model's vocabulary.
+    """(doc_id, n_tokens, log_likelihood, mean_log_probability) of rows as `tokenized` by the model's vocabulary, each with a written number `row`.
 
     A word that the model's corpus has not counts there as half a word. Scores are rounded to
-    three digits: how rows are batched changes the last bits of single-precision sums.
+    three digits: how rows are batched changes the last bits of single-precision sums. Rows without
+    tokens have the sum 0 and a null mean; null and repeated ids are rows like all others, texts of
+    any length are scored whole, other columns are ignored, an empty table gives no rows.
     """
     sent = tokens.sparkSession.sparkContext.broadcast((model.vocabulary, model.net))
-    tokens = tokens.withColumn("row", F.monotonically_increasing_id())  # of a written table: the same in each read
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         vocabulary, net = sent.value

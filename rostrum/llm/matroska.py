@@ -25,6 +25,9 @@ TRACKS, TRACK_ENTRY, TRACK_NUMBER, TRACK_TYPE, CODEC_ID = 0x1654AE6B, 0xAE, 0xD7
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
 CLUSTER, CLUSTER_TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
 CUES, CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
+ENCODINGS, ENCODING, ENCODING_ORDER, ENCODING_SCOPE, ENCODING_TYPE = 0x6D80, 0x6240, 0x5031, 0x5032, 0x5033
+COMPRESSION, COMPRESSION_ALGORITHM, COMPRESSION_SETTINGS, ENCRYPTED_BLOCK = 0x5034, 0x4254, 0x4255, 0xAF
+HEADER_STRIPPING = 3
 SEEK_HEAD, ATTACHMENTS, CHAPTERS, TAGS = 0x114D9B74, 0x1941A469, 0x1043A770, 0x1254C367
 TOP = {EBML, SEGMENT}
 IN_SEGMENT = {INFO, TRACKS, CLUSTER, CUES, SEEK_HEAD, ATTACHMENTS, CHAPTERS, TAGS}
@@ -35,7 +38,7 @@ RATE, FRAME, LACED, BLOCKS = 8000, 400, 8, 16
 
 
 class Packet(NamedTuple):
-    """One frame; offset and size are its byte range in the file."""
+    """One frame; offset and size are its byte range in the file, header the bytes that its track strips from the front."""
 
     track: int
     timestamp_ms: int
@@ -45,6 +48,10 @@ class Packet(NamedTuple):
     lace: int
     cluster_offset: int
     cued: bool
+    header: bytes = b""
+
+    def bytes_of(self, data: bytes) -> bytes:
+        return self.header + data[self.offset : self.offset + self.size]
 
 
 # Writing ----------------------------------------------------------------------------------------
@@ -191,8 +198,29 @@ def read_laces(data: bytes, at: int, end: int, kind: int) -> list[tuple[int, int
     return frames
 
 
+def stripped_header(data: bytes, begin: int, end: int) -> bytes:
+    """What a track's encodings strip from the front of every frame; any other encoding of frames is an error."""
+    found = []
+    for ident, _, first, stop in elements(data, begin, end):
+        if ident != ENCODING:
+            continue
+        entry = {i: data[a:b] for i, _, a, b in elements(data, first, stop)}
+        number = lambda i, default: int.from_bytes(entry[i], "big") if i in entry else default
+        if not number(ENCODING_SCOPE, 1) & 1:  # of the codec's own data, not of frames
+            continue
+        inside = {i: body for i, body in ((i, data[a:b]) for i, _, c, d in elements(data, first, stop) if i == COMPRESSION for i, _, a, b in elements(data, c, d))}
+        if number(ENCODING_TYPE, 0) != 0 or int.from_bytes(inside.get(COMPRESSION_ALGORITHM, b""), "big") != HEADER_STRIPPING:
+            raise ValueError(f"frames are encrypted or compressed otherwise than by header stripping (encoding at byte {first})")
+        found.append((number(ENCODING_ORDER, 0), inside.get(COMPRESSION_SETTINGS, b"")))
+    return b"".join(header for _, header in sorted(found))
+
+
 def read_matroska(data: bytes) -> tuple[dict[int, dict], list[Packet]]:
-    """(tracks, packets in file order). A laced block's frames share its timestamp."""
+    """(tracks, packets in file order). A laced block's frames share its timestamp.
+
+    Packets of a track that strips headers carry them. Frames in any other encoding, encrypted
+    blocks, and packets of a track that the file doesn't describe are errors.
+    """
     tracks: dict[int, dict] = {}
     clusters: list[tuple[int, int, int]] = []
     cued: set[tuple[int, int]] = set()
@@ -217,7 +245,7 @@ def read_matroska(data: bytes) -> tuple[dict[int, dict], list[Packet]]:
                     audio = children(*entry[AUDIO]) if AUDIO in entry else {}
                     span = audio.get(SAMPLING_FREQUENCY)
                     rate = unpack(">d" if span[1] - span[0] == 8 else ">f", data[span[0] : span[1]])[0] if span else 8000.0
-                    tracks[uint(*entry[TRACK_NUMBER])] = {"codec": data[slice(*entry[CODEC_ID])].decode(), "type": uint(*entry[TRACK_TYPE]), "rate": rate, "bits": uint(*audio.get(BIT_DEPTH, (0, 0)))}
+                    tracks[uint(*entry[TRACK_NUMBER])] = {"codec": data[slice(*entry[CODEC_ID])].decode(), "type": uint(*entry[TRACK_TYPE]), "rate": rate, "bits": uint(*audio.get(BIT_DEPTH, (0, 0))), "header": stripped_header(data, *entry[ENCODINGS]) if ENCODINGS in entry else b""}
             elif child == CLUSTER:
                 clusters.append((at, first, stop))
             elif child == CUES:
@@ -233,13 +261,18 @@ def read_matroska(data: bytes) -> tuple[dict[int, dict], list[Packet]]:
         for child, _, a, b in elements(data, first, stop):
             if child == CLUSTER_TIMESTAMP:
                 base = uint(a, b)
-            blocks = [(a, b)] if child == SIMPLE_BLOCK else [(c, d) for e, _, c, d in elements(data, a, b) if e == BLOCK] if child == BLOCK_GROUP else []
+            inside = list(elements(data, a, b)) if child == BLOCK_GROUP else []
+            if any(e == ENCRYPTED_BLOCK for e, *_ in inside) or child == ENCRYPTED_BLOCK:
+                raise ValueError(f"an encrypted block at byte {a}")
+            blocks = [(a, b)] if child == SIMPLE_BLOCK else [(c, d) for e, _, c, d in inside if e == BLOCK]
             for c, d in blocks:
                 track, width = read_size(data, c)
                 ticks, flags = unpack(">hB", data[c + width : c + width + 3])
                 kind = flags >> 1 & 3
+                if track not in tracks:
+                    raise ValueError(f"a block of track {track}, which the file doesn't describe, at byte {c}")
                 for lace, (offset, size) in enumerate(read_laces(data, c + width + 3, d, kind)):
-                    packets.append(Packet(track, (base + ticks) * scale // 1_000_000, offset, size, kind, lace, at, (track, at) in cued))
+                    packets.append(Packet(track, (base + ticks) * scale // 1_000_000, offset, size, kind, lace, at, (track, at) in cued, tracks[track]["header"]))
     return tracks, packets
 
 
@@ -272,7 +305,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def packet_table(files: DataFrame) -> DataFrame:
-    """A row for each packet of files (doc_id, media): doc_id, packet, the fields of Packet, crc32.
+    """A row for each packet of files (doc_id, media): doc_id, packet, the fields of Packet, crc32 (of the whole packet, its header included).
 
     A null or unreadable file has no packets; see `media_digest` for its error. Files of any
     number of packets leave in batches of some thousand rows; repeated files give their packets
@@ -286,11 +319,11 @@ def packet_table(files: DataFrame) -> DataFrame:
             except (ValueError, IndexError, KeyError, StructError):
                 packets = []
             for begin in range(0, len(packets), 4096):
-                rows = [{"doc_id": doc_id, "packet": begin + k, **p._asdict(), "crc32": zlib.crc32(media[p.offset : p.offset + p.size])} for k, p in enumerate(packets[begin : begin + 4096])]
+                rows = [{"doc_id": doc_id, "packet": begin + k, **p._asdict(), "crc32": zlib.crc32(p.bytes_of(media))} for k, p in enumerate(packets[begin : begin + 4096])]
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    schema = pa.schema([("doc_id", pa.int64()), ("packet", pa.int64()), *((n, pa.bool_() if n == "cued" else pa.int64()) for n in Packet._fields), ("crc32", pa.int64())])
-    return arrow_map(files.select("doc_id", "media"), each, "doc_id long, packet long, track long, timestamp_ms long, offset long, size long, lacing long, lace long, cluster_offset long, cued boolean, crc32 long")
+    schema = pa.schema([("doc_id", pa.int64()), ("packet", pa.int64()), *((n, {"cued": pa.bool_(), "header": pa.binary()}.get(n, pa.int64())) for n in Packet._fields), ("crc32", pa.int64())])
+    return arrow_map(files.select("doc_id", "media"), each, "doc_id long, packet long, track long, timestamp_ms long, offset long, size long, lacing long, lace long, cluster_offset long, cued boolean, header binary, crc32 long")
 
 
 def media_digest(files: DataFrame) -> DataFrame:
@@ -308,7 +341,7 @@ def media_digest(files: DataFrame) -> DataFrame:
             tracks, packets = read_matroska(media)
         except (ValueError, IndexError, KeyError, StructError) as error:
             return row | {"error": str(error)}
-        payload = b"".join(media[p.offset : p.offset + p.size] for p in packets)
+        payload = b"".join(p.bytes_of(media) for p in packets)
         laces = [sum(p.lacing == kind and p.lace == 0 for p in packets) for kind in range(4)]
         clusters = {p.cluster_offset for p in packets}
         track = tracks.get(1, {})
