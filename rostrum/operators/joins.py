@@ -113,15 +113,16 @@ def nth_occurrence_join(left: DataFrame, right: DataFrame, by: list[str], left_o
 
 
 def word_set(name: Column) -> Column:
-    """A name's distinct words, sorted, as one key."""
-    return F.concat_ws(" ", F.array_sort(F.array_distinct(F.filter(F.split(F.lower(name), r"\s+"), lambda w: w != ""))))
+    """A name's number of words and its distinct words, sorted, as one key; null without a name."""
+    words = F.filter(F.split(F.lower(name), r"\s+"), lambda w: w != "")
+    return F.when(name.isNotNull(), F.concat_ws(" ", F.size(words).cast("string"), F.array_sort(F.array_distinct(words))))
 
 
 def unique_prefixes(names: DataFrame, by: list[str], name: str, value: str, least_words: int = 2) -> DataFrame:
-    """(by, prefix, value): the first 2, 3, ... words of names that only one value has."""
+    """(by, prefix, value): the first 2, 3, ... words of names, short of the whole name, that only one value has."""
     words = F.split(F.lower(F.col(name)), r"\s+")
-    prefixes = F.transform(F.sequence(F.lit(least_words), F.size(words)), lambda n: F.concat_ws(" ", F.slice(words, F.lit(1), n)))
-    rows = names.where(F.size(words) >= least_words).select(*by, F.explode(prefixes).alias("prefix"), value)
+    prefixes = F.transform(F.sequence(F.lit(least_words), F.greatest(F.size(words) - 1, F.lit(least_words))), lambda n: F.concat_ws(" ", F.slice(words, F.lit(1), n)))
+    rows = names.where(F.size(words) > least_words).select(*by, F.explode(prefixes).alias("prefix"), value)
     return unique_candidates(rows, [*by, "prefix"], value)
 
 

@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from rostrum.functions import names as N
 from rostrum.operators.joins import unique_candidates, unique_prefixes, word_set
 
-#: Tiers in the order in which they are tried.
-TIERS = ["hand", "direct", "corrected", "bin_free", "inverted", "word_set", "word_subset", "prefix", "spelling", "initials", "surname"]
-
-
-def initials(key: Column) -> Column:
-    """The first letters of all words but the last, and the last: 'j b tan' of 'john bright tan'."""
-    words = F.split(key, r"\s+")
-    return F.concat_ws(" ", F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), lambda w: F.substring(w, 1, 1)), F.element_at(words, -1))
+#: Tiers in the order in which they are tried; from `corrected` on, a hand-kept list of misread names has its say first.
+TIERS = ["hand", "inverted", "direct", "bin_free", "word_set", "word_subset", "prefix", "spelling", "haji_free", "camel_case", "surname"]
+#: Words from which on a name is turned around, and its words are looked up as a subset; words of a prefix at least.
+REARRANGED, SUBSET, PREFIX = 3, 3, 2
 
 
 def hand_list(readings: DataFrame, by: list[str], label: str, value: str = "person") -> DataFrame:
@@ -25,53 +21,98 @@ def hand_list(readings: DataFrame, by: list[str], label: str, value: str = "pers
     return unique_candidates(readings.select(*by, F.lit("hand").alias("tier"), N.lookup_key(F.col(label)).alias("key"), value), [*by, "tier", "key"], value)
 
 
+def turned_name(name: Column) -> Column:
+    """A stored name in the order it is spoken: 'Given Surname' of 'Surname, Given', else the last word first and the first one last."""
+    words = F.split(F.trim(name), r"\s+")
+    n = F.size(words)
+    turned = F.concat_ws(" ", F.slice(words, n, F.lit(1)), F.slice(words, F.lit(2), F.greatest(n - 2, F.lit(0))), F.slice(words, F.lit(1), F.lit(1)))
+    return F.coalesce(N.invert_name(name), F.when(n >= REARRANGED, N.strip_title(turned)))
+
+
+def long_words(key: Column) -> Column:
+    """A key's distinct words of two letters and more, sorted."""
+    return F.concat_ws(" ", F.array_sort(F.array_distinct(F.filter(F.split(key, r"\s+"), lambda w: F.length(w) > 1))))
+
+
 def lookups(people: DataFrame, by: list[str], name: str = "name", value: str = "person") -> DataFrame:
-    """(by, tier, key, value): all lookup tables as one; a key with several values in a tier is dropped."""
+    """(by, tier, key, value): all lookup tables as one; a key with several values in a tier is dropped.
+
+    Names stored inverted ('Surname, Given') are looked up in both orders as sets, subsets and
+    prefixes; a set's key has the number of words; a subset leaves out one-letter words of names
+    of three words and more; prefixes stop one word short of the name.
+    """
     n = F.col(name)
-    words = F.array_distinct(F.split(N.lookup_key(n), r"\s+"))
-    keys = {
-        "direct": N.lookup_key(n),
-        "corrected": N.lookup_key(n),
-        "bin_free": N.lookup_key(N.strip_bin(n)),
-        "inverted": N.lookup_key(F.coalesce(N.invert_name(n), n)),
-        "word_set": word_set(N.lookup_key(n)),
-        "spelling": N.lookup_key(N.spelling_normalize(n)),
-        "initials": initials(N.lookup_key(n)),
-        "surname": F.element_at(F.split(N.lookup_key(n), r"\s+"), -1),
-    }
-    rows = people.select(*by, value, F.explode(F.array(*(F.struct(F.lit(t).alias("tier"), k.alias("key")) for t, k in keys.items()))).alias("k")).select(*by, "k.tier", "k.key", value)
-    # Sets of words without one of them, from three words on.
-    less = F.transform(words, lambda w: F.concat_ws(" ", F.array_sort(F.array_remove(words, w))))
-    subsets = people.where(F.size(words) >= 3).select(*by, F.lit("word_subset").alias("tier"), F.explode(less).alias("key"), value)
-    prefixes = unique_prefixes(people.withColumn("_key", N.lookup_key(n)), by, "_key", value).select(*by, F.lit("prefix").alias("tier"), F.col("prefix").alias("key"), value)
-    tables = reduce(DataFrame.unionByName, [rows, subsets, prefixes])
+    natural = N.invert_name(n)
+    key, turned = N.lookup_key(n), N.lookup_key(natural)
+    words = lambda k: F.size(F.split(k, r"\s+"))
+    last = F.element_at(F.split(F.coalesce(turned, key), r"\s+"), -1)
+    # In each stored order: sets, subsets and prefixes.
+    forms = people.select(*by, value, F.explode(F.array_distinct(F.array(key, F.coalesce(turned, key)))).alias("_k")).where("_k <> ''")
+    of = {"word_set": word_set(F.col("_k")), "word_subset": F.when(words(F.col("_k")) >= SUBSET, long_words(F.col("_k")))}
+    sets = forms.select(*by, value, F.explode(F.array(*(F.struct(F.lit(t).alias("tier"), k.alias("key")) for t, k in of.items()))).alias("k"))
+    whole = {"direct": key, "bin_free": N.lookup_key(N.strip_bin(n)), "inverted": N.lookup_key(turned_name(n)), "surname": F.when(F.length(last) >= 2, last)}
+    rows = people.select(*by, value, F.explode(F.array(*(F.struct(F.lit(t).alias("tier"), k.alias("key")) for t, k in whole.items()))).alias("k"))
+    prefixes = unique_prefixes(forms, by, "_k", value, PREFIX).select(*by, F.lit("prefix").alias("tier"), F.col("prefix").alias("key"), value)
+    tables = reduce(DataFrame.unionByName, [rows.unionByName(sets).select(*by, "k.tier", "k.key", value), prefixes])
     return unique_candidates(tables.where("key is not null and key <> ''"), [*by, "tier", "key"], value)
 
 
-def _asked(labels: DataFrame, by: list[str], label: str, corrections: DataFrame | None = None) -> DataFrame:
-    """(by, label, tier, key) of distinct labels only; corrections (printed, name) is a hand-kept list of misread names."""
-    c = F.col(label)
-    base = N.lookup_key(c)
-    keys = {"direct": base, "bin_free": N.lookup_key(N.strip_bin(c)), "inverted": N.lookup_key(F.coalesce(N.invert_name(c), c)), "word_set": word_set(base), "word_subset": word_set(base), "prefix": base, "spelling": N.lookup_key(N.spelling_normalize(c)), "surname": F.when(~base.contains(" "), base)}
-    keys |= {"hand": base, "initials": F.when(base.rlike(r"(^|\s)\w(\s|$)"), initials(base)), "corrected": N.lookup_key(F.col("_name"))}
-    distinct = labels.select(*by, label).where(c.isNotNull()).distinct()
+def _variants(name: Column, sets: bool = True) -> list[tuple[str, Column]]:
+    """(table, key) in the order in which a form of a name is looked up."""
+    key, bare = N.lookup_key(name), N.lookup_key(N.strip_bin(name))
+    of_sets = [("word_set", word_set(key)), ("word_subset", long_words(key))] if sets else []
+    return [("direct", key), ("bin_free", bare), ("direct", bare), *of_sets, ("prefix", key)]
+
+
+def _distinct(labels: DataFrame, by: list[str], label: str, corrections: DataFrame | None) -> DataFrame:
+    """(by, label, _fixed) of distinct labels; corrections (printed, name) is a list of misread names."""
+    distinct = labels.select(*by, label).where(F.col(label).isNotNull()).distinct()
     if corrections is None:
-        distinct = distinct.withColumn("_name", F.lit(None).cast("string"))
-    else:
-        distinct = distinct.withColumn("_printed", base).join(F.broadcast(corrections.select(N.lookup_key(F.col("printed")).alias("_printed"), F.col("name").alias("_name"))), "_printed", "left")
-    return distinct.select(*by, label, F.explode(F.array(*(F.struct(F.lit(k).alias("rank"), F.lit(t).alias("tier"), keys[t].alias("key")) for k, t in enumerate(TIERS)))).alias("k")).select(*by, label, "k.*").where("key is not null")
+        return distinct.withColumn("_fixed", F.lit(None).cast("string"))
+    fixed = unique_candidates(corrections.select(N.lookup_key(F.col("printed")).alias("_printed"), "name"), ["_printed"], "name")
+    return distinct.withColumn("_printed", N.lookup_key(F.col(label))).join(fixed.withColumnRenamed("name", "_fixed"), "_printed", "left")
 
 
-def resolve_tiered(labels: DataFrame, tables: DataFrame, by: list[str], label: str, value: str = "person", corrections: DataFrame | None = None) -> DataFrame:
-    """(by, label, value, tier): the hit of the first tier that has one. One join for all tiers."""
-    hits = _asked(labels, by, label, corrections).join(tables, [*by, "tier", "key"])
-    return hits.groupBy(*by, label).agg(F.min_by(F.struct(value, "tier"), "rank").alias("_h")).select(*by, label, f"_h.{value}", "_h.tier")
+def _hits(asked: DataFrame, by: list[str], label: str, tries: list[tuple[str, str, Column]], tables: DataFrame) -> DataFrame:
+    """Rows (by, label, rank, rule, value): tries are (rule, table, key), in order; one join for all of them."""
+    each = F.array(*(F.struct(F.lit(k).alias("rank"), F.lit(rule).alias("rule"), F.lit(t).alias("tier"), key.alias("key")) for k, (rule, t, key) in enumerate(tries)))
+    rows = asked.select(*by, label, F.explode(each).alias("k")).select(*by, label, "k.*").where("key is not null and key <> ''")
+    return rows.join(tables, [*by, "tier", "key"])
 
 
-def resolve_strict(labels: DataFrame, tables: DataFrame, by: list[str], label: str, value: str = "person") -> DataFrame:
-    """As resolve_tiered, but the hits of all tiers must agree."""
-    hits = _asked(labels, by, label).join(tables, [*by, "tier", "key"])
-    found = hits.groupBy(*by, label).agg(F.min(value).alias(value), F.max(value).alias("_max"), F.min_by("tier", "rank").alias("tier"))
+def resolve_tiered(labels: DataFrame, tables: DataFrame, by: list[str], label: str, value: str = "person", corrections: DataFrame | None = None) -> DataFrame:
+    """(by, label, value, tier): the hit of the first tier that has one; of a corrected name as of the name itself.
+
+    A name is sought as it is, with one spelling for names that have several, without a mark of
+    pilgrimage inside (but then not by its set of words), and parted where a capital follows a
+    small letter; a single word may be a surname that one person alone has.
+    """
+    asked = _distinct(labels, by, label, corrections).withColumn("_name", F.coalesce("_fixed", label))
+    name = F.col("_name")
+    other = lambda form: F.when(form != name, form)
+    spelled, bare, parted = other(N.spelling_normalize(name)), other(N.strip_middle_haji(name)), other(F.regexp_replace(name, r"([a-z.])([A-Z])", "$1 $2"))
+    key = N.lookup_key(name)
+    tries = [("hand", "hand", key), ("inverted", "inverted", key), *((t, t, k) for t, k in _variants(name)), *(("spelling", t, k) for t, k in _variants(spelled)), *(("haji_free", t, k) for t, k in _variants(bare, sets=False))]
+    tries += [("camel_case", "hand", N.lookup_key(parted)), *(("camel_case", t, k) for t, k in _variants(parted)), ("surname", "surname", F.when(~key.contains(" "), key))]
+    tries = [(rule, t, k if rule in TIERS[:7] or rule == "surname" else F.when({"spelling": spelled, "haji_free": bare, "camel_case": parted}[rule].isNotNull(), k)) for rule, t, k in tries]
+    hits = _hits(asked, by, label, tries, tables)
+    return hits.groupBy(*by, label).agg(F.min_by(F.struct(value, F.col("rule").alias("tier")), "rank").alias("_h")).select(*by, label, f"_h.{value}", "_h.tier")
+
+
+def resolve_strict(labels: DataFrame, tables: DataFrame, by: list[str], label: str, value: str = "person", corrections: DataFrame | None = None) -> DataFrame:
+    """(by, label, value, tier) of labels whose hits all agree; tier is the first that hit.
+
+    Asked are the hand list and, for a corrected name, the name as printed and its order turned
+    around, the whole name, the inverted one, the one without particles and the set of words.
+    Subsets, prefixes and spellings prove nothing here.
+    """
+    asked = _distinct(labels, by, label, corrections)
+    tries = [("hand", "hand", N.lookup_key(F.col(label)))]
+    for rule, form in (("hand", F.col("_fixed")), (None, F.col(label)), ("inverted", N.invert_name(F.col(label)))):
+        whole, bare = N.lookup_key(form), N.lookup_key(N.strip_bin(form))
+        for tier, table, key in (("direct", "direct", whole), ("inverted", "inverted", whole), ("bin_free", "bin_free", bare), ("bin_free", "direct", bare), ("word_set", "word_set", word_set(whole))):
+            tries.append((rule or tier, table, F.when(form.isNotNull(), key)))
+    found = _hits(asked, by, label, tries, tables).groupBy(*by, label).agg(F.min(value).alias(value), F.max(value).alias("_max"), F.min_by("rule", "rank").alias("tier"))
     return found.where(F.col(value) == F.col("_max")).drop("_max")
 
 

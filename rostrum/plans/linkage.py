@@ -40,10 +40,14 @@ _TWO_WORDS = "concat(split(p_name, ' ')[1], ' ', p_type, ' ', split(p_name, ' ')
 
 
 @query("""
-WITH p AS (SELECT p_brand AS parliament, p_name || ' ' || p_type AS name, p_partkey AS person FROM part),
-u AS (SELECT parliament, array_to_string(list_sort(list_distinct(string_split(lower(name), ' '))), ' ') AS k, min(person) AS person FROM p GROUP BY 1, 2 HAVING min(person) = max(person)),
-l AS (SELECT DISTINCT p_brand AS parliament, concat(string_split(p_name, ' ')[2], ' ', p_type, ' ', string_split(p_name, ' ')[1]) AS label FROM part)
-SELECT l.parliament, l.label, u.person FROM l JOIN u ON l.parliament = u.parliament AND u.k = array_to_string(list_sort(list_distinct(string_split(lower(l.label), ' '))), ' ')
+WITH p AS (SELECT p_brand AS parliament, string_split(lower(p_name || ' ' || p_type), ' ') AS w, p_partkey AS person FROM part),
+f AS (SELECT parliament, person, 'whole' AS kind, array_to_string(w, ' ') AS k FROM p UNION ALL SELECT parliament, person, 'set', len(w)::VARCHAR || ' ' || array_to_string(list_sort(list_distinct(w)), ' ') FROM p
+  UNION ALL SELECT parliament, person, 'turned', w[len(w)] || ' ' || array_to_string(w[2:len(w) - 1], ' ') || ' ' || w[1] FROM p),
+u AS (SELECT parliament, kind, k, min(person) AS person FROM f GROUP BY 1, 2, 3 HAVING min(person) = max(person)),
+l AS (SELECT DISTINCT p_brand AS parliament, concat(string_split(p_name, ' ')[2], ' ', p_type, ' ', string_split(p_name, ' ')[1]) AS label FROM part),
+a AS (SELECT parliament, label, string_split(lower(label), ' ') AS w FROM l),
+t AS (SELECT parliament, label, 'whole' AS kind, array_to_string(w, ' ') AS k FROM a UNION ALL SELECT parliament, label, 'turned', array_to_string(w, ' ') FROM a UNION ALL SELECT parliament, label, 'set', len(w)::VARCHAR || ' ' || array_to_string(list_sort(list_distinct(w)), ' ') FROM a)
+SELECT t.parliament, t.label, min(u.person) AS person FROM t JOIN u ON t.parliament = u.parliament AND t.kind = u.kind AND t.k = u.k GROUP BY 1, 2 HAVING min(u.person) = max(u.person)
 """)
 def strict_resolution(spark: SparkSession, d: str) -> DataFrame:
     people = rows(spark, d, "part", "p_brand AS parliament", "concat(p_name, ' ', p_type) AS name", "p_partkey AS person")
@@ -51,14 +55,18 @@ def strict_resolution(spark: SparkSession, d: str) -> DataFrame:
     return R.resolve_strict(labels, R.lookups(people, ["parliament"]), ["parliament"], "label").select("parliament", "label", "person")
 
 
+@query("""
+WITH s AS (SELECT c_custkey AS speaker_id, c_mktsegment || ' ' || c_nationkey AS name, c_custkey % 9 AS slot FROM customer),
+r AS (SELECT *, min(speaker_id) OVER (PARTITION BY name) AS hub, row_number() OVER (PARTITION BY name, slot ORDER BY speaker_id) AS nth FROM s),
+p AS (SELECT speaker_id, name, nth, hub, CASE WHEN nth = 1 THEN hub ELSE speaker_id END AS person FROM r),
+c AS (SELECT *, max(nth) OVER (PARTITION BY name) AS most, count(*) OVER (PARTITION BY person) AS rows FROM p)
+SELECT speaker_id, person, nth > 1 OR most > 1 AS conflict, CASE WHEN rows > 1 THEN 'exact' ELSE 'single' END AS basis FROM c
+""")
 def person_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of one name merge unless they share a slot."""
+    """Rows of one name merge with its first row, the first of each slot only."""
     speakers = rows(spark, d, "customer", "c_custkey AS speaker_id", "concat(c_mktsegment, ' ', c_nationkey) AS name", "cast(c_custkey % 9 AS string) AS slot")
     decisions = spark.createDataFrame([(0, 2, "DISTINCT")], "a long, b long, kind string")
-    return G.cluster_people(speakers.withColumn("name_key", N.lookup_key(F.col("name"))), decisions)
-
-
-query()(person_clusters)
+    return G.cluster_people(speakers.withColumn("name_key", N.lookup_key(F.col("name"))), decisions).drop("decided_name")
 
 
 @query("""

@@ -247,7 +247,7 @@ def nth_occurrence_join(spark: SparkSession, d: str) -> DataFrame:
     return J.nth_occurrence_join(left, right, ["o_custkey"], [F.col("o_orderdate"), F.col("filled")], [F.col("opened_on"), F.col("opened")]).select("o_custkey", "filled", "opened")
 
 
-@query("SELECT a.p_partkey, count(*) AS names FROM part a JOIN (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Ring small' WHEN 1 THEN 'bolt  blue' ELSE 'widget red widget' END AS name FROM customer) b ON array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(p_name), '\\s+'), lambda x: x <> ''))), ' ') = array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(name), '\\s+'), lambda x: x <> ''))), ' ') GROUP BY 1")
+@query("SELECT a.p_partkey, count(*) AS names FROM part a JOIN (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Ring small' WHEN 1 THEN 'bolt  blue' ELSE 'widget red widget' END AS name FROM customer) b ON list_sort(list_distinct(list_filter(string_split_regex(lower(p_name), '\\s+'), lambda x: x <> ''))) = list_sort(list_distinct(list_filter(string_split_regex(lower(name), '\\s+'), lambda x: x <> ''))) AND len(list_filter(string_split_regex(p_name, '\\s+'), lambda x: x <> '')) = len(list_filter(string_split_regex(name, '\\s+'), lambda x: x <> '')) GROUP BY 1")
 def wordset_join(spark: SparkSession, d: str) -> DataFrame:
     names = rows(spark, d, "customer", "c_custkey", "CASE c_custkey % 3 WHEN 0 THEN 'Ring small' WHEN 1 THEN 'bolt  blue' ELSE 'widget red widget' END AS name")
     part = rows(spark, d, "part", "p_partkey", "p_name").withColumn("k", J.word_set(F.col("p_name")))
@@ -256,7 +256,7 @@ def wordset_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""
 WITH n AS (SELECT p_brand, p_partkey, string_split_regex(lower(p_name || ' ' || p_type || ' ' || p_size), '\s+') AS w FROM part),
-p AS (SELECT p_brand, p_partkey, array_to_string(w[1:k], ' ') AS prefix FROM (SELECT p_brand, p_partkey, w, unnest(range(2, len(w) + 1)) AS k FROM n WHERE len(w) >= 2))
+p AS (SELECT p_brand, p_partkey, array_to_string(w[1:k], ' ') AS prefix FROM (SELECT p_brand, p_partkey, w, unnest(range(2, len(w))) AS k FROM n WHERE len(w) > 2))
 SELECT p_brand, prefix, min(p_partkey) AS p_partkey FROM p GROUP BY 1, 2 HAVING min(p_partkey) = max(p_partkey)
 """)
 def unique_prefix_join(spark: SparkSession, d: str) -> DataFrame:

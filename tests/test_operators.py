@@ -187,21 +187,41 @@ def test_refresh_twice_and_halt(spark, tmp_path):
     assert P.probe_start(day("2020-01-20"), day("2020-01-21")) == day("2020-01-07")
 
 
+NAMES = [
+    (10, "Ahmad bin Mohammed Rashid"), (11, "Lee Wei Ling"), (12, "Tan Ah Kow"), (13, "Siti Noor binte Yusof"), (14, "Jeyaretnam"), (15, "Goh Keng Swee"), (16, "Toh Chin"), (17, "Smith, John B"),
+    (18, "Ong Eng Guan"), (19, "Ong Eng Siong"), (20, "Abdul Rahim Ishak"), (21, "Rajah, T T"), (22, "De Souza, Ann May"), (23, "Low Low Por"), (24, "Low Por"),
+]
+
+
 def test_every_tier_is_reached(spark):
-    people = spark.createDataFrame([(1, "Ahmad bin Mohammed Rashid", 10), (1, "Lee Wei Ling", 11), (1, "Tan Ah Kow", 12), (1, "Siti Noor binte Yusof", 13), (1, "Jeyaretnam", 14), (1, "Goh Keng Swee", 15), (1, "Toh Chin", 16), (1, "John Bright Smith", 17)], "p int, name string, person int")
+    """Literal hits and misses of each tier, in the order in which they are tried."""
+    people = spark.createDataFrame([(1, name, person) for person, name in NAMES], "p int, name string, person int")
     asked = {
         "Mr Tan Ah Kow": (12, "direct"),
         "Siti Noor Yusof": (13, "bin_free"),
-        "Chin, Toh": (16, "inverted"),
+        "Ahmad Bin Mohammed Rashid": (10, "direct"),
+        "Kow Ah Tan": (12, "inverted"),  # the last word first
+        "John B Smith": (17, "inverted"),
+        "B. John Smith": (17, "word_set"),
         "Ling Lee Wei": (11, "word_set"),
-        "Goh Keng": (15, "word_subset"),
+        "Low Por Low": (23, "inverted"),
+        "Por Low": (24, "word_set"),  # two words are not those of three
+        "Por Low Low": (23, "word_set"),
+        "Smith John": (17, "word_subset"),  # without the one-letter word
+        "Noor Siti": (None, None),  # no other word may be missing
+        "Goh Keng": (15, "prefix"),
+        "Siti Noor": (13, "prefix"),
+        "Ong Eng": (None, None),  # two people's
+        "Toh Chin": (16, "direct"),
         "Ahmad bin Mohamad Rashid": (10, "spelling"),
+        "Abdul Tuan Haji Rahim Ishak": (20, "haji_free"),
+        "Goh KengSwee": (15, "camel_case"),
         "Jeyaretnam": (14, "direct"),
         "Mr Yusof": (13, "surname"),
-        "Kow, Tan Ah, Mr": (12, "inverted"),
-        "Siti Noor": (13, "prefix"),
-        "J. B. Smith": (17, "initials"),
-        "Mr Tan Ah Kaw": (12, "corrected"),
+        "Eng": (None, None),
+        "Chin, Toh": (None, None),  # what is asked is not turned around
+        "T T Rajah": (21, "inverted"),
+        "Mr Tan Ah Kaw": (12, "direct"),  # by its corrected name
         "The Father of the House": (15, "hand"),
         "Nobody": (None, None),
     }
@@ -213,6 +233,29 @@ def test_every_tier_is_reached(spark):
     assert {label: got.get(label, (None, None)) for label in asked} == asked
 
 
+def test_strict_names(spark):
+    """Only agreeing hits count; subsets, prefixes and spellings are none."""
+    people = spark.createDataFrame([(1, name, person) for person, name in [*NAMES, (30, "Chin Lee Toh"), (31, "Toh Lee Chin")]], "p int, name string, person int")
+    asked = {
+        "Tan Ah Kow": (12, "direct"),
+        "Kow, Tan Ah": (12, "inverted"),
+        "Siti Noor Yusof": (13, "bin_free"),
+        "Ling Lee Wei": (11, "word_set"),
+        "Chin Lee Toh": (None, None),  # one by its name, another turned around
+        "Goh Keng": (None, None),
+        "Smith John": (None, None),
+        "Mr Tan Ah Kaw": (12, "hand"),
+        "The Father of the House": (15, "hand"),
+        "Lee Wei Ling": (None, None),  # read by hand as someone else
+    }
+    labels = spark.createDataFrame([(1, label) for label in asked], "p int, label string")
+    corrections = spark.createDataFrame([("Tan Ah Kaw", "Tan Ah Kow")], "printed string, name string")
+    read = spark.createDataFrame([(1, "The Father of the House", 15), (1, "Lee Wei Ling", 12)], "p int, label string, person int")
+    tables = R.lookups(people, ["p"]).unionByName(R.hand_list(read, ["p"], "label"))
+    got = {r.label: (r.person, r.tier) for r in R.resolve_strict(labels, tables, ["p"], "label", corrections=corrections).collect()}
+    assert {label: got.get(label, (None, None)) for label in asked} == asked
+
+
 def test_mojibake(spark):
     broken = {"CafÃ© Ã¼ber": "Café über", "â€œQuotedâ€™s": "“Quoted’s", "plain": "plain", "é alone": "é alone", "Ã": "Ã", "ÃŸÃ¤": "ßä", "â€“â€”": "–—", "": ""}
     df = spark.createDataFrame([(k, t) for k, t in enumerate(broken)] + [(99, None)], "id int, text string")
