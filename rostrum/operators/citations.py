@@ -41,11 +41,20 @@ def link_citations(cited: DataFrame, reports: DataFrame, corrected: DataFrame |
     return hits.select("source", "title", "day", F.when((n == 1) & F.col("_sits"), target).alias("target"), rule.alias("rule"), reason.alias("reason"))
 
 
-def link_types(links: DataFrame) -> DataFrame:
-    """links (source, target, source_type, target_type, source_day, target_day) with type CORRECTION, REPLY or null; the first of a kind stays."""
-    corrects = (F.col("source_type") == "CLARIFICATION") & (F.col("source_day") >= F.col("target_day"))
-    corrected = (F.col("target_type") == "CLARIFICATION") & (F.col("target_day") >= F.col("source_day"))
-    typed = links.withColumn("type", F.when(corrects | corrected, "CORRECTION").when(F.col("source_type").startswith("ANSWER"), "REPLY"))
+#: Types of reports that correct another, and that answer one.
+CORRECTING, ANSWERING = ["CLARIFICATION", "WRITTEN_STATEMENT"], "ANSWER"
+
+
+def link_types(links: DataFrame, correcting: list[str] = CORRECTING, answering: str = ANSWERING) -> DataFrame:
+    """links (source, target, source_type, target_type, source_day, target_day) with type CORRECTION, REPLY or null; the first of a kind stays.
+
+    A correcting source corrects a target of its day or before. A source that corrects nothing
+    itself is corrected by a correcting target of its day or after. Other answers reply.
+    """
+    is_correction = F.coalesce(F.col("source_type").isin(correcting), F.lit(False))
+    corrects = is_correction & (F.col("source_day") >= F.col("target_day"))
+    corrected = ~is_correction & F.col("target_type").isin(correcting) & (F.col("target_day") >= F.col("source_day"))
+    typed = links.withColumn("type", F.when(corrects | corrected, "CORRECTION").when(F.col("source_type").startswith(answering), "REPLY"))
     return typed.dropDuplicates(["source", "target", "type"])
 
 
@@ -65,17 +74,26 @@ def continuations(headings: DataFrame, reports: DataFrame) -> DataFrame:
 def act_links(acts: DataFrame, bills: DataFrame, most_days: int = 1) -> DataFrame:
     """(act_id, bill_id, rule): the bill of an act by title key and the nearest reading date.
 
-    acts: act_id, key, first_day, second_day, third_day; bills: bill_id, key, day. The exact key is
-    tried with the first, third and second reading dates in that order; then the loose key,
-    which must have one bill near the first reading.
+    acts: act_id, key, first_day, second_day, third_day and, if titles may begin with an article,
+    the_key (the key with it, null for others); bills: bill_id, key, day, a row for each reading.
+    A key is tried with the first, third and second reading dates in that order; then as a loose
+    key, which must have just one bill with a reading near the act's first one (its third, if that
+    is all it prints) and, if both are printed, near both. All that is done with the_key first,
+    then with the key.
     """
+    if "the_key" not in acts.columns:
+        acts = acts.withColumn("the_key", F.lit(None).cast("string"))
     out = None
-    for place, (rule, day) in enumerate((("FIRST", "first_day"), ("THIRD", "third_day"), ("SECOND", "second_day"))):
-        left = acts.where(F.col(day).isNotNull()).select("act_id", "key", F.col(day).alias("at"))
-        hit = nearest_join(left, bills.select("bill_id", "key", "day"), ["key"], ["act_id"], "at", "day", most_days, ["bill_id"])
-        hit = hit.select("act_id", "bill_id", F.lit(rule).alias("rule"), F.lit(place).alias("_rank"))
-        out = hit if out is None else out.unionByName(hit)
-    loose = acts.where("first_day is not null").select("act_id", loose_title_key(F.col("key")).alias("k"), "first_day")
-    near = loose.join(bills.select("bill_id", loose_title_key(F.col("key")).alias("k"), "day"), "k").where(F.abs(F.datediff("day", "first_day")) <= most_days)
-    out = out.unionByName(unique_candidates(near.select("act_id", "bill_id"), ["act_id"], "bill_id").select("act_id", "bill_id", F.lit("LOOSE").alias("rule"), F.lit(9).alias("_rank")))
+    for turn, key in enumerate(("the_key", "key")):
+        own = acts.where(F.col(key).isNotNull()).select("act_id", F.col(key).alias("key"), "first_day", "second_day", "third_day")
+        for place, (rule, day) in enumerate((("FIRST", "first_day"), ("THIRD", "third_day"), ("SECOND", "second_day"))):
+            left = own.where(F.col(day).isNotNull()).select("act_id", "key", F.col(day).alias("at"))
+            hit = nearest_join(left, bills.select("bill_id", "key", "day"), ["key"], ["act_id"], "at", "day", most_days, ["bill_id"])
+            hit = hit.select("act_id", "bill_id", F.lit(rule).alias("rule"), F.lit(10 * turn + place).alias("_rank"))
+            out = hit if out is None else out.unionByName(hit)
+        loose = own.withColumns({"k": loose_title_key(F.col("key")), "_anchor": F.coalesce("first_day", "third_day")}).where("_anchor is not null")
+        days = bills.select("bill_id", loose_title_key(F.col("key")).alias("k"), "day")
+        close = lambda to: F.bool_or(F.abs(F.datediff("day", to)) <= most_days)
+        near = loose.join(days, "k").groupBy("act_id", "bill_id").agg(close("_anchor").alias("_a"), F.coalesce(close("third_day"), F.lit(True)).alias("_b")).where("_a and _b")
+        out = out.unionByName(unique_candidates(near.select("act_id", "bill_id"), ["act_id"], "bill_id").select("act_id", "bill_id", F.lit("LOOSE").alias("rule"), F.lit(10 * turn + 9).alias("_rank")))
     return out.groupBy("act_id").agg(F.min_by(F.struct("bill_id", "rule"), "_rank").alias("_h")).select("act_id", "_h.bill_id", "_h.rule")

@@ -26,9 +26,27 @@ def procedural(subjects: list[str] = PROCEDURE_SUBJECTS, acts: list[str] = PROCE
 
 PROCEDURAL = [procedural()]
 CHAMBER_EVENT = [r"\((?:Applause|Laughter|Interruption|Hon\. Members?[^)]*)\.?\)", r"\[(?:Applause|Laughter|Interruption)[^\]]*\]", r"\[(?:Mr|Mdm) (?:Deputy )?Speaker in the Chair\]"]
-EDITORIAL_NOTE = [r"\*?The (?:motion|amendment) also stood in the names? of", r"\[?Please refer to", r"\(See (?:Appendix|Annex)"]
+#: What an editor adds: where else to look, and in whose name a paper stood. Parameters of `editorial`.
+NOTE_OPENINGS = ["please refer to", "see appendix", "see annex", "see also", "reproduced from"]
+STANDING_PAPERS = ["motion", "amendment", "question", "notice"]
 HEADING = [r"\*\*[^*]+\*\*$", r"#+ ", r"[A-Z][A-Z ,'&-]{8,}$"]
-DOCUMENT_TEXT = [r"(?:\(\d+\) )?In page \d+", r"(?:\d+\.\s+)?To ask the (?:Prime )?Minister", r"[\"“]?That (?:this|the) (?:House|Parliament|Assembly)\b"]
+#: How the text of a paper begins: what it does, and to whom or to which place in a document. Parameters of `of_a_paper`.
+PAPER_OPENINGS = {"To ask": ["Minister", "Secretary", "Attorney-General"], "That": ["House", "Parliament", "Assembly", "Council"], "In": ["page", "clause", "line", "schedule"]}
+
+
+def editorial(openings: list[str] = NOTE_OPENINGS, papers: list[str] = STANDING_PAPERS) -> str:
+    """A pattern of notes such as '[Please refer to ...]' and '*The motion also stood in the name of ...'."""
+    one = lambda xs: "(?:" + "|".join(x.replace(" ", r"\s+") for x in xs) + ")"
+    return rf"(?i:[\[(*+#]*\s*(?:{one(openings)}\b|the (?:\w+ )?{one(papers)}s? (?:\w+ )?stood in the names?\b))"
+
+
+def of_a_paper(openings: dict[str, list[str]] = PAPER_OPENINGS, between: int = 3) -> str:
+    """A pattern of lines such as '3. To ask the Prime Minister', '"That this House' and 'In page 4': an opening and, few words on, its object."""
+    each = [rf"{verb}\s+(?:[\w-]+\s+){{0,{between}}}?(?:{'|'.join(objects)})s?\b" for verb, objects in openings.items()]
+    return r"(?:[\d(][\d.)]*\s+)?[\"“‘]?(?:" + "|".join(each) + ")"
+
+
+EDITORIAL_NOTE, DOCUMENT_TEXT = [editorial()], [of_a_paper()]
 KINDS = [("DOCUMENT_TEXT", DOCUMENT_TEXT), ("EDITORIAL_NOTE", EDITORIAL_NOTE), ("CHAMBER_EVENT", CHAMBER_EVENT), ("PROCEDURAL", PROCEDURAL), ("HEADING", HEADING)]
 #: A speaker's label at the start of a line: a title and a name, an office, or bold text, up to a colon.
 LABEL = r"^\*{0,2}((?:Mr|Mrs|Ms|Mdm|Miss|Dr|Prof|The|Assoc\.? Prof\.?|Er|Encik|Inche)\b[^:*\n]{1,80}|[A-Z][^:*\n]{1,60})\*{0,2}\s*:\*{0,2}\s*"
@@ -148,15 +166,6 @@ def division_names(line_rows: DataFrame, key: str, header: str = r"(?i)^\s*(ayes
     return names.select(key, "side", F.row_number().over(W.partitionBy(key, "side").orderBy("place", "_c")).alias("n"), "name")
 
 
-def division_verdicts(line_rows: DataFrame, key: str, header: str = r"(?i)^\s*(ayes|noes|abstentions|absent)\b[^A-Za-z0-9]*(\d+)?") -> DataFrame:
-    """(key, side, printed, names, verdict): ACCEPTED if a side's list has as many names as its header prints, COUNTS_DISAGREE, or UNPRINTED."""
-    side = F.lower(F.regexp_extract("line", header, 1))
-    heads = line_rows.where(side != "").groupBy(key, side.alias("side")).agg(F.max(F.regexp_extract("line", header, 2).try_cast("int")).alias("printed"))
-    counts = division_names(line_rows, key, header).groupBy(key, "side").agg(F.count("*").alias("names"))
-    rows = heads.join(counts, [key, "side"], "left").withColumn("names", F.coalesce("names", F.lit(0)))
-    return rows.withColumn("verdict", F.when(F.col("printed").isNull(), "UNPRINTED").when(F.col("printed") == F.col("names"), "ACCEPTED").otherwise("COUNTS_DISAGREE"))
-
-
 def resumed_day(heading: Column) -> Column:
     """The day that a resumption heading cites, as '[Debate resumed from 3 May 2018]' or 'Order read for resumption of debate (2 March 1999)'."""
     printed = F.regexp_extract(heading, r"(?i)\bresum(?:ed|ption)\b.*?\b(\d{1,2}(?:st|nd|rd|th)?\s+[A-Za-z]+,?\s+\d{4})", 1)
@@ -327,12 +336,16 @@ def history_entries(line_rows: DataFrame, key: str) -> DataFrame:
     return blocks.select(key, "number", F.concat_ws("\n", F.transform("_l", lambda x: x["line"])).alias("text"))
 
 
+# How an archived page marks its entries, and what stands before their dates.
+ENTRY_CLASS, SAT_ON = "indv-votes", "sitting on"
+
+
 def index_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, n, label, day, href, format) of an index page in either layout.
 
     A live page is JSON text with `data: [{description, date, file}]`; an archived one is HTML
-    whose entries are `div class="indv-votes"` blocks with a heading or link text, a date after
-    'Sitting on' and a link. Rows without a link are left out.
+    whose entries are blocks of the class ENTRY_CLASS with a heading or link text, a date after
+    SAT_ON and a link. Rows without a link are left out.
     """
     live = "struct<data: array<struct<description: string, date: string, file: string>>>"
     day = lambda c: F.coalesce(F.try_to_date(c, "d-M-yyyy"), F.try_to_date(c, "d MMMM yyyy"), F.try_to_date(c, "d MMM yyyy"))
@@ -340,11 +353,11 @@ def index_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     is_live = F.col(html).rlike(r"^\s*\{")
     a = pages.where(is_live).select(key, F.posexplode(F.from_json(F.col(html), live)["data"]).alias("n", "_e"))
     a = a.select(key, "n", F.col("_e.description").alias("label"), day(F.col("_e.date")).alias("day"), F.col("_e.file").alias("href"))
-    blocks = F.filter(F.split(F.col(html), r"(?i)<div\s+class=\"indv-votes\"[^>]*>"), lambda x, i: i > 0)
+    blocks = F.filter(F.split(F.col(html), rf"(?i)<div\s+class=\"{ENTRY_CLASS}\"[^>]*>"), lambda x, i: i > 0)
     plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]*>", " "), r"\s+", " "))
     b = pages.where(~is_live).select(key, F.posexplode(blocks).alias("n", "_e"))
     label = F.coalesce(*(F.nullif(plain(F.regexp_extract("_e", p, 1)), F.lit("")) for p in (r"(?is)<h5[^>]*>(.*?)</h5>", r"(?is)<a\s[^>]*>\s*<span[^>]*>(.*?)</span>")))
-    sat = F.regexp_extract(plain(F.col("_e")), r"(?i)sitting on\s+(?:\w+day,?\s+)?(\d{1,2} [A-Za-z]+ \d{4})", 1)
+    sat = F.regexp_extract(plain(F.col("_e")), rf"(?i){SAT_ON}\s+(?:\w+day,?\s+)?(\d{{1,2}} [A-Za-z]+ \d{{4}})", 1)
     b = b.select(key, "n", label.alias("label"), day(sat).alias("day"), F.regexp_extract("_e", r"(?i)<a\s[^>]*?href=\"([^\"]*)\"", 1).alias("href"))
     both = a.unionByName(b).where(F.coalesce("href", F.lit("")) != "")
     return both.withColumn("format", kind(F.col("href")))

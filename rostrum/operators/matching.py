@@ -250,19 +250,27 @@ def footnote_lines(line_rows: DataFrame, key: str, marker: str, body: int) -> Da
     return line_rows.withColumn("is_footnote", F.coalesce(inside, F.lit(False)))
 
 
-def speech_columns(speeches: DataFrame, markers: DataFrame, by: str, most_step: int = 50) -> DataFrame:
+def speech_columns(speeches: DataFrame, markers: DataFrame, by: str, most_step: int = 50, heads: DataFrame | None = None) -> DataFrame:
     """speeches (by, id, offset) with printed_column and status: the last marker at or before the offset.
 
     CONFIRMED if the next different marker is one more; BROKEN_SEQUENCE if it steps back or by
-    over most_step; SKIPPED_COLUMN otherwise; BEFORE_FIRST and LAST at the ends.
+    over most_step; else SKIPPED_COLUMN. heads: (by, first, last), the columns that a report's
+    head prints. Before the first marker the column is the head's first if the marker is one more
+    (HEAD), else unknown (BEFORE_FIRST). After the last marker it is the marker's (LAST), unless
+    the head goes on past it (PAST_LAST) or the step to it was a broken one (BROKEN_SEQUENCE).
     """
     from pyspark.sql.window import Window as W
 
     w = W.partitionBy(by).orderBy("offset")
     runs = markers.withColumn("_new", F.coalesce(F.col("number") != F.lag("number").over(w), F.lit(True))).where("_new").drop("_new")
-    runs = runs.select(by, F.col("offset").alias("_at"), "number", F.lead("number").over(w).alias("_next"))
-    both = speeches.select(by, "offset", F.lit(1).alias("_s"), F.col("id")).unionByName(runs.select(by, F.col("_at").alias("offset"), F.lit(0).alias("_s"), F.struct("number", "_next").alias("_m")), allowMissingColumns=True)
-    seen = both.withColumn("_m", F.last("_m", ignorenulls=True).over(W.partitionBy(by).orderBy("offset", "_s").rowsBetween(W.unboundedPreceding, 0))).where("_s = 1")
-    step = F.col("_m._next") - F.col("_m.number")
-    status = F.when(F.col("_m").isNull(), "BEFORE_FIRST").when(step.isNull(), "LAST").when(step == 1, "CONFIRMED").when((step < 0) | (step > most_step), "BROKEN_SEQUENCE").otherwise("SKIPPED_COLUMN")
-    return seen.select(by, "id", F.when(status.isin("CONFIRMED", "LAST"), F.col("_m.number")).alias("printed_column"), status.alias("status"))
+    runs = runs.select(by, F.col("offset").alias("_at"), "number", F.lead("number").over(w).alias("_next"), F.lag("number").over(w).alias("_prior"))
+    both = speeches.select(by, "offset", F.lit(1).alias("_s"), F.col("id")).unionByName(runs.select(by, F.col("_at").alias("offset"), F.lit(0).alias("_s"), F.struct("number", "_next", "_prior").alias("_m")), allowMissingColumns=True)
+    order = W.partitionBy(by).orderBy("offset", "_s")
+    seen = both.withColumns({"_first": F.first("_m", ignorenulls=True).over(order.rowsBetween(0, W.unboundedFollowing)), "_m": F.last("_m", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))}).where("_s = 1")
+    heads = heads if heads is not None else seen.select(by, F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last")).limit(0)
+    seen = seen.join(heads.select(by, F.col("first").alias("_head"), F.col("last").alias("_end")), by, "left")
+    broken = lambda step: (step < 0) | (step > most_step)
+    step, into = F.col("_m._next") - F.col("_m.number"), F.col("_m.number") - F.col("_m._prior")
+    at_end = F.when(F.col("_end") > F.col("_m.number"), "PAST_LAST").when(broken(into), "BROKEN_SEQUENCE").otherwise("LAST")
+    status = F.when(F.col("_m").isNull(), F.when(F.col("_head") == F.col("_first.number") - 1, "HEAD").otherwise("BEFORE_FIRST")).when(step.isNull(), at_end).when(step == 1, "CONFIRMED").when(broken(step), "BROKEN_SEQUENCE").otherwise("SKIPPED_COLUMN")
+    return seen.select(by, "id", F.when(status == "HEAD", F.col("_head")).when(status.isin("CONFIRMED", "LAST"), F.col("_m.number")).alias("printed_column"), status.alias("status"))

@@ -71,7 +71,7 @@ def person_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT o_orderkey AS source, o_custkey % 50 AS title, o_orderdate::DATE AS cited FROM orders WHERE o_orderstatus = 'F'),
-t AS (SELECT o_orderkey AS target, o_custkey % 50 AS title, o_orderdate::DATE AS day FROM orders WHERE o_orderstatus = 'P'),
+t AS (SELECT o_orderkey AS target, o_custkey % 50 AS title, o_orderdate::DATE AS day FROM orders WHERE o_orderstatus <> 'F'),
 sittings AS (SELECT DISTINCT day FROM t),
 c AS (SELECT source, cited, count(DISTINCT target) AS n, min(target) AS target FROM s LEFT JOIN t ON s.title = t.title AND s.cited = t.day GROUP BY 1, 2)
 SELECT source, CASE WHEN n = 1 THEN c.target END AS target, CASE WHEN sittings.day IS NULL THEN 'NO_SITTING' WHEN n = 0 THEN 'NO_TITLE' WHEN n > 1 THEN 'SEVERAL' ELSE 'LINKED' END AS reason FROM c LEFT JOIN sittings ON sittings.day = cited
@@ -80,7 +80,7 @@ def link_by_title_date(spark: SparkSession, d: str) -> DataFrame:
     from rostrum.operators.citations import link_citations
 
     cited = rows(spark, d, "orders", "o_orderkey AS source", "cast(o_custkey % 50 AS string) AS title", "to_date(o_orderdate) AS day", where="o_orderstatus = 'F'")
-    reports = rows(spark, d, "orders", "o_orderkey AS report_id", "cast(o_custkey % 50 AS string) AS title", "to_date(o_orderdate) AS day", where="o_orderstatus = 'P'")
+    reports = rows(spark, d, "orders", "o_orderkey AS report_id", "cast(o_custkey % 50 AS string) AS title", "to_date(o_orderdate) AS day", where="o_orderstatus <> 'F'")
     return link_citations(cited, reports).select("source", "target", "reason")
 
 
@@ -112,7 +112,7 @@ def act_linkage(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH h AS (SELECT o_orderkey AS source, o_custkey % 90 AS title, o_orderdate::DATE AS day, o_orderdate::DATE - (o_orderkey % 9 - 1)::INT AS cited_day FROM orders WHERE o_orderstatus = 'F'),
+WITH h AS (SELECT o_orderkey AS source, o_custkey % 90 AS title, o_orderdate::DATE AS day, o_orderdate::DATE - (o_orderkey % 9 - 1)::INT AS cited_day FROM orders),
 r AS (SELECT o_orderkey AS report_id, o_custkey % 90 AS title, o_orderdate::DATE AS day, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 6 END AS part FROM orders),
 f AS (SELECT source, report_id, part, count(*) OVER w AS n, bool_or(part IS NULL) OVER w AS unknown, max(part) OVER w AS top FROM h JOIN r ON h.title = r.title AND h.cited_day = r.day WHERE h.cited_day < h.day WINDOW w AS (PARTITION BY source))
 SELECT source, min(report_id) AS target FROM f WHERE n = 1 OR (NOT unknown AND part = top) GROUP BY 1 HAVING min(report_id) = max(report_id)
@@ -120,20 +120,31 @@ SELECT source, min(report_id) AS target FROM f WHERE n = 1 OR (NOT unknown AND p
 def continuation_links(spark: SparkSession, d: str) -> DataFrame:
     from rostrum.operators.citations import continuations
 
-    headings = rows(spark, d, "orders", "o_orderkey AS source", "cast(o_custkey % 90 AS string) AS title", "to_date(o_orderdate) AS day", "date_sub(to_date(o_orderdate), cast(o_orderkey % 9 - 1 AS INT)) AS cited_day", where="o_orderstatus = 'F'")
+    headings = rows(spark, d, "orders", "o_orderkey AS source", "cast(o_custkey % 90 AS string) AS title", "to_date(o_orderdate) AS day", "date_sub(to_date(o_orderdate), cast(o_orderkey % 9 - 1 AS INT)) AS cited_day")
     reports = rows(spark, d, "orders", "o_orderkey AS report_id", "cast(o_custkey % 90 AS string) AS title", "to_date(o_orderdate) AS day", "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 6 END AS part")
     return continuations(headings, reports)
 
 
-@query("""
-SELECT DISTINCT source, target, CASE WHEN (a = 'CLARIFICATION' AND x >= y) OR (b = 'CLARIFICATION' AND y >= x) THEN 'CORRECTION' WHEN a LIKE 'ANSWER%' THEN 'REPLY' END AS type
-FROM (SELECT l_orderkey AS source, l_suppkey AS target, CASE l_orderkey % 3 WHEN 0 THEN 'CLARIFICATION' WHEN 1 THEN 'ANSWER_ORAL' ELSE 'DEBATE' END AS a, CASE l_suppkey % 4 WHEN 0 THEN 'CLARIFICATION' ELSE 'ANSWER' END AS b, l_orderkey % 50 AS x, l_suppkey % 50 AS y FROM lineitem)
+#: The type of a link by its source's type, its target's, and whether the source's day is before, on or after the target's.
+_LINK_TYPES = {
+    ("CLARIFICATION", "CLARIFICATION"): (None, "CORRECTION", "CORRECTION"), ("CLARIFICATION", "WRITTEN_STATEMENT"): (None, "CORRECTION", "CORRECTION"), ("CLARIFICATION", "ANSWER_ORAL"): (None, "CORRECTION", "CORRECTION"), ("CLARIFICATION", "DEBATE"): (None, "CORRECTION", "CORRECTION"),
+    ("WRITTEN_STATEMENT", "CLARIFICATION"): (None, "CORRECTION", "CORRECTION"), ("WRITTEN_STATEMENT", "WRITTEN_STATEMENT"): (None, "CORRECTION", "CORRECTION"), ("WRITTEN_STATEMENT", "ANSWER_ORAL"): (None, "CORRECTION", "CORRECTION"), ("WRITTEN_STATEMENT", "DEBATE"): (None, "CORRECTION", "CORRECTION"),
+    ("ANSWER_ORAL", "CLARIFICATION"): ("CORRECTION", "CORRECTION", "REPLY"), ("ANSWER_ORAL", "WRITTEN_STATEMENT"): ("CORRECTION", "CORRECTION", "REPLY"), ("ANSWER_ORAL", "ANSWER_ORAL"): ("REPLY", "REPLY", "REPLY"), ("ANSWER_ORAL", "DEBATE"): ("REPLY", "REPLY", "REPLY"),
+    ("DEBATE", "CLARIFICATION"): ("CORRECTION", "CORRECTION", None), ("DEBATE", "WRITTEN_STATEMENT"): ("CORRECTION", "CORRECTION", None), ("DEBATE", "ANSWER_ORAL"): (None, None, None), ("DEBATE", "DEBATE"): (None, None, None),
+}
+_TYPE_ROWS = ", ".join(f"('{a}', '{b}', {k - 1}, " + (f"'{t}')" if t else "NULL)") for (a, b), types in _LINK_TYPES.items() for k, t in enumerate(types))
+_TYPE_OF = "CASE {0} % 4 WHEN 0 THEN 'CLARIFICATION' WHEN 1 THEN 'ANSWER_ORAL' WHEN 2 THEN 'WRITTEN_STATEMENT' ELSE 'DEBATE' END"
+
+
+@query(f"""
+WITH k(a, b, way, type) AS (VALUES {_TYPE_ROWS}), l AS (SELECT l_orderkey AS source, l_suppkey AS target, {_TYPE_OF.format("l_orderkey")} AS a, {_TYPE_OF.format("l_suppkey")} AS b, sign(l_orderkey % 50 - l_suppkey % 50)::INT AS way FROM lineitem)
+SELECT DISTINCT source, target, type FROM l JOIN k USING (a, b, way)
 """)
 def link_types(spark: SparkSession, d: str) -> DataFrame:
     from rostrum.operators.citations import link_types as types
 
     days = [f"date_add(DATE '1990-01-01', cast({c} % 50 AS INT)) AS {n}_day" for n, c in (("source", "l_orderkey"), ("target", "l_suppkey"))]
-    links = rows(spark, d, "lineitem", "l_orderkey AS source", "l_suppkey AS target", "CASE l_orderkey % 3 WHEN 0 THEN 'CLARIFICATION' WHEN 1 THEN 'ANSWER_ORAL' ELSE 'DEBATE' END AS source_type", "CASE l_suppkey % 4 WHEN 0 THEN 'CLARIFICATION' ELSE 'ANSWER' END AS target_type", *days)
+    links = rows(spark, d, "lineitem", "l_orderkey AS source", "l_suppkey AS target", f"{_TYPE_OF.format('l_orderkey')} AS source_type", f"{_TYPE_OF.format('l_suppkey')} AS target_type", *days)
     return types(links).select("source", "target", "type")
 
 

@@ -113,14 +113,16 @@ def footnotes(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH m AS (SELECT conv_id, turn * 100 AS pos, turn + CASE WHEN conv_id % 3 = 0 AND turn > 3 THEN 60 WHEN conv_id % 4 = 1 AND turn > 2 THEN 1 ELSE 0 END AS number FROM conversations WHERE turn > 0),
-n AS (SELECT *, lead(number) OVER (PARTITION BY conv_id ORDER BY pos) AS nxt FROM m),
-s AS (SELECT c.conv_id, c.turn AS id, n.number, n.nxt - n.number AS step, n.pos FROM conversations c ASOF LEFT JOIN n ON c.conv_id = n.conv_id AND c.turn * 100 + 30 >= n.pos),
-t AS (SELECT *, CASE WHEN pos IS NULL THEN 'BEFORE_FIRST' WHEN step IS NULL THEN 'LAST' WHEN step = 1 THEN 'CONFIRMED' WHEN step < 0 OR step > 50 THEN 'BROKEN_SEQUENCE' ELSE 'SKIPPED_COLUMN' END AS status FROM s)
-SELECT conv_id, id, CASE WHEN status IN ('CONFIRMED', 'LAST') THEN number END AS printed_column, status FROM t
+n AS (SELECT *, lead(number) OVER w AS nxt, number - lag(number) OVER w AS came FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+h AS (SELECT DISTINCT conv_id, CASE WHEN conv_id % 2 = 0 THEN 0 ELSE 7 END AS head, CASE WHEN conv_id % 5 = 0 THEN 1000 ELSE 0 END AS last, max(turn) OVER (PARTITION BY conv_id) > 0 AS marked FROM conversations),
+s AS (SELECT c.conv_id, c.turn AS id, n.number, n.nxt - n.number AS step, n.came, n.pos FROM conversations c ASOF LEFT JOIN n ON c.conv_id = n.conv_id AND c.turn * 100 + 30 >= n.pos),
+t AS (SELECT s.*, head, CASE WHEN pos IS NULL THEN CASE WHEN marked AND head = 0 THEN 'HEAD' ELSE 'BEFORE_FIRST' END WHEN step IS NULL THEN CASE WHEN last > number THEN 'PAST_LAST' WHEN came < 0 OR came > 50 THEN 'BROKEN_SEQUENCE' ELSE 'LAST' END WHEN step = 1 THEN 'CONFIRMED' WHEN step < 0 OR step > 50 THEN 'BROKEN_SEQUENCE' ELSE 'SKIPPED_COLUMN' END AS status FROM s JOIN h USING (conv_id))
+SELECT conv_id, id, CASE WHEN status = 'HEAD' THEN head WHEN status IN ('CONFIRMED', 'LAST') THEN number END AS printed_column, status FROM t
 """)
 def speech_columns(spark: SparkSession, d: str) -> DataFrame:
     markers = rows(spark, d, "conversations", "conv_id", "turn * 100 AS offset", "turn + CASE WHEN conv_id % 3 = 0 AND turn > 3 THEN 60 WHEN conv_id % 4 = 1 AND turn > 2 THEN 1 ELSE 0 END AS number", where="turn > 0")
-    return M.speech_columns(rows(spark, d, "conversations", "conv_id", "turn AS id", "turn * 100 + 30 AS offset"), markers, "conv_id")
+    heads = rows(spark, d, "conversations", "conv_id", "CASE WHEN conv_id % 2 = 0 THEN 0 ELSE 7 END AS first", "CASE WHEN conv_id % 5 = 0 THEN 1000 ELSE 0 END AS last").distinct()
+    return M.speech_columns(rows(spark, d, "conversations", "conv_id", "turn AS id", "turn * 100 + 30 AS offset"), markers, "conv_id", heads=heads)
 
 
 @query("""

@@ -212,9 +212,12 @@ def unique_match_join(spark: SparkSession, d: str) -> DataFrame:
     return J.unique_match_join(part.drop("brand"), part, ["p_name", "p_size"], "brand").drop("p_size")
 
 
-@query("WITH p AS (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) SELECT l_partkey, l_orderkey FROM p WHERE l_partkey IN (SELECT l_partkey FROM p GROUP BY 1 HAVING count(*) = 1) AND l_orderkey IN (SELECT l_orderkey FROM p GROUP BY 1 HAVING count(*) = 1)")
+_PAIRS = "CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE c_custkey - c_custkey % 2 END AS bill", "CASE WHEN c_custkey % 5 = 0 THEN c_custkey % 100 ELSE c_custkey END AS number"
+
+
+@query(f"WITH p AS (SELECT DISTINCT {', '.join(_PAIRS)} FROM customer) SELECT bill, number FROM p WHERE bill IN (SELECT bill FROM p GROUP BY 1 HAVING count(*) = 1) AND number IN (SELECT number FROM p GROUP BY 1 HAVING count(*) = 1)")
 def mutual_unique_assignment(spark: SparkSession, d: str) -> DataFrame:
-    return J.mutual_unique(rows(spark, d, "lineitem", "l_partkey", "l_orderkey"), "l_partkey", "l_orderkey")
+    return J.mutual_unique(rows(spark, d, "customer", *_PAIRS), "bill", "number")
 
 
 _PROCEEDINGS = ["l_shipdate::DATE AS day", "l_linenumber AS ayes", "CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_suppkey % 3 END AS noes", "CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_partkey % 2 END AS abstentions", "l_orderkey AS report_id", "l_suppkey AS place", "l_linenumber AS speech_number", "l_orderkey * 100000 + l_partkey AS ordinal"]
@@ -318,12 +321,12 @@ def date_spine(spark: SparkSession, d: str) -> DataFrame:
     return spine.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-_PLACED = "CASE WHEN o_orderkey % 3 = 0 THEN 'stored' ELSE 'load' END"
+_PLACED = "CASE WHEN o_orderkey % 3 = 0 AND o_orderdate < DATE '1997-01-01' THEN 'stored' ELSE 'load' END"
 
 
 @query(f"""
 WITH RECURSIVE o AS (SELECT o_custkey % 400 AS key, o_orderkey AS id, o_orderdate::DATE AS day, o_orderkey % 17 <> 5 AS word, o_orderpriority = '1-URGENT' AS first, o_orderstatus = 'F' AS passing, {_PLACED} AS side FROM orders),
-b AS (SELECT key, o_bill AS bill_id, min(id) AS first_id, min(day) AS first_day, max(day) AS last_day, bool_or(passing) AS passed FROM (SELECT *, key * 10 + id % 2 AS o_bill FROM o WHERE side = 'stored' AND day < DATE '1997-01-01') GROUP BY 1, 2),
+b AS (SELECT key, o_bill AS bill_id, min(id) AS first_id, min(day) AS first_day, max(day) AS last_day, bool_or(passing) AS passed FROM (SELECT *, key * 10 + id % 2 AS o_bill FROM o WHERE side = 'stored') GROUP BY 1, 2),
 l AS (SELECT * FROM b WHERE last_day = (SELECT max(last_day) FROM b c WHERE c.key = b.key)), s AS (SELECT key, count(*) AS n, min(bill_id) AS bill_id, min(first_id) AS first_id, min(first_day) AS first_day, min(last_day) AS last_day, bool_or(passed) AS passed FROM l GROUP BY 1),
 r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY day, id) AS r FROM o WHERE side = 'load' AND word AND key NOT IN (SELECT key FROM s WHERE n > 1)),
 w AS (
@@ -339,7 +342,7 @@ UNION ALL SELECT key, id, NULL, NULL, CASE WHEN word THEN 'TWO_BILLS_SHARE_LATES
 def bill_placement(spark: SparkSession, d: str) -> DataFrame:
     """A load of reports against the bills that earlier ones made."""
     bills = rows(spark, d, "orders", "o_custkey % 400 AS key", "o_orderkey AS id", "to_date(o_orderdate) AS day", "o_orderkey % 17 <> 5 AS has_bill_word", "o_orderpriority = '1-URGENT' AS is_first_reading", "o_orderstatus = 'F' AS is_passing", f"{_PLACED} AS side")
-    old = bills.where("side = 'stored' AND day < DATE '1997-01-01'").groupBy("key", (F.col("key") * 10 + F.col("id") % 2).alias("bill_id"))
+    old = bills.where("side = 'stored'").groupBy("key", (F.col("key") * 10 + F.col("id") % 2).alias("bill_id"))
     stored = old.agg(F.min("id").alias("first_id"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.bool_or("is_passing").alias("is_passed"))
     return W.place_reports(bills.where("side = 'load'").drop("side"), stored)
 
@@ -365,12 +368,12 @@ def publication_windows(spark: SparkSession, d: str) -> DataFrame:
     return r.select("o_orderkey", D.publication_days(F.col("day")).alias("most_days"), D.is_misprinted(F.col("number"), F.col("day")).alias("misprinted"))
 
 
-@query("SELECT o_orderkey AS report_id, (DATE '1998-01-20' - o_orderdate::DATE) BETWEEN 13 AND 14 AS is_alert_due FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 3 < 2")
+@query("SELECT o_orderkey AS report_id, (DATE '1998-01-20' - o_orderdate::DATE) BETWEEN 13 AND 14 AS is_alert_due FROM orders WHERE o_orderkey % 3 < 2")
 def held_reports(spark: SparkSession, d: str) -> DataFrame:
     """Reports whose text has not come yet, and whether that is due for an alert."""
     import datetime
 
     from rostrum.plans.refresh import held_rows
 
-    bodies = rows(spark, d, "orders", "o_orderkey AS report_id", "to_date(o_orderdate) AS sitting_day", "CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'text' END AS content", where="o_orderstatus = 'P'")
+    bodies = rows(spark, d, "orders", "o_orderkey AS report_id", "to_date(o_orderdate) AS sitting_day", "CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'text' END AS content")
     return held_rows(bodies, datetime.date(1998, 1, 20)).select("report_id", "is_alert_due")

@@ -99,10 +99,18 @@ def countable_chars(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d, "documents", "doc_id", "text").select("doc_id", N.countable_chars(F.col("text")).cast("long").alias("chars"))
 
 
-_OFFICE = "CASE s_suppkey % 8 WHEN 0 THEN 'The Prime Minister' WHEN 1 THEN 'Deputy Prime Minister' WHEN 2 THEN 'Senior Minister of State for Law' WHEN 3 THEN 'Minister of State' WHEN 4 THEN 'Senior Parliamentary Secretary' WHEN 5 THEN 'Parliamentary Secretary to the Minister' WHEN 6 THEN 'Minister for Trade' ELSE s_name END"
-
-
-@query("SELECT s_suppkey, CASE s_suppkey % 8 WHEN 0 THEN 'PRIME_MINISTER' WHEN 1 THEN 'DEPUTY_PRIME_MINISTER' WHEN 2 THEN 'SENIOR_MINISTER_OF_STATE' WHEN 3 THEN 'MINISTER_OF_STATE' WHEN 4 THEN 'SENIOR_PARLIAMENTARY_SECRETARY' WHEN 5 THEN 'PARLIAMENTARY_SECRETARY' WHEN 6 THEN 'MINISTER' ELSE 'OTHER' END AS class FROM supplier")
+#: Printed offices and their classes.
+_OFFICES = [
+    ("The Prime Minister", "PRIME_MINISTER"), ("The Acting Prime Minister and Minister for Law", "PRIME_MINISTER"), ("Deputy Prime Minister", "DEPUTY_PRIME_MINISTER"), ("The Deputy Prime_Minister and Minister for Home Affairs", "DEPUTY_PRIME_MINISTER"),
+    ("Minister for Trade", "MINISTER"), ("Minister for X and Minister of State for Y", "MINISTER"), ("The Minister, Prime Minister’s Office", "MINISTER"), ("Second Minister for *Finance*", "MINISTER"),
+    ("Senior Minister of State for Law", "SENIOR_MINISTER_OF_STATE"), ("Minister of State", "MINISTER_OF_STATE"), ("Minister of State to the Prime Minister", "MINISTER_OF_STATE"), ("The SeniorMinister of State", "SENIOR_MINISTER_OF_STATE"),
+    ("Senior Parliamentary Secretary to the Minister for Health", "SENIOR_PARLIAMENTARY_SECRETARY"), ("Parliamentary Secretary to the Minister", "PARLIAMENTARY_SECRETARY"), ("Parliamentary Secretary to the Minister for Law and Minister for Arts", "PARLIAMENTARY_SECRETARY"), ("Parliamentary Secretary to the Minister for Law and Second Minister", "MINISTER"), ("Parliamentary Secretary, Ministry of Law", "PARLIAMENTARY_SECRETARY"),
+    ("Chief Minister", "OTHER"), ("Assistant Minister for Education", "OTHER"), ("Permanent Secretary, Ministry of Law", "OTHER"), ("Leader of the House", "OTHER"),
+]
+_OFFICE = f"CASE s_suppkey % {len(_OFFICES)} " + " ".join(f"WHEN {k} THEN '{printed}'" for k, (printed, _) in enumerate(_OFFICES)) + " END"
+
+
+@query(f"SELECT s_suppkey, CASE s_suppkey % {len(_OFFICES)} " + " ".join(f"WHEN {k} THEN '{kind}'" for k, (_, kind) in enumerate(_OFFICES)) + " END AS class FROM supplier")
 def office_class(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d, "supplier", "s_suppkey", f"{_OFFICE} AS office").select("s_suppkey", N.office_class(F.col("office")).alias("class"))
 
@@ -168,11 +176,14 @@ def coalesce_map(spark: SparkSession, d: str) -> DataFrame:
     return r.select("o_orderkey", D.coalesce_map(F.col("p"), F.col("o_orderstatus"), {"F": 1, "O": 2}).alias("parliament"))
 
 
-@query("SELECT m::DATE AS first_day, least((m + INTERVAL 1 MONTH)::DATE - 1, DATE '2024-03-07') AS last_day FROM (SELECT unnest([TIMESTAMP '2023-11-20', TIMESTAMP '2023-12-01', TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', TIMESTAMP '2024-03-01']) AS m) WHERE m <> TIMESTAMP '2023-11-20' UNION ALL SELECT DATE '2023-11-20', DATE '2023-11-30'")
+@query("""
+WITH e AS (SELECT min(o_orderdate)::DATE AS a, max(o_orderdate)::DATE AS b FROM orders)
+SELECT greatest(m::DATE, a) AS first_day, least((m + INTERVAL 1 MONTH)::DATE - 1, b) AS last_day FROM (SELECT a, b, unnest(range(date_trunc('month', a)::TIMESTAMP, (b + 1)::TIMESTAMP, INTERVAL 1 MONTH)) AS m FROM e)
+""")
 def month_windows(spark: SparkSession, d: str) -> DataFrame:
     from rostrum.sources.tables import month_windows as windows
 
-    return windows(spark, "2023-11-20", "2024-03-07")
+    return windows(rows(spark, d, "orders", "to_date(o_orderdate) AS day"), "day")
 
 
 # JSON and lists ---------------------------------------------------------------------------------
@@ -453,14 +464,6 @@ def division_names(spark: SparkSession, d: str) -> DataFrame:
     return X.division_names(_lists(spark, d), "c_custkey")
 
 
-@query("""
-SELECT c_custkey, side, printed, names, CASE WHEN printed IS NULL THEN 'UNPRINTED' WHEN printed = names THEN 'ACCEPTED' ELSE 'COUNTS_DISAGREE' END AS verdict
-FROM (SELECT c_custkey, 'ayes' AS side, (1 + c_custkey % 3 + c_custkey % 2)::INT AS printed, 2 + c_custkey % 3 AS names FROM customer UNION ALL SELECT c_custkey, 'noes', NULL, 2 FROM customer UNION ALL SELECT c_custkey, 'absent', 0, 0 FROM customer)
-""")
-def division_verdicts(spark: SparkSession, d: str) -> DataFrame:
-    return X.division_verdicts(_lists(spark, d), "c_custkey")
-
-
 @query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN make_date((1980 + o_custkey % 30)::INT, 5, (1 + o_orderkey % 28)::INT) WHEN 1 THEN make_date((1980 + o_custkey % 30)::INT, 3, (1 + o_orderkey % 28)::INT) END AS resumed FROM orders")
 def resumption_headings(spark: SparkSession, d: str) -> DataFrame:
     heading = "CASE o_orderkey % 3 WHEN 0 THEN concat('[Debate resumed from ', 1 + o_orderkey % 28, 'th May, ', 1980 + o_custkey % 30, ']') WHEN 1 THEN concat('Order read for resumption of debate (', 1 + o_orderkey % 28, ' Mar ', 1980 + o_custkey % 30, ').') ELSE concat('Read on ', 1 + o_orderkey % 28, ' May 1999') END AS t"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,25 +109,69 @@ def sniff_format(content: str = "content") -> Column:
     )
 
 
-def month_windows(spark: SparkSession, first: str, last: str) -> DataFrame:
-    """(first_day, last_day): the calendar months of a range, clipped at its ends."""
-    a, b = F.to_date(F.lit(first)), F.to_date(F.lit(last))
-    months = spark.range(1).select(F.explode(F.sequence(F.trunc(a, "MM"), F.trunc(b, "MM"), F.expr("interval 1 month"))).alias("month"))
-    return months.select(F.greatest("month", a).alias("first_day"), F.least(F.last_day("month"), b).alias("last_day"))
+def month_windows(days: DataFrame, day: str) -> DataFrame:
+    """(first_day, last_day): the calendar months from the least to the latest day of a table, clipped at its ends."""
+    ends = days.agg(F.min(day).alias("a"), F.max(day).alias("b")).where("a is not null")
+    months = ends.select("a", "b", F.explode(F.sequence(F.trunc("a", "MM"), F.trunc("b", "MM"), F.expr("interval 1 month"))).alias("month"))
+    return months.select(F.greatest("month", "a").alias("first_day"), F.least(F.last_day("month"), F.col("b")).alias("last_day"))
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Writes a new snapshot beside the old one and swaps them by renaming, so readers see one or the other."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}.new")
+#: The file of a published table that names its current version.
+CURRENT = "CURRENT"
+
+
+def _files(spark: SparkSession, path: str):  # noqa: ANN202
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    old, new, gone = (hadoop.Path(p) for p in (path, f"{path}.new", f"{path}.old"))
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(gone, True)
-    if fs.exists(old):
-        fs.rename(old, gone)
-    fs.rename(new, old)
-    fs.delete(gone, True)
+    root = hadoop.Path(path)
+    return hadoop, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def published_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of a published table's current version; None if nothing is published."""
+    hadoop, root, fs = _files(spark, path)
+    pointer = hadoop.Path(root, CURRENT)
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return f"{path}/{bytes(stream.readAllBytes()).decode()}"
+    finally:
+        stream.close()
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published table."""
+    version = published_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return spark.read.parquet(version)
+
+
+def publish(df: DataFrame, path: str, keep: int = 2) -> str:
+    """Writes a new version of a table and makes it the current one; returns its folder.
+
+    Versions are folders of their own and never change. A small file names the current one; it
+    is written beside the old and renamed over it in one step, so at any time readers find a
+    whole version, the old or the new, and one who has begun to read goes on with what they
+    have. The last `keep` versions stay.
+    """
+    spark = df.sparkSession
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(f"{path}/{version}")
+    hadoop, root, fs = _files(spark, path)
+    pointer, beside = hadoop.Path(root, CURRENT), hadoop.Path(root, f".{version}")
+    stream = fs.create(beside, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    context = hadoop.FileContext.getFileContext(root.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(beside, pointer, options)
+    old = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("v"))
+    for name in old[: -keep if keep else len(old)]:
+        if name != version:
+            fs.delete(hadoop.Path(root, name), True)
+    return f"{path}/{version}"
 
 
 def write_lines(df: DataFrame, path: str, form: str = "jsonl", rows_a_file: int = 0) -> None:
