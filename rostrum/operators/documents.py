@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from rostrum.functions.names import squeeze
+from rostrum.functions.names import last_group, squeeze
 
 #: What a line of procedure speaks of, and what is done to it: a small grammar, a parameter of `procedural`.
 PROCEDURE_SUBJECTS = ["question", "motion", "amendment", "bill", "clause", "division", "order", "resolution", "schedule", "debate", "sitting", "house", "committee", "council", "assembly"]
@@ -188,11 +188,21 @@ def history_fields(text: Column) -> dict[str, Column]:
     }
 
 
-def label_office(label: Column) -> Column:
-    """The office that a speaker's label prints: before the brackets of 'Minister for X (Mr A)', or inside those of 'Mr A (Minister for X)'."""
-    inner, before = F.regexp_extract(label, r"\(([^()]*)\)", 1), F.trim(F.regexp_extract(label, r"^([^(]*)", 1))
-    is_office = lambda c: c.rlike(r"(?i)\b(?:minister|secretary|speaker|whip|leader|attorney|chairman|president)\b")
-    return F.when(is_office(before), before).when(is_office(inner), inner)
+#: Words that tell an office from a name or a place.
+OFFICE_WORDS = ["minister", "secretary", "speaker", "whip", "leader", "attorney", "chairman", "president", "mayor"]
+
+
+def label_office(label: Column, words: list[str] = OFFICE_WORDS) -> Column:
+    """The office that a speaker's label prints: before the brackets of 'Minister for X (Mr A)', or inside those of 'Mr A (Minister (Health) for X)'.
+
+    Brackets may hold others; of several groups in a row the last that names an office counts.
+    """
+    is_office = lambda c: c.rlike(r"(?i)\b(?:" + "|".join(words) + r")\b")
+    before, inner = last_group(label)
+    first, second = last_group(before)
+    bare = F.coalesce(first, before, F.trim(label))
+    plain = F.when(~bare.contains("("), bare)
+    return F.when(is_office(plain), F.trim(plain)).when(is_office(inner), inner).when(is_office(second), second)
 
 
 def citations(rows: DataFrame, keys: list[str], text: str) -> DataFrame:

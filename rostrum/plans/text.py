@@ -85,13 +85,18 @@ def bill_number(spark: SparkSession, d: str) -> DataFrame:
     return rows(spark, d, "orders", "o_orderkey", f"{_NUMBER} AS raw").select("o_orderkey", N.bill_number(F.col("raw")).alias("number"))
 
 
-_HEADER = "CASE p_partkey % 3 WHEN 0 THEN concat(p_name, ' (', p_type, ')') WHEN 1 THEN concat(p_name, ' (', p_type, ' (', p_brand, ') end)') ELSE p_name END"
+_HEADER = "CASE p_partkey % 6 WHEN 0 THEN concat(p_name, ' (', p_type, ')') WHEN 1 THEN concat(p_name, ' (', p_type, ' (', p_brand, ') end)') WHEN 2 THEN concat(p_name, ' (one (two (', p_brand, ') / b))  ') WHEN 3 THEN concat(p_name, ' (open (', p_brand, ')') WHEN 4 THEN concat(p_name, ' ', p_brand, ')') ELSE p_name END"
 
 
-@query("SELECT p_partkey, p_name AS title, CASE p_partkey % 3 WHEN 0 THEN p_type WHEN 1 THEN p_type || ' (' || p_brand || ') end' END AS subtitle FROM part")
+@query("""
+SELECT p_partkey, CASE p_partkey % 6 WHEN 3 THEN p_name || ' (open' WHEN 4 THEN p_name || ' ' || p_brand || ')' ELSE p_name END AS title,
+  CASE p_partkey % 6 WHEN 0 THEN p_type WHEN 1 THEN p_type || ' (' || p_brand || ') end' WHEN 2 THEN 'one (two (' || p_brand || ') / b)' WHEN 3 THEN p_brand END AS subtitle, p_name || '|' || p_type || ' (a/b (c/d))|' || p_brand AS parts FROM part
+""")
 def split_subtitle(spark: SparkSession, d: str) -> DataFrame:
+    """Brackets in brackets, brackets that don't balance, and parts between slashes outside brackets."""
     title, subtitle = N.split_subtitle(F.col("raw"))
-    return rows(spark, d, "part", "p_partkey", f"{_HEADER} AS raw").select("p_partkey", title.alias("title"), subtitle.alias("subtitle"))
+    part = rows(spark, d, "part", "p_partkey", f"{_HEADER} AS raw", "concat(p_name, ' / ', p_type, ' (a/b (c/d)) / / ', p_brand) AS listed")
+    return part.select("p_partkey", title.alias("title"), subtitle.alias("subtitle"), F.array_join(N.slash_parts(F.col("listed")), "|").alias("parts"))
 
 
 @query(r"SELECT doc_id, length(regexp_replace(text, '[\s*_\\#|]+', '', 'g')) AS chars FROM documents")
