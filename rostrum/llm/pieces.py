@@ -231,7 +231,12 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def encode_pieces(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, ids) of every whole text; a null or empty text has no ids. Other columns are ignored."""
+    """(doc_id, ids) of every whole text; a null or empty text has no ids.
+
+    One row for each row of docs: repeated rows get equal ids, null doc_ids stay null. There is
+    one encoding of a text, so ties don't arise. Texts of any length are encoded whole. Other
+    columns are ignored, an empty table gives no rows.
+    """
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = piece_model(model)
@@ -243,7 +248,11 @@ def encode_pieces(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, text) of rows (doc_id, ids); null ids give an empty text."""
+    """(doc_id, text) of rows (doc_id, ids); null ids and empty lists give an empty text.
+
+    One row for each row of encoded, repeated and unnamed ones too; lists of any length are
+    decoded whole. Other columns are ignored, an empty table gives no rows.
+    """
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = piece_model(model)
@@ -255,7 +264,12 @@ def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def piece_digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, ids and text made and decoded in one pass."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, ids and text made and decoded in one pass.
+
+    Null and empty texts have no ids and decode to an empty text. One row for each row of docs:
+    repeated rows give equal digests, null doc_ids stay null, texts of any length are encoded
+    whole; ties don't arise. Other columns are ignored, an empty table gives no rows.
+    """
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = piece_model(model)

@@ -102,7 +102,12 @@ def ledger(docs: DataFrame) -> DataFrame:
 
 
 def apply_policy(rows: DataFrame, version: str) -> DataFrame:
-    """Adds policy and kept; base_failed is the verdict of the base rules alone."""
+    """Ledger rows with policy, kept and base_failed, the verdict of the base rules alone.
+
+    Bits alone decide, so what null, empty or long texts come to was settled in the ledger;
+    rows that repeat or have no id are judged one by one, other columns pass through, an empty
+    ledger stays empty.
+    """
     hit = lambda name: F.col("fail_bits").bitwiseAND(F.lit(mask_of(POLICIES[name]))) != 0
     return rows.withColumns({"base_failed": hit("base"), "policy": F.lit(version), "kept": ~hit("base") & ~hit(version)})
 
@@ -111,6 +116,8 @@ def ablations(rows: DataFrame) -> DataFrame:
     """(policy, rule, kept, kept_without, dropped_only_by): documents kept under each policy, and without each of its rules.
 
     Rows are first counted by bitmask (2**rules groups at most), so nothing larger is shuffled.
+    Every row of the ledger counts, repeated ones and those without an id too; other columns are
+    ignored, an empty ledger gives no rows.
     """
     spark = rows.sparkSession
     counts = rows.groupBy("fail_bits").agg(F.count("*").alias("n"))

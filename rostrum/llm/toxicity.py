@@ -2,8 +2,8 @@
 
 Terms are the words of a text (letters only, A-Z folded) and their beginnings of 3 to 6 bytes,
 hashed to 64 bits. Counts of terms by label are aggregated over the training rows, a bounded
-sample of the labelled ones; the terms with the largest label association make the machine's
-inputs. Every text is scored. Its score is
+sample of the labelled ones; every term whose association with a label is beyond chance is an
+input of the machine. Every text is scored. Its score is
 sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j): pairs such as an insult and whom it
 is said of are learned as pairs, which additive weights miss.
 """
@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, arrow_map, documents, fold_table, mix, separators, signed, text_slices, word_hashes
 
-#: Inputs of the machine, its rank, and about how many labelled rows it is fitted on (a hash of
-#: the id chooses them); documented bounds, the same at every input size.
-TERMS, RANK, FIT_ROWS = 4096, 4, 20_000
-#: Terms whose log odds differ from nothing by fewer standard errors are no inputs.
+#: The machine's rank, and about how many labelled rows it is fitted on (a hash of the id chooses
+#: them): a documented bound, the same at every input size, which bounds the terms too.
+RANK, FIT_ROWS = 4, 20_000
+#: Terms whose log odds differ from nothing by fewer standard errors are no inputs: chance alone brings those.
 MIN_STRENGTH = 3.0
 BEGINNINGS = (3, 4, 5, 6)
 THRESHOLD = 0.3
@@ -126,21 +126,27 @@ def labelled(docs: DataFrame, labels: DataFrame, wanted: Column, fit_rows: int =
     """(doc_id, text, toxic) of about fit_rows rows with a label for which `wanted` holds, or of all if there are fewer.
 
     A hash of the id chooses them among the labels, so what is broadcast has a bound that does
-    not grow with the input and texts are not shuffled.
+    not grow with the input and no other texts are shuffled. Equal rows of an id count once; where
+    ids have so many texts that twice fit_rows would be passed, a hash of id and text thins them.
     """
     known = labels.where(F.col("toxic").isNotNull()).where(wanted).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     share = fit_rows / max(1, known.count())
     chance = F.shiftrightunsigned(F.xxhash64(F.lit("fit"), "doc_id"), 11) / F.lit(float(1 << 53))
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known.where(chance < share)), "doc_id")
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("_row")).join(F.broadcast(known.where(chance < share)), "doc_id")
+    found = rows.select("_row").distinct().count()
+    if found > 2 * fit_rows:
+        rows = rows.where(F.shiftrightunsigned(F.xxhash64(F.lit("thin"), "_row"), 11) / F.lit(float(1 << 53)) < fit_rows / found)
+    return rows.dropDuplicates(["_row"]).drop("_row")
 
 
-def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TERMS, fit_rows: int = FIT_ROWS, scratch: Scratch | None = None) -> Machine:
+def train(docs: DataFrame, labels: DataFrame, wanted: Column, fit_rows: int = FIT_ROWS, scratch: Scratch | None = None) -> Machine:
     """Counts terms by label, picks the inputs and fits the machine, all on the same labelled rows.
 
-    Term counts are summed in each task before they are shuffled; what the driver gets is
-    n_terms hashes and the known terms of about fit_rows rows. Labels with a null id or a null
-    toxic are left out; of several labels of an id the largest holds, and each row of docs with
-    that id is learned from. Terms of equal strength are taken in the order of their hashes.
+    Term counts are summed in each task before they are shuffled; what the driver gets is the
+    hashes of the terms beyond chance and which of them about fit_rows rows have. Labels with a
+    null id or a null toxic are left out; of several labels of an id the largest holds, and each
+    different row of docs with that id is learned from, up to the bound of `labelled`.
     Without labels or documents the machine has no terms and scores every text alike. Other
     columns of docs and labels are ignored.
     """
@@ -162,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TER
     # The log odds of a term's toxic documents against the overall share, in standard errors.
     odds = F.log(((F.col("toxic") + 0.5) * (n0 + 1.0)) / ((F.col("clean") + 0.5) * (n1 + 1.0)))
     strength = F.abs(odds) / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    top = counts.where("toxic + clean >= 2").where(strength >= MIN_STRENGTH).orderBy(strength.desc(), "term").limit(n_terms).select("term").collect()
+    top = counts.where("toxic + clean >= 2").where(strength >= MIN_STRENGTH).select("term").collect()
     terms = np.sort(np.array([r.term for r in top], np.int64).view(np.uint64))
 
     def known(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -170,11 +176,11 @@ def train(docs: DataFrame, labels: DataFrame, wanted: Column, n_terms: int = TER
         for begin, end, data, offsets in text_slices(batch.column(1)):
             term, owner = known_terms(terms, data, offsets)
             lists += np.split(term.astype(np.int32), np.searchsorted(owner, np.arange(1, end - begin)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "toxic", "terms"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(2), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "key", "toxic", "terms"])
 
-    got = arrow_map(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic"), known, "doc_id long, toxic int, terms array<int>").toPandas()
+    got = arrow_map(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic", F.xxhash64("text").alias("key")), known, "doc_id long, key long, toxic int, terms array<int>").toPandas()
     scratch.drop("fitted")
-    got = got.sort_values("doc_id", kind="stable")
+    got = got.sort_values(["doc_id", "key"], kind="stable")
     term = np.concatenate([np.zeros(0, np.int64), *(np.asarray(t, np.int64) for t in got["terms"])])
     owner = np.repeat(np.arange(len(got)), [len(t) for t in got["terms"]]) if len(got) else np.zeros(0, np.int64)
     return fit_machine(terms, term, owner, got["toxic"].to_numpy(np.float64))
