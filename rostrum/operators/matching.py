@@ -74,26 +74,44 @@ def repair_mojibake(rows: DataFrame, text: str) -> DataFrame:
 
 
 def printed_places(reports: DataFrame, sections: DataFrame, by: str) -> DataFrame:
-    """(report_id, place, rule) of reports (by, report_id, title, subtitle, content) among sections (by, place, title, subtitle, content).
-
-    First sections with the same content as just one report, then those left over with the same
-    title, then with the same title and subtitle; each section is used once.
+    """(report_id, place, rule) of reports (by, report_id, title, subtitle, content[, number, is_assent]) among sections (by, place, title, subtitle, content).
+
+    As if reports took their places one by one in the order of (number, report_id), each section
+    once: an assent without a text stands first and has no place (ASSENT_FIRST); a content that
+    one section alone has is its first report's (CONTENT). Then, among the sections left: the only
+    one with the report's title (TITLE), else the only one with title and subtitle (SUBTITLE), else
+    none (NOT_PLACED). As places are consumed, a title may come down to one section, which the
+    next report with that title takes whatever its subtitle.
+
+    No walk is needed. Of the n sections of a title those with a subtitle of their own go to the
+    first report that has it, in the order of these reports, as long as two or more are left:
+    n - 1 at most. If so many went, the last section is that of the first report after them.
     """
-    key = {
-        "CONTENT": lambda df: F.sha2(F.col("content").cast("binary"), 256),
-        "TITLE": lambda df: F.lower(F.regexp_replace("title", r"(?U)[\W_]+", "")),
-        "SUBTITLE": lambda df: F.lower(F.regexp_replace(F.concat_ws("|", "title", "subtitle"), r"(?U)[^\w|]+", "")),
-    }
-    left, free, out = reports, sections, None
-    for rule, make in key.items():
-        a = left.select(by, "report_id", make(left).alias("_k"))
-        b = free.select(by, "place", make(free).alias("_k"))
-        once = lambda df, name: df.groupBy(by, "_k").agg(F.min(name).alias(name), F.count("*").alias("_n")).where("_n = 1").drop("_n")
-        hit = once(a, "report_id").join(once(b, "place"), [by, "_k"]).select(by, "report_id", "place", F.lit(rule).alias("rule"))
-        out = hit if out is None else out.unionByName(hit)
-        left = left.join(hit.select("report_id"), "report_id", "left_anti")
-        free = free.join(hit.select(by, "place"), [by, "place"], "left_anti")
-    return reports.select("report_id").join(out.drop(by), "report_id", "left").withColumn("rule", F.coalesce("rule", F.lit("NOT_PLACED")))
+    from pyspark.sql.window import Window as W
+
+    fold = lambda c: F.coalesce(F.lower(F.regexp_replace(c, r"(?U)[\W_]+", "")), F.lit(""))
+    number = F.col("number") if "number" in reports.columns else F.lit(0)
+    assent = F.coalesce(F.col("is_assent"), F.lit(False)) & (F.coalesce("content", F.lit("")) == "") if "is_assent" in reports.columns else F.lit(False)
+    content = F.sha2(F.col("content").cast("binary"), 256)
+    keys = [F.col(by).alias("_by"), fold(F.col("title")).alias("_title"), fold(F.col("subtitle")).alias("_sub"), content.alias("_content")]
+    all_reports = reports.select("report_id", F.struct(number.alias("n"), F.col("report_id").alias("r")).alias("_at"), assent.alias("_assent"), *keys)
+    asked, free = all_reports.where("not _assent"), sections.select("place", *keys)
+    once = free.where("_content is not null").groupBy("_by", "_content").agg(F.min("place").alias("place"), F.count("*").alias("_n")).where("_n = 1").drop("_n")
+    first = asked.where("_content is not null").groupBy("_by", "_content").agg(F.min_by("report_id", "_at").alias("report_id"))
+    by_content = first.join(once, ["_by", "_content"]).select("report_id", "_by", "place")
+    asked = asked.join(by_content.select("report_id"), "report_id", "left_anti")
+    free = free.join(by_content.select("_by", "place"), ["_by", "place"], "left_anti").select("_by", "_title", "_sub", "place")
+    sizes = free.groupBy("_by", "_title").agg(F.count("*").alias("_n"))
+    own = free.groupBy("_by", "_title", "_sub").agg(F.min("place").alias("place"), F.count("*").alias("_c")).where("_c = 1").drop("_c")
+    takers = asked.groupBy("_by", "_title", "_sub").agg(F.min(F.struct("_at", "report_id")).alias("_f")).select("_by", "_title", "_sub", "_f.*").join(own, ["_by", "_title", "_sub"]).join(sizes, ["_by", "_title"])
+    takers = takers.withColumn("_k", F.row_number().over(W.partitionBy("_by", "_title").orderBy("_at"))).where("_k < _n")
+    gone = takers.groupBy("_by", "_title").agg(F.count("*").alias("_gone"), F.max("_at").alias("_after"))
+    left = free.join(takers.select("_by", "place"), ["_by", "place"], "left_anti").groupBy("_by", "_title").agg(F.min("place").alias("place"), F.count("*").alias("_left")).where("_left = 1")
+    left = left.join(gone, ["_by", "_title"], "left")
+    later = asked.join(left, ["_by", "_title"]).where(F.col("_after").isNull() | (F.col("_at") > F.col("_after")))
+    by_title = later.groupBy("_by", "_title").agg(F.min_by(F.struct("report_id", "place"), "_at").alias("_f"))
+    found = by_content.select("report_id", "place", F.lit("CONTENT").alias("rule")).unionByName(takers.select("report_id", "place", F.lit("SUBTITLE").alias("rule"))).unionByName(by_title.select("_f.report_id", "_f.place", F.lit("TITLE").alias("rule")))
+    return all_reports.select("report_id", "_assent").join(found, "report_id", "left").select("report_id", "place", F.coalesce("rule", F.when(F.col("_assent"), "ASSENT_FIRST").otherwise("NOT_PLACED")).alias("rule"))
 
 
 def put_to_phrase(text: Column) -> Column:

@@ -48,19 +48,27 @@ def mojibake(spark: SparkSession, d: str) -> DataFrame:
     return M.repair_mojibake(rows(spark, d, "documents", "doc_id", f"{_BROKEN} AS text"), "text")
 
 
-_KIND = "CASE turn % 4 WHEN 0 THEN concat('c', turn) WHEN 1 THEN concat('t', turn) WHEN 2 THEN 'same' ELSE concat('{}', turn) END"
+_PLACED_REPORTS = ["conv_id // 4 AS sitting", "conv_id * 100 + turn AS report_id", "(turn * 5 + conv_id * 3) % 7 AS number", "'T' || conv_id % 2 || turn % 3 AS title", "'s' || turn % 4 AS subtitle", "CASE WHEN turn % 7 = 3 THEN NULL ELSE text || CASE WHEN turn % 5 = 0 THEN '' ELSE 'x' END END AS content", "turn % 7 = 3 AND conv_id % 2 = 0 AS is_assent"]
+_PLACED_SECTIONS = ["conv_id // 4 AS sitting", "conv_id * 100 + turn AS place", "'t' || conv_id % 2 || '.' || turn % 3 AS title", "'S' || turn % 5 AS subtitle", "text AS content"]
 
 
-@query("""
-SELECT conv_id * 100 + turn AS report_id, CASE WHEN turn % 4 < 3 THEN turn END AS place,
-  CASE turn % 4 WHEN 0 THEN 'CONTENT' WHEN 1 THEN 'TITLE' WHEN 2 THEN CASE WHEN count(*) FILTER (turn % 4 = 2) OVER (PARTITION BY conv_id) = 1 THEN 'TITLE' ELSE 'SUBTITLE' END ELSE 'NOT_PLACED' END AS rule
-FROM conversations
+@query(f"""
+WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY sitting ORDER BY number, report_id) AS n FROM (SELECT {", ".join(_PLACED_REPORTS)} FROM conversations)), s AS (SELECT {", ".join(_PLACED_SECTIONS)} FROM conversations),
+o AS (SELECT sitting, content, min(place) AS place FROM s WHERE content IS NOT NULL GROUP BY 1, 2 HAVING count(*) = 1),
+c AS (SELECT r.sitting, arg_min(report_id, n) AS report_id, o.place FROM r JOIN o ON r.sitting = o.sitting AND r.content = o.content WHERE NOT (is_assent AND coalesce(r.content, '') = '') GROUP BY r.sitting, o.place),
+k AS (SELECT s.sitting, list({{'place': s.place, 'title': lower(replace(s.title, '.', '')), 'sub': lower(s.subtitle)}}) AS free FROM s LEFT JOIN c ON s.sitting = c.sitting AND s.place = c.place WHERE c.place IS NULL GROUP BY 1),
+a AS (SELECT r.sitting, report_id, lower(title) AS title, subtitle AS sub, row_number() OVER (PARTITION BY r.sitting ORDER BY n) AS n FROM r WHERE report_id NOT IN (SELECT report_id FROM c) AND NOT (is_assent AND coalesce(content, '') = '')),
+w AS (SELECT sitting, 0::BIGINT AS n, NULL::BIGINT AS report_id, free, NULL::BIGINT AS place, NULL::VARCHAR AS rule FROM k
+  UNION ALL SELECT sitting, n, report_id, list_filter(free, lambda x: place IS NULL OR x.place <> place), place, CASE WHEN place IS NULL THEN 'NOT_PLACED' WHEN len(same) = 1 THEN 'TITLE' ELSE 'SUBTITLE' END
+  FROM (SELECT *, CASE WHEN len(same) = 1 THEN same[1].place WHEN len(pair) = 1 THEN pair[1].place END AS place FROM (SELECT *, list_filter(same, lambda x: x.sub = asked) AS pair
+    FROM (SELECT w.sitting, a.n, a.report_id, w.free, a.sub AS asked, list_filter(w.free, lambda x: x.title = a.title) AS same FROM w JOIN a ON a.sitting = w.sitting AND a.n = w.n + 1)))),
+f AS (SELECT report_id, place, 'CONTENT' AS rule FROM c UNION ALL SELECT report_id, place, rule FROM w WHERE n > 0)
+SELECT r.report_id, f.place, coalesce(f.rule, CASE WHEN is_assent AND content IS NULL THEN 'ASSENT_FIRST' ELSE 'NOT_PLACED' END) AS rule FROM r LEFT JOIN f ON r.report_id = f.report_id
 """)
 def printed_place(spark: SparkSession, d: str) -> DataFrame:
-    """Contents that only one section has, titles that do, titles that need their subtitle, and none of these."""
-    sections = rows(spark, d, "conversations", "conv_id", "turn AS place", f"{_KIND.format('section')} AS title", "concat('s', turn) AS subtitle", "concat(text, turn) AS content")
-    reports = rows(spark, d, "conversations", "conv_id", "conv_id * 100 + turn AS report_id", f"{_KIND.format('report')} AS title", "concat('s', turn) AS subtitle", "concat(text, turn, CASE WHEN turn % 4 = 0 THEN '' ELSE 'x' END) AS content")
-    return M.printed_places(reports, sections, "conv_id")
+    """Reports of sittings that take their places in order; the SQL walks them one by one."""
+    spark_sql = lambda cs: [c.replace("//", "div").replace("'T' || conv_id % 2 || turn % 3", "concat('T', conv_id % 2, turn % 3)").replace("'s' || turn % 4", "concat('s', turn % 4)").replace("'t' || conv_id % 2 || '.' || turn % 3", "concat('t', conv_id % 2, '.', turn % 3)").replace("'S' || turn % 5", "concat('S', turn % 5)") for c in cs]
+    return M.printed_places(rows(spark, d, "conversations", *spark_sql(_PLACED_REPORTS)), rows(spark, d, "conversations", *spark_sql(_PLACED_SECTIONS)), "sitting")
 
 
 @query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'Minister for ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) WHEN 1 THEN 'Prime Minister' END AS office FROM orders JOIN customer ON o_custkey = c_custkey")
