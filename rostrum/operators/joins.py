@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -126,17 +130,47 @@ def unique_prefixes(names: DataFrame, by: list[str], name: str, value: str, leas
     return unique_candidates(rows, [*by, "prefix"], value)
 
 
+#: Odd numbers whose powers weigh the words of a run: two runs agree in both hashes or differ.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def _rolled(values: np.ndarray, base: int, words: int) -> np.ndarray:
+    """The hash of each run of so many values: sums of values times powers of the base, from running sums modulo 2**64."""
+    n = len(values)
+    powers = lambda b: np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * powers(base)[:n], out=sums[1:])
+    return (sums[words:] - sums[:-words]) * powers(pow(base, -1, 1 << 64))[: n - words + 1]
+
+
+def _run_hashes(runs: DataFrame, group: str, part: str, words: int) -> DataFrame:
+    """(group, part, runs array<struct<a, b>>) of rows (group, part, x array<long>, y array<long>)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).offsets.to_numpy().astype(np.int64)
+            at -= at[0]
+            sizes = np.diff(at)
+            starts = np.repeat(at[:-1], sizes - words + 1) + np.concatenate([np.arange(s - words + 1) for s in sizes]) if len(sizes) else np.zeros(0, np.int64)
+            ab = [pa.array(_rolled(batch.column(k).flatten().to_numpy(zero_copy_only=False).view(np.uint64), base, words)[starts].view(np.int64)) for k, base in zip((2, 3), _BASES, strict=True)]
+            offsets = np.concatenate([[0], np.cumsum(sizes - words + 1)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(ab, ["a", "b"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], [group, part, "runs"])
+
+    kind = lambda c: runs.schema[c].dataType.simpleString()
+    return runs.mapInArrow(run, f"`{group}` {kind(group)}, `{part}` {kind(part)}, runs array<struct<a:long,b:long>>")
+
+
 def unique_shingle_places(parts: DataFrame, group: str, part: str, text: str, words: int = 12) -> DataFrame:
     """(group, part, place): for each part the first run of so many words that no other part of the table has.
 
-    Runs are compared by 128 bits, two hashes of their words' hashes; counts are combined before the shuffle.
+    Words are hashed once, to 128 bits, and runs by rolling sums over them; counts of runs are
+    combined before the shuffle.
     """
     split = F.filter(F.split(F.col(text), r"[ \t\n\r\f\x0b]+"), lambda w: w != "")
-    hashed = F.transform(split, lambda w: F.struct(F.xxhash64(w).alias("x"), F.xxhash64(F.lit(1), w).alias("y")))
-    runs = parts.select(group, part, hashed.alias("_w")).where(F.size("_w") >= words)
-    run = lambda i, c: F.xxhash64(F.transform(F.slice("_w", i, words), lambda w: w[c]))
-    hashes = F.transform(F.sequence(F.lit(1), F.size("_w") - words + 1), lambda i: F.struct(run(i, "x").alias("a"), run(i, "y").alias("b")))
-    runs = runs.select(group, part, F.posexplode(hashes).alias("place", "run")).select(group, part, "place", "run.a", "run.b")
+    long = parts.select(group, part, split.alias("_w")).where(F.size("_w") >= words)
+    hashed = long.select(group, part, F.transform("_w", lambda w: F.xxhash64(w)).alias("x"), F.transform("_w", lambda w: F.xxhash64(F.lit(1), w)).alias("y"))
+    runs = _run_hashes(hashed, group, part, words).select(group, part, F.posexplode("runs").alias("place", "run")).select(group, part, "place", "run.a", "run.b")
     once = runs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct(group, part, "place")).alias("at")).where("n = 1")
     return once.groupBy(F.col(f"at.{group}").alias(group), F.col(f"at.{part}").alias(part)).agg(F.min("at.place").alias("place"))
 
@@ -175,25 +209,20 @@ def division_pairing(proceedings: DataFrame, minutes: DataFrame) -> DataFrame:
 
 
 def party_on_day(rows: DataFrame, spans: DataFrame, key: list[str], who: str, day: str, ballot: str) -> DataFrame:
-    """rows with party and is_uncertain; each row stays, equal ones too.
+    """rows with party and is_uncertain; each row stays, equal ones too. key is what the caller knows rows by.
 
     spans (who, started_on, precision DAY or MONTH, is_upper_bound, party). No span: the ballot
     party, certain. None started by the day: the ballot party, uncertain. Else the latest
     started span's; uncertain if a MONTH span starts in the day's month, or if the next later
-    start is only an upper bound. A person has a few spans, so they are joined and folded.
+    start is only an upper bound. A person has a few spans: they are one array beside each of
+    the person's rows, joined once.
     """
-    asked = rows.select(*dict.fromkeys([*key, who, day])).distinct()
-    joined = asked.join(spans, who, "left")
-    started = F.col("started_on") <= F.col(day)
-    found = joined.groupBy(*asked.columns).agg(
-        F.count("started_on").alias("_n"),
-        F.max(F.when(started, F.struct("started_on", "party"))).alias("_now"),
-        F.min(F.when(~started, F.struct("started_on", "is_upper_bound"))).alias("_next"),
-        F.coalesce(F.bool_or((F.col("precision") == "MONTH") & (F.trunc("started_on", "MM") == F.trunc(day, "MM"))), F.lit(False)).alias("_month"),
-    )
-    none = F.col("_now").isNull()
-    uncertain = F.when(F.col("_n") == 0, False).when(none, True).otherwise(F.col("_month") | F.coalesce(F.col("_next.is_upper_bound"), F.lit(False)))
-    verdict = found.select(*asked.columns, none.alias("_none"), F.col("_now.party").alias("_party"), uncertain.alias("is_uncertain"))
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"v.{c}")) for c in asked.columns]
-    joined = rows.alias("r").join(verdict.alias("v"), same, "left")
-    return joined.select("r.*", F.when(F.col("v._none"), F.col(f"r.{ballot}")).otherwise(F.col("v._party")).alias("party"), "v.is_uncertain")
+    own = spans.where("started_on is not null").groupBy(who).agg(F.collect_list(F.struct("started_on", "precision", "is_upper_bound", "party")).alias("_s"))
+    joined = rows.join(own, who, "left")
+    started = F.filter("_s", lambda s: s["started_on"] <= F.col(day))
+    now = F.array_max(F.transform(started, lambda s: F.struct(s["started_on"].alias("at"), s["party"].alias("party"))))
+    following = F.array_min(F.transform(F.filter("_s", lambda s: s["started_on"] > F.col(day)), lambda s: F.struct(s["started_on"].alias("at"), s["is_upper_bound"].alias("bound"))))
+    month = F.exists("_s", lambda s: (s["precision"] == "MONTH") & (F.trunc(s["started_on"], "MM") == F.trunc(day, "MM")))
+    uncertain = F.when(F.col("_s").isNull(), False).when(now.isNull(), True).otherwise(F.coalesce(month, F.lit(False)) | F.coalesce(following["bound"], F.lit(False)))
+    return joined.select(*(F.col(c) for c in rows.columns), F.when(now.isNull(), F.col(ballot)).otherwise(now["party"]).alias("party"), uncertain.alias("is_uncertain"))
+
