@@ -64,3 +64,49 @@ def office_range_stream(attendance: DataFrame) -> DataFrame:
         yield pd.DataFrame(out, columns=["speaker", "office", "first_place", "last_place", "sittings"])
 
     return attendance.groupBy("speaker").applyInPandasWithState(extend, "speaker long, office string, first_place int, last_place int, sittings int", "office string, first int, last int, n int", "append", GroupStateTimeout.NoTimeout)
+
+
+#: Days after its sitting on which a report that still has no text is reported.
+ALERT_DAYS = (13, 14)
+
+
+def held_report_stream(probes: DataFrame, late: str = "0 seconds", days: tuple[int, ...] = ALERT_DAYS) -> DataFrame:
+    """(report_id, event, day) of reports that are found before their text is there.
+
+    probes: report_id, sitting_day date, probed_at timestamp, has_text. A report found without a
+    text is HELD, and RETRIED each time it is found so again; with its text it is RELEASED, or
+    TAKEN if it never was held; later finds of it say nothing. While it is held, a timer of event
+    time goes off on each of the days after its sitting, also when nobody asks for it: ALERT with
+    that day. An alert whose day is past when the report is first found comes at once.
+    """
+    fields = "report_id long, event string, day date"
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        sitting, alerts, done = state.get if state.exists else ("", 0, False)
+        out: list[tuple] = []
+
+        def due(until: pd.Timestamp) -> None:
+            nonlocal alerts
+            while not done and alerts < len(days) and (at := pd.Timestamp(sitting) + pd.Timedelta(days=days[alerts])) <= until:
+                out.append((key[0], "ALERT", at.date()))
+                alerts += 1
+
+        if state.hasTimedOut:
+            due(pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms"))
+        else:
+            rows = pd.concat(batches).sort_values("probed_at", kind="stable")
+            for day, at, has_text in zip(rows["sitting_day"], rows["probed_at"], rows["has_text"], strict=True):
+                if done:
+                    continue
+                known, sitting = bool(sitting), str(day)
+                at = pd.Timestamp(at)
+                due(at)
+                done = bool(has_text)
+                out.append((key[0], ("RELEASED" if known else "TAKEN") if done else "RETRIED" if known else "HELD", at.date()))
+        state.update((sitting, alerts, done))
+        if not done and alerts < len(days):
+            state.setTimeoutTimestamp(max(int((pd.Timestamp(sitting) + pd.Timedelta(days=days[alerts])).timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["report_id", "event", "day"])
+
+    stamped = probes.withWatermark("probed_at", late)
+    return stamped.groupBy("report_id").applyInPandasWithState(step, fields, "sitting string, alerts int, done boolean", "append", GroupStateTimeout.EventTimeTimeout)

@@ -42,3 +42,33 @@ def test_first_per_key(spark, tmp_path):
     stream = L.first_per_key(L.landed(spark, land, "user long, ts timestamp"), "ts", ["user"])
     stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(out).awaitTermination()
     assert sorted(r.user for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_held_reports_over_batches(spark, tmp_path):
+    """A report without a text is kept, asked for again, reported on days 13 and 14, and released once."""
+    schema = "report_id long, sitting_day date, probed_at timestamp, has_text boolean"
+    land, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([], schema).write.parquet(land)
+    day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(days=n)
+    probe = lambda report, sat, at, text: (report, day(sat), datetime.datetime(2024, 1, 1, 6) + datetime.timedelta(days=at), text)
+    stream = L.held_report_stream(L.landed(spark, land, schema))
+    batches = [
+        [probe(1, 0, 1, False), probe(2, 0, 1, True), probe(3, 0, 1, False)],
+        [probe(1, 0, 2, False), probe(3, 0, 2, True), probe(2, 0, 2, True)],
+        [probe(4, 10, 13, False)],  # nobody asks for 1; its timer does
+        [probe(1, 0, 15, True), probe(5, 0, 15, False)],
+        [probe(1, 0, 16, True), probe(4, 10, 16, True)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(out).awaitTermination()
+    got = {}
+    for r in spark.read.parquet(out).collect():
+        got.setdefault(r.report_id, []).append((r.event, r.day))
+    assert {k: sorted(v, key=lambda e: (e[1], e[0])) for k, v in got.items()} == {
+        1: [("HELD", day(1)), ("RETRIED", day(2)), ("ALERT", day(13)), ("ALERT", day(14)), ("RELEASED", day(15))],
+        2: [("TAKEN", day(1))],
+        3: [("HELD", day(1)), ("RELEASED", day(2))],
+        4: [("HELD", day(13)), ("RELEASED", day(16))],
+        5: [("ALERT", day(13)), ("ALERT", day(14)), ("HELD", day(15))],
+    }
