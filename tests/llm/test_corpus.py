@@ -105,7 +105,7 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd, none, tmp_path):
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE])
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     want = con.sql(ORACLE[name])
     got = QUERIES[name](spark, FOLDER).select(*want.columns)
