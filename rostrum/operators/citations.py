@@ -71,6 +71,30 @@ def continuations(headings: DataFrame, reports: DataFrame) -> DataFrame:
     return unique_candidates(best.select("source", F.col("report_id").alias("target")), ["source"], "target")
 
 
+def _loose_links(acts: DataFrame, bills: DataFrame, most_days: int) -> DataFrame:
+    """(act_id, bill_id) of acts whose loose key has just one bill near the printed days.
+
+    Bills are first reduced to the least and the greatest of each key and day, or pair of days
+    (a bill has a few readings); acts meet only those, in the buckets of their own days.
+    """
+    bucket = lambda c: F.floor(F.unix_date(c) / (most_days + 1)).cast("long")
+    around = lambda c: F.explode(F.array(*(bucket(F.col(c)) + k for k in (-1, 0, 1))))
+    close = lambda day, to: F.abs(F.datediff(day, to)) <= most_days
+    ends = F.min("bill_id").alias("lo"), F.max("bill_id").alias("hi")
+    days = bills.where("bill_id is not null and day is not null").select("bill_id", loose_title_key(F.col("key")).alias("k"), "day")
+    acts = acts.select("act_id", loose_title_key(F.col("key")).alias("k"), "first_day", "third_day")
+    one = acts.where("first_day is null or third_day is null").select("act_id", "k", F.coalesce("first_day", "third_day").alias("at")).where("at is not null")
+    single = days.groupBy("k", "day").agg(*ends).withColumn("_b", bucket(F.col("day")))
+    found = one.withColumn("_b", around("at")).join(single, ["k", "_b"]).where(close("day", "at")).select("act_id", "lo", "hi")
+    both = acts.where("first_day is not null and third_day is not null").withColumn("_b", around("first_day")).withColumn("_c", around("third_day"))
+    read = days.distinct()
+    pairs = read.join(read.withColumnRenamed("day", "later"), ["bill_id", "k"]).groupBy("k", "day", "later").agg(*ends)
+    pairs = pairs.withColumns({"_b": bucket(F.col("day")), "_c": bucket(F.col("later"))})
+    twice = both.join(pairs, ["k", "_b", "_c"]).where(close("day", "first_day") & close("later", "third_day")).select("act_id", "lo", "hi")
+    sole = found.unionByName(twice).groupBy("act_id").agg(F.min("lo").alias("bill_id"), F.max("hi").alias("_max"))
+    return sole.where("bill_id = _max").drop("_max")
+
+
 def act_links(acts: DataFrame, bills: DataFrame, most_days: int = 1) -> DataFrame:
     """(act_id, bill_id, rule): the bill of an act by title key and the nearest reading date.
 
@@ -81,19 +105,16 @@ def act_links(acts: DataFrame, bills: DataFrame, most_days: int = 1) -> DataFram
     is all it prints) and, if both are printed, near both. All that is done with the_key first,
     then with the key.
     """
-    if "the_key" not in acts.columns:
-        acts = acts.withColumn("the_key", F.lit(None).cast("string"))
     out = None
     for turn, key in enumerate(("the_key", "key")):
+        if key not in acts.columns:
+            continue
         own = acts.where(F.col(key).isNotNull()).select("act_id", F.col(key).alias("key"), "first_day", "second_day", "third_day")
         for place, (rule, day) in enumerate((("FIRST", "first_day"), ("THIRD", "third_day"), ("SECOND", "second_day"))):
             left = own.where(F.col(day).isNotNull()).select("act_id", "key", F.col(day).alias("at"))
             hit = nearest_join(left, bills.select("bill_id", "key", "day"), ["key"], ["act_id"], "at", "day", most_days, ["bill_id"])
             hit = hit.select("act_id", "bill_id", F.lit(rule).alias("rule"), F.lit(10 * turn + place).alias("_rank"))
             out = hit if out is None else out.unionByName(hit)
-        loose = own.withColumns({"k": loose_title_key(F.col("key")), "_anchor": F.coalesce("first_day", "third_day")}).where("_anchor is not null")
-        days = bills.select("bill_id", loose_title_key(F.col("key")).alias("k"), "day")
-        close = lambda to: F.bool_or(F.abs(F.datediff("day", to)) <= most_days)
-        near = loose.join(days, "k").groupBy("act_id", "bill_id").agg(close("_anchor").alias("_a"), F.coalesce(close("third_day"), F.lit(True)).alias("_b")).where("_a and _b")
-        out = out.unionByName(unique_candidates(near.select("act_id", "bill_id"), ["act_id"], "bill_id").select("act_id", "bill_id", F.lit("LOOSE").alias("rule"), F.lit(10 * turn + 9).alias("_rank")))
+        loose = _loose_links(own, bills, most_days).select("act_id", "bill_id", F.lit("LOOSE").alias("rule"), F.lit(10 * turn + 9).alias("_rank"))
+        out = out.unionByName(loose)
     return out.groupBy("act_id").agg(F.min_by(F.struct("bill_id", "rule"), "_rank").alias("_h")).select("act_id", "_h.bill_id", "_h.rule")
