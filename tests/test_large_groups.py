@@ -37,3 +37,13 @@ def test_loose_links_need_both_days(spark):
     assert sorted(tuple(r) for r in C.act_links(acts, bills).collect()) == [(1, 7, "LOOSE")]
     more = bills.where("bill_id <> 8")
     assert sorted(tuple(r) for r in C.act_links(acts, more).collect()) == [(1, 7, "LOOSE"), (2, 7, "LOOSE")]
+
+
+def test_wordset_join_counts_without_pairs(spark, tmp_path):
+    """60,000 parts and 180,000 customers of one set of words: over 3 billion pairs."""
+    from rostrum.plans.registry import QUERIES
+
+    hot(spark, 60000, "id AS p_partkey", "'small RING' AS p_name").write.parquet(str(tmp_path / "part.parquet"))
+    hot(spark, 180000, "id AS c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    got = quick(QUERIES["wordset_join"](spark, str(tmp_path)).groupBy("names").count())
+    assert [tuple(r) for r in got] == [(60000, 60000)]
