@@ -222,10 +222,14 @@ def links(pages: DataFrame, key: str, html: str) -> DataFrame:
     return found.withColumn("shape", shape)
 
 
+#: A data address; in a quoted src its base64 may be broken into lines, as encoders do after 76 characters.
+_PICTURE = r"(?i)((?<=\bsrc\s{0,9}=\s{0,9}[\"'])data:image/[a-z+]+;base64,[A-Za-z0-9+/=\s]+|data:image/[a-z+]+;base64,[A-Za-z0-9+/=]+)"
+
+
 def inline_pictures(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, n, media_type, bytes, sha256) of base64 data addresses."""
-    found = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(r"(?i)(data:image/[a-z+]+;base64,[A-Za-z0-9+/=]+)"), F.lit(1))).alias("n", "_d"))
-    data = F.unbase64(F.regexp_extract("_d", r"base64,(.*)$", 1))
+    """(key, n, media_type, bytes, sha256) of base64 data addresses, also of those broken into lines."""
+    found = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_PICTURE), F.lit(1))).alias("n", "_d"))
+    data = F.unbase64(F.regexp_extract("_d", r"(?s)base64,(.*)$", 1))
     return found.select(key, "n", F.lower(F.regexp_extract("_d", r"(?i)^data:(image/[a-z+]+)", 1)).alias("media_type"), F.length(data).alias("bytes"), F.sha2(data, 256).alias("sha256"))
 
 

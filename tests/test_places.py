@@ -45,3 +45,16 @@ def test_places_are_the_walk(spark, seed):
     want = walk(reports, sections)
     assert {r.report_id: (r.place, r.rule) for r in got} == want and len(got) == 160
     assert {rule for _, rule in want.values()} >= {"CONTENT", "TITLE", "SUBTITLE", "NOT_PLACED", "ASSENT_FIRST"}
+
+
+def test_pictures_broken_into_lines(spark):
+    """An encoder breaks base64 into lines; the whole picture counts, not its first line."""
+    import base64
+    import hashlib
+
+    from rostrum.operators.documents import inline_pictures
+
+    raw = bytes(range(256)) * 40
+    text = "<p><img src=\"data:image/PNG;base64," + base64.encodebytes(raw).decode().replace("\n", "\r\n") + "\" alt=x> <img src=data:image/gif;base64,QUJD alt=y>"
+    got = inline_pictures(spark.createDataFrame([(1, text)], "id long, html string"), "id", "html").orderBy("n").collect()
+    assert [tuple(r) for r in got] == [(1, 0, "image/png", len(raw), hashlib.sha256(raw).hexdigest()), (1, 1, "image/gif", 3, hashlib.sha256(b"ABC").hexdigest())]
