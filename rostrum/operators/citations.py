@@ -10,6 +10,20 @@ from rostrum.functions.names import loose_title_key, title_key
 from rostrum.operators.joins import nearest_join, unique_candidates
 
 
+def _others(asked: DataFrame, members: DataFrame, by: list[str], name: str) -> DataFrame:
+    """asked with n_<name>, how many reports of its group (members: by, report_id) are not its source, and t_<name>, that report if there is one.
+
+    A group is its number of reports and their ends: of two reports the one that is not the
+    source is known from them, so reports and citations of a group are never paired.
+    """
+    size = members.groupBy(*by).agg(F.count_distinct("report_id").alias("_n"), F.min("report_id").alias("_lo"), F.max("report_id").alias("_hi"))
+    own = members.select(*by, F.col("report_id").alias("source")).where("source is not null").distinct().withColumn("_own", F.lit(1))
+    found = asked.join(size, by, "left").join(own, [*by, "source"], "left")
+    n = F.when(F.col("source").isNull(), 0).otherwise(F.coalesce("_n", F.lit(0)) - F.coalesce("_own", F.lit(0)))
+    other = F.when(F.col("_lo") == F.col("source"), F.col("_hi")).otherwise(F.col("_lo"))
+    return found.withColumns({f"n_{name}": n, f"t_{name}": F.when(n == 1, other)}).drop("_n", "_lo", "_hi", "_own")
+
+
 def link_citations(cited: DataFrame, reports: DataFrame, corrected: DataFrame | None = None) -> DataFrame:
     """(source, title, day, target, rule, reason) of citations (source, title, day).
 
@@ -17,28 +31,21 @@ def link_citations(cited: DataFrame, reports: DataFrame, corrected: DataFrame |
     exact title, else (no exact one) just one of the same title key, else one under a corrected
     title; several leave the citation unplaced, with the reason.
     """
-    keyed = reports.withColumn("_key", title_key(F.col("title")))
+    sittings = reports.select("day").distinct().withColumn("_sits", F.lit(True))
+    asked = cited.select("source", "title", "day").distinct().withColumn("_key", title_key(F.col("title"))).join(sittings, "day", "left")
+    known = reports.select("day", "title", "report_id")
+    asked = _others(asked, known, ["day", "title"], "exact")
+    asked = _others(asked, known.select("day", title_key(F.col("title")).alias("_key"), "report_id"), ["day", "_key"], "key")
     if corrected is not None:  # a short hand-kept list (title, corrected_title)
-        cited = cited.join(F.broadcast(corrected), "title", "left")
+        mended = known.withColumnRenamed("title", "corrected_title").join(F.broadcast(corrected.select("title", "corrected_title").distinct()), "corrected_title")
+        asked = _others(asked, mended.select("day", "title", "report_id"), ["day", "title"], "mended")
     else:
-        cited = cited.withColumn("corrected_title", F.lit(None).cast("string"))
-    sittings = reports.select("day").distinct().withColumn("_sits", F.lit(True))
-    tried = cited.withColumn("_key", title_key(F.col("title"))).join(sittings, "day", "left")
-    # Two equi-joins: by day and key (which exact titles share), and by day and corrected title.
-    by_key = tried.join(keyed.select("day", "_key", "report_id", F.col("title").alias("_title")), ["day", "_key"])
-    by_key = by_key.select("source", "title", "day", "report_id", F.when(F.col("title") == F.col("_title"), "exact").otherwise("key").alias("_by"))
-    mended = tried.where("corrected_title is not null").join(keyed.select("day", F.col("title").alias("corrected_title"), "report_id"), ["day", "corrected_title"])
-    found = by_key.unionByName(mended.select("source", "title", "day", "report_id", F.lit("mended").alias("_by"))).where(F.col("source") != F.col("report_id"))
-    rules = (("exact", F.col("_by") == "exact"), ("key", F.col("_by").isin("exact", "key")), ("mended", F.col("_by") == "mended"))
-    tops = found.groupBy("source", "title", "day").agg(*(x for name, rule in rules for x in (F.count_distinct(F.when(rule, F.col("report_id"))).alias(f"n_{name}"), F.min(F.when(rule, F.col("report_id"))).alias(f"t_{name}"))))
-    asked = tried.select("source", "title", "day", "_sits").distinct()
-    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("source", "title", "day")]
-    hits = asked.alias("c").join(tops.alias("t"), same, "left").select("c.*", *(F.coalesce(f"t.n_{n}", F.lit(0)).alias(f"n_{n}") for n, _ in rules), *(f"t.t_{n}" for n, _ in rules))
+        asked = asked.withColumns({"n_mended": F.lit(0), "t_mended": F.lit(None).cast(reports.schema["report_id"].dataType)})
     rule = F.when(F.col("n_exact") > 0, "EXACT").when(F.col("n_key") > 0, "KEY").when(F.col("n_mended") > 0, "CORRECTED")
     n = F.when(F.col("n_exact") > 0, F.col("n_exact")).when(F.col("n_key") > 0, F.col("n_key")).otherwise(F.col("n_mended"))
     target = F.when(F.col("n_exact") > 0, F.col("t_exact")).when(F.col("n_key") > 0, F.col("t_key")).otherwise(F.col("t_mended"))
     reason = F.when(F.col("title").isNull() | F.col("day").isNull(), "NOT_PRINTED").when(F.col("_sits").isNull(), "NO_SITTING").when(n == 0, "NO_TITLE").when(n > 1, "SEVERAL").otherwise("LINKED")
-    return hits.select("source", "title", "day", F.when((n == 1) & F.col("_sits"), target).alias("target"), rule.alias("rule"), reason.alias("reason"))
+    return asked.select("source", "title", "day", F.when((n == 1) & F.col("_sits"), target).alias("target"), rule.alias("rule"), reason.alias("reason"))
 
 
 #: Types of reports that correct another, and that answer one.

@@ -47,3 +47,13 @@ def test_wordset_join_counts_without_pairs(spark, tmp_path):
     hot(spark, 180000, "id AS c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
     got = quick(QUERIES["wordset_join"](spark, str(tmp_path)).groupBy("names").count())
     assert [tuple(r) for r in got] == [(60000, 60000)]
+
+
+def test_citations_of_one_title_and_day(spark):
+    """60,000 citations and as many reports of a title and day: 3.6 billion pairs; a source among two reports links to the other."""
+    cited = hot(spark, 60000, "id AS source", "'A b' AS title", "DATE '1990-01-01' AS day")
+    reports = hot(spark, 60000, "id + 30000 AS report_id", "'A b' AS title", "DATE '1990-01-01' AS day")
+    few = spark.createDataFrame([(1, "C d", DAY), (2, "C d", DAY), (1, "c-d", DAY), (2, "Cd.", DAY), (1, "X", DAY)], "source long, title string, day date")
+    held = spark.createDataFrame([(1, "C d", DAY), (2, "C d", DAY), (2, "C d", DAY), (3, "Y", DAY)], "report_id long, title string, day date")
+    got = quick(C.link_citations(cited.unionByName(few), reports.unionByName(held), spark.createDataFrame([("X", "Y")], "title string, corrected_title string")).groupBy("title", "source", "target", "rule", "reason").count().where("title <> 'A b' or source = 7"))
+    assert sorted(tuple(r)[:5] for r in got) == [("A b", 7, None, "EXACT", "SEVERAL"), ("C d", 1, 2, "EXACT", "LINKED"), ("C d", 2, 1, "EXACT", "LINKED"), ("Cd.", 2, 1, "KEY", "LINKED"), ("X", 1, 3, "CORRECTED", "LINKED"), ("c-d", 1, 2, "KEY", "LINKED")]
