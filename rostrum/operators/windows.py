@@ -77,26 +77,18 @@ def bill_sessions(rows: DataFrame, most_days: int = 366) -> DataFrame:
     """rows (key, day, id, is_first_reading, is_passing) with session numbers in each key.
 
     A new session starts when the open one has passed or the row is a first reading, on a later
-    day than the last row, or after a gap of more than most_days. Whether the open session has
-    passed depends on where it began, so a key's rows are walked in order; a key is one bill's
-    title, with tens of rows.
+    day than the last row, or after a gap of more than most_days. A later day either finds the
+    session passed, and begins one, or not passed: in both cases only that day's own rows tell
+    whether it has passed at the next one. So it has passed if a row of the last day passes.
     """
-    out = [f for f in rows.schema.fields if f.name != "session"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out) + ", session int"
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["day", "id"], ignore_index=True)
-        days = pd.to_datetime(group["day"])
-        session, passed, last, found = 0, False, None, []
-        for at, first, passing in zip(days, group["is_first_reading"], group["is_passing"], strict=True):
-            if last is None or ((passed or first) and at > last) or (at - last).days > most_days:
-                session, passed = session + 1, False
-            passed, last = passed or bool(passing), at
-            found.append(session)
-        group["session"] = found
-        return group
-
-    return rows.groupBy("key").applyInPandas(walk, schema)
+    w = W.partitionBy("key").orderBy(F.col("day").asc_nulls_last(), F.col("id").asc_nulls_last())
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    seen = rows.drop("session").withColumns({"_last": F.lag("day").over(w), "_passed": F.max(F.when(F.col("is_passing"), F.col("day"))).over(before), "_n": F.row_number().over(w)})
+    passed = F.coalesce(F.col("_passed") == F.col("_last"), F.lit(False))
+    later = (F.col("day") > F.col("_last")) & (passed | F.coalesce("is_first_reading", F.lit(False)))
+    new = (F.col("_n") == 1) | F.coalesce(later, F.lit(False)) | F.coalesce(F.datediff("day", "_last") > most_days, F.lit(False))
+    session = F.sum(new.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)).cast("int")
+    return seen.withColumn("session", session).drop("_last", "_passed", "_n")
 
 
 def place_reports(reports: DataFrame, stored: DataFrame, most_days: int = 366) -> DataFrame:

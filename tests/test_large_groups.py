@@ -57,3 +57,21 @@ def test_citations_of_one_title_and_day(spark):
     held = spark.createDataFrame([(1, "C d", DAY), (2, "C d", DAY), (2, "C d", DAY), (3, "Y", DAY)], "report_id long, title string, day date")
     got = quick(C.link_citations(cited.unionByName(few), reports.unionByName(held), spark.createDataFrame([("X", "Y")], "title string, corrected_title string")).groupBy("title", "source", "target", "rule", "reason").count().where("title <> 'A b' or source = 7"))
     assert sorted(tuple(r)[:5] for r in got) == [("A b", 7, None, "EXACT", "SEVERAL"), ("C d", 1, 2, "EXACT", "LINKED"), ("C d", 2, 1, "EXACT", "LINKED"), ("Cd.", 2, 1, "KEY", "LINKED"), ("X", 1, 3, "CORRECTED", "LINKED"), ("c-d", 1, 2, "KEY", "LINKED")]
+
+
+def test_bill_sessions_need_no_walk(spark):
+    """100,000 keys of few rows, which cost a call of Python each before; sessions equal a walk in order."""
+    from rostrum.operators.windows import bill_sessions
+
+    rows = spark.range(400000).selectExpr("id % 100000 AS key", "id", "CASE WHEN id % 97 <> 0 THEN date_add(DATE '1990-01-01', cast(xxhash64(id) % 5 * (1 + id % 3 * 90) AS int)) END AS day", "xxhash64(id, 1) % 4 = 0 AS is_first_reading", "CASE WHEN id % 31 <> 0 THEN xxhash64(id, 2) % 3 = 0 END AS is_passing")
+    plan = bill_sessions(rows)
+    assert "Pandas" not in plan._jdf.queryExecution().toString()
+    got = {r["id"]: r["session"] for r in quick(plan)}
+    last_key = None
+    for r in sorted(rows.where("key % 50 = 0").collect(), key=lambda r: (r["key"], r["day"] is None, r["day"] or DAY, r["id"])):
+        if r["key"] != last_key:
+            session, passed, last, last_key = 1, False, r["day"], r["key"]
+        elif r["day"] and (((passed or r["is_first_reading"]) and r["day"] > last) or (r["day"] - last).days > 366):
+            session, passed = session + 1, False
+        passed, last = passed or bool(r["is_passing"]), r["day"]
+        assert got[r["id"]] == session
