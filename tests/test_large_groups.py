@@ -75,3 +75,14 @@ def test_bill_sessions_need_no_walk(spark):
             session, passed = session + 1, False
         passed, last = passed or bool(r["is_passing"]), r["day"]
         assert got[r["id"]] == session
+
+
+def test_shingle_places_shuffle_whole_numbers(spark):
+    """A run costs the shuffle its hash, part and place, no text or struct; null groups and one id in two groups stay apart."""
+    text = " ".join(f"w{k}" for k in range(20))
+    other = " ".join(f"v{k}" for k in range(14))
+    parts = spark.createDataFrame([("a", 1, text), ("b", 1, "x " + text), (None, 2, other), ("b", 3, other[:-3] + "z"), ("b", None, text + " y")], "source string, doc_id long, text string")
+    found = J.unique_shingle_places(parts, "source", "doc_id", "text", 12)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted([("b", 1, 0), (None, 2, 2), ("b", 3, 2), ("b", None, 9)], key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
