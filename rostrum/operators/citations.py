@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from rostrum.functions.names import loose_title_key, title_key
-from rostrum.operators.joins import nearest_join, unique_candidates
+from rostrum.operators.joins import nearest_join
 
 
 def _others(asked: DataFrame, members: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -71,11 +71,16 @@ def continuations(headings: DataFrame, reports: DataFrame) -> DataFrame:
     headings: source, title, day, cited_day; reports: report_id, title, day, part.
     """
     earlier = headings.where(F.col("cited_day") < F.col("day")).withColumn("_k", title_key(F.col("title")))
-    found = earlier.join(reports.select(title_key(F.col("title")).alias("_k"), F.col("day").alias("cited_day"), "report_id", "part"), ["_k", "cited_day"])
+    by = ["_k", "cited_day"]
+    # A title's reports of a day are first reduced to their number and the ends of each part, then of the last part.
+    parts = reports.groupBy(title_key(F.col("title")).alias("_k"), F.col("day").alias("cited_day"), "part").agg(F.count("*").alias("n"), F.min("report_id").alias("lo"), F.max("report_id").alias("hi"))
+    last = F.max(F.struct("part", "lo", "hi"))
+    days = parts.groupBy(*by).agg(F.sum("n").alias("n"), F.max(F.col("part").isNull()).alias("unknown"), last.alias("last")).select(*by, "n", "unknown", "last.*")
     w = W.partitionBy("source")
-    best = found.withColumns({"_n": F.count("*").over(w), "_unknown": F.max(F.col("part").isNull()).over(w), "_top": F.max("part").over(w)})
+    found = earlier.select("source", *by).join(days, by)
+    best = found.withColumns({"_n": F.sum("n").over(w), "_unknown": F.max("unknown").over(w), "_top": F.max("part").over(w)})
     best = best.where((F.col("_n") == 1) | (~F.col("_unknown") & (F.col("part") == F.col("_top"))))
-    return unique_candidates(best.select("source", F.col("report_id").alias("target")), ["source"], "target")
+    return best.groupBy("source").agg(F.min("lo").alias("target"), F.max("hi").alias("_max")).where("target = _max").drop("_max")
 
 
 def _loose_links(acts: DataFrame, bills: DataFrame, most_days: int) -> DataFrame:

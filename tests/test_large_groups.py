@@ -86,3 +86,14 @@ def test_shingle_places_shuffle_whole_numbers(spark):
     assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted([("b", 1, 0), (None, 2, 2), ("b", 3, 2), ("b", None, 9)], key=repr)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_continuations_of_one_title_and_day(spark):
+    """60,000 headings and as many reports of a title and day: 3.6 billion pairs; the last part is one report."""
+    headings = hot(spark, 60000, "id AS source", "'A b' AS title", "DATE '1990-01-02' AS day", "DATE '1990-01-01' AS cited_day")
+    reports = hot(spark, 60000, "id AS report_id", "'a B' AS title", "DATE '1990-01-01' AS day", "CASE WHEN id = 5 THEN 9 ELSE id % 3 END AS part")
+    got = quick(C.continuations(headings, reports).groupBy("target").count())
+    assert [tuple(r) for r in got] == [(5, 60000)]
+    two = headings.where("source < 3").unionByName(headings.where("source = 1").selectExpr("source", "'C' AS title", "day", "cited_day")).unionByName(headings.where("source = 2").selectExpr("source", "'D' AS title", "day", "cited_day"))
+    more = reports.unionByName(spark.createDataFrame([(70001, "C", DAY, 9), (70002, "D", DAY, None)], "report_id long, title string, day date, part int"))
+    assert [tuple(r) for r in C.continuations(two, more).collect()] == [(0, 5)]
