@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from rostrum.functions.names import last_group, squeeze
+from rostrum.functions.names import _let, last_brackets, squeeze
 
 #: What a line of procedure speaks of, and what is done to it: a small grammar, a parameter of `procedural`.
 PROCEDURE_SUBJECTS = ["question", "motion", "amendment", "bill", "clause", "division", "order", "resolution", "schedule", "debate", "sitting", "house", "committee", "council", "assembly"]
@@ -198,11 +198,13 @@ def label_office(label: Column, words: list[str] = OFFICE_WORDS) -> Column:
     Brackets may hold others; of several groups in a row the last that names an office counts.
     """
     is_office = lambda c: c.rlike(r"(?i)\b(?:" + "|".join(words) + r")\b")
-    before, inner = last_group(label)
-    first, second = last_group(before)
-    bare = F.coalesce(first, before, F.trim(label))
-    plain = F.when(~bare.contains("("), bare)
-    return F.when(is_office(plain), F.trim(plain)).when(is_office(inner), inner).when(is_office(second), second)
+
+    def named(last: Column, previous: Column) -> Column:
+        bare = F.coalesce(previous["before"], last["before"], F.trim(label))
+        plain = F.when(~bare.contains("("), bare)
+        return F.when(is_office(plain), F.trim(plain)).when(is_office(last["inside"]), last["inside"]).when(is_office(previous["inside"]), previous["inside"])
+
+    return _let(last_brackets(label), lambda last: _let(last_brackets(last["before"]), lambda previous: named(last, previous)))
 
 
 def citations(rows: DataFrame, keys: list[str], text: str) -> DataFrame:

@@ -108,3 +108,13 @@ def test_subtitles_are_read_by_pieces(spark):
     rows = spark.range(20000).select(F.concat(F.col("id").cast("string"), text).alias("t")).select(title.alias("title"), subtitle.alias("s"), N.slash_parts(F.concat("t", F.lit(" / ( x/y"))).alias("p"))
     got = quick(rows.groupBy("s", F.length("title").alias("n"), F.size("p").alias("parts")).count(), 40)
     assert sum(r["count"] for r in got) == 20000 and {(r["s"], r["parts"]) for r in got} == {("a (b) / c", 2)}
+
+
+def test_label_offices_compute_brackets_once(spark):
+    """The brackets of a label are sought once for each of its two last groups, not again wherever they are named."""
+    from rostrum.operators.documents import label_office
+
+    labels = spark.createDataFrame([("The Minister for X (Mr A)",), ("Mr A (Minister (Health) for X)",), ("Mr A (Whip) (Place)",), ("Mr A (Place)",), (None,), ("(Mr A",)], "t string")
+    found = labels.select("t", label_office(F.col("t")).alias("o"))
+    assert [r["o"] for r in found.collect()] == ["The Minister for X", "Minister (Health) for X", "Whip", None, None, None]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") <= 2
