@@ -118,3 +118,16 @@ def test_label_offices_compute_brackets_once(spark):
     found = labels.select("t", label_office(F.col("t")).alias("o"))
     assert [r["o"] for r in found.collect()] == ["The Minister for X", "Minister (Health) for X", "Whip", None, None, None]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") <= 2
+
+
+def test_leave_days_name_each_word_once(spark):
+    """Words are classed once, before the walk, which compares numbers: no pattern and no parsed date inside it."""
+    from rostrum.operators.leave import leave_intervals
+
+    entries = spark.createDataFrame([("on 30 February and 31 March 1999",), ("28 December to 3 January 1999, and on 12 jun 1999",), ("Mr May, 2 weeks from 5 March 2000",), ("on 29 February",), ("1 | 1850 Maybe",)], "t string")
+    found = entries.select("t", leave_intervals(F.col("t"), F.lit("1998-03-01").cast("date")).alias("x"))
+    day = datetime.date
+    want = [[(day(1999, 3, 31), day(1999, 3, 31))], [(day(1998, 12, 28), day(1999, 1, 3)), (day(1999, 6, 12), day(1999, 6, 12))], [(day(2000, 3, 5), day(2000, 3, 18))], [], []]
+    assert [[tuple(x) for x in r["x"]] for r in found.collect()] == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 2 and "gettimestamp" not in plan
