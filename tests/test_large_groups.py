@@ -131,3 +131,15 @@ def test_leave_days_name_each_word_once(spark):
     assert [[tuple(x) for x in r["x"]] for r in found.collect()] == want
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") <= 2 and "gettimestamp" not in plan
+
+
+def test_token_differences_shuffle_texts(spark):
+    """What is shuffled is a text a side, by its key; tokens are never keys of a shuffle."""
+    from rostrum.operators.aggregates import token_differences
+
+    old = spark.createDataFrame([(1, "a b b"), (1, "c"), (2, None), (None, "x")], "k long, t string")
+    new = spark.createDataFrame([(1, "B c d d"), (3, "e")], "k long, t string")
+    found = token_differences(old, new, "k", "t")
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted([(1, 2, 2), (3, 0, 1), (None, 1, 0)], key=repr)
+    exchanges = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+    assert exchanges and not any("token" in line for line in exchanges)
