@@ -143,3 +143,15 @@ def test_token_differences_shuffle_texts(spark):
     assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted([(1, 2, 2), (3, 0, 1), (None, 1, 0)], key=repr)
     exchanges = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
     assert exchanges and not any("token" in line for line in exchanges)
+
+
+def test_division_pairing_holds_no_group(spark):
+    """No window buffers a whole group of votes; groups that can't be paired are not numbered."""
+    votes = "day date, ayes int, noes int, abstentions int, report_id long, place int, speech_number int, ordinal long"
+    said = spark.createDataFrame([(DAY, 1, 1, 0, 5, 1, 1, 1), (DAY, 1, 1, 0, 6, None, 1, 2), (DAY, 2, 2, 0, 7, 1, 1, 3), (DAY, 2, 2, 1, 8, 1, 1, 4), (DAY, 3, 3, 0, 9, 1, 1, 5), (DAY, 4, 4, 0, 9, 1, 1, 6), (DAY, None, 4, 0, 9, 1, 1, 6)], votes)
+    kept = spark.createDataFrame([(DAY, 1, 1, 0, 1), (DAY, 1, 1, None, 2), (DAY, 2, 2, 0, 1), (DAY, 2, 2, 0, 2), (DAY, 3, 3, 1, 1), (DAY, 4, 4, 0, 1), (DAY, 4, 4, 0, 2), (DAY, 5, 5, 0, 1), (DAY, None, 4, 0, 1)], "day date, ayes int, noes int, abstentions int, ordinal long")
+    found = J.division_pairing(said, kept)
+    got = sorted((r["noes"], r["ordinal"], r["status"], r["report_id"]) for r in found.where("ayes is not null").collect())
+    assert got == [(1, 1, "PAIRED", 5), (1, 2, "PAIRED", 6), (2, 1, "TIED", None), (2, 2, "TIED", None), (3, 1, "ABSTENTIONS_DIFFER", None), (4, 1, "UNEQUAL_NUMBER", None), (4, 2, "UNEQUAL_NUMBER", None), (5, 1, "NO_MATCHING_DIVISION", None)]
+    assert [r["status"] for r in found.where("ayes is null").collect()] == ["NO_MATCHING_DIVISION"]
+    assert "unboundedfollowing" not in found._jdf.queryExecution().optimizedPlan().toString()
