@@ -57,11 +57,17 @@ def lookups(people: DataFrame, by: list[str], name: str = "name", value: str = "
     return unique_candidates(tables.where("key is not null and key <> ''"), [*by, "tier", "key"], value)
 
 
-def _variants(name: Column, sets: bool = True) -> list[tuple[str, Column]]:
-    """(table, key) in the order in which a form of a name is looked up."""
-    key, bare = N.lookup_key(name), N.lookup_key(N.strip_bin(name))
-    of_sets = [("word_set", word_set(key)), ("word_subset", long_words(key))] if sets else []
-    return [("direct", key), ("bin_free", bare), ("direct", bare), *of_sets, ("prefix", key)]
+def _with_keys(rows: DataFrame, forms: dict[str, Column]) -> DataFrame:
+    """rows with columns _<form>_key, _bare, _set and _subset of each form of a name: each is computed once, in steps."""
+    rows = rows.withColumns({f"_{f}_key": N.lookup_key(c) for f, c in forms.items()} | {f"_{f}_bare": N.lookup_key(N.strip_bin(c)) for f, c in forms.items()})
+    return rows.withColumns({f"_{f}_set": word_set(F.col(f"_{f}_key")) for f in forms} | {f"_{f}_subset": F.when(F.col(f"_{f}_key").isNotNull(), long_words(F.col(f"_{f}_key"))) for f in forms})
+
+
+def _variants(form: str, sets: bool = True) -> list[tuple[str, Column]]:
+    """(table, key) in the order in which a form of a name is looked up; a key that was asked before is not asked again."""
+    key, bare = F.col(f"_{form}_key"), F.col(f"_{form}_bare")
+    of_sets = [("word_set", F.col(f"_{form}_set")), ("word_subset", F.col(f"_{form}_subset"))] if sets else []
+    return [("direct", key), ("bin_free", bare), ("direct", F.when(bare != key, bare)), *of_sets, ("prefix", key)]
 
 
 def _distinct(labels: DataFrame, by: list[str], label: str, corrections: DataFrame | None) -> DataFrame:
@@ -89,12 +95,14 @@ def resolve_tiered(labels: DataFrame, tables: DataFrame, by: list[str], label: s
     """
     asked = _distinct(labels, by, label, corrections).withColumn("_name", F.coalesce("_fixed", label))
     name = F.col("_name")
-    other = lambda form: F.when(form != name, form)
-    spelled, bare, parted = other(N.spelling_normalize(name)), other(N.strip_middle_haji(name)), other(F.regexp_replace(name, r"([a-z.])([A-Z])", "$1 $2"))
-    key = N.lookup_key(name)
-    tries = [("hand", "hand", key), ("inverted", "inverted", key), *((t, t, k) for t, k in _variants(name)), *(("spelling", t, k) for t, k in _variants(spelled)), *(("haji_free", t, k) for t, k in _variants(bare, sets=False))]
-    tries += [("camel_case", "hand", N.lookup_key(parted)), *(("camel_case", t, k) for t, k in _variants(parted)), ("surname", "surname", F.when(~key.contains(" "), key))]
-    tries = [(rule, t, k if rule in TIERS[:7] or rule == "surname" else F.when({"spelling": spelled, "haji_free": bare, "camel_case": parted}[rule].isNotNull(), k)) for rule, t, k in tries]
+    other = lambda form: F.nullif(form, name)
+    forms = {"spelling": other(N.spelling_normalize(name)), "haji_free": other(N.strip_middle_haji(name)), "camel_case": other(F.regexp_replace(name, r"([a-z.])([A-Z])", "$1 $2"))}
+    asked = asked.withColumns({f"_{f}": c for f, c in forms.items()})
+    asked = _with_keys(asked, {f: F.col(f"_{f}") for f in ("name", *forms)})
+    key = F.col("_name_key")
+    tries = [("hand", "hand", key), ("inverted", "inverted", key), *((t, t, k) for t, k in _variants("name"))]
+    tries += [("spelling", t, k) for t, k in _variants("spelling")] + [("haji_free", t, k) for t, k in _variants("haji_free", sets=False)]
+    tries += [("camel_case", "hand", F.col("_camel_case_key")), *(("camel_case", t, k) for t, k in _variants("camel_case")), ("surname", "surname", F.when(~key.contains(" "), key))]
     hits = _hits(asked, by, label, tries, tables)
     return hits.groupBy(*by, label).agg(F.min_by(F.struct(value, F.col("rule").alias("tier")), "rank").alias("_h")).select(*by, label, f"_h.{value}", "_h.tier")
 

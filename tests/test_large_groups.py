@@ -155,3 +155,12 @@ def test_division_pairing_holds_no_group(spark):
     assert got == [(1, 1, "PAIRED", 5), (1, 2, "PAIRED", 6), (2, 1, "TIED", None), (2, 2, "TIED", None), (3, 1, "ABSTENTIONS_DIFFER", None), (4, 1, "UNEQUAL_NUMBER", None), (4, 2, "UNEQUAL_NUMBER", None), (5, 1, "NO_MATCHING_DIVISION", None)]
     assert [r["status"] for r in found.where("ayes is null").collect()] == ["NO_MATCHING_DIVISION"]
     assert "unboundedfollowing" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_clean_labels_are_computed_once(spark):
+    """The rewrites of a label, which were repeated wherever its clean text is named, stand once in the plan."""
+    from rostrum.functions import names as N
+
+    found = spark.createDataFrame([("12. Mr A (Place",), ("*Mr B (C)",), (None,)], "t string").select(N.clean_label(F.col("t")).alias("c"))
+    assert [r["c"] for r in found.collect()] == ["Mr A", "Mr B (C)", None]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("bAssoc") == 1
