@@ -168,6 +168,36 @@ def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
     return counts.where((step > least) | ((step == least) & (chance < share)))
 
 
+#: Places of a bitmap of keys: 2 MB at any input size.
+MARKS = 1 << 24
+
+
+def _place(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(MARKS))
+
+
+def marks_of(keys: DataFrame) -> DataFrame:
+    """(word, marks): a bitmap with the places of all keys, the only column, set; 64 places a row."""
+    return keys.select(_place(keys.columns[0]).alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("marks"))
+
+
+def split_by_marks(rows: DataFrame, marks: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be marked, rows whose key certainly is not or is null); the bitmap's size is fixed, so it is broadcast.
+
+    What a join by the key must shuffle are the first ones alone. Keys have the type of the marked ones.
+    """
+    # Longer than all columns' names, so they clash with none.
+    p, word, marked = (f"{name}{'_' * max(map(len, rows.columns))}" for name in ("p", "word", "marks"))
+    joined = rows.withColumn(p, _place(key)).join(F.broadcast(marks.toDF(word, marked)), F.shiftright(p, 6) == F.col(word), "left")
+    hit = F.col(key).isNotNull() & F.coalesce(F.expr(f"shiftright({marked}, cast({p} & 63 AS int)) & 1 = 1"), F.lit(False))
+    return joined.where(hit).select(rows.columns), joined.where(~hit).select(rows.columns)
+
+
+def may_match(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among those of `keys`, and few others: what a join of the two must shuffle."""
+    return split_by_marks(rows, marks_of(keys.select(key)), key)[0]
+
+
 def numbered(rows: DataFrame, scratch: Scratch, name: str, run: int = 1 << 16) -> DataFrame:
     """rows with nth: 0, 1, ... among the rows that are equal in all columns, however they are dealt.
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from rostrum.operators.graph import connected_components
 
-from .common import Scratch, arrow_map, documents, fold_table, mix, most_frequent, release_memory, separators, signed, text_slices, word_hashes
+from .common import Scratch, arrow_map, documents, fold_table, marks_of, may_match, mix, most_frequent, release_memory, separators, signed, split_by_marks, text_slices, word_hashes
 
 #: Shingles a group on the average, and the bounds of the number of groups, as powers of two.
 #: Counts of unrelated sets then differ by more in sum than similar sets may.
@@ -279,7 +279,7 @@ def _trees(reps: DataFrame, scratch: Scratch) -> DataFrame:
     shared = entries.groupBy("t").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "doc_id")).alias("y"))
     # Shingles with the same documents would make the same tree; one of them is kept.
     trees = scratch.save(shared.where("c > 1").groupBy("c", "x", "y").agg(F.min("t").alias("t")).select("t", "c"), "trees")
-    return entries.join(trees, "t")
+    return may_match(entries, trees, "t").join(trees, "t")
 
 
 def centre_links(docs: DataFrame, large: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -294,7 +294,8 @@ def centre_links(docs: DataFrame, large: DataFrame, k: int, percent: int, scratc
     parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / F.lit(float(TILE_DOCS))).cast("int").alias("parts"))
     dealt = pairs.join(parts, "centre").select("centre", F.pmod(F.xxhash64("doc_id"), F.col("parts").cast("long")).cast("int").alias("part"), "doc_id")
     copies = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("centre").alias("doc_id"))
-    rows = docs.join(dealt.unionByName(copies), "doc_id").select("centre", "part", (F.col("doc_id") != F.col("centre")).alias("other"), "doc_id", "text")
+    dealt = dealt.unionByName(copies)
+    rows = may_match(docs, dealt, "doc_id").join(dealt, "doc_id").select("centre", "part", (F.col("doc_id") != F.col("centre")).alias("other"), "doc_id", "text")
     rows = rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -442,7 +443,7 @@ def linked(docs: DataFrame, reps: DataFrame, found: DataFrame, labels: DataFrame
         F.transform(F.when(F.col("part") < F.col("core_parts"), others).otherwise(everyone), lambda j: F.struct(F.least(j, "part").alias("low"), F.greatest(j, "part").alias("high")))
     )
     dealt = dealt.select(F.col("node").alias("doc_id"), "component", "part", "whole", "label", F.explode(tile).alias("tile")).select("doc_id", "component", "part", "whole", "label", "tile.low", "tile.high")
-    rows = docs.join(dealt, "doc_id").select("component", "low", "high", "whole", "part", "doc_id", "label", "text")
+    rows = may_match(docs, dealt, "doc_id").join(dealt, "doc_id").select("component", "low", "high", "whole", "part", "doc_id", "label", "text")
     rows = rows.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -480,9 +481,14 @@ def _joined(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFram
     last = frequent_shingles(docs, k, percent, scratch)
     table = scratch.save(points(docs, k, percent, last), "points")
     same = ["n", "sig1", "sig2"]
-    classes = scratch.save(table.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
-    reps = table.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    reps = scratch.save(reps.select("doc_id", "n", "prefix", "point"), "reps")
+    sets = scratch.save(table.select("doc_id", *same), "sets")
+    classes = scratch.save(sets.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("rows")), "classes")
+    # A set that occurs once is its class; only the rows of others are shuffled to find the first.
+    twice = scratch.save(marks_of(sets.join(classes.where("rows > 1"), same, "left_semi").select("doc_id")), "twice")
+    some, alone = split_by_marks(table.where("n > 0 and doc_id is not null").select("doc_id", "n", "prefix", "point"), twice)
+    some = some.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    reps = scratch.save(alone.unionByName(some), "reps")
+    scratch.drop("points", "twice")
     # A size band spans the sizes that sets of this similarity may differ by.
     band = F.when(F.col("c") > LEAF, F.floor(F.log("n") / F.lit(np.log(100 / percent)))).otherwise(0).cast("int")
     trees = scratch.save(_trees(reps, scratch).withColumn("band", band), "placed")
@@ -493,7 +499,7 @@ def _joined(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFram
     classes = classes.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
     classes = scratch.save(classes.select(*same, "class_id", F.coalesce("component", "class_id").alias("component_id")), "labels")
     scratch.drop("reps", "classes", "trees", "candidates", "placed", "centred", "centre-links", "bands", "cluster-of", "labelled", "sized", "links")
-    return table.join(classes, same, "left").select(
+    return sets.join(classes, same, "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
@@ -561,9 +567,13 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, scratch: Scratch
 
     All rows of that id stay, also where their texts differ; rows without an id and texts without words stay.
     """
+    scratch = scratch or Scratch(docs.sparkSession)
     found = similar_components(docs, k, percent, scratch)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = scratch.save(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    ids = scratch.save(marks_of(gone), "gone-marks")
+    # Only texts that may go are shuffled.
+    some, stay = split_by_marks(docs.withColumn(key := "doc_id" + "_" * max(map(len, docs.columns)), F.col("doc_id").cast("long")), ids, key)
+    return some.join(gone, some[key] == gone["doc_id"], "left_anti").unionByName(stay).select(docs.columns)
 
 
 def op2_count_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:

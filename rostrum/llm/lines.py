@@ -21,7 +21,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, Scratch, ascii_lower, documents, text_of
+from .common import SPACES, Scratch, ascii_lower, documents, marks_of, split_by_marks, text_of
 
 
 def line_key(line: Column) -> Column:
@@ -134,26 +134,6 @@ def line_drops(docs: DataFrame, scratch: Scratch, min_chars: int, min_docs: int,
     return scratch.save(found.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("drop")), "drops")
 
 
-#: Places of the bitmap that tells which documents may lose lines: 2 MB at any input size.
-MARKS = 1 << 24
-
-
-def _place() -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
-
-
-def marks_of(ids: DataFrame) -> DataFrame:
-    """(word, marks): a bitmap with the places of all ids set, 64 places a row."""
-    return ids.select(_place().alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("marks"))
-
-
-def split_by_marks(docs: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that may be marked, rows that certainly are not); the bitmap's size is fixed, so it is broadcast."""
-    joined = docs.withColumn("_p", _place()).join(F.broadcast(marks.withColumnRenamed("word", "_word")), F.shiftright("_p", 6) == F.col("_word"), "left")
-    hit = F.col("doc_id").isNotNull() & F.coalesce(F.expr("shiftright(marks, cast(_p & 63 AS int)) & 1 = 1"), F.lit(False))
-    return joined.where(hit).select(docs.columns), joined.where(~hit).select(docs.columns)
-
-
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """docs with kept_text, n_lines and n_dropped, one row for each row of docs.
 

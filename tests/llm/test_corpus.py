@@ -632,6 +632,34 @@ def test_runs_are_merged_in_place(spark):
         assert "Exchange" not in plan and "Sort " not in plan and "SortMergeJoin" in plan and kind in plan
 
 
+def _shuffled(spark):
+    """Bytes written to shuffles so far."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def test_join_shuffles_texts_of_candidates_alone(spark):
+    """Texts without candidates are neither shuffled to be verified nor to be kept, at any size of table; names that the bitmap uses may be columns."""
+    rng = random.Random(3)
+    text = lambda: [rng.randbytes(20).hex() for _ in range(80)]
+    rows = [(k, " ".join(text())) for k in range(1200)]
+    rows += [(2000 + k, rows[k][1] + " more") for k in range(20)] + [(3000 + k, rows[k][1]) for k in range(20)] + [(None, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in ("p", "word", "marks", "doc_id_")})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        begun = _shuffled(spark)
+        kept = jaccard_join.one_of_each(docs).collect()
+        written = _shuffled(spark) - begun
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.doc_id, r.text, r.marks) for r in kept if r.doc_id is not None) == [(k, t, "marks") for k, t in rows[:1200]]
+    assert [r.text for r in kept if r.doc_id is None] == [rows[0][1]]
+    assert written < 0.6 * sum(len(t) for _, t in rows)
+
+
 def test_only_marked_documents_are_shuffled(spark):
     docs = spark.createDataFrame([(k, f"text {k}") for k in range(500)] + [(None, "x")] * 3, "doc_id long, text string")
     some, untouched = lines.split_by_marks(docs, lines.marks_of(spark.createDataFrame([(7,), (499,)], "doc_id long")))
