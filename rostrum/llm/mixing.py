@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Scratch, documents, numbered, word_count
+from .common import Scratch, documents, numbered, release_memory, word_count
 
 _EPS = 1e-9
 
@@ -143,6 +143,7 @@ def _blocks(seed: int, last: bool):  # noqa: ANN202
         size = rows["size"].to_numpy(np.float64)
         start, balance = rows["p"].to_numpy(np.float64), np.stack([size, np.ones(len(size))])
         rows["p"] = land(long_first(start, balance, rng), size, rng) if last else flight(start, balance, rng)[0]
+        release_memory()
         return rows
 
     return run

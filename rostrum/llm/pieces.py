@@ -273,9 +273,10 @@ def piece_digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = piece_model(model)
-        rows = [own.digest(t or "") for t in batch.column(1).to_pylist()]
-        n, ids, decoded = zip(*rows, strict=True) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for begin in range(0, len(batch), 512):
+            part = batch.slice(begin, 512)
+            n, ids, decoded = zip(*(own.digest(t or "") for t in part.column(1).to_pylist()), strict=True)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return arrow_map(_columns(docs), each, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
