@@ -123,12 +123,15 @@ def release_memory() -> None:
         trim(0)
 
 
-def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """each over every Arrow batch of a partition; a batch may give several."""
+def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType, done: Callable[[], None] | None = None) -> DataFrame:
+    """each over every Arrow batch of a partition; a batch may give several. done drops what the worker need not keep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from each(batch)
+        batch = None
+        if done is not None:
+            done()
         release_memory()
 
     return df.mapInArrow(run, schema)

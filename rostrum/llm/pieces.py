@@ -29,8 +29,8 @@ from .common import arrow_map, documents
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Units remembered by a worker: up to twice so many, those used of late.
-REMEMBERED = 150_000
+#: Units remembered by a worker in a task: up to twice so many, those used of late; pairs of pieces at most.
+REMEMBERED, PAIRS = 50_000, 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -98,8 +98,8 @@ class PieceModel:
                 self.automaton.add_word(text, (len(text), k))
         self.automaton.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
-        self.units: dict[str, tuple[str, int, bytes]] = {}
-        self.older: dict[str, tuple[str, int, bytes]] = {}
+        self.units: dict[str, str | tuple[str, str]] = {}
+        self.older: dict[str, str | tuple[str, str]] = {}
         self.cutter = re.compile(" +[^ ]*" if "\n" in self.chars else " +[^ \n]*|[^ \n]+|\n+")
 
     def merge(self, text: str) -> list[str]:
@@ -118,7 +118,7 @@ class PieceModel:
         key = (left, right)
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 1_000_000:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             a, b = self.pieces[left].text, self.pieces[right].text
             known = self.fits[key] = self.merge(a + b) == [a, b]
@@ -175,12 +175,14 @@ class PieceModel:
                 ids += [self.byte_ids[b] for b in "".join(run).encode()] if self.byte_ids else [self.unknown]
         return ids
 
-    def _unit(self, unit: str) -> tuple[str, int, bytes]:
-        """(ids joined by commas, how many, the bytes they decode to)."""
+    def _unit(self, unit: str) -> str | tuple[str, str]:
+        """Ids joined by commas, and what they decode to unless it is the unit again."""
         found = self.older.get(unit)
         if found is None:
             ids = self.encode_unit(unit)
-            found = ",".join(map(str, ids)), len(ids), b"".join([self.raw[k] for k in ids])
+            found, decoded = ",".join(map(str, ids)), b"".join([self.raw[k] for k in ids]).decode("utf-8", "surrogateescape")
+            if decoded != unit:
+                found = found, decoded
         if len(unit) <= 64:
             if len(self.units) >= REMEMBERED:
                 self.older, self.units = self.units, {}
@@ -202,16 +204,22 @@ class PieceModel:
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids, sha256 of the ids joined by commas, sha256 of the decoded text), by units."""
         remembered, unit = self.units.get, self._unit
-        parts = []
+        parts, raw = [], []
         for u in self._cut(text):
             found = remembered(u)
             if found is None:
                 found = unit(u)
                 remembered = self.units.get
+            if type(found) is tuple:
+                found, u = found  # noqa: PLW2901
             parts.append(found)
-        ids, n, raw = zip(*parts, strict=True) if parts else ((), (), ())
-        decoded = _text(b"".join(raw))
-        return sum(n), hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+            raw.append(u)
+        ids, decoded = ",".join(parts), _text("".join(raw).encode("utf-8", "surrogateescape"))
+        return ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+    def forget(self) -> None:
+        """Drops the remembered units: a worker lives on from stage to stage and would keep them."""
+        self.units, self.older = {}, {}
 
 
 def _text(raw: bytes) -> str:
@@ -278,7 +286,7 @@ def piece_digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
             n, ids, decoded = zip(*(own.digest(t or "") for t in part.column(1).to_pylist()), strict=True)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return arrow_map(_columns(docs), each, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow_map(_columns(docs), each, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", lambda: piece_model(model).forget())
 
 
 def op7_pieces_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:

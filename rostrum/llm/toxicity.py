@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, documents, fold_table, mix, separators, signed, text_slices, word_hashes
+from .common import Scratch, arrow_map, documents, fold_table, mix, release_memory, separators, signed, text_slices, word_hashes
 
 #: The machine's rank, and about how many labelled rows it is fitted on (a hash of the id chooses
 #: them): a documented bound, the same at every input size, which bounds the terms too.
@@ -159,6 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, wanted: Column, fit_rows: int = FI
                 toxic = label[begin:][owner].astype(np.int64)
                 found, inverse = np.unique(hashes, return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(np.bincount(inverse, 1 - toxic, len(found)).astype(np.int64)), pa.array(np.bincount(inverse, toxic, len(found)).astype(np.int64))], ["term", "clean", "toxic"])
+        release_memory()
 
     scratch = scratch or Scratch(docs.sparkSession)
     rows = scratch.save(labelled(docs, labels, wanted, fit_rows), "fitted")

@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -792,6 +793,36 @@ def test_backtracking_in_a_small_model():
         assert [model.pieces[k].text for k in model.encode_unit(text)] == model.merge(text)
 
 
+def test_remembered_units_are_ids_alone_and_forgotten():
+    p = pieces.Piece
+    chars = [p(c, -10 - n, 1) for n, c in enumerate("abc▁")]
+    own = pieces.PieceModel([p("<unk>", 0, 2), *chars, *(p(f"<0x{b:02X}>", 0, 6) for b in range(256))])
+    lossy = pieces.PieceModel([p("<unk>", 0, 2), *chars])
+    for model in (own, lossy):
+        for text in ("a bé b", "", "é", " é c", "a bé b"):
+            ids = model.encode(text)
+            assert model.digest(text) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(model.decode(ids).encode()).hexdigest())
+    assert all(type(v) is str for v in own.units.values()) and type(lossy.units[" bé"]) is tuple
+    own.forget()
+    assert not own.units and not own.older
+
+
+def test_stages_run_in_small_batches(spark):
+    import corpus_pipeline as pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(k, f"a b {k}", "s", 5) for k in range(3000)], "doc_id long, text string, source string, n_chars long").coalesce(1)
+    try:
+        for _, stage in pipeline.STAGES[1:]:
+            spark.conf.set(name, "10000")
+            stage(spark, docs, "")
+            rows = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([len(b)])], ["n"]) for b in batches), "n long").collect()
+            assert max(r.n for r in rows) <= 1000
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_encode_and_decode_columns(spark, odd):
     decoded = {r.doc_id: r.text for r in pieces.decode_pieces(pieces.encode_pieces(odd)).collect()}
     for i, text in texts_of(odd):
