@@ -38,7 +38,7 @@ TOP = 32
 #: Rounds of averaging, tokens of a shard in a round, tokens that are mixed before they are cut to steps.
 ROUNDS, SHARD, POOL = 2, 1 << 21, 1 << 16
 #: Tokens that are scored at once.
-BLOCK = 2048
+BLOCK = 8192
 #: Least and most tokens of a step (a shard's steps grow as it goes on) and step size.
 STEPS, RATE = (1024, 8192), 0.25
 _APART, _FOLD = separators(), fold_table()
@@ -194,58 +194,70 @@ def start(vocabulary: Vocabulary, seed: int = 1) -> list[np.ndarray]:
 def windows(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The SIDE neighbours before and after every token; beyond a text's ends is the id after all others."""
     n = len(tokens)
-    begin = np.repeat(offsets[:-1], np.diff(offsets))
-    end = np.repeat(offsets[1:], np.diff(offsets))
-    place = np.arange(n)
+    # The texts one after the other with SIDE such ids before, between and after them.
+    place = np.arange(n) + np.repeat(np.arange(1, len(offsets)) * SIDE, np.diff(offsets))
+    apart = np.full(n + len(offsets) * SIDE, _IDS, np.int32)
+    apart[place] = tokens
     out = np.empty((n, 2 * SIDE), np.int32)
     for k, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        at = place + step
-        out[:, k] = np.where((at >= begin) & (at < end), tokens[np.clip(at, 0, max(0, n - 1))] if n else 0, _IDS)
+        out[:, k] = np.take(apart, place + step)
     return out
 
 
 def _hidden(net: list[np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = net[0][context].reshape(len(context), -1)
-    return x, np.tanh(x @ net[1] + net[2])
+    x = np.take(net[0], context, 0).reshape(len(context), -1)
+    h = x @ net[1]
+    h += net[2]
+    return x, np.tanh(h, out=h)
+
+
+def _by_way(tree: Tree, ids: np.ndarray) -> np.ndarray:
+    """The order of ids by falling length of their ways below the top, as `_levels` needs it."""
+    return np.argsort(-np.take(tree.length, ids).astype(np.int16), kind="stable")
 
 
 def _top(net: list[np.ndarray], tree: Tree, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sides, exp of minus the logits toward the ids) at the top nodes, a row for each token."""
-    sides = tree.top[ids].astype(np.float32)
+    """(sides, logits toward the ids) at the top nodes, a row for each token."""
+    sides = np.take(tree.top, ids, 0).astype(np.float32)
     z = h @ net[3][:TOP].T
     z += net[4][:TOP]
-    z *= -sides
-    return sides, np.exp(np.clip(z, -60, 60, out=z), out=z)
-
-
-def _below(net: list[np.ndarray], tree: Tree, h: np.ndarray, ids: np.ndarray) -> tuple:
-    """(nodes, sides, nodes of each row, their weights, hidden values of their rows, exp of minus the logits) below the top."""
-    nodes, sides, length = tree.ways(ids)
-    w, values = np.take(net[3], nodes, 0), np.repeat(h, length, 0)
-    z = np.einsum("ij,ij->i", w, values)
-    z += np.take(net[4], nodes)
-    z *= -sides
-    return nodes, sides, length, w, values, np.exp(np.clip(z, -60, 60, out=z), out=z)
-
-
-def _by_row(values: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Sums of runs of so many rows of values, 0 for an empty run."""
-    out = np.zeros((len(length), *values.shape[1:]), values.dtype)
-    full = length > 0
-    if full.any():
-        out[full] = np.add.reduceat(values, (np.cumsum(length) - length)[full])
-    return out
+    z *= sides
+    return sides, z
 
 
-def _sums(at: np.ndarray, g: np.ndarray | None, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of g * rows by place, one dimension after the other, each side by side in memory, which is how numpy counts fastest."""
-    turned = np.ascontiguousarray(rows.T)
-    if g is not None:
-        turned *= g
-    out = np.empty((n, len(turned)), np.float32)
-    for k, own in enumerate(turned):
-        out[:, k] = np.bincount(at, own, n)
-    return out
+def _levels(net: list[np.ndarray], tree: Tree, h: np.ndarray, ids: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(nodes, sides, the nodes' weights, logits toward the ids) of each level below the top.
+
+    Ids are in the order of `_by_way`, so those whose ways reach a level are the first so many.
+    """
+    begin = np.take(tree.begin, ids)
+    for level, n in enumerate(np.cumsum(np.bincount(np.take(tree.length, ids))[:0:-1])[::-1]):
+        at = begin[:n] + level
+        nodes, sides = np.take(tree.nodes, at), np.take(tree.sides, at)
+        w = np.take(net[3], nodes, 0)
+        z = np.einsum("ij,ij->i", w, h[:n])
+        z += np.take(net[4], nodes)
+        z *= sides
+        yield nodes, sides, w, z
+
+
+def _costs(z: np.ndarray) -> np.ndarray:
+    """-log of the chances of logits, in place."""
+    np.maximum(z, -60, out=z)
+    np.negative(z, out=z)
+    np.exp(z, out=z)
+    z += 1
+    return np.log(z, out=z)
+
+
+def _slopes(z: np.ndarray, sides: np.ndarray, n: int) -> np.ndarray:
+    """The gradient of the mean of n costs by the nodes' own logits, in place of z."""
+    np.minimum(z, 60, out=z)
+    np.exp(z, out=z)
+    z += 1
+    np.divide(sides, z, out=z)
+    z *= np.float32(-1 / n)
+    return z
 
 
 def log_probabilities(net: list[np.ndarray], tree: Tree, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -253,13 +265,14 @@ def log_probabilities(net: list[np.ndarray], tree: Tree, tokens: np.ndarray, off
     out = np.empty(len(tokens))
     context = windows(tokens, offsets)
     for a in range(0, len(tokens), BLOCK):
-        ids = tokens[a : a + BLOCK]
-        h = _hidden(net, context[a : a + BLOCK])[1]
-        sides, e = _top(net, tree, h, ids)
-        _, _, length, _, _, below = _below(net, tree, h, ids)
-        logs = np.log(1 + e)
-        logs *= sides * sides
-        out[a : a + BLOCK] = -logs.sum(1, dtype=np.float64) - _by_row(np.log(1 + below), length)
+        order = _by_way(tree, tokens[a : a + BLOCK]) + a
+        ids = np.take(tokens, order)
+        h = _hidden(net, np.take(context, order, 0))[1]
+        sides, z = _top(net, tree, h, ids)
+        costs = np.einsum("ij,ij->i", _costs(z), np.abs(sides, out=sides)).astype(np.float64)
+        for _, _, _, z in _levels(net, tree, h, ids):
+            costs[: len(z)] += _costs(z)
+        out[order] = -costs
     return out
 
 
@@ -288,26 +301,41 @@ def _move(p: np.ndarray, squares: np.ndarray, at: np.ndarray | slice, d: np.ndar
 def train_step(net: list[np.ndarray], squares: list[np.ndarray], tree: Tree, context: np.ndarray, ids: np.ndarray, rate: float = RATE) -> None:
     """One AdaGrad step in place, on the mean of -log P. Only what the step has seen has a gradient and moves."""
     n = len(ids)
+    order = _by_way(tree, ids)
+    ids, context = np.take(ids, order), np.take(context, order, 0)
     x, h = _hidden(net, context)
-    sides, e = _top(net, tree, h, ids)
-    d = -sides * e / (1 + e) / np.float32(n)
+    sides, z = _top(net, tree, h, ids)
+    d = _slopes(z, sides, n)
     dh = d @ net[3][:TOP]
     grads = [(np.s_[:TOP], d.T @ h, d.sum(0))]
-    nodes, sides, length, w, values, e = _below(net, tree, h, ids)
-    g = (-sides * e / (1 + e) / n).astype(np.float32)
-    seen, inverse = _places(nodes)
-    w *= g[:, None]
-    dh += _by_row(w, length)
-    grads.append((seen, _sums(inverse, g, values, len(seen)), np.bincount(inverse, g, len(seen)).astype(np.float32)))
+    ways, slopes = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+    for nodes, sides, w, z in _levels(net, tree, h, ids):
+        g = _slopes(z, sides, n)
+        w *= g[:, None]
+        dh[: len(g)] += w
+        ways.append(nodes)
+        slopes.append(g)
+    seen, inverse = _places(np.concatenate(ways))
+    g = np.concatenate(slopes, dtype=np.float64)
+    # Sums by place, one dimension after the other, each side by side in memory, which is how numpy counts fastest.
+    dw, own = np.empty((len(seen), HIDDEN), np.float32), np.empty(len(g))
+    for k, values in enumerate(np.ascontiguousarray(h.T)):
+        np.concatenate([values[: len(each)] for each in slopes], out=own)
+        own *= g
+        dw[:, k] = np.bincount(inverse, own, len(seen))
+    grads.append((seen, dw, np.bincount(inverse, g, len(seen)).astype(np.float32)))
     for at, dw, db in grads:
         _move(net[3], squares[3], at, dw, rate)
         _move(net[4], squares[4], at, db, rate)
     dh *= 1 - h * h
-    dx = (dh @ net[1].T).reshape(-1, WIDTH)
+    dx = (net[1] @ dh.T).reshape(2 * SIDE, WIDTH, n)
     for k, d in ((1, x.T @ dh), (2, dh.sum(0))):
         _move(net[k], squares[k], np.s_[:], d, rate)
-    seen, inverse = _places(context.ravel())
-    _move(net[0], squares[0], seen, _sums(inverse, None, dx, len(seen)), rate)
+    seen, inverse = _places(context.T.ravel())
+    de = np.empty((len(seen), WIDTH), np.float32)
+    for k in range(WIDTH):
+        de[:, k] = np.bincount(inverse, dx[:, k].ravel(), len(seen))
+    _move(net[0], squares[0], seen, de, rate)
 
 
 # Training ---------------------------------------------------------------------------------------

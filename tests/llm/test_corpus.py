@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -489,6 +490,21 @@ def test_gradient_of_a_step():
         assert (net[k] - before[k])[at] == pytest.approx(-(loss(moved) - loss(before)) / 1e-4, rel=0.05)
 
 
+def test_a_step_holds_a_level_of_the_ways_at_once():
+    """Weights and hidden values are gathered for a level of the tree, not for all nodes of all ways."""
+    rng = np.random.default_rng(3)
+    vocabulary, net = small_model(20_000)
+    tokens = rng.integers(0, 20_000, 8192)
+    context = masked_lm.windows(tokens, np.array([0, 8192]))
+    squares = [np.full_like(p, 1e-5) for p in net]
+    nodes = int(vocabulary.tree.length[tokens].sum())
+    tracemalloc.start()
+    masked_lm.train_step(net, squares, vocabulary.tree, context, tokens)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * 4 * masked_lm.HIDDEN * nodes, (peak, nodes)
+
+
 def test_every_position_is_a_target():
     """Each token of a shard is learned from once, in steps that leave none out."""
     vocabulary, net = small_model(50)
