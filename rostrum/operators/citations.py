@@ -83,28 +83,27 @@ def continuations(headings: DataFrame, reports: DataFrame) -> DataFrame:
     return best.groupBy("source").agg(F.min("lo").alias("target"), F.max("hi").alias("_max")).where("target = _max").drop("_max")
 
 
-def _loose_links(acts: DataFrame, bills: DataFrame, most_days: int) -> DataFrame:
-    """(act_id, bill_id) of acts whose loose key has just one bill near the printed days.
+def _loose_links(asked: DataFrame, bills: DataFrame, by: list[str], most_days: int) -> DataFrame:
+    """(by, lo, hi): the ends of the bills that share asked's loose key near the printed days.
 
-    Bills are first reduced to the least and the greatest of each key and day, or pair of days
-    (a bill has a few readings); acts meet only those, in the buckets of their own days.
+    Bills are first reduced to the least and the greatest of each key and day, or of each key and
+    set of days (a bill has a few readings); asked meets only those, in the buckets of its days.
     """
     bucket = lambda c: F.floor(F.unix_date(c) / (most_days + 1)).cast("long")
     around = lambda c: F.explode(F.array(*(bucket(F.col(c)) + k for k in (-1, 0, 1))))
     close = lambda day, to: F.abs(F.datediff(day, to)) <= most_days
-    ends = F.min("bill_id").alias("lo"), F.max("bill_id").alias("hi")
+    ends = lambda lo, hi: (F.min(lo).alias("lo"), F.max(hi).alias("hi"))
     days = bills.where("bill_id is not null and day is not null").select("bill_id", loose_title_key(F.col("key")).alias("k"), "day")
-    acts = acts.select("act_id", loose_title_key(F.col("key")).alias("k"), "first_day", "third_day")
-    one = acts.where("first_day is null or third_day is null").select("act_id", "k", F.coalesce("first_day", "third_day").alias("at")).where("at is not null")
-    single = days.groupBy("k", "day").agg(*ends).withColumn("_b", bucket(F.col("day")))
-    found = one.withColumn("_b", around("at")).join(single, ["k", "_b"]).where(close("day", "at")).select("act_id", "lo", "hi")
-    both = acts.where("first_day is not null and third_day is not null").withColumn("_b", around("first_day")).withColumn("_c", around("third_day"))
-    read = days.distinct()
-    pairs = read.join(read.withColumnRenamed("day", "later"), ["bill_id", "k"]).groupBy("k", "day", "later").agg(*ends)
+    asked = asked.select(*by, loose_title_key(F.col("key")).alias("k"))
+    one = asked.where("first_day is null or third_day is null").withColumn("at", F.coalesce("first_day", "third_day")).where("at is not null")
+    single = days.groupBy("k", "day").agg(*ends("bill_id", "bill_id")).withColumn("_b", bucket(F.col("day")))
+    found = one.withColumn("_b", around("at")).join(single.hint("merge"), ["k", "_b"]).where(close("day", "at")).select(*by, "lo", "hi")
+    both = asked.where("first_day is not null and third_day is not null").withColumn("_b", around("first_day")).withColumn("_c", around("third_day"))
+    read = days.groupBy("k", "bill_id").agg(F.sort_array(F.collect_set("day")).alias("read")).groupBy("k", "read").agg(*ends("bill_id", "bill_id"))
+    pairs = read.withColumn("day", F.explode("read")).withColumn("later", F.explode("read")).groupBy("k", "day", "later").agg(*ends("lo", "hi"))
     pairs = pairs.withColumns({"_b": bucket(F.col("day")), "_c": bucket(F.col("later"))})
-    twice = both.join(pairs, ["k", "_b", "_c"]).where(close("day", "first_day") & close("later", "third_day")).select("act_id", "lo", "hi")
-    sole = found.unionByName(twice).groupBy("act_id").agg(F.min("lo").alias("bill_id"), F.max("hi").alias("_max"))
-    return sole.where("bill_id = _max").drop("_max")
+    twice = both.join(pairs.hint("merge"), ["k", "_b", "_c"]).where(close("day", "first_day") & close("later", "third_day")).select(*by, "lo", "hi")
+    return found.unionByName(twice).groupBy(*by).agg(*ends("lo", "hi"))
 
 
 def act_links(acts: DataFrame, bills: DataFrame, most_days: int = 1) -> DataFrame:
@@ -116,17 +115,23 @@ def act_links(acts: DataFrame, bills: DataFrame, most_days: int = 1) -> DataFram
     key, which must have just one bill with a reading near the act's first one (its third, if that
     is all it prints) and, if both are printed, near both. All that is done with the_key first,
     then with the key.
+
+    Acts with the same key and days are asked once and meet their answer last. No side of these
+    joins is broadcast: rows that the files hold in few bytes would fill the memory.
     """
-    out = None
-    for turn, key in enumerate(("the_key", "key")):
-        if key not in acts.columns:
-            continue
-        own = acts.where(F.col(key).isNotNull()).select("act_id", F.col(key).alias("key"), "first_day", "second_day", "third_day")
-        for place, (rule, day) in enumerate((("FIRST", "first_day"), ("THIRD", "third_day"), ("SECOND", "second_day"))):
-            left = own.where(F.col(day).isNotNull()).select("act_id", "key", F.col(day).alias("at"))
-            hit = nearest_join(left, bills.select("bill_id", "key", "day"), ["key"], ["act_id"], "at", "day", most_days, ["bill_id"])
-            hit = hit.select("act_id", "bill_id", F.lit(rule).alias("rule"), F.lit(10 * turn + place).alias("_rank"))
-            out = hit if out is None else out.unionByName(hit)
-        loose = _loose_links(own, bills, most_days).select("act_id", "bill_id", F.lit("LOOSE").alias("rule"), F.lit(10 * turn + 9).alias("_rank"))
-        out = out.unionByName(loose)
-    return out.groupBy("act_id").agg(F.min_by(F.struct("bill_id", "rule"), "_rank").alias("_h")).select("act_id", "_h.bill_id", "_h.rule")
+    days = ["first_day", "second_day", "third_day"]
+    by = ["key", *days]
+    keys = [F.struct(F.lit(turn).alias("_turn"), F.col(key).alias("key")) for turn, key in enumerate(("the_key", "key")) if key in acts.columns]
+    own = acts.select("act_id", *days, F.inline(F.array(*keys))).where("key is not null")
+    asked = own.select(*by).distinct()
+    readings = [F.struct(F.lit(place).alias("place"), F.lit(rule).alias("rule"), F.col(day).alias("at")) for place, (rule, day) in enumerate((("FIRST", "first_day"), ("THIRD", "third_day"), ("SECOND", "second_day")))]
+    left = asked.select(*by, F.inline(F.array(*readings))).where("at is not null")
+    hits = nearest_join(left, bills.select("bill_id", "key", "day"), ["key"], [*by, "place"], "at", "day", most_days, ["bill_id"])
+    hits = hits.select(*by, F.struct("place", "gap", "bill_id", "rule").alias("hit"))
+    loose = _loose_links(asked, bills, by, most_days)
+    answers = hits.unionByName(loose, allowMissingColumns=True).groupBy(*by).agg(F.min("hit").alias("hit"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"a.{c}")) for c in by]
+    met = own.alias("o").join(answers.hint("merge").alias("a"), same).groupBy("act_id", "_turn").agg(F.min("hit").alias("hit"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    sole = F.when(F.col("lo") == F.col("hi"), F.struct(F.col("lo").alias("bill_id"), F.lit("LOOSE").alias("rule")))
+    found = met.withColumn("_h", F.when(F.col("hit").isNotNull(), F.struct("hit.bill_id", "hit.rule")).otherwise(sole)).where("_h is not null")
+    return found.groupBy("act_id").agg(F.min_by("_h", "_turn").alias("_h")).select("act_id", "_h.bill_id", "_h.rule")

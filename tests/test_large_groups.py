@@ -30,6 +30,31 @@ def test_act_links_of_one_key(spark):
     assert [tuple(r) for r in got] == [(0, "FIRST", 13334)]
 
 
+def test_links_broadcast_nothing_of_small_files(spark, tmp_path):
+    """200,000 rows that a file holds in some 0.1 MB: Spark takes them for small and would send them, repeated for each bucket, to every task."""
+    first = "date_add(DATE '1990-01-01', cast(id % 900 AS int))"
+    hot(spark, 200000, "id", "'k' AS key", f"{first} AS first_day", f"date_add({first}, 60) AS second_day", f"CASE WHEN id % 4 <> 0 THEN date_add({first}, 90) END AS third_day").coalesce(1).write.parquet(f"{tmp_path}/acts")
+    acts = spark.read.parquet(f"{tmp_path}/acts").withColumnRenamed("id", "act_id")
+    bills = acts.selectExpr("act_id + 1000000 AS bill_id", "key", "first_day AS day")
+    links, near = C.act_links(acts, bills), J.nearest_join(acts.select("act_id", "key", "first_day"), bills, ["key"], ["act_id"], "first_day", "day", 1, ["bill_id"])
+    for found in (links, near):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        got = found.selectExpr("count(*) AS n", "count(DISTINCT act_id) AS ids", "bool_and(bill_id = 1000000 + act_id % 900) AS own").collect()
+        assert [tuple(r) for r in got] == [(200000, 200000, True)]
+    assert [r["rule"] for r in links.select("rule").distinct().collect()] == ["FIRST"]
+
+
+def test_acts_of_one_key_and_days_share_an_answer(spark):
+    """Equal acts, nulls in their days, an id of two rows and two keys of an act."""
+    day = lambda n: None if n is None else DAY + datetime.timedelta(days=n)
+    rows = [(1, "a", None, 0, None, None), (2, "a", None, 0, None, None), (3, "a", "thea", 0, None, None), (4, "a", None, 9, None, None), (4, "a", None, 5, None, 0), (5, "a", None, None, None, None), (6, None, "thea", None, 8, None), (7, "camendmentno1", None, 20, None, None), (7, "camendmentno1", None, 30, None, None), (8, "camendmentno1", None, 30, None, None)]
+    acts = spark.createDataFrame([(*r[:3], *(day(n) for n in r[3:])) for r in rows], "act_id long, key string, the_key string, first_day date, second_day date, third_day date")
+    bills = spark.createDataFrame([(k, key, day(n)) for k, key, n in [(10, "a", 1), (11, "a", 1), (12, "thea", 7), (13, "thea", 8), (14, "a", 8), (15, "camendmentno2", 20), (16, "camendmentno2", 30)]], "bill_id long, key string, day date")
+    # 4's first reading in one row goes before its third in the other; 7 has two candidates among its rows.
+    want = [(1, 10, "FIRST"), (2, 10, "FIRST"), (3, 10, "FIRST"), (4, 14, "FIRST"), (6, 13, "SECOND"), (8, 16, "LOOSE")]
+    assert sorted(tuple(r) for r in C.act_links(acts, bills).collect()) == want
+
+
 def test_loose_links_need_both_days(spark):
     day = lambda n: DAY + datetime.timedelta(days=n)
     acts = spark.createDataFrame([(1, "aamendmentno1", day(0), None, day(50)), (2, "aamendmentno1", day(0), None, None), (3, "aamendmentno1", None, None, day(51)), (4, "aamendmentno1", day(20), None, day(50))], "act_id long, key string, first_day date, second_day date, third_day date")
